@@ -10,8 +10,8 @@ from jsonloom.functions.json_values import is_document, wrapped
 # Position of a document in arrival order.
 DOC_POSITION = ["file_order", "path", "block_start", "line_id"]
 
-# name_YYYYMMDD_HHMMSS_ffffff.json; fixed format
-NAME_STAMP = r"(\d{8}_\d{6}_\d{6})(?:\.[^/]*)?$"
+# name_YYYYMMDD_HHMMSS_ffffff.json, or a folder of that name around the file; fixed format
+NAME_STAMP = r"(\d{8}_\d{6}_\d{6})(?:\.[^/]*)?(?:/[^/]*)?$"
 NAME_STAMP_FORMAT = "yyyyMMdd_HHmmss_SSSSSS"
 
 
