@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jsonloom.operators.quality.rows import BUSINESS, CAPACITY, as_check, details, literal_checks, sample_list
+from jsonloom.operators.quality.rows import BUSINESS, CAPACITY, as_check, details, literal_checks, name, sample_list, text
 from jsonloom.operators.relate import child_counts, with_child_count
 
 
@@ -59,37 +59,25 @@ def capacity_checks(spark: SparkSession, tables: dict[str, DataFrame], rules: li
             parts.append(literal_checks(spark, [(CAPACITY, "Capacity Validation Columns", message, "WARNING")]))
             continue
         counted = with_child_count(parent.select(rule.key, rule.limit), rule.key, child, rule.child_key, "current")
-        excess = F.col("current") - F.coalesce(F.col(rule.limit), F.lit(0))
-        counted = counted.withColumn("excess", excess)
+        key, limit = name(rule.key), name(rule.limit)
+        counted = counted.selectExpr(key, "current", limit, f"current - coalesce({limit}, 0) as excess")
         over = counted.where("excess > 0")
         summary = counted.agg(
-            F.count(F.lit(1)).alias("parents"), F.count(F.when(F.col("excess") > 0, F.lit(1))).alias("over"),
-            F.max("excess").alias("max_excess"), F.coalesce(F.sum("current"), F.lit(0)).alias("children"),
-        )
-        fits = F.col("over") == 0
-        worst = over.select(
-            F.to_json(
-                F.struct(
-                    F.col(rule.key), F.col("current"), F.col(rule.limit).alias("max"), F.col("excess")
-                )
-            ).alias("row"),
-            F.col(rule.key).alias("k"),
-        )
-        info = F.when(
-            fits, details(total_classes_checked=F.col("parents"), total_enrollments=F.col("children"))
-        ).otherwise(
-            details(
-                over_capacity_classes=F.concat(F.lit("["), F.array_join(sample_list(worst, "row", [F.col("k")]), ","), F.lit("]")),
-                total_classes=F.col("parents"), max_excess=F.col("max_excess"),
-            )
-        )
-        message = F.when(fits, F.lit(f"All {rule.noun} are within capacity limits")).otherwise(
-            F.format_string(f"Found %d {rule.noun} over capacity", "over")
+            F.expr("count(1) as parents"), F.expr("count_if(excess > 0) as over"),
+            F.expr("max(excess) as max_excess"), F.expr("coalesce(sum(current), 0) as children"),
         )
+        worst = over.selectExpr(key, f"to_json(struct({key}, current, {limit} as max, excess)) as worst_row")
+        summary = summary.withColumn("worst", sample_list(worst, "worst_row", [key]))
         parts.append(
             as_check(
-                summary, CAPACITY, rule.check_name, fits, message, F.lit("ERROR"),
-                F.col("over"), sample_list(over, rule.key), info,
+                summary, CAPACITY, text(rule.check_name), "over = 0", text(f"All {rule.noun} are within capacity limits"),
+                f"format_string({text(f'Found %d {rule.noun} over capacity')}, over)", "ERROR", "over",
+                details(total_classes_checked="parents", total_enrollments="children"),
+                details(
+                    over_capacity_classes="concat('[', array_join(worst, ','), ']')", total_classes="parents",
+                    max_excess="max_excess",
+                ),
+                sample_list(over, rule.key),
             )
         )
     return parts
@@ -101,22 +89,17 @@ def entity_limit_checks(tables: dict[str, DataFrame], rules: list[EntityLimit])
         if rule.table not in tables or rule.key not in tables[rule.table].columns:
             continue
         counts = child_counts(tables[rule.table], rule.key)
-        over = counts.where(F.col("n") > rule.limit)
+        over = counts.where(f"n > {rule.limit}")
         summary = counts.agg(
-            F.count(F.when(F.col("n") > rule.limit, F.lit(1))).alias("over"),
-            F.max("n").alias("most"), F.avg("n").alias("mean"),
-        )
-        fits = F.col("over") == 0
-        message = F.when(fits, F.lit(f"All {rule.noun} have reasonable enrollment counts")).otherwise(
-            F.format_string(f"Found %d {rule.noun} with excessive enrollments", "over")
+            F.expr(f"count_if(n > {rule.limit}) as over"), F.expr("max(n) as most"), F.expr("avg(n) as mean")
         )
-        info = F.when(fits, details()).otherwise(
-            details(
-                max_enrollments=F.col("most"), avg_enrollments=F.col("mean"), students_over_limit=F.col("over")
-            )
-        )
-        affected = sample_list(over, rule.key, [F.col("n").desc(), F.col(rule.key)])
         parts.append(
-            as_check(summary, BUSINESS, rule.check_name, fits, message, F.lit("WARNING"), F.col("over"), affected, info)
+            as_check(
+                summary, BUSINESS, text(rule.check_name), "over = 0",
+                text(f"All {rule.noun} have reasonable enrollment counts"),
+                f"format_string({text(f'Found %d {rule.noun} with excessive enrollments')}, over)", "WARNING", "over",
+                bad_details=details(max_enrollments="most", avg_enrollments="mean", students_over_limit="over"),
+                affected=sample_list(over, rule.key, ["n desc", name(rule.key)]),
+            )
         )
     return parts

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from jsonloom.functions.names import key_columns
 from jsonloom.operators.quality.rows import (
-    BUSINESS, CHECK_SCHEMA, CONSISTENCY, DISTRIBUTION, as_check, details, no_records, sample_list,
+    BUSINESS, CHECK_SCHEMA, CONSISTENCY, DISTRIBUTION, NO_RECORDS, as_check, details, name, sample_list, text,
 )
 
 # Null shares (percent) in key columns: reported above the first, an error from the second on.
@@ -28,45 +28,52 @@ class FieldRule:
     passed_message: str = "Student ages are consistent with grade levels"
 
 
+def _null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: ``total`` and the nulls of column i in ``n<i>``."""
+    nulls = [F.expr(f"count_if({name(c)} is null) as n{i}") for i, c in enumerate(columns)]
+    return df.agg(F.expr("count(1) as total"), *nulls)
+
+
 def null_rates(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """``(table_name, field, total_records, null_count, null_percentage)``, all columns from one aggregate."""
-    nulls = [F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(f"n{i}") for i, c in enumerate(columns)]
-    row = df.agg(F.count(F.lit(1)).alias("total"), *nulls)
-    fields = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"n{i}").alias("nulls")) for i, c in enumerate(columns)])
-    share = F.when(F.col("total") > 0, 100.0 * F.col("f.nulls") / F.col("total")).otherwise(F.lit(0.0))
-    return row.select("total", F.explode(fields).alias("f")).select(
-        F.lit(table).alias("table_name"), "f.field", F.col("total").alias("total_records"),
-        F.col("f.nulls").alias("null_count"), share.alias("null_percentage"),
+    fields = ", ".join(f"struct({text(c)} as field, n{i} as nulls)" for i, c in enumerate(columns))
+    return _null_counts(df, columns).selectExpr("total", f"explode(array({fields})) as f").selectExpr(
+        f"{text(table)} as table_name", "f.field", "total as total_records", "f.nulls as null_count",
+        "if(total > 0, 100D * f.nulls / total, 0D) as null_percentage",
     )
 
 
 def table_checks(table: str, df: DataFrame) -> DataFrame:
     """Empty-table check and null checks of all key columns from one aggregate over the table."""
     columns = key_columns(df)
-    nulls = [F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(f"n{i}") for i, c in enumerate(columns)]
-    row = df.agg(F.count(F.lit(1)).alias("total"), *nulls)
-    fields = [f.name for f in CHECK_SCHEMA.fields]
-
-    def check(failed, *values):
-        return F.when(failed, F.struct(*[v.alias(n) for n, v in zip(fields, values)]))
 
-    empty = check(
-        F.col("total") == 0, F.lit(DISTRIBUTION), F.lit(f"Table Population: {table}"), F.lit(False),
-        F.lit(f"Table {table} is empty"), F.lit("WARNING"), F.lit(0).cast("bigint"), no_records(), details(),
-    )
-    checks = [empty]
+    def check(failed: str, values: list[str]) -> str:
+        cells = ", ".join(f"{v} as {f.name}" for f, v in zip(CHECK_SCHEMA.fields, values))
+        return f"if({failed}, struct({cells}), null)"
+
+    checks = [
+        check(
+            "total = 0",
+            [
+                str(DISTRIBUTION), text(f"Table Population: {table}"), "false", text(f"Table {table} is empty"),
+                "'WARNING'", "0L", NO_RECORDS, details(),
+            ],
+        )
+    ]
     for i, column in enumerate(columns):
-        count = F.col(f"n{i}")
-        percent = 100.0 * count / F.greatest(F.col("total"), F.lit(1))
+        percent = f"(100D * n{i} / greatest(total, 1))"
         checks.append(
             check(
-                percent > NULL_WARNING, F.lit(CONSISTENCY), F.lit(f"Null Values in Critical Field: {table}.{column}"),
-                F.lit(False), F.format_string("%.2f%% null values in critical field", percent),
-                F.when(percent < NULL_ERROR, F.lit("WARNING")).otherwise(F.lit("ERROR")), count, no_records(),
-                details(null_count=count, total_records=F.col("total"), null_percentage=percent),
+                f"{percent} > {NULL_WARNING}",
+                [
+                    str(CONSISTENCY), text(f"Null Values in Critical Field: {table}.{column}"), "false",
+                    f"format_string('%.2f%% null values in critical field', {percent})",
+                    f"if({percent} < {NULL_ERROR}, 'WARNING', 'ERROR')", f"n{i}", NO_RECORDS,
+                    details(null_count=f"n{i}", total_records="total", null_percentage=percent),
+                ],
             )
         )
-    return row.select(F.explode(F.array_compact(F.array(*checks))).alias("c")).select("c.*")
+    return _null_counts(df, columns).selectExpr(f"inline(array_compact(array({', '.join(checks)})))")
 
 
 def duplicate_key_counts(df: DataFrame, key: str) -> DataFrame:
@@ -76,17 +83,12 @@ def duplicate_key_counts(df: DataFrame, key: str) -> DataFrame:
 
 def uniqueness_check(table: str, df: DataFrame, key: str) -> DataFrame:
     repeated = duplicate_key_counts(df, key)
-    summary = repeated.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("values"))
-    unique = F.col("values") == 0
-    message = F.when(unique, F.lit("All primary key values are unique")).otherwise(
-        F.format_string("Found %d duplicate primary key values", "rows")
-    )
-    info = F.when(unique, details()).otherwise(
-        details(duplicate_count=F.col("rows"), unique_duplicates=F.col("values"))
-    )
-    name = f"Primary Key Uniqueness: {table}.{key}"
+    summary = repeated.agg(F.expr("coalesce(sum(n), 0) as rows"), F.expr("count(1) as values"))
     return as_check(
-        summary, CONSISTENCY, name, unique, message, F.lit("ERROR"), F.col("rows"), sample_list(repeated, key), info
+        summary, CONSISTENCY, text(f"Primary Key Uniqueness: {table}.{key}"), "`values` = 0",
+        "'All primary key values are unique'", "format_string('Found %d duplicate primary key values', `rows`)", "ERROR",
+        "`rows`", bad_details=details(duplicate_count="`rows`", unique_duplicates="`values`"),
+        affected=sample_list(repeated, key),
     )
 
 
@@ -95,15 +97,12 @@ def field_rule_checks(tables: dict[str, DataFrame], rules: list[FieldRule]) -> l
     for rule in rules:
         if rule.table not in tables or not set(rule.columns) <= set(tables[rule.table].columns):
             continue
-        summary = tables[rule.table].agg(
-            F.count(F.when(F.expr(rule.violation), F.lit(1))).alias("bad"), F.count(F.lit(1)).alias("total")
-        )
-        clean = F.col("bad") == 0
-        message = F.when(clean, F.lit(rule.passed_message)).otherwise(F.format_string(f"Found %d {rule.noun}", "bad"))
-        info = F.when(clean, details()).otherwise(
-            details(inconsistent_count=F.col("bad"), total_students=F.col("total"))
-        )
+        summary = tables[rule.table].agg(F.expr(f"count_if({rule.violation}) as bad"), F.expr("count(1) as total"))
         parts.append(
-            as_check(summary, BUSINESS, rule.check_name, clean, message, F.lit("WARNING"), F.col("bad"), None, info)
+            as_check(
+                summary, BUSINESS, text(rule.check_name), "bad = 0", text(rule.passed_message),
+                f"format_string({text(f'Found %d {rule.noun}')}, bad)", "WARNING", "bad",
+                bad_details=details(inconsistent_count="bad", total_students="total"),
+            )
         )
     return parts

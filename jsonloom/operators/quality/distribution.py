@@ -8,11 +8,12 @@ from pyspark.sql import types as T
 
 from jsonloom.functions.names import KEY_SUFFIX
 from jsonloom.operators.ordering import top_per_group
-from jsonloom.operators.quality.rows import DISTRIBUTION, as_check, details
+from jsonloom.operators.quality.rows import DISTRIBUTION, as_check, details, name, text
 
 # A column varies little when distinct / total is below the first and there are more rows than the second.
 LOW_RATIO, LOW_ROWS = 0.1, 20
 TOP_VALUES = 3
+_LOW = f"unique_ratio < {LOW_RATIO} and total_values > {LOW_ROWS}"
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -29,61 +30,58 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     into another.
     """
     cells = []
-    for i, name in enumerate(columns):
-        kind, value = df.schema[name].dataType, F.col(name)
-        whole = isinstance(kind, T.IntegralType)
-        real = isinstance(kind, (T.FloatType, T.DoubleType))
-        text = F.to_json(value) if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)) else value.cast("string")
+    for i, column in enumerate(columns):
+        kind, value = df.schema[column].dataType, name(column)
+        whole, real, shown = "null", "null", "null"
+        if isinstance(kind, T.IntegralType):
+            whole = value
+        elif isinstance(kind, (T.FloatType, T.DoubleType)):
+            real = f"{value} + 0D"  # turns -0.0 into 0.0
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            shown = f"to_json({value})"
+        else:
+            shown = value
         cells.append(
-            F.struct(
-                F.lit(i).alias("f"),
-                (value.cast("bigint") if whole else F.lit(None).cast("bigint")).alias("long_value"),
-                # adding zero turns -0.0 into 0.0
-                (value.cast("double") + 0.0 if real else F.lit(None).cast("double")).alias("double_value"),
-                (F.lit(None).cast("string") if whole or real else text).alias("text_value"),
-                value.isNull().alias("is_null"),
-            )
+            f"struct({i} as f, cast({whole} as bigint) as long_value, cast({real} as double) as double_value,"
+            f" cast({shown} as string) as text_value, {value} is null as is_null)"
         )
-    melted = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
-    counted = melted.groupBy("f", "long_value", "double_value", "text_value", "is_null").agg(
-        F.count(F.lit(1)).alias("n")
+    melted = df.selectExpr(f"inline(array({', '.join(cells)}))")
+    counted = melted.groupBy("f", "long_value", "double_value", "text_value", "is_null").agg(F.expr("count(1) as n"))
+    names = ", ".join(text(c) for c in columns)
+    return counted.selectExpr(
+        f"get(array({names}), f) as field", "long_value", "double_value", "text_value", "is_null", "n"
     )
-    names = F.array(*[F.lit(c) for c in columns])
-    return counted.withColumn("field", F.get(names, F.col("f"))).drop("f")
 
 
-def _shown():
-    return F.coalesce(F.col("long_value").cast("string"), F.col("double_value").cast("string"), F.col("text_value"))
+_SHOWN = "coalesce(cast(long_value as string), cast(double_value as string), text_value)"
 
 
 def top_values(df: DataFrame, columns: list[str], k: int = TOP_VALUES) -> DataFrame:
     """The ``k`` most frequent non-null values per column, ties by value."""
-    counts = value_counts(df, columns).where(~F.col("is_null"))
+    counts = value_counts(df, columns).where("not is_null")
     order = [F.col("n").desc(), F.col("long_value"), F.col("double_value"), F.col("text_value")]
-    return top_per_group(counts, ["field"], order, k).select("field", "long_value", "double_value", "text_value", "n")
+    return top_per_group(counts, ["field"], order, k).drop("is_null")
 
 
 def variation(df: DataFrame, columns: list[str], table: str) -> DataFrame:
     """Distinct and total non-null values per column: ``(table_name, field, unique_values, total_values, unique_ratio, a_value)``."""
-    counts = value_counts(df, columns).where(~F.col("is_null"))
-    return counts.groupBy("field").agg(
-        F.count(F.lit(1)).alias("unique_values"), F.sum("n").alias("total_values"), F.min(_shown()).alias("a_value")
-    ).select(
-        F.lit(table).alias("table_name"), "field", "unique_values", "total_values",
-        (F.col("unique_values") / F.col("total_values")).alias("unique_ratio"), "a_value",
+    counts = value_counts(df, columns).where("not is_null").groupBy("field").agg(
+        F.expr("count(1) as unique_values"), F.expr("sum(n) as total_values"), F.expr(f"min({_SHOWN}) as a_value")
+    )
+    return counts.selectExpr(
+        f"{text(table)} as table_name", "field", "unique_values", "total_values",
+        "unique_values / total_values as unique_ratio", "a_value",
     )
 
 
 def constant_columns(df: DataFrame, columns: list[str], table: str) -> DataFrame:
-    return variation(df, columns, table).where("unique_values = 1").select(
-        "table_name", "field", F.col("a_value").alias("constant_value"), "total_values"
+    return variation(df, columns, table).where("unique_values = 1").selectExpr(
+        "table_name", "field", "a_value as constant_value", "total_values"
     )
 
 
 def low_variation(df: DataFrame, columns: list[str], table: str) -> DataFrame:
-    return variation(df, columns, table).where(
-        (F.col("unique_values") > 1) & (F.col("unique_ratio") < LOW_RATIO) & (F.col("total_values") > LOW_ROWS)
-    ).drop("a_value")
+    return variation(df, columns, table).where(f"unique_values > 1 and {_LOW}").drop("a_value")
 
 
 def distribution_checks(table: str, df: DataFrame) -> DataFrame | None:
@@ -91,29 +89,21 @@ def distribution_checks(table: str, df: DataFrame) -> DataFrame | None:
     columns = numeric_columns(df)
     if not columns:
         return None
-    facts = variation(df, columns, table)
-    order = [F.col("n").desc(), F.col("long_value"), F.col("double_value")]
-    ranked = top_per_group(value_counts(df, columns).where(~F.col("is_null")), ["field"], order, TOP_VALUES)
-    common = ranked.groupBy("field").agg(
-        F.to_json(
-            F.map_from_entries(
-                F.transform(
-                    F.array_sort(
-                        F.collect_list(F.struct((-F.col("n")).alias("r"), "long_value", "double_value", _shown().alias("v"), "n"))
-                    ),
-                    lambda e: F.struct(e["v"], e["n"]),
-                )
-            )
-        ).alias("common")
+    facts = variation(df, columns, table).where(f"unique_values = 1 or ({_LOW})")
+    ranked = top_values(df, columns).selectExpr(
+        "field", f"struct(-n as rank, long_value, double_value, {_SHOWN} as v, n) as e"
     )
-    constant = F.col("unique_values") == 1
-    low = (F.col("unique_ratio") < LOW_RATIO) & (F.col("total_values") > LOW_ROWS)
-    found = facts.where(constant | low).join(common, "field", "left")
-    name = F.concat(F.lit(f"Data Variation: {table}."), "field", F.when(constant, F.lit("")).otherwise(F.lit(" (low variation)")))
-    message = F.when(constant, F.lit("Column has no variation (all values identical)")).otherwise(
-        F.format_string("Column has very low variation (%d/%d unique)", "unique_values", "total_values")
+    common = ranked.groupBy("field").agg(
+        F.expr("to_json(map_from_entries(transform(array_sort(collect_list(e)), e -> struct(e.v, e.n)))) as common")
     )
-    info = F.when(constant, details(constant_value=F.col("a_value"))).otherwise(
-        details(unique_ratio=F.col("unique_ratio"), most_common_values=F.col("common"))
+    found = facts.join(common, "field", "left")
+    constant = "unique_values = 1"
+    return as_check(
+        found, DISTRIBUTION,
+        f"concat({text(f'Data Variation: {table}.')}, field, if({constant}, '', ' (low variation)'))", "false", "''",
+        f"if({constant}, 'Column has no variation (all values identical)',"
+        " format_string('Column has very low variation (%d/%d unique)', unique_values, total_values))",
+        "WARNING",
+        bad_details=f"if({constant}, {details(constant_value='a_value')},"
+        f" {details(unique_ratio='unique_ratio', most_common_values='common')})",
     )
-    return as_check(found, DISTRIBUTION, name, F.lit(False), message, F.lit("WARNING"), info=info)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jsonloom.functions.names import key_columns
-from jsonloom.operators.quality.rows import INTEGRITY, SAMPLE, as_check, details, literal_checks, sample_list
+from jsonloom.operators.quality.rows import INTEGRITY, SAMPLE, as_check, details, literal_checks, sample_list, text
 from jsonloom.operators.relate import comparable, reference_counts
 
 
@@ -62,35 +62,31 @@ def _reference_check(spark, reference: Reference, tables, keys) -> list[DataFram
     child, parent = tables[reference.from_table], tables[reference.to_table]
     foreign_key, primary_key = reference.foreign_key, _target_key(reference, tables, keys)
     per_key = reference_counts(child, foreign_key, parent, primary_key)
-    orphan = F.col("fk").isNotNull() & F.col("pk").isNull()
-    summary = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.count("fk").alias("references"),
-        F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).alias("orphans"),
-        F.count("pk").alias("parents"),
+    summary = per_key.selectExpr("n", "fk", "pk", "if(fk is not null and pk is null, n, 0) as lost").agg(
+        F.expr("coalesce(sum(n), 0) as total"), F.expr("count(fk) as refs"),
+        F.expr("coalesce(sum(lost), 0) as orphans"), F.expr("count(pk) as parents"),
     )
-    orphan_keys = per_key.where(orphan)
-    values = sample_list(orphan_keys, "fk")
+    orphan_keys = per_key.where("fk is not null and pk is null")
+    summary = summary.withColumn("values_", sample_list(orphan_keys, "fk"))
     ids = next((c for c in ("id", f"{reference.from_table}_id") if c in child.columns), None)
     affected = None
     if ids:
         few = orphan_keys.orderBy("fk").limit(SAMPLE).select("fk")  # at most SAMPLE keys to broadcast
         rows = child.join(F.broadcast(few), F.col(foreign_key) == F.col("fk"), "left_semi")
         affected = sample_list(rows, ids)
-    clean = F.col("orphans") == 0
-    name = f"Referential Integrity: {reference.from_table}.{foreign_key} → {reference.to_table}.{primary_key}"
-    info = F.when(
-        clean, details(total_references=F.col("total"), unique_references=F.col("references"))
-    ).otherwise(
-        details(
-            orphaned_count=F.col("orphans"), orphaned_values=F.to_json(values),
-            total_foreign_keys=F.col("total"), total_primary_keys=F.col("parents"),
+    label = f"Referential Integrity: {reference.from_table}.{foreign_key} → {reference.to_table}.{primary_key}"
+    parts = [
+        as_check(
+            summary, INTEGRITY, text(label), "orphans = 0", "'All foreign key references are valid'",
+            "format_string('Found %d orphaned foreign key references', orphans)", "ERROR", "orphans",
+            details(total_references="total", unique_references="refs"),
+            details(
+                orphaned_count="orphans", orphaned_values="to_json(values_)",
+                total_foreign_keys="total", total_primary_keys="parents",
+            ),
+            affected,
         )
-    )
-    message = F.when(clean, F.lit("All foreign key references are valid")).otherwise(
-        F.format_string("Found %d orphaned foreign key references", "orphans")
-    )
-    parts = [as_check(summary, INTEGRITY, name, clean, message, F.lit("ERROR"), F.col("orphans"), affected, info)]
+    ]
     left, right = child.schema[foreign_key].dataType, parent.schema[primary_key].dataType
     if not comparable(left, right):
         note = f"{left.simpleString()} and {right.simpleString()} keys never match"

@@ -1,4 +1,8 @@
-"""The check row and the pieces checks are made of."""
+"""The check row and the pieces checks are made of.
+
+Checks are written as SQL expressions: one string per column instead of a tree of Column objects, which
+keeps building a suite of dozens of checks cheap.
+"""
 
 from __future__ import annotations
 
@@ -27,6 +31,18 @@ INTEGRITY, CAPACITY, CONSISTENCY, BUSINESS, DISTRIBUTION = range(1, 6)
 # A check row names this many affected records; the operators return all of them.
 SAMPLE = 10
 
+NO_RECORDS = "cast(array() as array<string>)"
+
+
+def text(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def name(column: str) -> str:
+    """SQL column name."""
+    return "`" + column.replace("`", "``") + "`"
+
 
 def literal_checks(spark: SparkSession, rows: list[tuple[int, str, str, str]]) -> DataFrame:
     """Failed checks known from the schema alone: ``(group, name, message, severity)``."""
@@ -34,36 +50,32 @@ def literal_checks(spark: SparkSession, rows: list[tuple[int, str, str, str]]) -
     return spark.createDataFrame(data, CHECK_SCHEMA)
 
 
-def details(**values: Column) -> Column:
-    pairs = [part for name, value in values.items() for part in (F.lit(name), value.cast("string"))]
-    return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
-
-
-def no_records() -> Column:
-    return F.array().cast("array<string>")
+def details(**values: str) -> str:
+    """SQL map of details, one expression per key."""
+    pairs = ", ".join(f"{text(k)}, cast({v} as string)" for k, v in values.items())
+    return f"map({pairs})" if values else "cast(map() as map<string,string>)"
 
 
-def sample_list(rows: DataFrame, value: str, order: list[Column] | None = None) -> Column:
-    """The first few values as an array, as a scalar subquery over ``rows``."""
-    picked = rows.orderBy(*(order or [F.col(value)])).limit(SAMPLE)
-    numbered = picked.select(F.monotonically_increasing_id().alias("p"), F.col(value).cast("string").alias("v"))
-    return numbered.agg(F.array_sort(F.collect_list(F.struct("p", "v")))["v"].alias("s")).scalar()
+def sample_list(rows: DataFrame, value: str, order: list[str] | None = None) -> Column:
+    """The first few values as an array of text, as a scalar subquery over ``rows``; ``order`` are SQL sort terms."""
+    picked = rows.orderBy(*[F.expr(o) if " " not in o else F.expr(o.split()[0]).desc() for o in order or [name(value)]])
+    numbered = picked.limit(SAMPLE).selectExpr("monotonically_increasing_id() as p", f"cast({name(value)} as string) as v")
+    return numbered.selectExpr("array_sort(collect_list(struct(p, v))).v as s").scalar()
 
 
 def as_check(
-    summary: DataFrame, group: int, name: Column | str, passed: Column, message: Column, severity: Column,
-    affected_count: Column | None = None, affected: Column | None = None, info: Column | None = None,
+    summary: DataFrame, group: int, check_name: str, passed: str, good: str, bad: str, severity: str,
+    affected_count: str = "0", good_details: str = details(), bad_details: str = details(),
+    affected: Column | None = None,
 ) -> DataFrame:
-    """Project a summary row to a check row. ``severity`` applies when the check fails."""
-    return summary.select(
-        F.lit(group).alias("check_group"),
-        (F.lit(name) if isinstance(name, str) else name).alias("check_name"),
-        passed.alias("passed"),
-        message.alias("message"),
-        F.when(passed, F.lit("INFO")).otherwise(severity).alias("severity"),
-        (affected_count if affected_count is not None else F.lit(0)).cast("bigint").alias("affected_count"),
-        F.coalesce(affected if affected is not None else no_records(), no_records()).alias("affected_records"),
-        (info if info is not None else details()).alias("details"),
+    """Project a summary row to a check row; all texts but ``severity`` are SQL expressions."""
+    row = summary if affected is None else summary.withColumn("affected_", affected)
+    return row.selectExpr(
+        f"{group} as check_group", f"{check_name} as check_name", f"{passed} as passed",
+        f"if({passed}, {good}, {bad}) as message", f"if({passed}, 'INFO', '{severity}') as severity",
+        f"cast({affected_count} as bigint) as affected_count",
+        f"{NO_RECORDS if affected is None else f'coalesce(affected_, {NO_RECORDS})'} as affected_records",
+        f"if({passed}, {good_details}, {bad_details}) as details",
     )
 
 

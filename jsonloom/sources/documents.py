@@ -26,19 +26,22 @@ def _reader(source, lines: bool, glob: str, recursive: bool):
     )
 
 
-def _positioned(raw: DataFrame, lines: bool) -> DataFrame:
+def _located(raw: DataFrame) -> DataFrame:
     stamp = F.coalesce(name_timestamp(F.col("_metadata.file_path")), F.col("_metadata.file_modification_time"))
-    # Lines of one block stay together and in order, so (block, id) orders the lines of a file.
-    line_id = F.monotonically_increasing_id() if lines else F.lit(0).cast("bigint")
     return raw.select(
         F.unix_micros(stamp).alias("file_order"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").cast("bigint").alias("block_start"),
-        line_id.alias("line_id"),
         F.col("value").alias("text"),
     )
 
 
+def number_lines(docs: DataFrame, lines: bool = True) -> DataFrame:
+    """Add ``line_id``. Lines of one block stay together and in order, so (block, id) orders the lines of a file."""
+    line_id = F.monotonically_increasing_id() if lines else F.lit(0).cast("bigint")
+    return docs.withColumn("line_id", line_id)
+
+
 def read_documents(
     spark: SparkSession, path: str | list[str], lines: bool = False, glob: str = "*.json", recursive: bool = False
 ) -> DataFrame:
@@ -50,7 +53,7 @@ def read_documents(
     raw = _reader(spark.read, lines, glob, recursive).load(path)
     if lines:
         raw = raw.where(F.length(F.trim("value")) > 0)
-    return _positioned(raw, lines)
+    return number_lines(_located(raw), lines)
 
 
 def stream_documents(
@@ -62,7 +65,10 @@ def stream_documents(
     archive_dir: str | None = None,
     delete_source: bool = False,
 ) -> DataFrame:
-    """Unbounded form of :func:`read_documents`; every file is picked up once."""
+    """Unbounded form of :func:`read_documents`; every file is picked up once.
+
+    Lines are numbered per micro-batch, with :func:`number_lines`.
+    """
     reader = _reader(spark.readStream, lines, glob, False)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -70,7 +76,7 @@ def stream_documents(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     elif delete_source:
         reader = reader.option("cleanSource", "delete")
-    return _positioned(reader.load(path), lines)
+    return _located(reader.load(path))
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> DataFrame:

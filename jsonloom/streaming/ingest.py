@@ -11,7 +11,7 @@ from jsonloom.operators.contracts import Contract
 from jsonloom.operators.quality.suite import Rules, count_checks, run_checks
 from jsonloom.plans.ingest import IngestOptions, ingest_contracts, ingest_documents, initialize, stored_catalog
 from jsonloom.plans.validate import recount
-from jsonloom.sources.documents import sample_documents, stream_documents
+from jsonloom.sources.documents import number_lines, sample_documents, stream_documents
 from jsonloom.sources.reports import schema_documents, schema_markdown, write_text
 from jsonloom.sources.store import TableStore
 from jsonloom.operators.shred import shred
@@ -54,6 +54,7 @@ def start_ingest(
 
     def merge(frame: DataFrame, epoch: int) -> None:
         batch_id = store_batch_id(first_batch, epoch)
+        frame = number_lines(frame, lines)
         if contracts is not None:
             ingest_contracts(store, frame, batch_id, contracts)
         else:
