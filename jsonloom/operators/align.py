@@ -49,11 +49,11 @@ def _fit(value, own: T.DataType, wanted: T.DataType):
     return value.try_cast(wanted)
 
 
-def common_schema(frames: list[DataFrame]) -> T.StructType:
+def common_schema(schemas: list[T.StructType]) -> T.StructType:
     """All columns in first-seen order; equal types stay, whole and fractional numbers meet in double, others in text."""
     types: dict[str, T.DataType] = {}
-    for frame in frames:
-        for field in frame.schema.fields:
+    for schema in schemas:
+        for field in schema.fields:
             seen = types.get(field.name)
             if seen is None or isinstance(seen, T.NullType):
                 types[field.name] = field.dataType
@@ -70,6 +70,6 @@ def common_schema(frames: list[DataFrame]) -> T.StructType:
 
 def union_batches(frames: list[DataFrame], schema: T.StructType | None = None) -> DataFrame:
     """Union by name after every batch has been brought to one schema."""
-    schema = schema or common_schema(frames)
+    schema = schema or common_schema([f.schema for f in frames])
     aligned = [align_columns(f, schema) for f in frames]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aligned)

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-MAX_SEGMENTS = 512
+# Rows a segment should hold, and the most segments a plan is cut into.
+ROWS_PER_SEGMENT = 250_000
+MAX_SEGMENTS = 2048
 SAMPLES_PER_SEGMENT = 32
 
 
@@ -28,37 +30,41 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int)
 
 
 def split_points(df: DataFrame, columns: list[str], segments: int | None = None) -> list[tuple]:
-    """Sorted split points that cut ``df`` into about equal ranges of ``columns``.
+    """Sorted split points (as text) that cut ``df`` into about equal ranges of ``columns``.
 
     They come from the rows with the smallest hashes, a uniform sample of bounded size, and only steer
-    the partitioning. Results do not depend on them.
+    the partitioning. Results do not depend on them. Without ``segments`` the number follows from the row count.
     """
-    spark = df.sparkSession
-    n = segments or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_SEGMENTS)
-    wanted = SAMPLES_PER_SEGMENT * n
-    keys = df.select(*columns)
-    sample = keys.orderBy(F.xxhash64(*columns), *columns).limit(wanted).orderBy(*columns).collect()
-    if n < 2 or (segments is None and len(sample) < wanted):
+    n = segments or min(df.count() // ROWS_PER_SEGMENT, MAX_SEGMENTS)
+    if n < 2:
         return []  # small input: one segment
-    points = [tuple(sample[len(sample) * i // n]) for i in range(1, n)] if sample else []
-    return sorted(set(points), key=points.index)
+    sample = df.select(*columns).orderBy(F.xxhash64(*columns), *columns).limit(SAMPLES_PER_SEGMENT * n)
+    texts = [f"cast({_quoted(c)} as string)" for c in columns]
+    rows = [tuple(r) for r in sample.orderBy(*columns).selectExpr(*texts).collect()]
+    points = [rows[len(rows) * i // n] for i in range(1, n)] if rows else []
+    return list(dict.fromkeys(points))
+
+
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
 
 def segment_of(df: DataFrame, columns: list[str], points: list[tuple]) -> Column:
     """Index of the range a row falls in, by binary search over the split points (nulls first)."""
-    types = [df.schema[c].dataType for c in columns]
-    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)])
+    types = [df.schema[c].dataType.simpleString() for c in columns]
+    key = "struct(" + ", ".join(f"{_quoted(c)} as k{i}" for i, c in enumerate(columns)) + ")"
 
-    def literal(point):
-        return F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(point, types))])
+    def literal(point) -> str:
+        values = ["null" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in point]
+        return "struct(" + ", ".join(f"cast({v} as {t}) as k{i}" for i, (v, t) in enumerate(zip(values, types))) + ")"
 
-    def search(low: int, high: int) -> Column:
+    def search(low: int, high: int) -> str:
         if low == high:
-            return F.lit(low)
+            return str(low)
         middle = (low + high) // 2
-        return F.when(key < literal(points[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+        return f"if({key} < {literal(points[middle])}, {search(low, middle)}, {search(middle + 1, high)})"
 
-    return search(0, len(points))
+    return F.expr(search(0, len(points)))
 
 
 def running_totals(
@@ -76,14 +82,10 @@ def running_totals_at(
     df: DataFrame, key: list[str], order: list[str], totals: dict[str, Column], points: list[tuple]
 ) -> DataFrame:
     """:func:`running_totals` with given split points."""
-    before = Window.partitionBy("_segment", *key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    cut = df.withColumn("_segment", segment_of(df, key + order, points))
-    for name, value in totals.items():
-        cut = cut.withColumn(f"_in_{name}", value)
-    local = cut
-    for name in totals:
-        local = local.withColumn(name, F.coalesce(F.sum(f"_in_{name}").over(before), F.lit(0)))
     inputs = [f"_in_{name}" for name in totals]
+    cut = df.withColumns({"_segment": segment_of(df, key + order, points)} | dict(zip(inputs, totals.values())))
+    before = Window.partitionBy("_segment", *key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = cut.withColumns({n: F.coalesce(F.sum(i).over(before), F.lit(0)) for n, i in zip(totals, inputs)})
     if not points:
         return local.drop("_segment", *inputs)
 
@@ -91,8 +93,10 @@ def running_totals_at(
     # at most one row per segment and such key: fewer than 2 * MAX_SEGMENTS rows in all.
     crossing = cut
     if key:
-        schema = df.select(*[F.col(c).alias(f"_{c}") for c in key]).schema
-        holders = df.sparkSession.createDataFrame(sorted({p[: len(key)] for p in points}, key=repr), schema)
+        texts = [f"_{c}" for c in key]
+        holders = df.sparkSession.createDataFrame(
+            sorted({p[: len(key)] for p in points}, key=repr), ", ".join(f"{_quoted(t)} string" for t in texts)
+        ).select(*[F.col(t).cast(df.schema[c].dataType).alias(t) for t, c in zip(texts, key)])
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
         crossing = cut.join(F.broadcast(holders), same, "left_semi")
     sums = crossing.groupBy("_segment", *key).agg(*[F.sum(i).alias(i) for i in inputs])
@@ -106,9 +110,8 @@ def running_totals_at(
     )
     on = [F.col("_segment") == F.col("_carry_segment")] + [F.col(c).eqNullSafe(F.col(f"_carry_{c}")) for c in key]
     out = local.join(F.broadcast(carried), on, "left")
-    for name in totals:
-        out = out.withColumn(name, F.col(name) + F.coalesce(F.col(f"_carry_in_{name}"), F.lit(0)))
-    return out.select(*df.columns, *totals)
+    carried_on = [(F.col(n) + F.coalesce(F.col(f"_carry_in_{n}"), F.lit(0))).alias(n) for n in totals]
+    return out.select(*df.columns, *carried_on)
 
 
 def sequential_ids(

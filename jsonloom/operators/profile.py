@@ -23,48 +23,63 @@ def table_facts(records: DataFrame) -> DataFrame:
     )
 
 
-def field_facts(records: DataFrame) -> DataFrame:
-    """Mergeable facts per (table, field).
+SAMPLES_TYPE = "array<struct<at: struct<at: struct<file_order: bigint, path: string, block_start: bigint, line_id: bigint, table_pos: int, rec_pos: int>, pos: int>, sample: string>>"
 
-    Type sets are kept as boolean maxima: they combine before the shuffle like any other
-    aggregate, and their size does not depend on the data.
-    """
+
+def _values(records: DataFrame) -> DataFrame:
+    """One row per field of every record: ``(table, field, at, value, type)``."""
     fields = records.select(
         "table", F.struct(*RECORD_POSITION).alias("at"), F.posexplode_outer(record_fields(F.col("record"))).alias("pos", "f")
     ).where(F.col("f").isNotNull())
-    values = fields.select(
+    return fields.select(
         "table",
         F.col("f.key").alias("field"),
         F.struct("at", "pos").alias("at"),
         F.col("f.value").alias("value"),
         type_name(F.col("f.value")).alias("type"),
     )
-    text = F.try_variant_get("value", "$", "string")
+
+
+def field_facts(records: DataFrame) -> DataFrame:
+    """Mergeable facts per (table, field).
+
+    Type sets are kept as boolean maxima: they combine before the shuffle like any other
+    aggregate, and their size does not depend on the data.
+    """
     elements = F.when(
         F.col("type") == "list",
         F.array_distinct(F.transform(F.try_variant_get("value", "$", "array<variant>"), type_name)),
     )
-    facts = values.withColumn("elements", elements).groupBy("table", "field").agg(
-        *[F.max(F.col("type") == t).alias(f"has_{t}") for t in (*SCALARS, "list")],
-        *[F.max(F.array_contains("elements", t)).alias(f"of_{t}") for t in ELEMENTS],
-        F.max(F.col("type").isNull()).alias("nullable"),
-        F.max(F.when(F.col("type") == "str", F.length(text))).alias("max_length"),
-        F.count(F.lit(1)).alias("present_count"),
-        F.count(F.when(F.col("type").isNull(), F.lit(1))).alias("null_count"),
-        F.min("at").alias("first_seen"),
+    values = _values(records).withColumns(
+        {"elements": elements, "text": F.when(F.col("type") == "str", F.try_variant_get("value", "$", "string"))}
     )
-    shown = F.when(F.col("type") == "str", text).otherwise(F.to_json("value"))
-    samples = (
-        top_per_group(
-            values.where(F.col("type").isNotNull()).select("table", "field", "at", shown.alias("sample")),
-            ["table", "field"], [F.col("at")], SAMPLES,
-        )
-        .groupBy("table", "field")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "sample"))).alias("samples"))
+    return values.groupBy("table", "field").agg(
+        *[F.expr(f"max(type = '{t}') as has_{t}") for t in (*SCALARS, "list")],
+        *[F.expr(f"max(array_contains(elements, '{t}')) as of_{t}") for t in ELEMENTS],
+        F.expr("max(type is null) as nullable"),
+        F.expr("max(length(text)) as max_length"),
+        F.expr("count(1) as present_count"),
+        F.expr("count_if(type is null) as null_count"),
+        F.expr("min(at) as first_seen"),
     )
-    return facts.join(samples, ["table", "field"], "left").withColumn(
-        "samples", F.coalesce("samples", F.array().cast(samples.schema["samples"].dataType))
+
+
+def field_samples(records: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """The first values of every field (of the fields in ``wanted``, a small list of (table, field), if given)."""
+    values = _values(records).where("type is not null")
+    if wanted is not None:
+        values = values.join(F.broadcast(wanted), ["table", "field"], "left_semi")
+    shown = F.when(F.col("type") == "str", F.try_variant_get("value", "$", "string")).otherwise(F.to_json("value"))
+    first = top_per_group(
+        values.select("table", "field", "at", shown.alias("sample")), ["table", "field"], [F.col("at")], SAMPLES
     )
+    return first.groupBy("table", "field").agg(F.expr("array_sort(collect_list(struct(at, sample))) as samples"))
+
+
+def with_samples(facts: DataFrame, samples: DataFrame) -> DataFrame:
+    """Facts with the samples of their fields, empty where there are none."""
+    joined = facts.join(samples, ["table", "field"], "left")
+    return joined.withColumn("samples", F.coalesce("samples", F.array().cast(SAMPLES_TYPE)))
 
 
 def merge_facts(facts: DataFrame) -> DataFrame:

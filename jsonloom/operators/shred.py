@@ -124,17 +124,32 @@ def typed_records(
     parsed = records.withColumn("_raw", F.from_json(text, raw_schema))
     columns, lost = [], []
     for field in schema.fields:
-        raw = F.col("_raw").getField(field.name)
-        typed = cast_text(raw, field.dataType)
-        columns.append(typed.alias(field.name))
-        lost.append(F.when(raw.isNotNull() & typed.isNull(), F.lit(field.name)))
+        raw = f"_raw.`{field.name}`"
+        typed = cast_sql(raw, field.dataType)
+        columns.append(f"{typed} as `{field.name}`")
+        if not isinstance(field.dataType, T.StringType):
+            lost.append(f"if({raw} is not null and {typed} is null, '{field.name}', null)")
     kept = keep if keep is not None else [c for c in records.columns if c not in (text, *schema.fieldNames())]
-    lost_fields = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
-    return parsed.select(*kept, *columns, lost_fields.alias("lost_fields"))
+    lost_fields = f"array_compact(cast(array({', '.join(lost)}) as array<string>)) as lost_fields"
+    return parsed.selectExpr(*[f"`{c}`" for c in kept], *columns, lost_fields)
+
+
+def cast_sql(raw: str, data_type: T.DataType) -> str:
+    """SQL for the text of a JSON value as ``data_type``, null when it does not fit."""
+    name = data_type.simpleString()
+    if isinstance(data_type, T.StringType):
+        return raw
+    if isinstance(data_type, (T.ArrayType, T.StructType, T.MapType)):
+        return f"from_json({raw}, '{name}')"
+    if isinstance(data_type, T.IntegralType):
+        # "3.0" is a whole number, "3.5" is not
+        whole = f"try_cast({raw} as decimal(38,10))"
+        return f"coalesce(try_cast({raw} as {name}), if({whole} = floor({whole}), try_cast({whole} as {name}), null))"
+    return f"try_cast({raw} as {name})"
 
 
 def cast_text(raw, data_type: T.DataType):
-    """Text of a JSON value as ``data_type``, null when it does not fit."""
+    """:func:`cast_sql` for a column, also one inside a lambda."""
     if isinstance(data_type, T.StringType):
         return raw
     if isinstance(data_type, (T.ArrayType, T.StructType, T.MapType)):

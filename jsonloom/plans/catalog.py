@@ -72,9 +72,24 @@ class Catalog:
         return Rules(references=references_of(self.relationships), primary_keys=self.keys())
 
 
-def discover(records: DataFrame, mode: str = "default", plurals: str = "basic") -> Catalog:
-    """Profile shredded records. ``mode="reference"`` and ``plurals`` select the type and naming rules."""
-    return Catalog(held(P.table_facts(records)), held(P.field_facts(records)), mode, plurals)
+def discover(
+    records: DataFrame, mode: str = "default", plurals: str = "basic", known: Catalog | None = None
+) -> Catalog:
+    """Profile shredded records. ``mode="reference"`` and ``plurals`` select the type and naming rules.
+
+    With ``known``, the catalog so far, sample values are looked up only for fields that lack them.
+    """
+    tables, facts = held(P.table_facts(records)), held(P.field_facts(records))
+    if known is None:
+        samples = P.field_samples(records)
+    else:
+        full = known.field_facts.where(F.size("samples") >= P.SAMPLES).select("table", "field")
+        wanted = held(facts.select("table", "field").join(full, ["table", "field"], "left_anti"))
+        if wanted.isEmpty():
+            wanted_samples = facts.select("table", "field", F.array().cast(P.SAMPLES_TYPE).alias("samples"))
+            return Catalog(tables, held(P.with_samples(facts, wanted_samples)), mode, plurals)
+        samples = P.field_samples(records, wanted)
+    return Catalog(tables, held(P.with_samples(facts, samples)), mode, plurals)
 
 
 def completeness(catalog: Catalog) -> DataFrame:

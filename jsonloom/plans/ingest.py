@@ -5,12 +5,14 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jsonloom.operators.contracts import Contract, check_documents, document_records
+from jsonloom.operators.quality.rows import text
 from jsonloom.operators.shred import QUARANTINE, RECORD_POSITION, shred, typed_records
 from jsonloom.plans.catalog import Catalog, discover
 from jsonloom.sources.documents import DOC_POSITION
@@ -77,7 +79,8 @@ def _staged(store: TableStore, records: DataFrame, batch_id: int) -> DataFrame:
 
 
 def _drop_staging(store: TableStore, batch_id: int) -> None:
-    store._fs().delete(store._path("_staging", str(batch_id)), True)
+    for name in (str(batch_id), f"{batch_id}_typed"):
+        store._fs().delete(store._path("_staging", name), True)
 
 
 def ingest_documents(
@@ -98,40 +101,47 @@ def ingest_documents(
     if options.frozen and before is not None:
         catalog = before
     else:
-        found = discover(records, options.mode, options.plurals)
+        found = discover(records, options.mode, options.plurals, before)
         catalog = before.merge(found) if before is not None else found
         save_catalog(batch, catalog)
     schemas, keys = catalog.schemas(), catalog.keys()
     present = {r[0] for r in staged.select("_table").distinct().collect()} - {QUARANTINE}
     known = sorted(present & set(schemas))
 
+    order = [f"_at_{c}" for c in RECORD_POSITION]
+
     def typed(table: str) -> DataFrame:
+        """Typed records, parsed once and kept as files for the merge and for the rejects."""
         rows = staged.where((F.col("_table") == table) & F.col("reason").isNull()).select(
             *[F.col(c).alias(f"_at_{c}") for c in RECORD_POSITION], "record"
         )
-        return typed_records(rows, schemas[table], keep=[f"_at_{c}" for c in RECORD_POSITION] + ["record"])
-
-    def load(table: str) -> None:
-        rows = typed(table).where(F.size("lost_fields") == 0).drop("lost_fields", "record")
-        key, order = keys.get(table), [f"_at_{c}" for c in RECORD_POSITION]
+        parsed = typed_records(rows, schemas[table], keep=[*order, "record"])
+        path = f"{store.root}/_staging/{batch_id}_typed/{known.index(table)}"
+        parsed.selectExpr(
+            *[c for c in parsed.columns if c not in ("record", "lost_fields")], "size(lost_fields) > 0 as _lost",
+            "if(size(lost_fields) > 0, record, null) as _record", "array_join(lost_fields, ', ') as _fields",
+        ).write.mode("overwrite").parquet(path)
+        return store.spark.read.parquet(path)
+
+    def load(table: str) -> DataFrame:
+        rows = typed(table)
+        good = rows.where("not _lost").drop("_lost", "_record", "_fields")
+        key = keys.get(table)
         stored_key = batch.entries[table].key if table in batch.entries else None
         if stored_key or (key and table not in batch.entries):
-            batch.upsert(table, rows, stored_key or [key], order, schemas[table])
+            batch.upsert(table, good, stored_key or [key], order, schemas[table])
         else:
-            batch.append(table, rows.drop(*order), schemas[table])
+            batch.append(table, good.drop(*order), schemas[table])
+        return rows.where("_lost").selectExpr(
+            *[f"_at_{c} as {c}" for c in RECORD_POSITION], f"{text(table)} as table",
+            "concat('value does not fit its type: ', _fields) as reason", "_record as record",
+        )
 
     with ThreadPoolExecutor(options.parallel_tables) as pool:
-        list(pool.map(load, known))
+        lost = list(pool.map(load, known))
 
     rejects = staged.where(F.col("reason").isNotNull()).select(*REJECT_COLUMNS)
-    for table in known:
-        lost = typed(table).where(F.size("lost_fields") > 0)
-        reason = F.concat(F.lit("value does not fit its type: "), F.array_join("lost_fields", ", "))
-        rejects = rejects.unionByName(
-            lost.select(*[F.col(f"_at_{c}").alias(c) for c in RECORD_POSITION], F.lit(table).alias("table"),
-                        reason.alias("reason"), "record")
-        )
-    batch.append(REJECTS, rejects)
+    batch.append(REJECTS, reduce(DataFrame.unionByName, lost, rejects))
     _count(batch, staged, started, sorted(present - set(schemas)))
     batch.commit()
     _drop_staging(store, batch_id)

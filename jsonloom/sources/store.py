@@ -172,9 +172,10 @@ class Batch:
     def _entry(self, table: str, df: DataFrame, key: list[str] | None, schema: T.StructType | None) -> TableEntry:
         self.create(table, schema or df.schema, key)
         entry = self.entries[table]
-        empty = self.store.spark.createDataFrame
-        frames = [empty([], entry.schema), empty([], schema or df.schema)]
-        entry.schema = schema if schema and set(entry.schema.fieldNames()) <= set(schema.fieldNames()) else common_schema(frames)
+        wanted = schema or df.schema
+        if schema is None or not set(entry.schema.fieldNames()) <= set(schema.fieldNames()):
+            wanted = common_schema([entry.schema, wanted])
+        entry.schema = wanted
         return entry
 
     def _folder(self, table: str) -> str:
@@ -204,10 +205,13 @@ class Batch:
         touched = {r[0] for r in align_columns(df.drop(*hidden), entry.schema).select(bucket).distinct().collect()}
         if not touched:
             return
-        stored = self.store._read_parts(table, entry, touched).withColumn("_new", F.lit(0))
-        both = stored.unionByName(incoming).withColumn(_BUCKET, bucket)
-        # one exchange on the bucket serves the merge and the layout of the files
-        merged = keep_last(both.repartition(_BUCKET), [_BUCKET, *key], ["_new"]).drop("_new")
+        if touched.isdisjoint(b for b, _ in entry.parts):
+            merged = incoming.withColumn(_BUCKET, bucket).repartition(_BUCKET).drop("_new")
+        else:
+            stored = self.store._read_parts(table, entry, touched).withColumn("_new", F.lit(0))
+            both = stored.unionByName(incoming).withColumn(_BUCKET, bucket)
+            # one exchange on the bucket serves the merge and the layout of the files
+            merged = keep_last(both.repartition(_BUCKET), [_BUCKET, *key], ["_new"]).drop("_new")
         merged.write.mode("overwrite").partitionBy(_BUCKET).parquet(self._folder(table))
         entry.parts = [p for p in entry.parts if p[0] not in touched] + [(b, self.id) for b in sorted(touched)]
         self._written(entry)
