@@ -69,7 +69,10 @@ def common_schema(schemas: list[T.StructType]) -> T.StructType:
 
 
 def union_batches(frames: list[DataFrame], schema: T.StructType | None = None) -> DataFrame:
-    """Union by name after every batch has been brought to one schema."""
-    schema = schema or common_schema([f.schema for f in frames])
-    aligned = [align_columns(f, schema) for f in frames]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aligned)
+    """Union by name after every batch has been brought to one schema.
+
+    The common schema holds every value; with a given ``schema`` the column ``lost_fields`` names those it cannot.
+    """
+    wanted = schema or common_schema([f.schema for f in frames])
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [align_columns(f, wanted) for f in frames])
+    return union.drop("lost_fields") if schema is None else union
