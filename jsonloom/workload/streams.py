@@ -16,7 +16,7 @@ from jsonloom.plans import ingest
 from jsonloom.plans.catalog import discover
 from jsonloom.plans.validate import recount
 from jsonloom.session import scratch_path
-from jsonloom.sources.documents import quarantine, read_documents
+from jsonloom.sources.documents import read_documents
 from jsonloom.sources.export import documents
 from jsonloom.sources.store import TableStore
 from jsonloom.streaming.ingest import QUALITY, check_each_batch, start_ingest
@@ -68,7 +68,7 @@ def _positions(side: str = "true") -> str:
 @query(f"with {_positions()} select *, greatest(0.0, 100.0 - duplicate_ids - 5 * orphaned_references - 3 * capacity_violations)::double as integrity_score from counted")
 def arrival_integrity_score(spark, folder):
     docs = read_documents(spark, event_documents(spark, folder), glob="*", recursive=True)
-    return score_issues(arrival_issues(shred(docs), SIGNUPS, quarantine(docs)))
+    return score_issues(arrival_issues(shred(docs, keep_rejects=True), SIGNUPS))
 
 
 def _comparison_sql() -> str:
@@ -98,7 +98,7 @@ def dataset_comparison(spark, folder):
             return documents(tables, "batch", order=["event_id"])
 
         docs = read_documents(spark, exported(spark, folder, label, build, files=True), glob="*", recursive=True)
-        return score_issues(arrival_issues(shred(docs), SIGNUPS, quarantine(docs)))
+        return score_issues(arrival_issues(shred(docs, keep_rejects=True), SIGNUPS))
 
     return compare_metrics(metrics("events-small", "value < 20"), metrics("events-large", "value >= 20"), METRICS)
 
