@@ -170,8 +170,8 @@ def table_totals(spark, folder):
 
 
 @query("""
-select c_mktsegment, round(eff, 4)::double as efficiency,
- round(25 + 0.4 * quality + case when errors = 0 then 20 else 0 end + 0.15 * eff, 4)::double as overall_score
+select c_mktsegment, round(eff, 8)::double as efficiency,
+ round(25 + 0.4 * quality + case when errors = 0 then 20 else 0 end + 0.15 * eff, 8)::double as overall_score
 from (select *, least(100.0, 0.3 * generated + 0.3 * processed + 0.4 * quality) as eff from
  (select c_mktsegment, count(*) / 100.0 as generated, count(*) / 50.0 as processed,
   100.0 - least(2.0 * count(*) filter (where c_acctbal < 0), 2.0 * count(*)) / (2.0 * count(*)) * 100 as quality,
@@ -186,5 +186,5 @@ def run_report(spark, folder):
         F.col("score").alias("quality_score"), "errors",
     )
     return scored_runs(runs).select(
-        "c_mktsegment", F.round("efficiency", 4).alias("efficiency"), F.round("overall_score", 4).alias("overall_score")
+        "c_mktsegment", F.round("efficiency", 8).alias("efficiency"), F.round("overall_score", 8).alias("overall_score")
     )
