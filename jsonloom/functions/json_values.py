@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 # above it the text parser decides.
 VARIANT_SAFE_BYTES = 4 * 1024 * 1024
 
-# JSON kind -> type name used in profiles; fixed values.
-TYPE_NAMES = {"str": "STRING", "int": "BIGINT", "float": "DECIMAL|DOUBLE|FLOAT", "bool": "BOOLEAN", "dict": "OBJECT"}
+# variant type -> type name used in profiles; fixed values. Decimals, arrays and objects carry parameters.
+EXACT_TYPES = {"STRING": "str", "BIGINT": "int", "DOUBLE": "float", "FLOAT": "float", "BOOLEAN": "bool"}
+PREFIX_TYPES = {"DECIMAL": "float", "OBJECT": "dict", "ARRAY": "list"}
 
 
 def wrapped(text: Column) -> Column:
@@ -46,10 +47,16 @@ def type_name(value: Column) -> Column:
 
     ``3.0`` and integers past 64 bits are decimals in a variant, so both count as float.
     """
-    schema = F.schema_of_variant(value)
-    chain = F.when(schema.startswith("ARRAY"), F.lit("list"))
-    for name, pattern in TYPE_NAMES.items():
-        chain = chain.when(schema.rlike(f"^({pattern})"), F.lit(name))
+    return named_type(F.schema_of_variant(value))
+
+
+def named_type(schema: Column) -> Column:
+    """Type name from the schema text of a variant."""
+    chain = None
+    for kind, name in EXACT_TYPES.items():
+        chain = (F if chain is None else chain).when(schema == kind, F.lit(name))
+    for kind, name in PREFIX_TYPES.items():
+        chain = chain.when(schema.startswith(kind), F.lit(name))
     return chain
 
 

@@ -117,9 +117,10 @@ def check_documents(docs: DataFrame, contracts: list[Contract]) -> DataFrame:
     needs no shuffle. An envelope is unwrapped first.
     """
     schema = T.StructType([T.StructField(c.table, T.ArrayType(c.raw_schema)) for c in contracts])
+    inner = T.StructType([T.StructField("data", schema)])
+    tables = F.when(F.col("_enveloped"), F.from_json("text", inner)["data"]).otherwise(F.from_json("text", schema))
     parsed = _bodies(docs).select(
-        *DOC_POSITION, "text", "_ok", "_body", F.from_json("_body", schema).alias("_tables"),
-        F.from_json("_body", "map<string,string>").alias("_entries"),
+        *DOC_POSITION, "text", "_ok", tables.alias("_tables"), F.col("_texts").alias("_entries")
     )
     violations = [F.array(F.when(~F.col("_ok"), F.lit("not a JSON object")))]
     known = F.arrays_overlap(F.map_keys("_entries"), F.array(*[F.lit(c.table) for c in contracts]))

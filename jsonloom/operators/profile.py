@@ -7,37 +7,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from jsonloom.functions.json_values import record_fields, type_name
+from jsonloom.functions.json_values import named_type, record_fields, type_name
 from jsonloom.operators.ordering import top_per_group
 from jsonloom.operators.shred import RECORD_POSITION
 
 SAMPLES = 10
+SAMPLE_RECORDS = 100
 SCALARS = ("str", "int", "float", "bool", "dict")
 ELEMENTS = (*SCALARS, "list")
 
 
+# Where a table or field was first seen: file, block, and a number that orders the places in a block.
+BLOCK = ["file_order", "path", "block_start"]
+# line (33 bits), record (20 bits), field (10 bits); later records and fields share the last number
+_PLACE = "(line_id & 8589934591) * 1073741824 + least(rec_pos, 1048575) * 1024"
+
+
+def _first_seen(per_block: DataFrame, keys: list[str], *facts) -> DataFrame:
+    """Combine facts per block. Rows were reduced to one per key and block by a hash aggregate before,
+    so only those few are compared as structs."""
+    seen = F.min(F.struct(*BLOCK, "place")).alias("first_seen")
+    return per_block.groupBy(*keys).agg(*facts, seen)
+
+
 def table_facts(records: DataFrame) -> DataFrame:
     """``(table, record_count, first_seen)`` per table."""
-    return records.groupBy("table").agg(
-        F.count(F.lit(1)).alias("record_count"), F.min(F.struct(*RECORD_POSITION)).alias("first_seen")
-    )
+    place = F.expr("min((line_id & 8589934591) * 1073741824 + least(table_pos, 1048575)) as place")
+    per_block = records.groupBy("table", *BLOCK).agg(F.expr("count(1) as n"), place)
+    return _first_seen(per_block, ["table"], F.sum("n").alias("record_count"))
 
 
-SAMPLES_TYPE = "array<struct<at: struct<at: struct<file_order: bigint, path: string, block_start: bigint, line_id: bigint, table_pos: int, rec_pos: int>, pos: int>, sample: string>>"
+SAMPLES_TYPE = "array<struct<at: struct<file_order: bigint, path: string, block_start: bigint, line_id: bigint, table_pos: int, rec_pos: int, pos: int>, sample: string>>"
 
 
 def _values(records: DataFrame) -> DataFrame:
-    """One row per field of every record: ``(table, field, at, value, type)``."""
+    """One row per field of every record: position columns, ``table, field, pos, value, type``."""
     fields = records.select(
-        "table", F.struct(*RECORD_POSITION).alias("at"), F.posexplode_outer(record_fields(F.col("record"))).alias("pos", "f")
+        "table", *RECORD_POSITION, F.posexplode_outer(record_fields(F.col("record"))).alias("pos", "f")
     ).where(F.col("f").isNotNull())
-    return fields.select(
-        "table",
-        F.col("f.key").alias("field"),
-        F.struct("at", "pos").alias("at"),
-        F.col("f.value").alias("value"),
-        type_name(F.col("f.value")).alias("type"),
+    kinds = fields.select(
+        "table", *RECORD_POSITION, "pos", F.col("f.key").alias("field"), F.col("f.value").alias("value"),
+        F.schema_of_variant("f.value").alias("kind"),
     )
+    return kinds.withColumn("type", named_type(F.col("kind"))).drop("kind")
 
 
 def field_facts(records: DataFrame) -> DataFrame:
@@ -53,25 +65,33 @@ def field_facts(records: DataFrame) -> DataFrame:
     values = _values(records).withColumns(
         {"elements": elements, "text": F.when(F.col("type") == "str", F.try_variant_get("value", "$", "string"))}
     )
-    return values.groupBy("table", "field").agg(
-        *[F.expr(f"max(type = '{t}') as has_{t}") for t in (*SCALARS, "list")],
-        *[F.expr(f"max(array_contains(elements, '{t}')) as of_{t}") for t in ELEMENTS],
-        F.expr("max(type is null) as nullable"),
+    flags = {f"has_{t}": f"type = '{t}'" for t in (*SCALARS, "list")}
+    flags |= {f"of_{t}": f"array_contains(elements, '{t}')" for t in ELEMENTS} | {"nullable": "type is null"}
+    per_block = values.groupBy("table", "field", *BLOCK).agg(
+        *[F.expr(f"max({test}) as {flag}") for flag, test in flags.items()],
         F.expr("max(length(text)) as max_length"),
         F.expr("count(1) as present_count"),
         F.expr("count_if(type is null) as null_count"),
-        F.expr("min(at) as first_seen"),
+        F.expr(f"min({_PLACE} + least(pos, 1023)) as place"),
+    )
+    return _first_seen(
+        per_block, ["table", "field"], *[F.max(f).alias(f) for f in (*flags, "max_length")],
+        F.sum("present_count").alias("present_count"), F.sum("null_count").alias("null_count"),
     )
 
 
 def field_samples(records: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    """The first values of every field (of the fields in ``wanted``, a small list of (table, field), if given)."""
-    values = _values(records).where("type is not null")
+    """The first values of every field (of the fields in ``wanted``, a small list of (table, field), if given).
+
+    As everywhere in sampling, a document shows its first 100 records per table.
+    """
+    values = _values(records.where(F.col("rec_pos") < SAMPLE_RECORDS)).where("type is not null")
     if wanted is not None:
         values = values.join(F.broadcast(wanted), ["table", "field"], "left_semi")
     shown = F.when(F.col("type") == "str", F.try_variant_get("value", "$", "string")).otherwise(F.to_json("value"))
+    at = F.struct(*RECORD_POSITION, "pos").alias("at")
     first = top_per_group(
-        values.select("table", "field", "at", shown.alias("sample")), ["table", "field"], [F.col("at")], SAMPLES
+        values.select("table", "field", at, shown.alias("sample")), ["table", "field"], [F.col("at")], SAMPLES
     )
     return first.groupBy("table", "field").agg(F.expr("array_sort(collect_list(struct(at, sample))) as samples"))
 

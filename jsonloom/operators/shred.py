@@ -16,18 +16,25 @@ QUARANTINE = "_quarantine"
 
 
 def _bodies(docs: DataFrame) -> DataFrame:
-    """Add the text and the variants of the object whose entries are the tables (the envelope is unwrapped)."""
+    """Add the entries of the object that holds the tables (the envelope is unwrapped): as text and as variants."""
     text, variant = F.col("text"), F.col("_variant")
     parsed = docs.withColumn("_variant", F.try_parse_json(wrapped(text)))
-    parsed = parsed.withColumn("_ok", is_document(text, variant)).withColumn(
-        "_inner", F.try_variant_get(variant, "$[0].data", "map<string,variant>")
+    parsed = parsed.withColumns(
+        {
+            "_ok": is_document(text, variant),
+            "_inner": F.try_variant_get(variant, "$[0].data", "map<string,variant>"),
+        }
     )
-    inner_text = F.get_json_object(text, "$.data")
+    inner = F.from_json(text, "data map<string,string>")["data"]
     # too large for a variant: decide from the text
-    large_inner = variant.isNull() & inner_text.startswith("{") & F.from_json(inner_text, "map<string,string>").isNotNull()
-    enveloped = F.coalesce(F.col("_inner").isNotNull() | (F.col("_ok") & large_inner), F.lit(False))
-    return parsed.withColumn("_body", F.when(enveloped, inner_text).otherwise(text)).withColumn(
-        "_values", F.coalesce("_inner", F.try_variant_get(variant, "$[0]", "map<string,variant>"))
+    large = F.col("_ok") & variant.isNull() & F.get_json_object(text, "$.data").startswith("{")
+    enveloped = F.coalesce(F.col("_inner").isNotNull() | large, F.lit(False))
+    return parsed.withColumns(
+        {
+            "_enveloped": enveloped,
+            "_texts": F.when(enveloped, inner).otherwise(F.from_json(text, "map<string,string>")),
+            "_values": F.coalesce("_inner", F.try_variant_get(variant, "$[0]", "map<string,variant>")),
+        }
     )
 
 
@@ -45,16 +52,19 @@ def _records(max_records: int | None):
         string = F.to_json(F.struct(t.alias("value"), i.alias("index")))
         return pair(F.when(quoted, string).otherwise(literal), F.lit(True))
 
-    objects = F.zip_with(texts, values, lambda t, v: pair(t, t.startswith("{") & is_object(v)))
+    # Only a string can look like an object without being one; raw text without a string that
+    # starts with a brace needs no second look at its members.
+    plain = F.transform(texts, lambda t: pair(t, F.coalesce(t.startswith("{"), F.lit(False))))
+    checked = F.zip_with(texts, values, lambda t, v: pair(t, F.coalesce(t.startswith("{"), F.lit(False)) & is_object(v)))
+    objects = F.when(raw.contains(',"{'), checked).otherwise(plain)
     typed = F.zip_with(texts, values, lambda t, v: F.struct(t.alias("t"), (F.schema_of_variant(v) == "STRING").alias("q")))
     numbers = F.transform(typed, lambda e, i: numbered(e["t"], i, e["q"]))
-    large = F.transform(texts, lambda t: pair(t, F.coalesce(t.startswith("{"), F.lit(False))))
     large_numbers = F.transform(
         texts, lambda t, i: numbered(t, i, t.isNotNull() & F.try_parse_json(wrapped(t)).isNull())
     )
 
     list_records = (
-        F.when(value.isNull() & F.get(texts, F.lit(0)).startswith("{"), large)
+        F.when(value.isNull() & F.get(texts, F.lit(0)).startswith("{"), plain)
         .when(value.isNull(), large_numbers)
         .when(is_object(first), objects)
         .otherwise(numbers)
@@ -81,7 +91,7 @@ def shred(docs: DataFrame, max_records: int | None = None, keep_rejects: bool =
     No shuffle: a document is taken apart where it is read.
     """
     entries = F.transform(
-        F.map_entries(F.from_json("_body", "map<string,string>")),
+        F.map_entries("_texts"),
         lambda e: F.struct(
             e["key"].alias("key"), e["value"].alias("raw"), F.element_at("_values", e["key"]).alias("value")
         ),

@@ -8,17 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from jsonloom.operators.contracts import Contract
+from jsonloom.operators.profile import SAMPLE_RECORDS
 from jsonloom.operators.quality.suite import Rules, count_checks, run_checks
+from jsonloom.operators.shred import shred
+from jsonloom.plans.catalog import discover
 from jsonloom.plans.ingest import IngestOptions, ingest_contracts, ingest_documents, initialize, stored_catalog
 from jsonloom.plans.validate import recount
 from jsonloom.sources.documents import number_lines, sample_documents, stream_documents
 from jsonloom.sources.reports import schema_documents, schema_markdown, write_text
 from jsonloom.sources.store import TableStore
-from jsonloom.operators.shred import shred
-from jsonloom.plans.catalog import discover
 
 QUALITY = "_quality"
-RECORDS_PER_TABLE = 100
 
 # Called after a batch is published: (store, batch id).
 AfterBatch = Callable[[TableStore, int], None]
@@ -74,7 +74,7 @@ def discover_then_ingest(
     """Two phases: discover the tables on a sample of files, then stream with that catalog."""
     if stored_catalog(store) is None:
         sample = sample_documents(spark, source, sample_files, lines, glob)
-        initialize(store, discover(shred(sample, RECORDS_PER_TABLE)))
+        initialize(store, discover(shred(sample, SAMPLE_RECORDS)))
     settings.setdefault("options", IngestOptions(frozen=True))
     return start_ingest(spark, source, store, checkpoint, lines, glob, **settings)
 
