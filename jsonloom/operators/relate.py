@@ -40,15 +40,26 @@ def with_child_count(
     return joined.withColumn(column, F.coalesce("_count", F.lit(0)).cast("bigint")).drop("_key", "_count")
 
 
+def _distinct_keys(parent: DataFrame, primary_key: str, other: T.DataType) -> DataFrame:
+    """Keys of a parent table, once each: the exchange of the distinct is the one the join needs anyway, and a
+    repeated parent key cannot swell one side of the join."""
+    return parent.select(_key_of(parent, primary_key, other).alias("_key")).where("_key is not null").distinct()
+
+
+def _position(columns: list[str]) -> Column:
+    """Comparable position of a row; a single column stays as it is, so its minimum fits a hash aggregate."""
+    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+
+
 def orphan_rows(child: DataFrame, foreign_key: str, parent: DataFrame, primary_key: str) -> DataFrame:
     """Child rows whose non-null foreign key has no parent."""
-    keys = parent.select(_key_of(parent, primary_key, child.schema[foreign_key].dataType).alias("_key"))
+    keys = _distinct_keys(parent, primary_key, child.schema[foreign_key].dataType)
     return child.where(F.col(foreign_key).isNotNull()).join(keys, F.col(foreign_key) == F.col("_key"), "left_anti")
 
 
 def with_parent(child: DataFrame, foreign_key: str, parent: DataFrame, primary_key: str) -> DataFrame:
     """Child rows whose parent exists."""
-    keys = parent.select(_key_of(parent, primary_key, child.schema[foreign_key].dataType).alias("_key"))
+    keys = _distinct_keys(parent, primary_key, child.schema[foreign_key].dataType)
     return child.join(keys, F.col(foreign_key) == F.col("_key"), "left_semi")
 
 
@@ -90,11 +101,7 @@ def reference_counts(child: DataFrame, foreign_key: str, parent: DataFrame, prim
     Both sides are reduced to one row per key before they meet.
     """
     counts = child_counts(child.select(F.col(foreign_key).alias("fk")), "fk", "n")
-    keys = (
-        parent.where(F.col(primary_key).isNotNull())
-        .select(_key_of(parent, primary_key, child.schema[foreign_key].dataType).alias("pk"))
-        .distinct()
-    )
+    keys = _distinct_keys(parent, primary_key, child.schema[foreign_key].dataType).withColumnRenamed("_key", "pk")
     return counts.join(keys, F.col("fk") == F.col("pk"), "full_outer")
 
 
@@ -119,14 +126,14 @@ def duplicate_rows(df: DataFrame, key: list[str], count: str = "n") -> DataFrame
 
 def repeated_occurrences(df: DataFrame, key: str, position: list[str]) -> DataFrame:
     """Second and later rows of every non-null key in order of ``position``."""
-    at = F.struct(*position)
+    at = _position(position)
     first = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(at).alias("_first"))
     return df.join(first, F.col(key) == F.col("_key"), "inner").where(at > F.col("_first")).drop("_key", "_first")
 
 
 def last_declaration(df: DataFrame, key: str, position: list[str]) -> DataFrame:
     """The last row of every non-null key in order of ``position``."""
-    row = F.max_by(F.struct(*df.columns), F.struct(*position)).alias("_row")
+    row = F.max_by(F.struct(*df.columns), _position(position)).alias("_row")
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(row).select("_row.*")
 
 
@@ -137,10 +144,10 @@ def unseen_parents(
     first = (
         parent.where(F.col(primary_key).isNotNull())
         .groupBy(F.col(primary_key).alias("_key"))
-        .agg(F.min(F.struct(*position)).alias("_first"))
+        .agg(F.min(_position(position)).alias("_first"))
     )
     joined = child.where(F.col(foreign_key).isNotNull()).join(first, F.col(foreign_key) == F.col("_key"), "left")
-    return joined.where(F.col("_first").isNull() | (F.col("_first") > F.struct(*position))).drop("_key", "_first")
+    return joined.where(F.col("_first").isNull() | (F.col("_first") > _position(position))).drop("_key", "_first")
 
 
 def count_since_reset(
@@ -161,7 +168,7 @@ def count_since_reset(
         )
     )
     points = split_points(rows, position, segments)
-    at = F.struct(*position)
+    at = _position(position)
     cell = Window.partitionBy("_key", "_segment")
     marked = rows.withColumn("_segment", segment_of(rows, position, points)).withColumn(
         "_last", F.max(F.when(F.col("_reset"), at)).over(cell)

@@ -19,21 +19,36 @@ from pyspark.sql import types as T
 from jsonloom.operators.align import align_columns, common_schema
 from jsonloom.operators.ordering import keep_last
 
-DEFAULT_BUCKETS = 16
-_BUCKET = "_bucket"
+# Buckets of a new table unless given: at least this many, or the session's shuffle partitions if more.
+# A table of 100 TB wants thousands, so that a bucket is rewritten by a few tasks.
+FEWEST_BUCKETS = 16
+# Rows of a bucket one merge task takes; a larger bucket is merged and written by several tasks.
+ROWS_PER_TASK = 4_000_000
+_BUCKET, _SPLIT = "_bucket", "_split"
 
 
 def _name(batch: int) -> str:
     return f"{batch:020d}"
 
 
+def _bucket_of(key: list[str], buckets: int):
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
+def _placed(df: DataFrame, key: list[str], buckets: int, rows: int) -> DataFrame:
+    """Rows by bucket, and by further splits of a bucket that is too large for one task."""
+    splits = max(1, rows // (buckets * ROWS_PER_TASK))
+    split = F.pmod(F.hash(*key), F.lit(splits)).cast("int")
+    return df.withColumns({_BUCKET: _bucket_of(key, buckets), _SPLIT: split}).repartition(_BUCKET, _SPLIT)
+
+
 @dataclass
 class TableEntry:
     """A table in a manifest. ``parts`` are (bucket, batch) pairs; bucket -1 is a whole appended batch."""
 
     schema: T.StructType
     key: list[str] | None = None
-    buckets: int = DEFAULT_BUCKETS
+    buckets: int = FEWEST_BUCKETS
     parts: list[tuple[int, int]] = field(default_factory=list)
     # schema a batch was written with
     written: dict[int, T.StructType] = field(default_factory=dict)
@@ -55,8 +70,9 @@ class TableEntry:
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.buckets = buckets or max(FEWEST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     # -- files ---------------------------------------------------------------------------------
 
@@ -198,20 +214,23 @@ class Batch:
         entry = self._entry(table, df.drop(*hidden), key, schema)
         if entry.key != key:
             raise ValueError(f"{table} is keyed by {entry.key}, not {key}")
-        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(entry.buckets)).cast("int")
         newest = keep_last(df, key, order)
         columns = entry.schema.fieldNames()
         incoming = align_columns(newest.drop(*hidden), entry.schema).select(*columns).withColumn("_new", F.lit(1))
-        touched = {r[0] for r in align_columns(df.drop(*hidden), entry.schema).select(bucket).distinct().collect()}
+        rows = align_columns(df.select(*key), T.StructType([entry.schema[k] for k in key]))
+        sizes = rows.groupBy(_bucket_of(key, entry.buckets)).count().collect()  # at most one row per bucket
+        touched = {r[0] for r in sizes}
         if not touched:
             return
         if touched.isdisjoint(b for b, _ in entry.parts):
-            merged = incoming.withColumn(_BUCKET, bucket).repartition(_BUCKET).drop("_new")
+            merged = _placed(incoming, key, entry.buckets, sum(r[1] for r in sizes)).drop("_new", _SPLIT)
         else:
-            stored = self.store._read_parts(table, entry, touched).withColumn("_new", F.lit(0))
-            both = stored.unionByName(incoming).withColumn(_BUCKET, bucket)
-            # one exchange on the bucket serves the merge and the layout of the files
-            merged = keep_last(both.repartition(_BUCKET), [_BUCKET, *key], ["_new"]).drop("_new")
+            stored = self.store._read_parts(table, entry, touched)
+            total = sum(r[1] for r in sizes) + stored.count()  # from the file footers
+            both = stored.withColumn("_new", F.lit(0)).unionByName(incoming)
+            # one exchange serves the merge and the layout of the files
+            placed = _placed(both, key, entry.buckets, total)
+            merged = keep_last(placed, [_BUCKET, _SPLIT, *key], ["_new"]).drop("_new", _SPLIT)
         merged.write.mode("overwrite").partitionBy(_BUCKET).parquet(self._folder(table))
         entry.parts = [p for p in entry.parts if p[0] not in touched] + [(b, self.id) for b in sorted(touched)]
         self._written(entry)
@@ -233,9 +252,8 @@ class Batch:
         entry = self.entries[table]
         entry.schema, entry.key = df.schema, key or entry.key
         if entry.key:
-            bucket = F.pmod(F.xxhash64(*[F.col(k) for k in entry.key]), F.lit(entry.buckets)).cast("int")
-            placed = df.withColumn(_BUCKET, bucket).repartition(_BUCKET)
-            placed.write.mode("overwrite").partitionBy(_BUCKET).parquet(self._folder(table))
+            placed = _placed(df, entry.key, entry.buckets, df.count())
+            placed.drop(_SPLIT).write.mode("overwrite").partitionBy(_BUCKET).parquet(self._folder(table))
             written = self.store.spark.read.parquet(self._folder(table)).select(_BUCKET).distinct().collect()
             entry.parts = sorted((r[0], self.id) for r in written)
         else:
