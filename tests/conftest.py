@@ -13,6 +13,8 @@ from jsonloom.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("jsonloom-tests", cores="8", partitions=4)
+    # plans over a handful of rows: compiling them would take most of the time
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()
 

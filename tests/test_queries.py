@@ -14,6 +14,13 @@ def duck():
     return connect(FOLDER)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def compiled(spark):
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, FOLDER)
