@@ -61,7 +61,7 @@ def save_catalog(batch: Batch, catalog: Catalog) -> None:
 def initialize(store: TableStore, catalog: Catalog) -> None:
     """Publish a catalog with an empty typed table for every table it knows."""
     keys = catalog.keys()
-    with store.batch(store.next_batch()) as batch:
+    with store.batch() as batch:
         save_catalog(batch, catalog)
         for table, schema in catalog.schemas().items():
             key = keys.get(table)
@@ -84,15 +84,17 @@ def _drop_staging(store: TableStore, batch_id: int) -> None:
 
 
 def ingest_documents(
-    store: TableStore, docs: DataFrame, batch_id: int, options: IngestOptions = IngestOptions()
+    store: TableStore, docs: DataFrame, batch_id: int | None = None, options: IngestOptions = IngestOptions(),
+    token: tuple[str, int] | None = None,
 ) -> bool:
     """Shred, type and merge a batch; False when it had been published before.
 
     All tables of the batch, its rejects, its catalog and its counters become visible together.
     """
-    batch = store.batch(batch_id)
+    batch = store.batch(batch_id, token)
     if batch.published:
         return False
+    batch_id = batch.id
     started = datetime.now(timezone.utc)
     staged = _staged(store, shred(docs, keep_rejects=True), batch_id)
     records = staged.where((F.col("_table") != QUARANTINE) & F.col("reason").isNull()).drop("_table")
@@ -141,7 +143,7 @@ def ingest_documents(
         lost = list(pool.map(load, known))
 
     rejects = staged.where(F.col("reason").isNotNull()).select(*REJECT_COLUMNS)
-    batch.append(REJECTS, reduce(DataFrame.unionByName, lost, rejects))
+    batch.append(REJECTS, reduce(DataFrame.unionByName, lost, rejects), skip_empty=True)
     _count(batch, staged, started, sorted(present - set(schemas)))
     batch.commit()
     _drop_staging(store, batch_id)
@@ -163,11 +165,15 @@ def _count(batch: Batch, staged: DataFrame, started: datetime, unknown: list[str
     batch.append(METRICS, batch.store.spark.createDataFrame(row, METRICS_SCHEMA))
 
 
-def ingest_contracts(store: TableStore, docs: DataFrame, batch_id: int, contracts: list[Contract]) -> bool:
+def ingest_contracts(
+    store: TableStore, docs: DataFrame, batch_id: int | None, contracts: list[Contract],
+    token: tuple[str, int] | None = None,
+) -> bool:
     """Validated ingest with declared schemas: a document with one bad record is rejected whole."""
-    batch = store.batch(batch_id)
+    batch = store.batch(batch_id, token)
     if batch.published:
         return False
+    batch_id = batch.id
     started = datetime.now(timezone.utc)
     path = f"{store.root}/_staging/{batch_id}"
     check_documents(docs, contracts).write.mode("overwrite").parquet(path)
@@ -181,7 +187,7 @@ def ingest_contracts(store: TableStore, docs: DataFrame, batch_id: int, contract
         *DOC_POSITION, F.lit(0).alias("table_pos"), F.lit(0).alias("rec_pos"), F.lit(QUARANTINE).alias("table"),
         F.array_join("violations", "; ").alias("reason"), F.col("text").alias("record"),
     )
-    batch.append(REJECTS, rejects.select(*REJECT_COLUMNS))
+    batch.append(REJECTS, rejects.select(*REJECT_COLUMNS), skip_empty=True)
     counts = checked.agg(
         F.count(F.when(F.size("violations") == 0, F.lit(1))).alias("processed"),
         F.count(F.when(F.size("violations") > 0, F.lit(1))).alias("failed"),

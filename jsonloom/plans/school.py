@@ -9,6 +9,7 @@ from jsonloom.operators.arrival import ArrivalReference, ArrivalRules
 from jsonloom.operators.contracts import Contract, Field
 from jsonloom.operators.quality.capacity import CapacityRule, EntityLimit
 from jsonloom.operators.quality.consistency import FieldRule
+from jsonloom.operators.quality.integrity import Reference
 from jsonloom.operators.quality.suite import Rules
 
 STUDENTS = Contract(
@@ -66,6 +67,12 @@ LIMITS = [EntityLimit("student_classes", "student_id", MAX_ENROLLMENTS_CHECKED)]
 FIELD_RULES = [FieldRule("students", ("age", "year"), "(age < 14 and year > 9) or (age > 19 and year < 12)")]
 
 
+def contract_rules() -> Rules:
+    """References and keys of the fixed schemas."""
+    references = [Reference(r.child, r.foreign_key, r.parent) for r in ARRIVAL.references]
+    return Rules(references, {c.table: c.key for c in CONTRACTS})
+
+
 def with_school_rules(rules: Rules) -> Rules:
     """Rules of a discovered catalog plus the school's own."""
     return Rules(rules.references, rules.primary_keys, CAPACITIES, LIMITS, FIELD_RULES, rules.extra)

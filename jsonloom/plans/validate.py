@@ -36,14 +36,17 @@ def validate(spark: SparkSession, tables: dict[str, DataFrame] | None, rules: Ru
     return Validation(checks, summarize(checks, len(tables), records, len(rules.references)))
 
 
-def recount(store: TableStore, batch_id: int, parent: str, key: str, child: str, child_key: str, column: str) -> bool:
+def recount(
+    store: TableStore, parent: str, key: str, child: str, child_key: str, column: str,
+    token: tuple[str, int] | None = None,
+) -> bool:
     """Rewrite the child count kept in a parent table. False, and no change, when a table or key is absent."""
-    entries = store.manifest(batch_id - 1)
-    if parent not in entries or child not in entries:
+    batch = store.batch(token=token)
+    if batch.published or parent not in batch.entries or child not in batch.entries:
         return False
-    parents, children = store.read(parent, batch_id - 1), store.read(child, batch_id - 1)
+    parents, children = store.read(parent), store.read(child)
     if key not in parents.columns or child_key not in children.columns:
         return False
-    with store.batch(batch_id) as batch:
+    with batch:
         batch.replace(parent, with_child_count(parents, key, children, child_key, column))
     return True

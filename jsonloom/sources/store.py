@@ -3,7 +3,9 @@
 Layout: ``<root>/<table>/v=<batch>/_bucket=<b>/*.parquet`` and one manifest per batch,
 ``<root>/_manifest/<batch>.json``, that names the live version of every bucket. A batch writes new versions
 of the buckets it touches, for all its tables, and becomes visible at once when its manifest is renamed into
-place. A batch that has a manifest is not applied again, so replays are harmless.
+place. A batch that has a manifest is not applied again. A stream passes a token (stream, epoch) instead of
+a number of its own; the manifest keeps the last epoch of every stream, so replays are harmless and other writers
+may publish in between.
 """
 
 from __future__ import annotations
@@ -90,19 +92,22 @@ class TableStore:
         names = [s.getPath().getName() for s in self._fs().listStatus(folder)]
         return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
 
-    def manifest(self, batch: int | None = None) -> dict[str, TableEntry]:
-        """Tables as of ``batch`` (the newest published one by default)."""
+    def _load(self, batch: int | None) -> dict:
         known = [b for b in self.batches() if batch is None or b <= batch]
         if not known:
-            return {}
+            return {"tables": {}, "applied": {}}
         path = f"{self.root}/_manifest/{_name(known[-1])}.json"
-        text = self.spark.read.option("wholetext", True).text(path).first().value
-        return {t: TableEntry.from_dict(d) for t, d in json.loads(text).items()}
+        return json.loads(self.spark.read.option("wholetext", True).text(path).first().value)
+
+    def manifest(self, batch: int | None = None) -> dict[str, TableEntry]:
+        """Tables as of ``batch`` (the newest published one by default)."""
+        return {t: TableEntry.from_dict(d) for t, d in self._load(batch)["tables"].items()}
 
-    def _publish(self, batch: int, tables: dict[str, TableEntry]) -> None:
+    def _publish(self, batch: int, tables: dict[str, TableEntry], applied: dict[str, int]) -> None:
+        content = {"tables": {t: e.to_dict() for t, e in tables.items()}, "applied": applied}
         fs, temporary = self._fs(), self._path("_manifest", f".{_name(batch)}.tmp")
         stream = fs.create(temporary, True)
-        stream.write(bytearray(json.dumps({t: e.to_dict() for t, e in tables.items()}).encode()))
+        stream.write(bytearray(json.dumps(content).encode()))
         stream.close()
         if not fs.rename(temporary, self._path("_manifest", f"{_name(batch)}.json")):
             raise OSError(f"batch {batch} was not published")
@@ -135,11 +140,12 @@ class TableStore:
 
     # -- writing -------------------------------------------------------------------------------
 
-    def batch(self, batch_id: int) -> Batch:
-        return Batch(self, batch_id)
+    def batch(self, batch_id: int | None = None, token: tuple[str, int] | None = None) -> Batch:
+        """A batch with the next free number unless one is given; ``token`` names a stream and its epoch."""
+        return Batch(self, self.next_batch() if batch_id is None else batch_id, token)
 
     def next_batch(self) -> int:
-        return (self.batches() or [-1])[-1] + 1
+        return (self.batches() or [0])[-1] + 1
 
     def vacuum(self, keep: int = 2) -> list[str]:
         """Delete data no manifest of the last ``keep`` batches names, and the older manifests."""
@@ -163,10 +169,16 @@ class TableStore:
 class Batch:
     """Changes to several tables that become visible together at :meth:`commit`."""
 
-    def __init__(self, store: TableStore, batch_id: int):
+    def __init__(self, store: TableStore, batch_id: int, token: tuple[str, int] | None = None):
         self.store, self.id = store, batch_id
+        before = store._load(batch_id - 1)
+        self.entries = {t: TableEntry.from_dict(d) for t, d in before["tables"].items()}
+        self.applied: dict[str, int] = before["applied"]
         self.published = batch_id in store.batches()
-        self.entries = store.manifest(batch_id - 1)
+        if token is not None:
+            stream, epoch = token
+            self.published |= self.applied.get(stream, -1) >= epoch
+            self.applied = {**self.applied, stream: max(epoch, self.applied.get(stream, -1))}
 
     def __enter__(self) -> Batch:
         return self
@@ -177,7 +189,7 @@ class Batch:
 
     def commit(self) -> None:
         if not self.published:
-            self.store._publish(self.id, self.entries)
+            self.store._publish(self.id, self.entries, self.applied)
             self.published = True
 
     def create(self, table: str, schema: T.StructType, key: list[str] | None = None, buckets: int | None = None) -> None:
@@ -235,15 +247,24 @@ class Batch:
         entry.parts = [p for p in entry.parts if p[0] not in touched] + [(b, self.id) for b in sorted(touched)]
         self._written(entry)
 
-    def append(self, table: str, df: DataFrame, schema: T.StructType | None = None) -> None:
-        """Add rows to a table without a key."""
+    def append(
+        self, table: str, df: DataFrame, schema: T.StructType | None = None, skip_empty: bool = False
+    ) -> None:
+        """Add rows to a table without a key. ``skip_empty`` names no part for a batch without rows."""
         if self.published:
             return
         entry = self._entry(table, df, None, schema)
         align_columns(df, entry.schema).select(*entry.schema.fieldNames()).write.mode("overwrite").parquet(self._folder(table))
+        if skip_empty and self.store.spark.read.schema(entry.schema).parquet(self._folder(table)).count() == 0:
+            return
         entry.parts = [p for p in entry.parts if p[1] != self.id] + [(-1, self.id)]
         self._written(entry)
 
+    def compact(self, table: str) -> None:
+        """Write a table's parts as one version, so its manifest entry stays short after many appends."""
+        if not self.published and table in self.entries:
+            self.replace(table, self.store._read_parts(table, self.entries[table]))
+
     def replace(self, table: str, df: DataFrame, key: list[str] | None = None) -> None:
         """Write the whole table anew (read the old version first; it stays until vacuum)."""
         if self.published:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,21 +13,33 @@ from jsonloom.operators.profile import SAMPLE_RECORDS
 from jsonloom.operators.quality.suite import Rules, count_checks, run_checks
 from jsonloom.operators.shred import shred
 from jsonloom.plans.catalog import discover
-from jsonloom.plans.ingest import IngestOptions, ingest_contracts, ingest_documents, initialize, stored_catalog
+from jsonloom.plans.ingest import (
+    METRICS, REJECTS, IngestOptions, ingest_contracts, ingest_documents, initialize, stored_catalog,
+)
 from jsonloom.plans.validate import recount
 from jsonloom.sources.documents import number_lines, sample_documents, stream_documents
-from jsonloom.sources.reports import schema_documents, schema_markdown, write_text
+from jsonloom.sources.reports import read_text, schema_documents, schema_markdown, write_text
 from jsonloom.sources.store import TableStore
 
 QUALITY = "_quality"
 
-# Called after a batch is published: (store, batch id).
-AfterBatch = Callable[[TableStore, int], None]
+# Called after a micro-batch is in the store: (store, stream, epoch). It may be called again for the
+# same epoch after a failure, so it publishes under a token of its own.
+AfterBatch = Callable[[TableStore, str, int], None]
 
 
-def store_batch_id(first: int, epoch: int) -> int:
-    """Store batches of a stream: odd steps leave room for a derived batch after each."""
-    return first + 2 * epoch
+def _stream_id(store: TableStore, checkpoint: str) -> str:
+    """Name of the stream with this checkpoint, kept beside it.
+
+    A stream with a new checkpoint has a new name, so its files are merged (again, if an older stream
+    had merged them) and never taken for a replay.
+    """
+    path = f"{checkpoint.rstrip('/')}/stream_id.txt"
+    kept = read_text(store.spark, path)
+    if kept is None:
+        kept = uuid.uuid4().hex
+        write_text(store.spark, path, kept)
+    return kept
 
 
 def start_ingest(
@@ -42,7 +55,6 @@ def start_ingest(
     options: IngestOptions = IngestOptions(),
     contracts: list[Contract] | None = None,
     after_batch: AfterBatch | None = None,
-    first_batch: int = 1,
 ) -> StreamingQuery:
     """Start the stream. Without ``interval`` it drains what is there and stops.
 
@@ -51,16 +63,16 @@ def start_ingest(
     discovered. Malformed documents go to the reject table with their whole text.
     """
     docs = stream_documents(spark, source, lines, glob, max_files, archive_dir)
+    stream = _stream_id(store, checkpoint)
 
     def merge(frame: DataFrame, epoch: int) -> None:
-        batch_id = store_batch_id(first_batch, epoch)
-        frame = number_lines(frame, lines)
+        numbered, token = number_lines(frame, lines), (stream, epoch)
         if contracts is not None:
-            ingest_contracts(store, frame, batch_id, contracts)
+            ingest_contracts(store, numbered, None, contracts, token)
         else:
-            ingest_documents(store, frame, batch_id, options)
+            ingest_documents(store, numbered, None, options, token)
         if after_batch is not None:
-            after_batch(store, batch_id)
+            after_batch(store, stream, epoch)
 
     writer = docs.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
@@ -82,10 +94,11 @@ def discover_then_ingest(
 def check_each_batch(rules: Rules) -> AfterBatch:
     """Keep the quality counters of the store after every batch in the table ``_quality``."""
 
-    def check(store: TableStore, batch_id: int) -> None:
-        counted = count_checks(run_checks(store.spark, store.read_all(), rules))
-        with store.batch(batch_id + 1) as batch:
-            batch.append(QUALITY, counted.selectExpr(f"bigint({batch_id}) as batch", "*").coalesce(1))
+    def check(store: TableStore, stream: str, epoch: int) -> None:
+        with store.batch(token=(f"{stream}/quality", epoch)) as batch:
+            if not batch.published:
+                counted = count_checks(run_checks(store.spark, store.read_all(), rules))
+                batch.append(QUALITY, counted.selectExpr(f"bigint({batch.id}) as batch", "*").coalesce(1))
 
     return check
 
@@ -93,9 +106,8 @@ def check_each_batch(rules: Rules) -> AfterBatch:
 def recount_each_batch(parent: str, key: str, child: str, child_key: str, column: str) -> AfterBatch:
     """Recount children after every batch."""
 
-    def count(store: TableStore, batch_id: int) -> None:
-        if batch_id + 1 not in store.batches():
-            recount(store, batch_id + 1, parent, key, child, child_key, column)
+    def count(store: TableStore, stream: str, epoch: int) -> None:
+        recount(store, parent, key, child, child_key, column, (f"{stream}/recount", epoch))
 
     return count
 
@@ -103,8 +115,8 @@ def recount_each_batch(parent: str, key: str, child: str, child_key: str, column
 def document_every(batches: int, folder: str, timestamp: Callable[[], str]) -> AfterBatch:
     """Write the schema documents after every ``batches`` batches."""
 
-    def write(store: TableStore, batch_id: int) -> None:
-        if (batch_id // 2) % batches == 0:
+    def write(store: TableStore, stream: str, epoch: int) -> None:
+        if epoch % batches == 0:
             catalog = stored_catalog(store)
             schema, graph = schema_documents(catalog, timestamp())
             write_text(store.spark, f"{folder}/schema_documentation.json", schema)
@@ -112,3 +124,25 @@ def document_every(batches: int, folder: str, timestamp: Callable[[], str]) -> A
             write_text(store.spark, f"{folder}/DATA_STRUCTURE_README.md", schema_markdown(catalog, timestamp()))
 
     return write
+
+
+def compact_every(batches: int, tables: tuple[str, ...] = (REJECTS, METRICS, QUALITY)) -> AfterBatch:
+    """Compact tables that grow by one part per batch, after every ``batches`` batches."""
+
+    def compact(store: TableStore, stream: str, epoch: int) -> None:
+        if (epoch + 1) % batches == 0:
+            with store.batch(token=(f"{stream}/compact", epoch)) as batch:
+                for table in tables:
+                    batch.compact(table)
+
+    return compact
+
+
+def in_turn(*hooks: AfterBatch) -> AfterBatch:
+    """Several hooks after one batch."""
+
+    def run(store: TableStore, stream: str, epoch: int) -> None:
+        for hook in hooks:
+            hook(store, stream, epoch)
+
+    return run

@@ -149,7 +149,7 @@ def store_recount(spark, folder):
     with store.batch(1) as batch:
         batch.upsert("customers", tables["customers"], ["customer_id"], ["customer_id"])
         batch.append("orders", tables["orders"])
-    recount(store, 2, "customers", "customer_id", "orders", "customer_id", "orders")
+    recount(store, "customers", "customer_id", "orders", "customer_id", "orders")
     return store.read("customers").select("customer_id", "orders")
 
 

@@ -21,7 +21,7 @@ from jsonloom.sources.export import documents, write_files, write_lines
 from jsonloom.sources.reports import run_report_json
 from jsonloom.sources.store import TableStore
 from jsonloom.streaming.ingest import (
-    QUALITY, check_each_batch, discover_then_ingest, document_every, recount_each_batch, start_ingest,
+    QUALITY, check_each_batch, compact_every, discover_then_ingest, document_every, in_turn, recount_each_batch, start_ingest,
 )
 
 STUDENT = {"student_id": "S1", "first_name": "a", "last_name": "b", "age": 15, "gender": "f", "year": 10, "gpa": 3.5}
@@ -122,11 +122,11 @@ def test_schema_changes_between_batches(spark, tmp_path):
 
 def test_recount_preconditions(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "s"), 2)
-    assert not recount(store, 5, *school.RECOUNT)
+    assert not recount(store, *school.RECOUNT)
     with store.batch(1) as batch:
         batch.append("classes", spark.createDataFrame([("class_a", 0)], "name string, current_enrollment bigint"))
         batch.append("student_classes", spark.createDataFrame([("c1",)], "class_id string"))
-    assert not recount(store, 2, *school.RECOUNT) and store.batches() == [1]
+    assert not recount(store, *school.RECOUNT) and store.batches() == [1]
 
 
 def test_values_that_do_not_fit_are_rejected(spark, folder, tmp_path):
@@ -134,7 +134,7 @@ def test_values_that_do_not_fit_are_rejected(spark, folder, tmp_path):
     initialize(store, discover(shred(read_documents(spark, folder(a={"t": [{"t_id": 1, "v": 1}]})))))
     assert store.read("t").count() == 0 and store.read("t").schema["v"].dataType == T.LongType()
     docs = read_documents(spark, folder(a={"t": [{"t_id": 1, "v": 2}, {"t_id": 2, "v": "x"}, 7], "u": [{"n": 1}]}, b={"u": [{"n": 1}]}))
-    ingest_documents(store, docs, 1, IngestOptions(frozen=True))
+    ingest_documents(store, docs, options=IngestOptions(frozen=True))
     assert [tuple(r) for r in store.read("t").collect()] == [(1, 2)] and "u" not in store.tables()
     reasons = sorted(r.reason for r in store.read(REJECTS).collect())
     assert reasons == ["record is not a JSON object", "value does not fit its type: v"]
@@ -169,24 +169,29 @@ def test_stream_restart_and_replay(spark, tmp_path):
     (source / "school_data_20250101_000099_000000.json").write_text("{broken")
     rules = school.with_school_rules(discover(shred(read_documents(spark, str(source)))).rules())
 
-    def after(s, batch_id):
-        recount_each_batch(*school.RECOUNT)(s, batch_id)
-
-    start_ingest(spark, str(source), store, checkpoint, after_batch=after).awaitTermination()
+    hooks = in_turn(recount_each_batch(*school.RECOUNT), check_each_batch(rules))
+    start_ingest(spark, str(source), store, checkpoint, after_batch=recount_each_batch(*school.RECOUNT)).awaitTermination()
     assert store.read("students").count() == 5
     assert {r.class_id: r.current_enrollment for r in store.read("classes").collect()} == {"C0": 3, "C1": 3, "C2": 3}
     school_files(source, range(3, 5))
-    start_ingest(spark, str(source), store, checkpoint, after_batch=check_each_batch(rules)).awaitTermination()
+    start_ingest(spark, str(source), store, checkpoint, after_batch=hooks).awaitTermination()
     notes = {r.student_id: r.note for r in store.read("students").collect()}
     assert notes == {"S0": 0, "S1": 1, "S2": 2, "S3": 3, "S4": 4, "S5": 4, "S6": 4}
     assert store.read(QUALITY).first().errors == 1  # classes over capacity
-    batches = store.batches()
-    # a lost source checkpoint hands the files over again; published batches are left alone
-    start_ingest(spark, str(source), store, str(tmp_path / "other")).awaitTermination()
-    assert store.batches() == batches and store.read("student_classes").count() == 15
     status = ingest_status(spark, store.read(METRICS)).first()
     assert (status.processed_count, status.failed_count) == (5, 1)
     assert store.read(REJECTS).first().record == "{broken"
+    # a replayed batch changes nothing, also after other writers have published
+    batches, stream = store.batches(), (tmp_path / "check" / "stream_id.txt").read_text()
+    for epoch in (0, 1):
+        assert not ingest_documents(store, read_documents(spark, str(source)), token=(stream, epoch))
+        hooks(store, stream, epoch)
+    assert store.batches() == batches
+    # a lost source checkpoint hands the files over again: keyed tables end up the same
+    school_files(source, [7])
+    start_ingest(spark, str(source), store, str(tmp_path / "other"), after_batch=compact_every(1)).awaitTermination()
+    assert store.batches()[-1] > batches[-1] and store.read("student_classes").count() == 18
+    assert store.read(METRICS).count() == 3 and len(store.manifest()[METRICS].parts) == 1
 
 
 def test_two_phase_stream_writes_documents(spark, tmp_path):
@@ -226,3 +231,24 @@ def test_export_and_file_metrics(spark, tmp_path):
     assert totals.first().bytes_per_record == 100.0
     run = run_report(spark.createDataFrame([(2.0, 10.0, 90.0, 0)], "generation_rate double, processing_rate double, quality_score double, errors bigint"))
     assert json.loads(run_report_json(run, stats, totals, "now"))["run"]["overall_score"] == pytest.approx(25 + 36 + 20 + 0.15 * 39.6)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from jsonloom.__main__ import main
+
+    source, store = tmp_path / "in", str(tmp_path / "store")
+    source.mkdir()
+    school_files(source, range(2))
+    load = ["ingest", "--input-dir", str(source), "--store", store, "--checkpoint", str(tmp_path / "check")]
+    assert main([*load, "--schema-samples", "0", "--docs-dir", str(tmp_path / "docs"), "--buckets", "2"]) == 0
+    assert (tmp_path / "docs" / "DATA_STRUCTURE_README.md").exists()
+    assert main(["validate", "--store", store, "--report-dir", str(tmp_path / "report")]) == 1
+    assert "Found 2 classes over capacity" in (tmp_path / "report" / "QUALITY_REPORT.md").read_text()
+    assert main(["arrival", "--input-dir", str(source), "--compare-dir", str(source)]) == 0
+    assert "| duplicate_ids |" in capsys.readouterr().out
+    assert main(["files", "--input-dir", str(source), "--expected", "4"]) == 0
+    # a run without new files and its recount publish a batch; files that come later are still merged
+    assert main(load) == 0
+    school_files(source, [5])
+    assert main(load) == 0
+    assert TableStore(spark, store).read("classes").count() == 3
