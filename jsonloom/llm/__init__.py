@@ -1 +1,8 @@
 """Operators of a training-data pipeline; nothing else in the library imports this subpackage."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in tasks travel with them, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jsonloom.llm import exact_dedup as exact
-from jsonloom.llm import mixing, sharding
+from jsonloom.llm import mixing, near_dedup, sharding, toxicity
 from jsonloom.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,15 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """How many words of every document the mix takes, and its source's target."""
     return mixing.mix_report(cut_lineage(mixing.slim(table(spark, folder, "documents"), seed=9)))
+
+
+@query()
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its class of near duplicates."""
+    return near_dedup.near_dedup(table(spark, folder, "documents")).drop("row")
+
+
+@query()
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's toxicity."""
+    return toxicity.toxicity_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
