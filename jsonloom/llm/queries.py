@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jsonloom.llm import exact_dedup as exact
-from jsonloom.llm import mixing, near_dedup, sharding, toxicity
+from jsonloom.llm import decontamination, line_dedup, mixing, near_dedup, sharding, toxicity
 from jsonloom.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,30 @@ def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's toxicity."""
     return toxicity.toxicity_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(
+    r"""
+    with cut as (
+        select page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)) as host,
+            list_filter(list_transform(regexp_split_to_array(regexp_replace(regexp_replace(coalesce(html, ''),
+                '<script.*?</script>|<style.*?</style>|<!--.*?-->', chr(10), 'gs'), '<[^<>]*>', chr(10), 'g'), '[\r\n]+'),
+                lambda x: regexp_replace(x, '^[ \t]+|[ \t]+$', '', 'g')), lambda x: x <> '') as lines
+        from pages),
+    totals as (select host, count(*) as pages from cut group by host having count(*) >= 4),
+    held as (select host, line, count(*) as n from (select host, unnest(list_distinct(lines)) as line from cut) group by host, line),
+    common as (select host, list(line) as common from held join totals using (host) where n > 0.1 * pages group by host)
+    select page_id, cut.host, len(lines) as n_lines, len(lines) - len(list_filter(lines, lambda x: not list_contains(coalesce(common, []), x))) as n_dropped,
+        array_to_string(list_filter(lines, lambda x: not list_contains(coalesce(common, []), x)), chr(10)) as text
+    from cut left join common on cut.host = common.host
+    """
+)
+def op2_site_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's text without its site's boilerplate lines."""
+    return line_dedup.line_dedup(table(spark, folder, "pages"))
+
+
+@query()
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold benchmark items, exact or edited."""
+    return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
