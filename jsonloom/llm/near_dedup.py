@@ -27,6 +27,8 @@ BLOCK = 512
 ROWS_AT_ONCE = 20_000
 #: candidates from which on a set is held against its whole block
 MANY = 8
+#: bits of the filter that keeps texts of documents without candidates from being shuffled; it lets some through
+FILTER_BITS = 1 << 26
 
 _rng = np.random.default_rng(5)
 _FACTORS = (_rng.integers(0, 2**63, SAMPLES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -221,6 +223,19 @@ def exact_links(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
+def hashed_bit(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("bigint")
+
+
+def id_filter(clusters: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """A bitmap of FILTER_BITS hashed ids, as its words that are not 0: at most FILTER_BITS / 64 of them."""
+    rows = (
+        clusters.select(hashed_bit("node").alias("at")).select(F.expr("at div 64").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bit"))
+        .groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
+    )
+    return np.array([r.word for r in rows], np.int64), np.array([r.bits for r in rows], np.int64)
+
+
 def near_dedup(docs: DataFrame) -> DataFrame:
     """One row per document: ``row, doc_id, n_shingles, component_id, kept``.
 
@@ -230,7 +245,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
        differ, and pairs that even six standard deviations cannot bring to the threshold are no candidates. A task
        gives a spanning forest, never all pairs; a bucket of over BLOCK members is dealt in pairs of blocks.
     3. The components of these forests are clusters: a linked pair is always in one. Only members of clusters have their
-       sets built again and compared exactly, in pairs of blocks again. The forests of confirmed links give the classes.
+       sets built again (a second pass over the texts, where a bitmap of their ids lets the others go) and compared exactly, in pairs of blocks again. The forests of confirmed links give the classes.
 
     A pair at exactly 0.75 is missed by the bands with probability 2.4e-8; the sketches' 6 deviations add about 1e-9.
     Null and empty texts have no shingles and are linked with nothing. ``component_id`` is the smallest doc_id of the
@@ -263,16 +278,21 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     sizes = clusters.groupBy("root").agg(F.count("*").alias("n"))
     clustered = clusters.join(sizes, "root").withColumnRenamed("node", "id")
 
+    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(clusters))
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(FILTER_BITS // 64, np.int64)
+        bits[wanted.value[0]] = wanted.value[1]
         for batch in batches:
+            bit = batch.column("bit").to_numpy()
+            batch = batch.filter(pa.array((bits[bit >> 6] >> (bit & 63)) & 1 == 1))
             for first, found in shingle_sets(batch.column("text")):
-                part = batch.slice(first, len(found))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array([x.tobytes() for x in found], pa.binary())], [*part.schema.names[:-1], "shingles"]
+                    [batch.column("id").slice(first, len(found)), pa.array([x.tobytes() for x in found], pa.binary())], ["id", "shingles"]
                 )
 
-    again = source.select(F.col("row").alias("id"), "text").join(clustered, "id").select("id", "root", "n", "text")
-    full = again.mapInArrow(sets, "id bigint, root bigint, n bigint, shingles binary").join(members.select("id", "sketch"), "id")
+    again = source.select(F.col("row").alias("id"), hashed_bit("row").alias("bit"), "text").mapInArrow(sets, "id bigint, shingles binary")
+    full = again.join(clustered.join(members.select("id", "sketch"), "id"), "id")
     links = (
         block_pairs(full, "root", "id")
         .select("root", "first", "second", "id", "sketch", "shingles")
