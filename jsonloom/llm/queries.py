@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jsonloom.llm import exact_dedup as exact
-from jsonloom.llm import decontamination, line_dedup, mixing, near_dedup, sharding, toxicity
+from jsonloom.llm import decontamination, line_dedup, mixing, near_dedup, pii, sharding, toxicity
 from jsonloom.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,14 @@ def op2_site_lines(spark: SparkSession, folder: str) -> DataFrame:
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold benchmark items, exact or edited."""
     return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's personal data: counts and digest of the base spans, and all spans."""
+    rows = pii.find_pii(table(spark, folder, "documents")).withColumn("base", F.array_sort("base"))
+    count = lambda i: F.size(F.filter("base", lambda s: s["order"] == i)).cast("bigint")
+    return rows.select(
+        "doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)],
+        F.sha2(pii.written(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"),
+    )
