@@ -219,7 +219,9 @@ def with_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 found = batch.column("matches").to_pylist()
                 for first, _, body, at in T.pieces(batch.column("text")):
                     hashes, word_at, gram, owner, begin = finder.hits(body, at)
-                    cuts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
+                    if not len(owner):
+                        continue
+                    cuts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
                     for a, b in zip(cuts, np.append(cuts[1:], len(owner)), strict=True):
                         i = owner[a]
                         more = matches(items, hashes[word_at[i] : word_at[i + 1]], gram[a:b], begin[a:b])
