@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jsonloom.llm import exact_dedup as exact
-from jsonloom.llm import decontamination, line_dedup, mixing, near_dedup, pii, sharding, toxicity
+from jsonloom.llm import decontamination, line_dedup, lm_scoring, mixing, near_dedup, pii, sharding, toxicity
 from jsonloom.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,9 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)],
         F.sha2(pii.written(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"),
     )
+
+
+@query()
+def op1_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's log10 probability under the context-mixing model and under unigrams."""
+    return lm_scoring.lm_scores(table(spark, folder, "documents")).drop("row")
