@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jsonloom.llm import exact_dedup as exact
-from jsonloom.llm import decontamination, line_dedup, lm_scoring, mixing, near_dedup, pii, sharding, toxicity
+from jsonloom.llm import chat, decontamination, line_dedup, lm_scoring, mixing, near_dedup, pii, sharding, toxicity
 from jsonloom.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,25 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 def op1_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's log10 probability under the context-mixing model and under unigrams."""
     return lm_scoring.lm_scores(table(spark, folder, "documents")).drop("row")
+
+
+@query(
+    r"""
+    with given as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+    marked as (
+        select *, 22 + length(regexp_replace(role, '([\\<"])', '\\\1', 'g')) + length(regexp_replace(text, '([\\<"])', '\\\1', 'g')) as chars from given)
+    select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+        cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+        sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+        cast(sum(chars) as bigint) as formatted_chars
+    from marked group by conv_id
+    """
+)
+def op4_chat_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one that holds control strings, read back from the prefix tree."""
+    odd = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id bigint, turn bigint, role string, text string")
+    given = table(spark, folder, "conversations").select("conv_id", F.col("turn").cast("bigint").alias("turn"), "role", "text")
+    return chat.chat_report(given.unionAll(more))
