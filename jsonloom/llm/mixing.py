@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #: what a token's first, second and third use costs: repeats cost more the more there are
 REPEAT_COSTS = (0, 1, 3)
 #: fine parts of the hash range; only the part that holds a cut is ordered row by row
-PART_BITS = 16
+PART_BITS = 12
 #: membership patterns that the flow is solved for; more raises an error
 MAX_PATTERNS = 100_000
 

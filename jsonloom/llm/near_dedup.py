@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from jsonloom.llm import text as T
 from jsonloom.llm.components import components
@@ -319,3 +320,26 @@ def _with_owner(placed: DataFrame, owners: DataFrame) -> DataFrame:
     return placed.join(owners, placed["component_id"].eqNullSafe(owners["named"]), "left").select(
         "row", "doc_id", "n_shingles", "component_id", (F.col("row") == F.col("owner")).alias("kept")
     )
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``near_dedup`` keeps, in their own columns.
+
+    Only rows that the bitmap of dropped ids cannot tell from them are shuffled to meet the dropped ids.
+    """
+    dropped = cut_lineage(near_dedup(docs).where(~F.col("kept")).select(F.col("row").alias("node")))
+    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(dropped))
+    rows = docs.select(F.struct("*").alias("document"), F.monotonically_increasing_id().alias("row"))
+    given = rows.select("document", "row", hashed_bit("row").alias("bit"))
+    schema = StructType([*given.schema.fields[:2], StructField("maybe", BooleanType())])
+
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(FILTER_BITS // 64, np.int64)
+        bits[wanted.value[0]] = wanted.value[1]
+        for batch in batches:
+            bit = batch.column(2).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((bits[bit >> 6] >> (bit & 63)) & 1 == 1)], ["document", "row", "maybe"])
+
+    flagged = given.mapInArrow(flag, schema)
+    unsure = flagged.where("maybe").join(dropped, flagged["row"] == dropped["node"], "left_anti")
+    return flagged.where("not maybe").select("document.*").unionAll(unsure.select("document.*"))

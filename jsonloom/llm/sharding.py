@@ -23,18 +23,9 @@ def sized(docs: DataFrame, overhead: int = 8) -> DataFrame:
     )
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = 24, overhead: int = 8) -> DataFrame:
-    """One row per input row: ``doc_id, size, text_crc32, text_hash, copy, shard, slot``.
-
-    Rows are ordered by (doc_id, nulls first; text hashes), dealt to range partitions, and a row's global offset is
-    its partition's offset (the sum of the totals of all partitions before it) plus the running sum inside the
-    partition. Shard k takes the rows whose offset lies in the k-th of ``shards`` equal parts of all bytes, so a
-    shard is a contiguous run of the order and misses its target by one row at most; ``slot`` numbers its rows from 0.
-    Only ids, sizes and hashes are shuffled, never texts. Rows equal in id and text are one unit with a count until
-    the end (``copy`` numbers them), so any number of repeats stays one row of a task.
-
-    Null texts have the size ``overhead``; null ids come first; an empty table gives no rows; other columns are not read.
-    """
+def placed_units(docs: DataFrame, overhead: int) -> DataFrame:
+    """One row per distinct (id, text): its key, ``copies``, and the first copy's place among all bytes and rows
+    (``start`` of ``total``, ``row``)."""
     units = sized(docs, overhead).groupBy("doc_id", "size", "text_crc32", "text_hash").agg(F.count("*").alias("copies"))
     ranged = cut_lineage(units.repartitionByRange(*ROW_KEY).withColumn("part", F.spark_partition_id()))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
@@ -49,15 +40,38 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, overhead: int = 8) -> Data
         )
     )
     inside = Window.partitionBy("part").orderBy(*ROW_KEY, "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        ranged.join(F.broadcast(offsets), "part")
-        .withColumn("start", F.col("bytes_before") + F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inside), F.lit(0)))
-        .withColumn("row", F.col("rows_before") + F.coalesce(F.sum("copies").over(inside), F.lit(0)))
-        .withColumn("run", F.explode(F.expr(f"sequence(0L, (copies - 1) div {RUN})")))
+    return ranged.join(F.broadcast(offsets), "part").select(
+        "doc_id", "size", "text_crc32", "text_hash", "copies", "total",
+        (F.col("bytes_before") + F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inside), F.lit(0))).alias("start"),
+        (F.col("rows_before") + F.coalesce(F.sum("copies").over(inside), F.lit(0))).alias("row"),
+    )
+
+
+def shard_of(shards: int):
+    return F.expr(f"cast(least({shards} - 1, (start + copy * size) * {shards} div total) as int)")
+
+
+def each_copy(units: DataFrame, shards: int) -> DataFrame:
+    return (
+        units.withColumn("run", F.explode(F.expr(f"sequence(0L, (copies - 1) div {RUN})")))
         .withColumn("copy", F.explode(F.expr(f"sequence(run * {RUN}, least(copies, (run + 1) * {RUN}) - 1)")))
-        .withColumn("row", F.col("row") + F.col("copy"))
-        .withColumn("shard", F.expr(f"cast(least({shards} - 1, (start + copy * size) * {shards} div total) as int)"))
+        .withColumns({"shard": shard_of(shards), "row": F.col("row") + F.col("copy")})
     )
+
+
+def shard_by_bytes(docs: DataFrame, shards: int = 24, overhead: int = 8) -> DataFrame:
+    """One row per input row: ``doc_id, size, text_crc32, text_hash, copy, shard, slot``.
+
+    Rows are ordered by (doc_id, nulls first; text hashes), dealt to range partitions, and a row's global offset is
+    its partition's offset (the sum of the totals of all partitions before it) plus the running sum inside the
+    partition. Shard k takes the rows whose offset lies in the k-th of ``shards`` equal parts of all bytes, so a
+    shard is a contiguous run of the order and misses its target by one row at most; ``slot`` numbers its rows from 0.
+    Only ids, sizes and hashes are shuffled, never texts. Rows equal in id and text are one unit with a count until
+    the end (``copy`` numbers them), so any number of repeats stays one row of a task.
+
+    Null texts have the size ``overhead``; null ids come first; an empty table gives no rows; other columns are not read.
+    """
+    placed = each_copy(placed_units(docs, overhead), shards)
     first = placed.groupBy("shard").agg(F.min("row").alias("first"))  # a row per shard
     return placed.join(F.broadcast(first), "shard").select(
         "doc_id", "size", "text_crc32", "text_hash", "copy", "shard", (F.col("row") - F.col("first")).alias("slot")
@@ -65,16 +79,21 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, overhead: int = 8) -> Data
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, overhead: int = 8) -> DataFrame:
-    """``docs`` with ``shard`` and ``slot`` added (``docs`` must not have columns of these names)."""
+    """``docs`` with ``shard`` and ``slot`` added (``docs`` must not have columns of these names).
+
+    The texts are shuffled once, to meet their units; copies of a row are numbered where they meet.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    same = Window.partitionBy("id", "crc", "hash").orderBy("id")
+    some, none = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), F.col("doc_id").isNull()
     rows = docs.select(
-        F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"), F.crc32(text.cast("binary")).alias("crc"), F.xxhash64(text).alias("hash")
-    ).withColumn("nth", F.row_number().over(same).cast("bigint") - 1)
-    places = shard_by_bytes(docs, shards, overhead)
-    joined = rows.join(
-        places,
-        rows["id"].eqNullSafe(places["doc_id"]) & (rows["crc"] == places["text_crc32"])
-        & (rows["hash"] == places["text_hash"]) & (rows["nth"] == places["copy"]),
+        F.struct("*").alias("document"), some.alias("id"), none.alias("no_id"), F.crc32(text.cast("binary")).alias("crc"), F.xxhash64(text).alias("hash")
+    )
+    units = cut_lineage(placed_units(docs, overhead))
+    first = each_copy(units, shards).groupBy("shard").agg(F.min("row").alias("first"))
+    keyed = units.select(
+        some.alias("id"), none.alias("no_id"), F.col("text_crc32").alias("crc"), F.col("text_hash").alias("hash"), "size", "total", "start", "row"
     )
-    return joined.select("row.*", "shard", "slot")
+    key = ["id", "no_id", "crc", "hash"]
+    copies = Window.partitionBy(*key).orderBy("start")
+    met = rows.join(keyed, key).withColumn("copy", F.row_number().over(copies).cast("bigint") - 1).withColumn("shard", shard_of(shards))
+    return met.join(F.broadcast(first), "shard").select("document.*", "shard", (F.col("row") + F.col("copy") - F.col("first")).alias("slot"))
