@@ -36,7 +36,7 @@ def source_targets(sizes: dict[str | None, int], weights: tuple[int, ...] = (1,
             out[s] = float(most * sizes[s])
         left -= sum(out[s] for s in full)
         open_ = [s for s in open_ if s not in out]
-    return out
+    return {s: out[s] for s in names}
 
 
 def min_cost_flow(capacity: list[int], members: list[list[int]], quota: list[int], costs: tuple[int, ...] = REPEAT_COSTS) -> list[int]:
