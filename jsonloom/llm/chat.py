@@ -17,16 +17,20 @@ TRAINED = "assistant"
 #: stands for a null conv_id inside the operator
 NO_ID = -(2**63)
 
-# ---- template: <turn role="user">text</turn>, control strings broken by a backslash
+# ---- template: <turn role="user">text</turn>, control strings in texts escaped
+
+
+_CODES = {"\\": "\\\\", "<": "\\l", '"': "\\q"}
+_NAMED = {code[1]: char for char, code in _CODES.items()}
 
 
 def escaped(text: str) -> str:
-    """Every backslash, < and double quote gets a backslash, so no control string is left."""
-    return re.sub(r'[\\<"]', r"\\\g<0>", text)
+    """Backslash, < and double quote as two characters each, so a text holds no control string."""
+    return re.sub(r'[\\<"]', lambda m: _CODES[m[0]], text)
 
 
 def unescaped(text: str) -> str:
-    return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL)
+    return re.sub(r"\\(.)", lambda m: _NAMED[m[1]], text)
 
 
 def formatted(role: str, text: str) -> tuple[str, int, int]:
