@@ -1,6 +1,6 @@
 """Words, their hashes and shingles over the byte buffers of Arrow string columns.
 
-Everything works on whole buffers with numpy, in pieces of a few megabytes that end at document ends.
+Everything works on whole buffers with numpy, in pieces of some hundred kilobytes that end at document ends.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 #: bytes of text that are worked on at once; a longer document is a piece of its own
-PIECE = 2_000_000
+PIECE = 400_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = (np.random.default_rng(11).integers(0, 2**63, 64, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _VALUES = np.random.default_rng(12).integers(1, 2**63, 256, dtype=np.uint64)
