@@ -10,9 +10,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A variant holds at most 16 MiB. Below this text size a null parse means bad JSON;
-# above it the text parser decides.
+# A variant holds at most 16 MiB. Below this text size a null parse means bad JSON; above it the text parser decides,
+# by the same rules: strings of any length, no NaN, the last of repeated keys counts.
 VARIANT_SAFE_BYTES = 4 * 1024 * 1024
+TEXT_RULES = {"allowNonNumericNumbers": "false", "maxStringLen": "2147483647"}
+
+
+def last_key_wins(spark) -> None:
+    """Variants keep the last of repeated keys, as text parsing into columns does."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
+def last_entries(entries: Column) -> Column:
+    """Entries of an object with each key once: at its first place, with its last value."""
+    keys = F.transform(entries, lambda e: e["key"])
+    once = F.transform(F.array_distinct(keys), lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1))
+    return F.when(F.size(keys) == F.size(F.array_distinct(keys)), entries).otherwise(once)
 
 # variant type -> type name used in profiles; fixed values. Decimals, arrays and objects carry parameters.
 EXACT_TYPES = {"STRING": "str", "BIGINT": "int", "DOUBLE": "float", "FLOAT": "float", "BOOLEAN": "bool"}
@@ -25,13 +38,12 @@ def wrapped(text: Column) -> Column:
 
 
 def is_document(text: Column, variant: Column) -> Column:
-    """True for one well-formed JSON object without repeated keys; ``variant`` is the parse of ``wrapped(text)``."""
+    """True for one well-formed JSON object; ``variant`` is the parse of ``wrapped(text)``."""
     body = F.btrim(text, F.lit(" \t\r\n"))
     looks_like_object = body.startswith("{") & body.endswith("}")
     small = F.octet_length(text) <= VARIANT_SAFE_BYTES
     one_value = F.try_variant_get(variant, "$[1]", "variant").isNull()
-    keys = F.map_keys(F.from_json(text, "map<string,string>"))
-    large_ok = (F.size(F.from_json(wrapped(text), "array<string>")) == 1) & (F.size(keys) == F.size(F.array_distinct(keys)))
+    large_ok = F.size(F.from_json(wrapped(text), "array<string>", TEXT_RULES)) == 1
     return F.coalesce(
         looks_like_object & F.when(variant.isNotNull(), one_value).otherwise(~small & large_ok), F.lit(False)
     )
@@ -62,4 +74,4 @@ def named_type(schema: Column) -> Column:
 
 def record_fields(record: Column) -> Column:
     """Ordered ``array<struct<key,value:variant>>`` of one JSON object."""
-    return F.map_entries(F.from_json(record, "map<string,variant>"))
+    return last_entries(F.map_entries(F.from_json(record, "map<string,variant>")))

@@ -70,12 +70,24 @@ def field_problems(contract: Contract, raw: Column, typed: Column) -> list[Colum
         chain = F.when(has & value.isNull(), F.lit(f"{label}: not {f.type}"))
         if f.required:
             chain = chain.when(~has, F.lit(f"{label}: missing"))
-        if f.low is not None:
-            chain = chain.when(~value.between(f.low, f.high), F.lit(f"{label}: outside {f.low:g}..{f.high:g}"))
+        chain = _ranged(f, value, label, chain)
         problems.append(chain)
     return problems
 
 
+def _ranged(f: Field, value: Column, label: str, chain: Column) -> Column:
+    """Each bound that is given is checked on its own."""
+    if f.low is None and f.high is None:
+        return chain
+    outside = F.lit(False)
+    if f.low is not None:
+        outside |= value < f.low
+    if f.high is not None:
+        outside |= value > f.high
+    shown = ["" if bound is None else f"{bound:g}" for bound in (f.low, f.high)]
+    return chain.when(outside, F.lit(f"{label}: outside {'..'.join(shown)}"))
+
+
 def check_records(records: DataFrame, contract: Contract, text: str = "record") -> DataFrame:
     """Typed columns of every record plus ``violations`` (empty for a valid record). Unknown fields are ignored."""
     parsed = records.withColumn("_raw", F.from_json(text, contract.raw_schema)).withColumn(
@@ -96,8 +108,7 @@ def check_table(df: DataFrame, contract: Contract) -> DataFrame:
         chain = F.when(F.lit(False), F.lit(""))
         if f.required:
             chain = chain.when(value.isNull(), F.lit(f"{label}: missing"))
-        if f.low is not None:
-            chain = chain.when(~value.between(f.low, f.high), F.lit(f"{label}: outside {f.low:g}..{f.high:g}"))
+        chain = _ranged(f, value, label, chain)
         problems.append(chain)
     return _with_rules(df.withColumn("_problems", F.array(*problems)), contract)
 

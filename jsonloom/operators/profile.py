@@ -12,15 +12,14 @@ from jsonloom.operators.ordering import top_per_group
 from jsonloom.operators.shred import RECORD_POSITION
 
 SAMPLES = 10
-SAMPLE_RECORDS = 100
 SCALARS = ("str", "int", "float", "bool", "dict")
 ELEMENTS = (*SCALARS, "list")
 
 
 # Where a table or field was first seen: file, block, and a number that orders the places in a block.
 BLOCK = ["file_order", "path", "block_start"]
-# line (33 bits), record (20 bits), field (10 bits); later records and fields share the last number
-_PLACE = "(line_id & 8589934591) * 1073741824 + least(rec_pos, 1048575) * 1024"
+# line (33 bits), record and field (31 bits each) in one decimal: exact for every size, and hash aggregates take it
+_PLACE = "cast(line_id & 8589934591 as decimal(10,0)) * cast(4611686018427387904 as decimal(19,0)) + cast({} as bigint) * 2147483648 + {}"
 
 
 def _first_seen(per_block: DataFrame, keys: list[str], *facts) -> DataFrame:
@@ -32,7 +31,7 @@ def _first_seen(per_block: DataFrame, keys: list[str], *facts) -> DataFrame:
 
 def table_facts(records: DataFrame) -> DataFrame:
     """``(table, record_count, first_seen)`` per table."""
-    place = F.expr("min((line_id & 8589934591) * 1073741824 + least(table_pos, 1048575)) as place")
+    place = F.expr(f"min({_PLACE.format('0', 'table_pos')}) as place")
     per_block = records.groupBy("table", *BLOCK).agg(F.expr("count(1) as n"), place)
     return _first_seen(per_block, ["table"], F.sum("n").alias("record_count"))
 
@@ -72,7 +71,7 @@ def field_facts(records: DataFrame) -> DataFrame:
         F.expr("max(length(text)) as max_length"),
         F.expr("count(1) as present_count"),
         F.expr("count_if(type is null) as null_count"),
-        F.expr(f"min({_PLACE} + least(pos, 1023)) as place"),
+        F.expr(f"min({_PLACE.format('rec_pos', 'pos')}) as place"),
     )
     return _first_seen(
         per_block, ["table", "field"], *[F.max(f).alias(f) for f in (*flags, "max_length")],
@@ -81,13 +80,10 @@ def field_facts(records: DataFrame) -> DataFrame:
 
 
 def field_samples(records: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    """The first values of every field (of the fields in ``wanted``, a small list of (table, field), if given).
-
-    As everywhere in sampling, a document shows its first 100 records per table.
-    """
-    values = _values(records.where(F.col("rec_pos") < SAMPLE_RECORDS)).where("type is not null")
+    """The first values of every field (of the fields in ``wanted``, a list of (table, field), if given)."""
+    values = _values(records).where("type is not null")
     if wanted is not None:
-        values = values.join(F.broadcast(wanted), ["table", "field"], "left_semi")
+        values = values.join(wanted, ["table", "field"], "left_semi")
     shown = F.when(F.col("type") == "str", F.try_variant_get("value", "$", "string")).otherwise(F.to_json("value"))
     at = F.struct(*RECORD_POSITION, "pos").alias("at")
     first = top_per_group(

@@ -58,7 +58,8 @@ def details(**values: str) -> str:
 
 def sample_list(rows: DataFrame, value: str, order: list[str] | None = None) -> Column:
     """The first few values as an array of text, as a scalar subquery over ``rows``; ``order`` are SQL sort terms."""
-    picked = rows.orderBy(*[F.expr(o) if " " not in o else F.expr(o.split()[0]).desc() for o in order or [name(value)]])
+    terms = [F.expr(o.removesuffix(" desc")).desc() if o.endswith(" desc") else F.expr(o) for o in order or [name(value)]]
+    picked = rows.orderBy(*terms)
     numbered = picked.limit(SAMPLE).selectExpr("monotonically_increasing_id() as p", f"cast({name(value)} as string) as v")
     return numbered.selectExpr("array_sort(collect_list(struct(p, v))).v as s").scalar()
 

@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jsonloom.functions.json_values import is_document, is_object, wrapped
+from jsonloom.functions.json_values import TEXT_RULES, is_document, is_object, last_entries, last_key_wins, wrapped
 from jsonloom.sources.documents import DOC_POSITION
 
 # Position of a record in arrival order.
 RECORD_POSITION = DOC_POSITION + ["table_pos", "rec_pos"]
 
 QUARANTINE = "_quarantine"
+# Table of the one row per document that ``mark_documents`` adds.
+DOCUMENT = "_document"
 
 
 def _bodies(docs: DataFrame) -> DataFrame:
     """Add the entries of the object that holds the tables (the envelope is unwrapped): as text and as variants."""
+    last_key_wins(docs.sparkSession)
     text, variant = F.col("text"), F.col("_variant")
     parsed = docs.withColumn("_variant", F.try_parse_json(wrapped(text)))
     parsed = parsed.withColumns(
@@ -25,14 +28,14 @@ def _bodies(docs: DataFrame) -> DataFrame:
             "_inner": F.try_variant_get(variant, "$[0].data", "map<string,variant>"),
         }
     )
-    inner = F.from_json(text, "data map<string,string>")["data"]
+    inner = F.from_json(text, "data map<string,string>", TEXT_RULES)["data"]
     # too large for a variant: decide from the text
     large = F.col("_ok") & variant.isNull() & F.get_json_object(text, "$.data").startswith("{")
     enveloped = F.coalesce(F.col("_inner").isNotNull() | large, F.lit(False))
     return parsed.withColumns(
         {
             "_enveloped": enveloped,
-            "_texts": F.when(enveloped, inner).otherwise(F.from_json(text, "map<string,string>")),
+            "_texts": F.when(enveloped, inner).otherwise(F.from_json(text, "map<string,string>", TEXT_RULES)),
             "_values": F.coalesce("_inner", F.try_variant_get(variant, "$[0]", "map<string,variant>")),
         }
     )
@@ -41,8 +44,10 @@ def _bodies(docs: DataFrame) -> DataFrame:
 def _records(max_records: int | None):
     """Records of one entry as ``array<struct<record, is_record>>``; empty for scalars, nulls and empty lists."""
     raw, value = F.col("_entry.raw"), F.col("_entry.value")
-    first = F.try_variant_get(value, "$[0]", "variant")
-    texts, values = F.from_json(raw, "array<string>"), F.try_variant_get(value, "$", "array<variant>")
+    texts = F.from_json(raw, "array<string>", TEXT_RULES)
+    # in a document too large for a variant, its list members are variants of their own
+    values = F.when(value.isNotNull(), F.try_variant_get(value, "$", "array<variant>")).otherwise(F.from_json(raw, "array<variant>"))
+    first = F.get(values, F.lit(0))
 
     def pair(record, ok):
         return F.struct(record.alias("record"), ok.alias("is_record"))
@@ -64,8 +69,8 @@ def _records(max_records: int | None):
     )
 
     list_records = (
-        F.when(value.isNull() & F.get(texts, F.lit(0)).startswith("{"), plain)
-        .when(value.isNull(), large_numbers)
+        F.when(values.isNull() & F.get(texts, F.lit(0)).startswith("{"), plain)
+        .when(values.isNull(), large_numbers)
         .when(is_object(first), objects)
         .otherwise(numbers)
     )
@@ -73,13 +78,15 @@ def _records(max_records: int | None):
     is_row = raw.startswith("{") & (is_object(value) | value.isNull())
     limited = F.slice(list_records, 1, max_records) if max_records else list_records
     return (
-        F.when(F.col("_entry.key") == QUARANTINE, F.array(pair(raw, F.lit(False))))
+        F.when(F.col("_entry.key").isin(QUARANTINE, DOCUMENT), F.array(pair(raw, F.lit(False))))
         .when(is_list, limited)
         .when(is_row, F.array(pair(raw, F.lit(True))))
     )
 
 
-def shred(docs: DataFrame, max_records: int | None = None, keep_rejects: bool = False) -> DataFrame:
+def shred(
+    docs: DataFrame, max_records: int | None = None, keep_rejects: bool = False, mark_documents: bool = False
+) -> DataFrame:
     """One row per record: position columns, ``table``, ``record`` (JSON text).
 
     * ``{"data": {...}}`` is unwrapped, otherwise the top level is shredded;
@@ -87,11 +94,12 @@ def shred(docs: DataFrame, max_records: int | None = None, keep_rejects: bool =
       ``(value, index)`` records, an object is a one-row table, the rest is skipped.
 
     ``keep_rejects`` adds unreadable documents (table ``_quarantine``) and list members that are
-    not objects, both with a ``reason``, so one pass over the input serves tables and quarantine.
+    not objects, both with a ``reason``, so one pass over the input serves tables and quarantine. With it,
+    ``mark_documents`` adds a row per document (table ``_document``), also for one that has no records.
     No shuffle: a document is taken apart where it is read.
     """
     entries = F.transform(
-        F.map_entries("_texts"),
+        last_entries(F.map_entries("_texts")),
         lambda e: F.struct(
             e["key"].alias("key"), e["value"].alias("raw"), F.element_at("_values", e["key"]).alias("value")
         ),
@@ -99,9 +107,13 @@ def shred(docs: DataFrame, max_records: int | None = None, keep_rejects: bool =
     broken = F.array(
         F.struct(F.lit(QUARANTINE).alias("key"), F.col("text").alias("raw"), F.lit(None).cast("variant").alias("value"))
     )
+    mark = F.array(
+        F.struct(F.lit(DOCUMENT).alias("key"), F.lit(None).cast("string").alias("raw"), F.lit(None).cast("variant").alias("value"))
+    )
     bodies = _bodies(docs)
     if keep_rejects:
-        bodies = bodies.withColumn("_entries", F.when(F.col("_ok"), entries).otherwise(broken))
+        every = F.when(F.col("_ok"), entries).otherwise(broken)
+        bodies = bodies.withColumn("_entries", F.concat(mark, every) if mark_documents else every)
     else:
         bodies = bodies.where("_ok").withColumn("_entries", entries)
     # The outer form plus a filter on its output: the inner form makes Catalyst filter on the
@@ -109,15 +121,16 @@ def shred(docs: DataFrame, max_records: int | None = None, keep_rejects: bool =
     tables = bodies.select(*DOC_POSITION, F.posexplode_outer("_entries").alias("table_pos", "_entry")).where(
         F.col("_entry").isNotNull()
     )
-    rows = tables.select(
-        *DOC_POSITION, F.col("_entry.key").alias("table"), "table_pos",
-        F.posexplode_outer(_records(max_records)).alias("rec_pos", "_row"),
-    ).where(F.col("_row").isNotNull())
+    # the entry ends here: beside every record its whole text would be carried along, quadratic in the document's size
+    listed = tables.select(*DOC_POSITION, F.col("_entry.key").alias("table"), "table_pos", _records(max_records).alias("_rows"))
+    rows = listed.select(*DOC_POSITION, "table", "table_pos", F.posexplode_outer("_rows").alias("rec_pos", "_row")).where(
+        F.col("_row").isNotNull()
+    )
     out = rows.select(*DOC_POSITION, "table", "table_pos", "rec_pos", "_row.record", "_row.is_record")
     if not keep_rejects:
         return out.where("is_record").drop("is_record")
     reason = F.when(F.col("table") == QUARANTINE, F.lit("not a JSON object")).when(
-        ~F.col("is_record"), F.lit("record is not a JSON object")
+        ~F.col("is_record") & (F.col("table") != DOCUMENT), F.lit("record is not a JSON object")
     )
     return out.withColumn("reason", reason).drop("is_record")
 

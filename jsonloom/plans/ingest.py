@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from jsonloom.operators.contracts import Contract, check_documents, document_records
 from jsonloom.operators.quality.rows import text
-from jsonloom.operators.shred import QUARANTINE, RECORD_POSITION, shred, typed_records
+from jsonloom.operators.shred import DOCUMENT, QUARANTINE, RECORD_POSITION, shred, typed_records
 from jsonloom.plans.catalog import Catalog, discover
 from jsonloom.sources.documents import DOC_POSITION
 from jsonloom.sources.store import Batch, TableStore
@@ -68,9 +68,9 @@ def initialize(store: TableStore, catalog: Catalog) -> None:
             batch.create(table, schema, [key] if key else None)
 
 
-def _staged(store: TableStore, records: DataFrame, batch_id: int) -> DataFrame:
+def _staged(store: TableStore, records: DataFrame, version: str) -> DataFrame:
     """One pass over the input: records land in a folder per table, from which everything else reads."""
-    path = f"{store.root}/_staging/{batch_id}"
+    path = f"{store.root}/_staging/{version}"
     records.withColumn("_table", F.col("table")).write.mode("overwrite").partitionBy("_table").parquet(path)
     # the folder name may look like a number; the column inside keeps the name as it is
     return store.spark.read.option("basePath", path).schema(
@@ -78,8 +78,8 @@ def _staged(store: TableStore, records: DataFrame, batch_id: int) -> DataFrame:
     ).parquet(path)
 
 
-def _drop_staging(store: TableStore, batch_id: int) -> None:
-    for name in (str(batch_id), f"{batch_id}_typed"):
+def _drop_staging(store: TableStore, version: str) -> None:
+    for name in (version, f"{version}_typed"):
         store._fs().delete(store._path("_staging", name), True)
 
 
@@ -96,8 +96,8 @@ def ingest_documents(
         return False
     batch_id = batch.id
     started = datetime.now(timezone.utc)
-    staged = _staged(store, shred(docs, keep_rejects=True), batch_id)
-    records = staged.where((F.col("_table") != QUARANTINE) & F.col("reason").isNull()).drop("_table")
+    staged = _staged(store, shred(docs, keep_rejects=True, mark_documents=True), batch.version)
+    records = staged.where(~F.col("_table").isin(QUARANTINE, DOCUMENT) & F.col("reason").isNull()).drop("_table")
 
     before = stored_catalog(store, options, batch_id - 1)
     if options.frozen and before is not None:
@@ -107,7 +107,7 @@ def ingest_documents(
         catalog = before.merge(found) if before is not None else found
         save_catalog(batch, catalog)
     schemas, keys = catalog.schemas(), catalog.keys()
-    present = {r[0] for r in staged.select("_table").distinct().collect()} - {QUARANTINE}
+    present = {r[0] for r in staged.select("_table").distinct().collect()} - {QUARANTINE, DOCUMENT}
     known = sorted(present & set(schemas))
 
     order = [f"_at_{c}" for c in RECORD_POSITION]
@@ -118,7 +118,7 @@ def ingest_documents(
             *[F.col(c).alias(f"_at_{c}") for c in RECORD_POSITION], "record"
         )
         parsed = typed_records(rows, schemas[table], keep=[*order, "record"])
-        path = f"{store.root}/_staging/{batch_id}_typed/{known.index(table)}"
+        path = f"{store.root}/_staging/{batch.version}_typed/{known.index(table)}"
         parsed.selectExpr(
             *[c for c in parsed.columns if c not in ("record", "lost_fields")], "size(lost_fields) > 0 as _lost",
             "if(size(lost_fields) > 0, record, null) as _record", "array_join(lost_fields, ', ') as _fields",
@@ -146,14 +146,16 @@ def ingest_documents(
     batch.append(REJECTS, reduce(DataFrame.unionByName, lost, rejects), skip_empty=True)
     _count(batch, staged, started, sorted(present - set(schemas)))
     batch.commit()
-    _drop_staging(store, batch_id)
+    _drop_staging(store, batch.version)
     return True
 
 
 def _count(batch: Batch, staged: DataFrame, started: datetime, unknown: list[str]) -> None:
+    """Every document counts once: failed if it is no JSON object, skipped if all its tables are unknown, else processed
+    (also one without records)."""
     per_document = staged.groupBy(*DOC_POSITION).agg(
         F.max(F.col("_table") == QUARANTINE).alias("bad"),
-        F.min(F.col("_table").isin(unknown) if unknown else F.lit(False)).alias("foreign"),
+        F.coalesce(F.min(F.when(F.col("_table") != DOCUMENT, F.col("_table").isin(unknown))), F.lit(False)).alias("foreign"),
     )
     counts = per_document.agg(
         F.count(F.when(~F.col("bad") & ~F.col("foreign"), F.lit(1))).alias("processed"),
@@ -175,7 +177,7 @@ def ingest_contracts(
         return False
     batch_id = batch.id
     started = datetime.now(timezone.utc)
-    path = f"{store.root}/_staging/{batch_id}"
+    path = f"{store.root}/_staging/{batch.version}"
     check_documents(docs, contracts).write.mode("overwrite").parquet(path)
     checked = store.spark.read.parquet(path)
     order = [*DOC_POSITION, "rec_pos"]
@@ -195,5 +197,5 @@ def ingest_contracts(
     row = [(batch_id, counts.processed, counts.failed, 0, started, datetime.now(timezone.utc))]
     batch.append(METRICS, store.spark.createDataFrame(row, METRICS_SCHEMA))
     batch.commit()
-    _drop_staging(store, batch_id)
+    _drop_staging(store, batch.version)
     return True

@@ -35,13 +35,12 @@ def local_session(app: str = "jsonloom", cores: str = "*", partitions: int = 8,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; our own only where none is named."""
+    """The folder the cluster names in spark.checkpoint.dir; our own only in local mode, where none may be named."""
     named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if spark.sparkContext.master.startswith("local"):
-            named = tempfile.mkdtemp(prefix="jsonloom-")
-        else:
-            named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_jsonloom"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="jsonloom-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
     return spark.sparkContext.getCheckpointDir()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jsonloom.functions.json_values import is_document, wrapped
+from jsonloom.functions.json_values import is_document, last_key_wins, wrapped
 
 # Position of a document in arrival order.
 DOC_POSITION = ["file_order", "path", "block_start", "line_id"]
@@ -103,6 +103,7 @@ def sample_documents(
 
 def quarantine(docs: DataFrame) -> DataFrame:
     """Documents that are not one well-formed JSON object, with their whole text."""
+    last_key_wins(docs.sparkSession)
     checked = docs.withColumn("_variant", F.try_parse_json(wrapped(F.col("text"))))
     return (
         checked.where(~is_document(F.col("text"), F.col("_variant")))

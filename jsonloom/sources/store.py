@@ -1,9 +1,11 @@
 """Versioned Parquet tables with keyed upsert.
 
-Layout: ``<root>/<table>/v=<batch>/_bucket=<b>/*.parquet`` and one manifest per batch,
+Layout: ``<root>/<table>/v=<batch>-<random>/_bucket=<b>/*.parquet`` and one manifest per batch,
 ``<root>/_manifest/<batch>.json``, that names the live version of every bucket. A batch writes new versions
-of the buckets it touches, for all its tables, and becomes visible at once when its manifest is renamed into
-place. A batch that has a manifest is not applied again. A stream passes a token (stream, epoch) instead of
+of the buckets it touches, for all its tables, into folders that no other batch has, and becomes visible at once when
+its manifest is put in place. Of two batches with the same number only the first to publish does; the other raises
+:class:`BatchConflict`, has changed nothing that can be read, and is to be made again. A batch that has a manifest is
+not applied again. A stream passes a token (stream, epoch) instead of
 a number of its own; the manifest keeps the last epoch of every stream, so replays are harmless and other writers
 may publish in between.
 """
@@ -11,9 +13,11 @@ may publish in between.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,33 +48,50 @@ def _placed(df: DataFrame, key: list[str], buckets: int, rows: int) -> DataFrame
     return df.withColumns({_BUCKET: _bucket_of(key, buckets), _SPLIT: split}).repartition(_BUCKET, _SPLIT)
 
 
+class BatchConflict(OSError):
+    """Another writer published a batch of this number first."""
+
+
+def _number(version: str) -> int:
+    """The batch a version was written by."""
+    return int(version.split("-")[0])
+
+
 @dataclass
 class TableEntry:
-    """A table in a manifest. ``parts`` are (bucket, batch) pairs; bucket -1 is a whole appended batch."""
+    """A table in a manifest. ``parts`` are (bucket, version) pairs; bucket -1 is a whole appended batch."""
 
     schema: T.StructType
     key: list[str] | None = None
     buckets: int = FEWEST_BUCKETS
-    parts: list[tuple[int, int]] = field(default_factory=list)
-    # schema a batch was written with
-    written: dict[int, T.StructType] = field(default_factory=dict)
+    parts: list[tuple[int, str]] = field(default_factory=list)
+    # schema a version was written with
+    written: dict[str, T.StructType] = field(default_factory=dict)
 
     def to_dict(self) -> dict:
         return {
             "schema": self.schema.jsonValue(), "key": self.key, "buckets": self.buckets,
             "parts": [list(p) for p in self.parts],
-            "written": {str(b): s.jsonValue() for b, s in self.written.items()},
+            "written": _named_schemas(self.written),
         }
 
     @staticmethod
     def from_dict(d: dict) -> TableEntry:
         read = T.StructType.fromJson
         return TableEntry(
-            read(d["schema"]), d["key"], d["buckets"], [tuple(p) for p in d["parts"]],
-            {int(b): read(s) for b, s in d["written"].items()},
+            read(d["schema"]), d["key"], d["buckets"], [(b, v) for b, v in d["parts"]],
+            {v: schema for group in d["written"] for schema in [read(group["schema"])] for v in group["versions"]},
         )
 
 
+def _named_schemas(written: dict[str, T.StructType]) -> list[dict]:
+    """Each schema once, with the versions that have it."""
+    groups: dict[str, list[str]] = {}
+    for version, schema in written.items():
+        groups.setdefault(schema.json(), []).append(version)
+    return [{"schema": json.loads(text), "versions": versions} for text, versions in groups.items()]
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark, self.root = spark, root.rstrip("/")
@@ -105,12 +126,23 @@ class TableStore:
 
     def _publish(self, batch: int, tables: dict[str, TableEntry], applied: dict[str, int]) -> None:
         content = {"tables": {t: e.to_dict() for t, e in tables.items()}, "applied": applied}
-        fs, temporary = self._fs(), self._path("_manifest", f".{_name(batch)}.tmp")
+        fs, temporary = self._fs(), self._path("_manifest", f".{_name(batch)}-{uuid.uuid4().hex}.tmp")
         stream = fs.create(temporary, True)
         stream.write(bytearray(json.dumps(content).encode()))
         stream.close()
-        if not fs.rename(temporary, self._path("_manifest", f"{_name(batch)}.json")):
-            raise OSError(f"batch {batch} was not published")
+        jvm, target = self.spark._jvm, self._path("_manifest", f"{_name(batch)}.json")
+        kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(kind, 1)
+        options[0] = kind.NONE  # the target must not exist
+        try:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration()).rename(
+                fs.makeQualified(temporary), fs.makeQualified(target), options
+            )
+        except Py4JJavaError as error:
+            fs.delete(temporary, False)
+            if "FileAlreadyExistsException" in str(error.java_exception):
+                raise BatchConflict(f"batch {batch} was published by another writer") from None
+            raise
 
     # -- reading -------------------------------------------------------------------------------
 
@@ -126,10 +158,10 @@ class TableStore:
 
     def _read_parts(self, table: str, entry: TableEntry, buckets: set[int] | None = None) -> DataFrame:
         groups: dict[str, list[str]] = {}
-        for bucket, batch in entry.parts:
+        for bucket, version in entry.parts:
             if buckets is None or bucket in buckets:
-                folder = f"{self.root}/{table}/v={batch}" + (f"/{_BUCKET}={bucket}" if bucket >= 0 else "")
-                groups.setdefault(entry.written[batch].json(), []).append(folder)
+                folder = f"{self.root}/{table}/v={version}" + (f"/{_BUCKET}={bucket}" if bucket >= 0 else "")
+                groups.setdefault(entry.written[version].json(), []).append(folder)
         if not groups:
             return self.spark.createDataFrame([], entry.schema)
         frames = [
@@ -151,14 +183,14 @@ class TableStore:
         """Delete data no manifest of the last ``keep`` batches names, and the older manifests."""
         batches = self.batches()
         kept = batches[-keep:]
-        live = {(t, b) for k in kept for t, e in self.manifest(k).items() for _, b in e.parts}
+        live = {(t, v) for k in kept for t, e in self.manifest(k).items() for _, v in e.parts}
         fs, dropped = self._fs(), []
         for table in {t for k in kept for t in self.manifest(k)}:
             folder = self._path(table)
             for status in fs.listStatus(folder) if fs.exists(folder) else []:
                 name = status.getPath().getName()
-                version = int(name[2:]) if name.startswith("v=") else None
-                if version is not None and version <= batches[-1] and (table, version) not in live:
+                version = name[2:] if name.startswith("v=") else None
+                if version is not None and _number(version) <= batches[-1] and (table, version) not in live:
                     fs.delete(status.getPath(), True)
                     dropped.append(f"{table}/{name}")
         for old in batches[:-keep]:
@@ -171,6 +203,7 @@ class Batch:
 
     def __init__(self, store: TableStore, batch_id: int, token: tuple[str, int] | None = None):
         self.store, self.id = store, batch_id
+        self.version = f"{batch_id}-{uuid.uuid4().hex[:12]}"
         before = store._load(batch_id - 1)
         self.entries = {t: TableEntry.from_dict(d) for t, d in before["tables"].items()}
         self.applied: dict[str, int] = before["applied"]
@@ -207,7 +240,7 @@ class Batch:
         return entry
 
     def _folder(self, table: str) -> str:
-        return f"{self.store.root}/{table}/v={self.id}"
+        return f"{self.store.root}/{table}/v={self.version}"
 
     def upsert(
         self, table: str, df: DataFrame, key: list[str], order: list[str], schema: T.StructType | None = None
@@ -244,7 +277,7 @@ class Batch:
             placed = _placed(both, key, entry.buckets, total)
             merged = keep_last(placed, [_BUCKET, _SPLIT, *key], ["_new"]).drop("_new", _SPLIT)
         merged.write.mode("overwrite").partitionBy(_BUCKET).parquet(self._folder(table))
-        entry.parts = [p for p in entry.parts if p[0] not in touched] + [(b, self.id) for b in sorted(touched)]
+        entry.parts = [p for p in entry.parts if p[0] not in touched] + [(b, self.version) for b in sorted(touched)]
         self._written(entry)
 
     def append(
@@ -257,7 +290,7 @@ class Batch:
         align_columns(df, entry.schema).select(*entry.schema.fieldNames()).write.mode("overwrite").parquet(self._folder(table))
         if skip_empty and self.store.spark.read.schema(entry.schema).parquet(self._folder(table)).count() == 0:
             return
-        entry.parts = [p for p in entry.parts if p[1] != self.id] + [(-1, self.id)]
+        entry.parts = [p for p in entry.parts if p[1] != self.version] + [(-1, self.version)]
         self._written(entry)
 
     def compact(self, table: str) -> None:
@@ -276,13 +309,13 @@ class Batch:
             placed = _placed(df, entry.key, entry.buckets, df.count())
             placed.drop(_SPLIT).write.mode("overwrite").partitionBy(_BUCKET).parquet(self._folder(table))
             written = self.store.spark.read.parquet(self._folder(table)).select(_BUCKET).distinct().collect()
-            entry.parts = sorted((r[0], self.id) for r in written)
+            entry.parts = sorted((r[0], self.version) for r in written)
         else:
             df.write.mode("overwrite").parquet(self._folder(table))
-            entry.parts = [(-1, self.id)]
+            entry.parts = [(-1, self.version)]
         entry.written = {}
         self._written(entry)
 
     def _written(self, entry: TableEntry) -> None:
-        used = {b for _, b in entry.parts}
-        entry.written = {b: s for b, s in entry.written.items() if b in used} | {self.id: entry.schema}
+        used = {v for _, v in entry.parts}
+        entry.written = {v: s for v, s in entry.written.items() if v in used} | {self.version: entry.schema}

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from jsonloom.operators.contracts import Contract
-from jsonloom.operators.profile import SAMPLE_RECORDS
 from jsonloom.operators.quality.suite import Rules, count_checks, run_checks
 from jsonloom.operators.shred import shred
 from jsonloom.plans.catalog import discover
@@ -81,12 +80,13 @@ def start_ingest(
 
 def discover_then_ingest(
     spark: SparkSession, source: str, store: TableStore, checkpoint: str, sample_files: int = 50,
-    lines: bool = False, glob: str = "*.json", **settings,
+    sample_records: int = 100, lines: bool = False, glob: str = "*.json", **settings,
 ) -> StreamingQuery:
-    """Two phases: discover the tables on a sample of files, then stream with that catalog."""
+    """Two phases: discover the tables on a sample of files (and records of each table in them), then stream with that
+    catalog."""
     if stored_catalog(store) is None:
         sample = sample_documents(spark, source, sample_files, lines, glob)
-        initialize(store, discover(shred(sample, SAMPLE_RECORDS)))
+        initialize(store, discover(shred(sample, sample_records)))
     settings.setdefault("options", IngestOptions(frozen=True))
     return start_ingest(spark, source, store, checkpoint, lines, glob, **settings)
 

@@ -39,14 +39,8 @@ def _registry_records(spark, folder):
     return shredded(read_documents(spark, registry_documents(spark, folder), lines=True, glob="*"))
 
 
-_catalogs: dict = {}
-
-
 def _catalog(spark, folder, **settings):
-    key = (spark.sparkContext.applicationId, folder, tuple(settings.items()))
-    if key not in _catalogs:
-        _catalogs[key] = discover(_registry_records(spark, folder), **settings)
-    return _catalogs[key]
+    return discover(_registry_records(spark, folder), **settings)
 
 
 def _document_of(path="path"):

@@ -135,3 +135,13 @@ def test_descriptions_edges_scores(spark, folder):
     assert (row.tables, row.tables_with_key, row.completeness_pct, row.score) == (4, 4, 100.0, 100.0)
     row = complexity(catalog.summary).first()
     assert (row.tables, row.fields, row.foreign_keys, row.complexity) == (4, 12, 2, 40 + 24 + 10)
+
+
+def test_order_of_many_fields_and_late_samples(spark, folder):
+    wide = {f"f{i:04d}": i for i in range(1050)} | {"zz_id": 1, "aa_id": 2}
+    late = [{"x": None} for _ in range(150)] + [{"x": "late"}]
+    found = discover(shred(read_documents(spark, folder(doc={"wide": [wide], "late": late}))))
+    order = {r.field: r.field_order for r in found.profile.where("table = 'wide'").collect()}
+    assert (order["zz_id"], order["aa_id"]) == (1051, 1052)
+    assert found.keys()["wide"] == "zz_id"
+    assert found.profile.where("field = 'x'").first().samples == ["late"]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jsonloom.operators.contracts import check_documents, check_records, document_records
+from jsonloom.operators.contracts import Contract, Field, check_documents, check_records, document_records
 from jsonloom.operators.metrics import ingest_status, run_report, size_metrics, table_stats, table_totals
 from jsonloom.plans import school
 from jsonloom.plans.catalog import discover
@@ -19,7 +19,7 @@ from jsonloom.operators.shred import shred
 from jsonloom.sources.documents import list_files, read_documents
 from jsonloom.sources.export import documents, write_files, write_lines
 from jsonloom.sources.reports import run_report_json
-from jsonloom.sources.store import TableStore
+from jsonloom.sources.store import BatchConflict, TableStore
 from jsonloom.streaming.ingest import (
     QUALITY, check_each_batch, compact_every, discover_then_ingest, document_every, in_turn, recount_each_batch, start_ingest,
 )
@@ -252,3 +252,33 @@ def test_command_line(spark, tmp_path, capsys):
     school_files(source, [5])
     assert main(load) == 0
     assert TableStore(spark, store).read("classes").count() == 3
+
+
+def test_one_sided_ranges(spark):
+    contract = Contract("t", "k", (Field("k"), Field("a", "int", high=5), Field("b", "int", low=100)))
+    rows = spark.createDataFrame([('{"k":"x","a":99,"b":1}',), ('{"k":"y","a":5,"b":100}',)], "record string")
+    assert [r.violations for r in check_records(rows, contract).orderBy("k").collect()] == [["t.a: outside ..5", "t.b: outside 100.."], []]
+
+
+def test_two_open_batches_do_not_overwrite(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    row = lambda v: spark.createDataFrame([("k", 1, v)], "k_id string, at int, v string")
+    first, second = store.batch(), store.batch()
+    assert first.id == second.id
+    first.upsert("t", row("first"), ["k_id"], ["at"])
+    second.upsert("t", row("second"), ["k_id"], ["at"])
+    first.commit()
+    with pytest.raises(BatchConflict):
+        second.commit()
+    assert [r.v for r in store.read("t").collect()] == ["first"]
+    with store.batch() as again:
+        again.upsert("t", row("second"), ["k_id"], ["at"])
+    assert [r.v for r in store.read("t").collect()] == ["second"]
+
+
+def test_every_document_is_counted(spark, folder, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    path = folder(rows={"t": [{"t_id": 1}]}, scalar={"n": 5}, empty={"t": []}, bad="{")
+    ingest_documents(store, read_documents(spark, path))
+    row = store.read(METRICS).first()
+    assert (row.processed, row.failed, row.skipped) == (3, 1, 0)

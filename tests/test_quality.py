@@ -146,10 +146,15 @@ def test_suite_summary_reports_and_gate(spark):
     assert report["summary"]["total_checks"] == len(report["detailed_results"]) == s.total_checks
     assert [r["check_name"] for r in report["detailed_results"]][0].startswith("Referential Integrity")
     text = quality_report_markdown(result.checks, result.summary, "now")
-    assert "### Critical Issues (Errors)" in text and "**Mine**: always" in text
+    assert "### Failed" in text and "**Mine**: always" in text
 
 
 def test_unreadable_table_stops_validation(spark, tmp_path):
     assert read_tables(spark, str(tmp_path), ["missing"]) is None
     result = validate(spark, None, Rules())
     assert [r.check_name for r in result.checks.collect()] == ["Table Loading"] and gate(result.summary) == 1
+
+
+def test_key_names_with_blanks(spark):
+    df = spark.createDataFrame([("a",), ("a",)], "`my id` string")
+    assert uniqueness_check("t", df, "my id").first().affected_count == 2

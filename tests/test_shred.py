@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import types as T
 
-from jsonloom.operators.shred import QUARANTINE, shred, typed_records
+from jsonloom.operators.shred import DOCUMENT, QUARANTINE, shred, typed_records
 from jsonloom.sources.documents import (
     list_files, name_timestamp, quarantine, read_documents, sample_documents,
 )
@@ -49,7 +49,7 @@ def test_key_order_is_kept(spark, folder):
     assert record[0].record == '{"b":1,"a":2}'
 
 
-BAD = {"truncated": '{"students":[{"student_id":"S1"', "listed": "[1, 2]", "repeated": '{"a":1,"a":2}', "tail": '{"a":[1]} x', "two": '{"a":1} {"b":2}', "nan": '{"a": NaN}'}
+BAD = {"truncated": '{"students":[{"student_id":"S1"', "listed": "[1, 2]", "tail": '{"a":[1]} x', "two": '{"a":1} {"b":2}', "nan": '{"a": NaN}'}
 
 
 def test_quarantine_keeps_whole_text(spark, folder):
@@ -73,6 +73,27 @@ def test_document_larger_than_a_variant(spark, folder):
     assert quarantine(read_documents(spark, folder(big=big))).count() == 0
 
 
+@pytest.mark.parametrize("filler", ["", "y" * 5_000_000])
+def test_last_of_repeated_keys_wins_at_every_size(spark, folder, filler):
+    document = '{"t":[{"a":1}],"s":"%s","t":[{"a":1,"b":3,"a":2}, "{\\"a\\":5}"]}' % filler
+    path = folder(doc=document)
+    assert quarantine(read_documents(spark, path)).count() == 0
+    rows = shred(read_documents(spark, path), keep_rejects=True).collect()
+    assert [(r.table, json.loads(r.record), r.reason is None) for r in rows] == [("t", {"a": 2, "b": 3}, True), ("t", {"a": 5}, False)]
+
+
+def test_documents_are_marked(spark, folder):
+    path = folder(rows={"t": [{"a": 1}]}, none={"n": 5, "e": []}, bad="[")
+    rows = shred(read_documents(spark, path), keep_rejects=True, mark_documents=True).groupBy("table").count().collect()
+    assert {r["table"]: r["count"] for r in rows} == {DOCUMENT: 3, "t": 1, QUARANTINE: 1}
+
+
+def test_entries_are_not_carried_beside_records(spark, folder):
+    plan = shred(read_documents(spark, folder(doc={"t": [{"a": 1}]})))._jdf.queryExecution().optimizedPlan().toString()
+    inner = plan[: plan.index("Generate posexplode", plan.index("Generate posexplode") + 1)]
+    assert "_entry#" not in inner.split("Generate posexplode")[0] and "_entry.raw" not in inner.split("Generate posexplode")[0]
+
+
 def test_sample_opens_first_files_only(spark, folder):
     path = folder(**{f"f{i}": {"t": [{"a": j} for j in range(5)]} for i in range(4)})
     rows = shred(sample_documents(spark, path, files=2), max_records=3).collect()
