@@ -61,7 +61,7 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> int:
     store = TableStore(spark, args.store, args.buckets)
     settings = {
         "lines": args.lines, "interval": args.interval, "archive_dir": args.processed_dir,
-        "after_batch": document_every(100 if args.interval else 1, args.docs_dir, now) if args.docs_dir and not args.contracts else None,
+        "after_batch": document_every(100, args.docs_dir, now) if args.docs_dir and not args.contracts else None,
     }
     if args.contracts:
         query = start_ingest(spark, args.input_dir, store, args.checkpoint, contracts=school.CONTRACTS, **settings)

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from jsonloom.operators.contracts import Contract
@@ -112,11 +113,16 @@ def recount_each_batch(parent: str, key: str, child: str, child_key: str, column
     return count
 
 
-def document_every(batches: int, folder: str, timestamp: Callable[[], str]) -> AfterBatch:
-    """Write the schema documents after every ``batches`` batches."""
+def document_every(documents: int, folder: str, timestamp: Callable[[], str]) -> AfterBatch:
+    """Write the schema documents after the first batch and then whenever another ``documents`` documents have come in."""
 
     def write(store: TableStore, stream: str, epoch: int) -> None:
-        if epoch % batches == 0:
+        came = F.col("processed") + F.col("failed") + F.col("skipped")
+        counts = store.read(METRICS).agg(F.sum(came).alias("all"), F.max_by(came, "batch").alias("last")).first()
+        if counts["all"] is None:
+            return
+        before = counts["all"] - counts["last"]
+        if before == 0 or counts["all"] // documents > before // documents:
             catalog = stored_catalog(store)
             schema, graph = schema_documents(catalog, timestamp())
             write_text(store.spark, f"{folder}/schema_documentation.json", schema)
