@@ -106,6 +106,17 @@ def test_mix(spark):
     assert taken.count() == sum(r.uses for r in report if r.size)
 
 
+def test_overlapping_sources(spark):
+    """Documents of both sources serve the one that lacks words, and none is taken more than three times."""
+    rows = [(i, "w " * 10, "a", ["a"]) for i in range(30)] + [(100 + i, "w " * 10, "b", ["b"]) for i in range(5)] + [(200 + i, "w " * 10, "ab", ["b", "a"]) for i in range(30)]
+    given = mixing.slim(spark.createDataFrame(rows, SCHEMA + ", members array<string>"), 9, mixing.F.col("members"))
+    decided, sizes, targets = mixing.decide(given)
+    assert sizes == {"a": 600, "b": 350} and targets["a"] + targets["b"] == pytest.approx(950)
+    uses = mixing.with_times(given, decided).collect()
+    assert all(0 <= r.uses <= 3 for r in uses)
+    assert abs(sum(r.uses * r["size"] for r in uses) - 950) <= 20
+
+
 def test_nothing_to_mix(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert mixing.mix_report(mixing.slim(empty, 9)).count() == 0 and mixing.mix_documents(empty).count() == 0
