@@ -213,14 +213,14 @@ def union_by_name(spark, folder):
 
 
 @query("""
-select event_id, cast(floor(value) as bigint) as value_or_null, cast(null as varchar) as note, event_type,
+select event_id, case when value = floor(value) then cast(value as bigint) end as value_or_null, cast(null as varchar) as note, event_type,
  case when value = floor(value) then 0 else 1 end as lost from events
 """)
 def align_columns(spark, folder):
     events = load(spark, folder, "events").select("event_id", F.col("value").alias("whole"), "value", "event_type")
     schema = T.StructType.fromDDL("event_id bigint, whole bigint, note string, event_type string")
     return aligned(events, schema).select(
-        "event_id", F.coalesce("whole", F.floor("value")).alias("value_or_null"), "note", "event_type",
+        "event_id", F.col("whole").alias("value_or_null"), "note", "event_type",
         F.size("lost_fields").cast("bigint").alias("lost"),
     )
 
