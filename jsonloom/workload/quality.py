@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from jsonloom.operators.metrics import table_stats as stats_of
 from jsonloom.operators.metrics import table_totals as totals_of
 from jsonloom.operators.metrics import run_report as scored_runs
+from jsonloom.operators.quality.affected import affected_rows as all_affected
 from jsonloom.operators.quality.capacity import CapacityRule, EntityLimit
 from jsonloom.operators.quality.consistency import FieldRule, table_checks
 from jsonloom.operators.quality.integrity import Reference
@@ -188,3 +189,18 @@ def run_report(spark, folder):
     return scored_runs(runs).select(
         "c_mktsegment", F.round("efficiency", 8).alias("efficiency"), F.round("overall_score", 8).alias("overall_score")
     )
+
+
+@query(_TABLES_SQL[: _TABLES_SQL.index(",\n found as")] + """
+select 'Referential Integrity: orders.customer_id → customers.customer_id' as check_name, customer_id::varchar as key, count(*) as n
+ from orders_ where customer_id is not null and customer_id not in (select customer_id from customers) group by 2
+union all select 'Customer Capacity', customer_id::varchar, 1 from customers c
+ where (select count(*) from orders_ o where o.customer_id = c.customer_id) > c.max_orders
+union all select 'Primary Key Uniqueness: lineitems.order_id', order_id::varchar, count(*) from lineitems group by order_id having count(*) > 1
+union all select 'Order Limits', customer_id::varchar, 1 from orders_ where customer_id is not null group by customer_id having count(*) > 8
+union all select 'Balance Consistency', customer_id::varchar, 1 from customers
+ where (balance < 0 and nation_id > 12) or (balance > 9000 and nation_id < 12)
+""")
+def affected_rows(spark, folder):
+    """Every record that a failed check names, counted per check and key."""
+    return all_affected(spark, faulty_registry(spark, folder), RULES).groupBy("check_name", "key").agg(F.count("*").alias("n"))
