@@ -90,7 +90,7 @@ def test_token_probabilities_sum_to_one():
     size = (1 << lm_scoring.TABLE_BITS) // lm_scoring.CHUNKS
     for batch in lm_scoring.packed_counts(iter([rows]), code, 2):
         for part, chunk, zeros, ones in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            pair = [lm_scoring.coded(np.frombuffer(zlib.decompress(x), np.int64)).astype(np.uint16) for x in (zeros, ones)]
+            pair = [lm_scoring.coded(np.frombuffer(zlib.decompress(x), np.uint32)).astype(np.uint16) for x in (zeros, ones)]
             tables[part, chunk * size : (chunk + 1) * size] = pair[0] << 8 | pair[1]
     mixer = lm_scoring.Mixer(code, tables)
     mixer.learn(lm_scoring._as_text(pa.array([b"ab", b"a", b""] * 20)), np.array([0, 1, 0] * 20), np.ones(60), 2)
