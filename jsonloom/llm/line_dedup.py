@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 RATIO = 0.1
 #: hosts with fewer pages have no boilerplate: one page in two is no evidence
 MIN_PAGES = 4
+#: pages of a host that one part of it holds where pages meet their host's lines
+PART_PAGES = 4096
 
 
 def host(url: Column) -> Column:
@@ -30,8 +32,9 @@ def line_dedup(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
     For each host and line, the pages that hold the line are divided by the host's pages; lines above ``ratio`` go, on
     hosts with at least ``min_pages`` pages. Counts run over line hashes, pre-aggregated before they are shuffled, so a
     host with a third of all pages is no hot task. A host has at most (lines of a page) / ratio such lines, as the
-    shares of all its lines sum to the lines of a page; they come to its pages as one array, by a join that adaptive
-    execution splits where a host is large.
+    shares of all its lines sum to the lines of a page; they come to its pages as one array. Where the two meet, a host
+    with more than PART_PAGES pages is dealt in parts; the list of such hosts, which is broadcast for that, has at most
+    pages / PART_PAGES rows.
 
     Null pages have no lines; pages without a host (null or odd URLs) form one site; repeated rows count as pages.
     A line repeated on a page counts once, and all its places go. An empty table gives no rows; other columns are not
@@ -46,7 +49,11 @@ def line_dedup(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
         .where(F.col("n") > F.lit(ratio) * F.col("pages"))
         .groupBy("host").agg(F.collect_list("line").alias("common"))
     )
-    joined = cut.join(common, "host", "left").withColumn("common", F.coalesce("common", F.array().cast("array<bigint>")))
+    large = F.broadcast(totals.where(F.col("pages") > PART_PAGES).select("host", F.ceil(F.col("pages") / PART_PAGES).alias("parts")))
+    parts = F.coalesce(F.col("parts"), F.lit(1))
+    dealt = cut.join(large, "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "lines"), parts)).drop("parts")
+    copied = common.join(large, "host", "left").select("host", "common", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part"))
+    joined = dealt.join(copied, ["host", "part"], "left").withColumn("common", F.coalesce("common", F.array().cast("array<bigint>")))
     stay = F.filter("lines", lambda x: ~F.array_contains(F.col("common"), F.xxhash64(x)))
     return joined.withColumn("stay", stay).select(
         "page_id", "host", F.size("lines").cast("bigint").alias("n_lines"),

@@ -143,7 +143,9 @@ def test_sketch_limit_lets_threshold_pairs_through():
         assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= near_dedup.sketch_limit()
 
 
-def test_line_dedup(spark):
+@pytest.mark.parametrize("part", [4096, 7])
+def test_line_dedup(spark, monkeypatch, part):
+    monkeypatch.setattr(line_dedup, "PART_PAGES", part)
     page = lambda *ls: "<html><script>x\ny</script><body>" + "".join(f"<p>{x}</p>\n" for x in ls) + "<!-- c --></body></html>"
     rows = [(i, f"http://A.org/{i}", page("menu", f"own {i}", f"own {i}", "foot" if i % 20 == 0 else "")) for i in range(40)]
     rows += [(50 + i, "https://small.org:80/x", page("menu")) for i in range(3)] + [(60, None, None), (61, "", ""), (62, "odd", "<p>menu")]
