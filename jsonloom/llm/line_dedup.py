@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 RATIO = 0.1
 #: hosts with fewer pages have no boilerplate: one page in two is no evidence
 MIN_PAGES = 4
+#: pages that must hold a line before it is boilerplate, however few pages its host has
+SUPPORT = 3
 #: pages of a host that one part of it holds where pages meet their host's lines
 PART_PAGES = 4096
 
@@ -26,11 +28,12 @@ def lines(html: Column) -> Column:
     return F.filter(cut, lambda x: x != "")
 
 
-def line_dedup(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def line_dedup(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, support: int = SUPPORT) -> DataFrame:
     """One row per page: ``page_id, host, n_lines, n_dropped, text`` (the lines that stay, in order).
 
     For each host and line, the pages that hold the line are divided by the host's pages; lines above ``ratio`` go, on
-    hosts with at least ``min_pages`` pages. Counts run over line hashes, pre-aggregated before they are shuffled, so a
+    hosts with at least ``min_pages`` pages, if at least ``support`` pages hold them (else a line of one page would be
+    boilerplate on every host with fewer than 1 / ratio pages). Counts run over line hashes, pre-aggregated before they are shuffled, so a
     host with a third of all pages is no hot task. A host has at most (lines of a page) / ratio such lines, as the
     shares of all its lines sum to the lines of a page; they come to its pages as one array. Where the two meet, a host
     with more than PART_PAGES pages is dealt in parts; the list of such hosts, which is broadcast for that, has at most
@@ -46,7 +49,7 @@ def line_dedup(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
     held = cut.select("host", F.explode(F.array_distinct(hashed)).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
     common = (
         held.join(totals.where(F.col("pages") >= min_pages), "host")
-        .where(F.col("n") > F.lit(ratio) * F.col("pages"))
+        .where((F.col("n") > F.lit(ratio) * F.col("pages")) & (F.col("n") >= support))
         .groupBy("host").agg(F.collect_list("line").alias("common"))
     )
     large = F.broadcast(totals.where(F.col("pages") > PART_PAGES).select("host", F.ceil(F.col("pages") / PART_PAGES).alias("parts")))

@@ -110,8 +110,8 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def op2_site_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Every page's text without its site's boilerplate lines."""
-    return line_dedup.line_dedup(table(spark, folder, "pages"))
+    """Every page's text without its site's boilerplate lines, by the SQL's rule (no least number of pages for a line)."""
+    return line_dedup.line_dedup(table(spark, folder, "pages"), support=1)
 
 
 @query()

@@ -157,6 +157,14 @@ def test_line_dedup(spark, monkeypatch, part):
     assert (got[60].host, got[60].n_lines, got[60].text) == ("", 0, "") and got[62].text == "menu"
 
 
+@pytest.mark.parametrize("pages", [4, 9, 10, 19])
+def test_line_dedup_keeps_lines_of_few_pages(spark, pages):
+    rows = [(i, "http://a.org/x", f"<p>menu<p>own {i}<p>{'pair' if i < 2 else 'other'} {min(i, 2)}" + ("<p>two" if i < 2 else "")) for i in range(pages)]
+    got = {r.page_id: r.text for r in line_dedup.line_dedup(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[0] == "own 0\npair 0\ntwo" and got[1] == "own 1\npair 1\ntwo"
+    assert got[3] == ("own 3\nother 2" if pages == 4 else "own 3")
+
+
 def test_line_dedup_odd_tables(spark):
     empty = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert line_dedup.line_dedup(empty).count() == 0
