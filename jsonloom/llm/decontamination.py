@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment over words."""
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment over words."""
 
 from __future__ import annotations
 
@@ -15,8 +15,6 @@ from jsonloom.llm import text as T
 
 #: words of a seed
 SEED = 4
-#: a seed is rare if at most one in so many documents has it
-RARE = 1000
 #: alignment scores of a matching word, another word and a gap
 MATCH, OTHER, GAP = 2, -1, -1
 #: share of a whole copy's score from which on a document counts as contaminated
@@ -70,14 +68,6 @@ class Items:
         """A broadcast of the block's parts; ``Items(*value)`` in tasks."""
         return docs.sparkSession.sparkContext.broadcast(tuple(vars(self).values()))
 
-    def kept(self, grams: np.ndarray) -> Items:
-        """The same block with only the (sorted) n-grams at the given indexes."""
-        counts = np.diff(self.place_at)[grams]
-        places = np.concatenate([np.arange(self.place_at[g], self.place_at[g + 1]) for g in grams] or [np.zeros(0, np.int64)]).astype(np.int64)
-        return Items(
-            self.ids, self.words, self.grams[grams], np.concatenate(([0], np.cumsum(counts))), self.place_item[places], self.place_word[places]
-        )
-
 
 class Finder:
     """Places of a block's n-grams in texts."""
@@ -117,21 +107,35 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def reachable(held: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The best alignment score that items could reach, given which of their words a text holds at all (``held``, item
+    after item, cut at ``cuts``, no item empty): a held word scores a match, any other one costs a gap, and the stretch
+    of the item is free. No alignment scores above it, so an item below SCORE here needs none."""
+    total = np.concatenate(([0], np.cumsum(np.where(held, MATCH, GAP))))
+    sizes = np.diff(cuts)
+    # a large step down from item to item lets one running minimum serve all
+    drop = np.repeat(np.arange(len(sizes)) * -(2 * (MATCH - GAP) * (len(held) + 1)), sizes)
+    low = np.minimum.accumulate(total[:-1] + drop) - drop
+    return np.maximum(np.maximum.reduceat(total[1:] - low, cuts[:-1]), 0)
+
+
 def matches(items: Items, words: np.ndarray, grams: np.ndarray, begins: np.ndarray) -> list[dict]:
     """The items that one text holds, from the seeds found in it."""
-    near: dict[int, list[int]] = {}
-    seeds: dict[int, set[int]] = {}
-    for g, b in zip(grams.tolist(), begins.tolist(), strict=True):
-        for p in range(items.place_at[g], items.place_at[g + 1]):
-            item = int(items.place_item[p])
-            near.setdefault(item, []).append(b - int(items.place_word[p]))
-            seeds.setdefault(item, set()).add(g)
+    places = items.place_at[grams + 1] - items.place_at[grams]
+    at = np.repeat(items.place_at[grams] - np.cumsum(places) + places, places) + np.arange(places.sum())
+    owner, diagonal, seed = items.place_item[at], np.repeat(begins, places) - items.place_word[at], np.repeat(grams, places)
+    order = np.argsort(owner, kind="stable")
+    owner, diagonal, seed = owner[order], diagonal[order], seed[order]
+    near, starts = np.unique(owner, return_index=True)
+    ends = np.append(starts[1:], len(owner))
+    cuts = np.concatenate(([0], np.cumsum([len(items.words[i]) for i in near])))
+    some = reachable(np.isin(np.concatenate([items.words[i] for i in near]), words), cuts) >= SCORE * MATCH * np.diff(cuts)
     out = []
-    for item, diagonals in sorted(near.items()):
+    for item, a, b in zip(near[some].tolist(), starts[some], ends[some], strict=True):
         hashes = items.words[item]
         slack = len(hashes) // 2 + SEED
         spans: list[list[int]] = []
-        for d in sorted(set(diagonals)):
+        for d in np.unique(diagonal[a:b]).tolist():
             low, high = max(0, d - slack), min(len(words), d + len(hashes) + slack)
             if spans and low <= spans[-1][1]:
                 spans[-1][1] = max(high, spans[-1][1])
@@ -139,13 +143,15 @@ def matches(items: Items, words: np.ndarray, grams: np.ndarray, begins: np.ndarr
                 spans.append([low, high])
         best = (0, 0, 0)
         for low, high in spans:
+            if reachable(np.isin(hashes, words[low:high]), np.array([0, len(hashes)]))[0] < SCORE * MATCH * len(hashes):
+                continue
             score, i, j = align(hashes, words[low:high])
             if score > best[0]:
                 back, _, k = align(hashes[:i][::-1], words[low : low + j][::-1])
                 best = (score, low + j - k, low + j)
         share = best[0] / (MATCH * len(hashes))
         if share >= SCORE:
-            out.append({"item_id": items.ids[item], "score": share, "word_start": best[1], "word_end": best[2], "seeds": len(seeds[item])})
+            out.append({"item_id": items.ids[item], "score": share, "word_start": best[1], "word_end": best[2], "seeds": len(np.unique(seed[a:b]))})
     return out
 
 
@@ -160,56 +166,20 @@ def blocks(benchmark: DataFrame) -> Iterator[Items]:
         yield Items.of([r.item_id for r in rows], [r.text for r in rows])
 
 
-def document_counts(docs: DataFrame, items: Items) -> np.ndarray:
-    """The number of documents that have each of the block's n-grams."""
-    shared = items.shared(docs)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(Items(*shared.value))
-        total = np.zeros(len(finder.grams), np.int64)
-        for batch in batches:
-            for _, _, body, at in T.pieces(batch.column(0)):
-                _, _, gram, owner, _ = finder.hits(body, at)
-                pairs = np.unique(owner * len(total) + gram)
-                total += np.bincount(pairs % max(1, len(total)), minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["gram", "n"])
-
-    out = np.zeros(len(items.grams), np.int64)
-    for r in docs.select("text").mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        out[r.gram] = r.n  # the n-grams of a block
-    return out
-
-
-def rare_seeds(items: Items, counts: np.ndarray, documents: int) -> Items:
-    """The n-grams that are rare in the corpus and, for every item, the rarest half of its own (so an item whose copies
-    fill the corpus keeps seeds too)."""
-    keep = counts * RARE <= documents
-    gram = np.repeat(np.arange(len(items.grams)), np.diff(items.place_at))
-    order = np.lexsort((gram, counts[gram], items.place_item))
-    item = items.place_item[order]
-    starts = np.flatnonzero(np.append(True, item[1:] != item[:-1])) if len(item) else np.zeros(0, np.int64)
-    sizes = np.diff(np.append(starts, len(item)))
-    rank = np.arange(len(item)) - np.repeat(starts, sizes)
-    keep[gram[order][2 * rank < np.repeat(sizes, sizes)]] = True
-    return items.kept(np.flatnonzero(keep))
-
-
 def with_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``row`` (the whole input row as a struct) and ``matches``, the items its text holds: item_id, score (share of a
     whole copy's alignment score), word_start and word_end in the text (words are runs of letters and digits), seeds.
 
-    Each block of items is one pass that counts its n-grams in the corpus and one that finds its rare seeds in the
-    documents and aligns the item with the words around them; nothing is shuffled but the counts. Work follows the
-    documents' bytes and the seeds found; a text that repeats an item is aligned once over the joint stretch.
+    Each block of items is one pass that finds the items' n-grams, frequent ones too, in the documents and aligns the item
+    with the words around them; nothing is shuffled. Where the words that a text shares with an item cannot reach SCORE in
+    any order, the alignment is left out (``reachable``), which loses nothing. Work follows the documents' bytes and the
+    seeds found; a text that repeats an item is aligned once over the joint stretch.
     Null texts hold nothing. Items with fewer than SEED words, and null ones, cannot be told from chance and are not
     looked for. Equal items, null and repeated ids are looked for one by one.
     """
     out = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"), F.array().cast(MATCHES).alias("matches"))
-    documents = None
     for items in blocks(benchmark):
-        documents = docs.count() if documents is None else documents
-        seeds = rare_seeds(items, document_counts(docs, items), documents).shared(docs)
+        seeds = items.shared(docs)
         schema = StructType([out.schema["row"], out.schema["text"], StructField("matches", MATCHES)])
 
         def find(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:

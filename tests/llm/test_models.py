@@ -167,6 +167,35 @@ def test_decontamination(spark):
     assert sorted(r.doc_id for r in clean.collect()) == sorted({i for i in range(80) if i % 2 == 0} | {90, 91})
 
 
+@pytest.mark.parametrize("exact", [0, 1, 300])
+def test_decontamination_of_heavy_edits(spark, exact):
+    """One word in four changed, in tables of under 1000 documents, alone and beside exact copies."""
+    draw, rows, want = random.Random(6), [], set()
+    items = [(i, " ".join(f"{draw.choice('abcdefgh')}{draw.randrange(300)}" for _ in range(40))) for i in range(8)]
+    for item, text in items:
+        for k in range(6):
+            words = text.split()
+            for at in draw.sample(range(40), 10):
+                words[at] = f"new{draw.randrange(1000)}"
+            if any(all(w[:3] != "new" for w in words[j : j + 4]) for j in range(37)):
+                want.add((len(rows), item))
+            rows.append((len(rows), f"{prose(draw, 60)} {' '.join(words)} {prose(draw, 60)}", "en"))
+    rows += [(1000 + k, f"{prose(draw, 5)} {items[0][1]}", "en") for k in range(exact)]
+    got = decontamination.contaminated(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert len(want) > 40 and want | {(1000 + k, 0) for k in range(exact)} == {(r.doc_id, r.item_id) for r in got}
+
+
+def test_reachable_is_no_less_than_the_alignment():
+    draw = np.random.default_rng(7)
+    items = [draw.integers(0, 12, draw.integers(1, 15)).astype(np.uint64) for _ in range(200)]
+    words = draw.integers(0, 9, 14).astype(np.uint64)
+    cuts = np.concatenate(([0], np.cumsum([len(x) for x in items])))
+    most = decontamination.reachable(np.isin(np.concatenate(items), words), cuts)
+    for item, bound in zip(items, most, strict=True):
+        assert bound >= decontamination.align(item, words)[0]
+        assert bound == max(sum(2 if w in words else -1 for w in item[i:j]) for i in range(len(item)) for j in range(i, len(item) + 1))
+
+
 def test_decontamination_odd_tables(spark):
     given = spark.createDataFrame([(1, "a b c d e", "x")], "doc_id bigint, text string, matches string")
     none = spark.createDataFrame([], "item_id bigint, text string")
