@@ -265,6 +265,30 @@ def test_trees_add_spans(spark):
     assert got[5000].base == ""
 
 
+def private_rows(draw, n):
+    """Base forms and number runs, and from 5000 on other forms beside cue words."""
+    rows = []
+    for i in range(n):
+        card = f"4{draw.randrange(10**14):014}"
+        card += next(d for d in "0123456789" if passes("card", card + d))
+        number = f"+1 ({draw.randrange(200, 999)}) 555-{draw.randrange(1000, 9999)}"
+        rows.append((i, f"call {prose(draw, 3)} phone {number} or mail m{i}@x{i % 9}.org, card {card[:4]}-{card[4:8]}-{card[8:12]}-{card[12:]} {prose(draw, 3)}", "en"))
+        rows.append((1000 + i, f"sum {draw.randrange(100, 999)} {draw.randrange(100, 999)} {draw.randrange(1000, 9999)} and {prose(draw, 3)}", "en"))
+    return rows + [(5000, "phone 001 (637) 555-3926 now", "en"), (5001, "mail joe (at) example (dot) org", "en"), (5002, "phone 1-637-555-3926 now", "en")]
+
+
+@pytest.mark.parametrize("runs", [0, 30_000])
+def test_trees_add_other_forms(spark, runs):
+    """Beside many more number runs than base forms, too."""
+    draw = random.Random(8)
+    rows = private_rows(draw, 300) + [(10_000 + i, " ".join(f"sum {draw.randrange(100, 999)} {draw.randrange(100, 999)} {draw.randrange(1000, 9999)}" for _ in range(100)), "en") for i in range(runs // 100)]
+    got = {r.doc_id: r for r in written(spark, rows)}
+    assert (got[5000].base, got[5000].spans) == ("", "phone:6:24")
+    assert (got[5001].base, got[5001].spans) == ("", "email:5:31")
+    assert (got[5002].base, got[5002].spans) == ("", "phone:6:20")
+    assert all(r.spans == "" for i, r in got.items() if 1000 <= i < 5000 or i >= 10_000)
+
+
 def test_redaction(spark, tmp_path):
     rows = [(1, "mail a@b.co and 1.2.3.4!", "en"), (2, None, "en"), (3, "plain", "en")]
     spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "docs"))
