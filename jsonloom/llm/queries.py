@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jsonloom.llm import exact_dedup as exact
-from jsonloom.llm import chat, decontamination, line_dedup, lm_scoring, mixing, near_dedup, pii, sharding, toxicity
+from jsonloom.llm import chat, decontamination, lexical, line_dedup, lm_scoring, mixing, near_dedup, pieces, pii, sharding, toxicity, vector_codes
 from jsonloom.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +158,84 @@ def op4_chat_tree(spark: SparkSession, folder: str) -> DataFrame:
     more = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id bigint, turn bigint, role string, text string")
     given = table(spark, folder, "conversations").select("conv_id", F.col("turn").cast("bigint").alias("turn"), "role", "text")
     return chat.chat_report(given.unionAll(more))
+
+
+def _part_sql(books: str, parts: str) -> str:
+    """SQL of the nearest entry of each part, lower entries first in ties."""
+    return f"""
+        select row, part, arg_min(entry, (far, entry)) as entry, min(far) as far from (
+            select p.row, p.part, entry, list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as far
+            from {parts} p join {books} b on p.part = b.part) group by row, part"""
+
+
+def _mean_sql(near: str, books: str) -> str:
+    """SQL of the entries' floored means; unused entries stay."""
+    mean = ", ".join(f"cast(floor(sum(p.x[{j}]) / count(*)) as bigint)" for j in range(1, 5))
+    return f"""
+        select b.part, b.entry, coalesce(m.x, b.x) as x from {books} b left join (
+            select n.part, n.entry, [{mean}] as x from {near} n join parts p using (row, part) group by n.part, n.entry) m using (part, entry)"""
+
+
+@query(
+    f"""
+    with kept as (
+        select row_number() over (order by vec_id) as row, vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+        from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    parts as (
+        select row, part, list_slice(v, 4 * part + 1, 4 * part + 4) as x from kept, (select unnest(range(16)) as part)),
+    b0 as (select part, row - 1 as entry, x from parts where row <= 64),
+    n0 as ({_part_sql("b0", "parts")}), b1 as ({_mean_sql("n0", "b0")}),
+    n1 as ({_part_sql("b1", "parts")}), b2 as ({_mean_sql("n1", "b1")}),
+    n2 as ({_part_sql("b2", "parts")}),
+    coded as (select row, string_agg(lower(printf('%02x', entry)), '' order by part) as code, cast(sum(far) as bigint) as error from n2 group by row),
+    books as (select sha256(string_agg(array_to_string(x, ','), ',' order by part, entry)) as codebooks_sha256 from b2)
+    select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+    from coded join kept using (row), books
+    """
+)
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every kept vector's code of 16 parts from codebooks of 64 entries after 2 rounds."""
+    coded, codes = vector_codes.encode_vectors(table(spark, folder, "embeddings"), parts=16, entries=64, rounds=2)
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
+@query(
+    r"""
+    with given as (
+        select row_number() over () as row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+        from documents),
+    docs as (select row, doc_id, w, len(w) as n from given where len(w) > 0),
+    totals as (select count(*) as nd, cast(sum(n) as bigint) as nl from docs),
+    items as (
+        select row_number() over () as i, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as w
+        from benchmark),
+    asked as (select i, unnest(w) as term from items),
+    cells as (
+        select row, term, count(*) as tf from (select row, unnest(w) as term from docs) where term in (select term from asked) group by row, term),
+    weights as (
+        select term, cast(floor(1000 * ln((2 * nd + 2) / (2 * df + 1))) as bigint) as weight
+        from (select term, count(*) as df from cells group by term), totals),
+    scored as (
+        select i, row, cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * nd) // nl))))) as bigint) as score
+        from asked join weights using (term) join cells using (term) join docs using (row), totals group by i, row),
+    ranked as (select *, row_number() over (partition by i order by score desc, doc_id) as rank from scored join docs using (row) where score > 0)
+    select item_id, cast(rank as integer) as rank, doc_id, score from ranked join items using (i) where rank <= 50
+    """
+)
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    index = lexical.build_index(table(spark, folder, "documents"))
+    return lexical.search(index, table(spark, folder, "benchmark"), k=50)
+
+
+@query()
+def op13_piece_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's piece ids and what they decode to, as digests."""
+    encoded = pieces.encode(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    written = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(written.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
