@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jsonloom.llm.blocks import BLOCK, offsets, packed, text_blocks, unpacked
+from jsonloom.llm.blocks import offsets, packed, text_blocks, unpacked
 from jsonloom.llm.text import MARKS, buffer
 from jsonloom.session import cut_lineage
 
@@ -28,8 +28,10 @@ from jsonloom.session import cut_lineage
 ITEMS, ITEM_BYTES = 2_000, 4_000_000
 #: ranges of an item that are opened at once
 OPENED = 48
-#: (item, term) paths that are followed at once
-PATHS = 400_000
+#: (item, term) pairs that are searched together in a tile, and paths that are followed at once
+PAIRS, PATHS = 1_500, 100_000
+#: bytes of text in a tile; a longer document is a tile of its own
+TILE = 4_000_000
 #: one tile in so many is searched first; its scores are floors for the others
 FIRST = 8
 
@@ -156,7 +158,7 @@ class Index:
         self.tiles, self.n_docs, self.n_terms = tiles, n_docs, n_terms
 
 
-def build_index(docs: DataFrame, tile_bytes: int = BLOCK) -> Index:
+def build_index(docs: DataFrame, tile_bytes: int = TILE) -> Index:
     """Index all terms of all documents (``doc_id``, ``text``; other columns are not read)."""
     given = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
     n_docs, n_terms = totals(given)
@@ -303,11 +305,17 @@ def search_tile(tile: Tile, owner: np.ndarray, term: np.ndarray, weight: np.ndar
 
 
 def _search(asked: pa.Array, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, floor: np.ndarray, k: int):
+    # items in groups, so that what is open in a tile at once does not grow with the items
+    items, firsts = np.unique(owner, return_index=True)
+    group = firsts // PAIRS
+    cuts = [*firsts[np.flatnonzero(np.append(True, group[1:] != group[:-1]))], len(owner)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for terms, body in zip(batch.column("terms"), batch.column("treap")):
                 tile = Tile(terms.as_py(), body.as_py(), asked)
-                item, column, score = search_tile(tile, owner, term, weight, floor.copy(), k)
+                found = [search_tile(tile, owner[a:b], term[a:b], weight[a:b], floor.copy(), k) for a, b in zip(cuts, cuts[1:])]
+                item, column, score = (np.concatenate(x) for x in zip(*found))
                 ids = tile.doc_ids.take(pa.array(column))
                 order = np.lexsort((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), -score, item))
                 begins = np.searchsorted(item[order], item[order], "left")
