@@ -8,6 +8,7 @@ not depend on its neighbours.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,11 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from jsonloom.llm.blocks import BLOCK, offsets, packed, text_blocks, unpacked
-from jsonloom.session import cut_lineage
+from jsonloom.session import scratch_path
 
 MARK = "▁"
-#: rows that go back to Spark in one batch hold about this much text
-OUT = 2_000_000
+#: ids that go back to Spark in one batch, about
+OUT = 500_000
 #: chunks that the library segments in one call
 CALL = 4096
 
@@ -96,7 +97,8 @@ def _cut(buckets: int, size: int):
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.diff(bucket[order])) + 1
                 for part in np.split(order, cuts):
-                    rows.append((int(bucket[part[0]]), packed(pa.table({"number": part, "chunk": chunks.take(pa.array(part))}))))
+                    steps = np.diff(part, prepend=0).astype(np.int32)
+                    rows.append((int(bucket[part[0]]), packed(pa.table({"step": steps, "chunk": chunks.take(pa.array(part))}))))
             for first in range(0, len(rows), 64):
                 some = rows[first : first + 64]
                 yield pa.RecordBatch.from_arrays(
@@ -107,13 +109,24 @@ def _cut(buckets: int, size: int):
     return run
 
 
+def piece_texts(sp: sentencepiece.SentencePieceProcessor) -> list[bytes]:
+    """What each id writes: a piece with markers as spaces, one byte, or nothing."""
+
+    def text(i: int) -> bytes:
+        if sp.is_byte(i):
+            return bytes([int(sp.id_to_piece(i)[3:-1], 16)])
+        return b"" if sp.is_control(i) or sp.is_unknown(i) else sp.id_to_piece(i).replace(MARK, " ").encode()
+
+    return [text(i) for i in range(sp.get_piece_size())]
+
+
 def _segment(model: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = load_model(model)
-        alone = sp.piece_to_id(MARK)
+        alone, written = sp.piece_to_id(MARK), piece_texts(sp)
+        kind = np.uint16 if sp.get_piece_size() <= 2**16 else np.int32
         known: dict[str, int] = {}
         ids: list[np.ndarray] = []
-        decoded: list[str] = []
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload").to_pylist()):
                 asked = unpacked(payload)
@@ -124,17 +137,13 @@ def _segment(model: bytes):
                     for chunk, got in zip(some, sp.encode(some, num_threads=1)):
                         known[chunk] = len(ids)
                         got = got if chunk else [alone]
-                        ids.append(np.array(got, np.int32))
-                        decoded.append(sp.decode(got))
-                places = [known[c] for c in chunks]
-                lists = [ids[p] for p in places]
-                answer = pa.table(
-                    {
-                        "number": asked.column("number"),
-                        "ids": pa.LargeListArray.from_arrays(offsets(np.fromiter(map(len, lists), np.int64, len(lists))), np.concatenate(lists)),
-                        "decoded": pa.array([decoded[p] for p in places], pa.large_string()),
-                    }
-                )
+                        ids.append(np.array(got, kind))
+                        # texts are put together from ids at the end; here the library says once whether that is right
+                        if b"".join(written[i] for i in got) != b" " + sp.decode(got).encode():
+                            raise ValueError(f"the library decodes {got} in a way of its own")
+                lists = [ids[known[c]] for c in chunks]
+                sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+                answer = pa.table({"step": asked.column("step"), "ids": pa.LargeListArray.from_arrays(offsets(sizes), np.concatenate(lists))})
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block], pa.int64()), pa.array([0], pa.int32()), pa.array([packed(answer)], pa.binary())], ["block", "bucket", "payload"]
                 )
@@ -142,45 +151,50 @@ def _segment(model: bytes):
     return run
 
 
-def _join_back(group: pa.Table) -> pa.Table:
+def _join_back(texts: list[bytes]):
     """The documents of one block, from their chunk numbers and the answers for its chunks."""
-    bucket = group.column("bucket").to_numpy()
-    payload = group.column("payload")
-    whole = unpacked(payload[int(np.flatnonzero(bucket == -1)[0])].as_py())
-    docs = unpacked(whole.column("docs")[0].as_py())
-    planes = [np.frombuffer(whole.column(f"b{i}")[0].as_py(), np.uint8) for i in range(4)]
-    numbers = sum(p.astype(np.int64) << 8 * i for i, p in enumerate(planes))
-    at = offsets(docs.column("n").to_numpy())
-    answers = [unpacked(payload[int(i)].as_py()) for i in np.flatnonzero(bucket != -1)]
-    out = []
-    if answers:
-        answer = pa.concat_tables(answers).combine_chunks()
-        order = pa.array(np.argsort(answer.column("number").to_numpy()))
-        ids, decoded = answer.column("ids").chunk(0).take(order), answer.column("decoded").chunk(0).take(order)
-        marked = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), decoded, pa.scalar(" ", pa.large_string()))
-        sizes = pc.binary_length(decoded).to_numpy(zero_copy_only=False) + 1
-    first, n = 0, len(at) - 1
-    weight = offsets(sizes[numbers]) if answers else np.zeros(1, np.int64)
-    while first < n:
-        last = max(first + 1, int(np.searchsorted(weight[at], weight[at[first]] + OUT, "right")) - 1)
-        here, begins = numbers[at[first] : at[last]], at[first : last + 1] - at[first]
-        if len(here):
-            got = ids.take(pa.array(here))
-            ends = got.offsets.to_numpy() - got.offsets[0].as_py()
-            id_lists = pa.ListArray.from_arrays(pa.array(ends[begins].astype(np.int32)), got.flatten())
-            # every chunk but a text's first has a space before it
-            inner = np.ones(len(here), bool)
-            inner[begins[:-1][begins[:-1] < begins[1:]]] = False
-            texts = pc.if_else(pa.array(inner), marked.take(pa.array(here)), decoded.take(pa.array(here)))
-            spans = offsets(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-            strings = pa.Array.from_buffers(pa.large_string(), len(begins) - 1, [None, pa.py_buffer(spans[begins].tobytes()), texts.buffers()[2]]).cast(pa.string())
-        else:
-            id_lists = pa.array([[]] * (last - first), pa.list_(pa.int32()))
-            strings = pa.array([""] * (last - first))
-        doc_ids = docs.column("doc_id").chunk(0).slice(first, last - first)
-        out.append(pa.RecordBatch.from_arrays([doc_ids, id_lists, strings], ["doc_id", "ids", "decoded"]))
-        first = last
-    return pa.Table.from_batches(out)
+    lengths = np.array([len(t) for t in texts])
+    pieces = pa.array(texts, pa.large_binary())
+
+    def written(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """Texts of runs of ids, without the space that the marker before a text writes."""
+        body = np.frombuffer(pieces.take(pa.array(ids)).buffers()[2] or b"", np.uint8)
+        spans = offsets(lengths[ids])[ends]
+        spaces = spans[:-1][spans[:-1] < spans[1:]]
+        kept = np.ones(spans[-1], bool)
+        kept[spaces] = False
+        spans = spans - np.searchsorted(spaces, spans, "left")
+        data = pa.py_buffer(body[: len(kept)][kept].tobytes())
+        return pa.Array.from_buffers(pa.large_string(), len(spans) - 1, [None, pa.py_buffer(spans.astype(np.int64).tobytes()), data]).cast(pa.string())
+
+    def run(key, streams: pa.Table, answers: pa.Table) -> pa.Table:
+        out = []
+        for payload in streams.column("payload"):
+            whole = unpacked(payload.as_py())
+            docs = unpacked(whole.column("docs")[0].as_py())
+            planes = [np.frombuffer(whole.column(f"b{i}")[0].as_py(), np.uint8) for i in range(4)]
+            numbers = sum(p.astype(np.int64) << 8 * i for i, p in enumerate(planes))
+            at = offsets(docs.column("n").to_numpy())
+            if answers.num_rows:
+                parts = [unpacked(a.as_py()) for a in answers.column("payload")]
+                order = np.argsort(np.concatenate([np.cumsum(p.column("step").to_numpy(), dtype=np.int64) for p in parts]))
+                ids = pa.concat_arrays([p.column("ids").chunk(0) for p in parts]).take(pa.array(order))
+                sizes = np.diff(ids.offsets.to_numpy())
+            weight = offsets(sizes[numbers])[at] if len(numbers) else at
+            first, n = 0, len(at) - 1
+            while first < n:
+                last = max(first + 1, int(np.searchsorted(weight, weight[first] + OUT, "right")) - 1)
+                here = numbers[at[first] : at[last]]
+                ends = weight[first : last + 1] - weight[first]
+                got = ids.take(pa.array(here)).flatten().to_numpy() if len(here) else np.zeros(0, np.int32)
+                id_lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(got.astype(np.int32)))
+                doc_ids = docs.column("doc_id").chunk(0).slice(first, last - first)
+                out.append(pa.RecordBatch.from_arrays([doc_ids, id_lists, written(got, ends)], ["doc_id", "ids", "decoded"]))
+                first = last
+        schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+        return pa.Table.from_batches(out, schema)
+
+    return run
 
 
 def encode(docs: DataFrame, model_file: str, block_bytes: int = BLOCK) -> DataFrame:
@@ -189,7 +203,8 @@ def encode(docs: DataFrame, model_file: str, block_bytes: int = BLOCK) -> DataFr
     Blocks of documents are cut into chunks once, and written as numbers into the block's list of distinct chunks. The
     lists are dealt by the chunk's hash, so all blocks that hold a chunk ask the same task, which segments it once; the
     answers go back to the blocks, where numbers become ids in text order. A chunk crosses the network once per block,
-    not once per occurrence, and no task holds more than a block or its share of the distinct chunks. A document is
+    not once per occurrence, and the documents' numbers wait in files that are dealt by block. No task holds more than a
+    block or its share of the distinct chunks. A document is
     worked on by one task; a longer one than ``block_bytes`` is a block of its own.
 
     Null texts are empty and have no ids; a null doc_id stays null; rows that repeat each give a row; an empty table gives
@@ -201,6 +216,16 @@ def encode(docs: DataFrame, model_file: str, block_bytes: int = BLOCK) -> DataFr
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     given = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    cut = cut_lineage(given.mapInArrow(_cut(buckets, block_bytes), CUT))
+    cut = _bucketed(given.mapInArrow(_cut(buckets, block_bytes), CUT), buckets)
     answers = cut.where("bucket >= 0").repartition(buckets, "bucket").mapInArrow(_segment(model), CUT)
-    return cut.where("bucket < 0").unionAll(answers).groupBy("block").applyInArrow(_join_back, ENCODED)
+    streams = cut.where("bucket < 0")
+    return streams.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_join_back(piece_texts(load_model(model))), ENCODED)
+
+
+def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
+    """The rows as files in the shared folder, dealt by block, so that what meets them by block is all that moves."""
+    spark, name = rows.sparkSession, f"pieces_{uuid.uuid4().hex}"
+    rows.write.option("path", scratch_path(spark, "pieces")).bucketBy(buckets, "block").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"drop table {name}")  # the files stay
+    return table
