@@ -28,7 +28,8 @@ OUT = 500_000
 #: chunks that the library segments in one call
 CALL = 4096
 
-# bucket -1: the documents of a block, as numbers of chunks; else the block's distinct chunks of that bucket
+# bucket -1: the documents of a block as numbers of chunks, and the numbers of its distinct chunks by bucket and text;
+# else the distinct chunks of that bucket
 CUT = "block bigint, bucket int, payload binary"
 ENCODED = "doc_id bigint, ids array<int>, decoded string"
 
@@ -83,22 +84,30 @@ def cut_chunks(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return both.dictionary.take(pa.array(order)), rank[numbers], at_chunk
 
 
+def _planes(name: str, numbers: np.ndarray) -> dict[str, pa.Array]:
+    """Numbers by their bytes, lowest first: the higher ones hardly vary."""
+    return {f"{name}{i}": pa.array([((numbers >> 8 * i) & 255).astype(np.uint8).tobytes()], pa.large_binary()) for i in range(4)}
+
+
+def _from_planes(name: str, whole: pa.Table) -> np.ndarray:
+    return sum(np.frombuffer(whole.column(f"{name}{i}")[0].as_py(), np.uint8).astype(np.int64) << 8 * i for i in range(4))
+
+
 def _cut(buckets: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, block in enumerate(text_blocks(batches, size)):
             number = (TaskContext.get().partitionId() << 32) + k
             chunks, numbers, at = cut_chunks(block.column("text").chunk(0))
-            planes = {f"b{i}": pa.array([((numbers >> 8 * i) & 255).astype(np.uint8).tobytes()], pa.large_binary()) for i in range(4)}
             docs = pa.table({"doc_id": block.column("doc_id"), "n": np.diff(at)})
-            whole = {"docs": pa.array([packed(docs)], pa.large_binary())} | planes
-            rows = [(-1, packed(pa.table(whole)))]
+            order, rows = np.zeros(0, np.int64), []
             if len(chunks):
                 bucket = pd.util.hash_array(chunks.to_numpy(zero_copy_only=False), categorize=False) % np.uint64(buckets)
-                order = np.argsort(bucket, kind="stable")
+                order = pc.array_sort_indices(chunks).to_numpy().astype(np.int64)
+                order = order[np.argsort(bucket[order], kind="stable")]
                 cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-                for part in np.split(order, cuts):
-                    steps = np.diff(part, prepend=0).astype(np.int32)
-                    rows.append((int(bucket[part[0]]), packed(pa.table({"step": steps, "chunk": chunks.take(pa.array(part))}))))
+                rows = [(int(bucket[part[0]]), packed(pa.table({"chunk": chunks.take(pa.array(part))}))) for part in np.split(order, cuts)]
+            whole = {"docs": pa.array([packed(docs)], pa.large_binary())} | _planes("b", numbers) | _planes("o", order)
+            rows.append((-1, packed(pa.table(whole))))
             for first in range(0, len(rows), 64):
                 some = rows[first : first + 64]
                 yield pa.RecordBatch.from_arrays(
@@ -128,7 +137,7 @@ def _segment(model: bytes):
         known: dict[str, int] = {}
         ids: list[np.ndarray] = []
         for batch in batches:
-            for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload").to_pylist()):
+            for block, bucket, payload in zip(*(batch.column(n).to_pylist() for n in ("block", "bucket", "payload"))):
                 asked = unpacked(payload)
                 chunks = asked.column("chunk").to_pylist()
                 new = [c for c in chunks if c not in known]
@@ -143,9 +152,9 @@ def _segment(model: bytes):
                             raise ValueError(f"the library decodes {got} in a way of its own")
                 lists = [ids[known[c]] for c in chunks]
                 sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-                answer = pa.table({"step": asked.column("step"), "ids": pa.LargeListArray.from_arrays(offsets(sizes), np.concatenate(lists))})
+                answer = pa.table({"ids": pa.LargeListArray.from_arrays(offsets(sizes), np.concatenate(lists))})
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block], pa.int64()), pa.array([0], pa.int32()), pa.array([packed(answer)], pa.binary())], ["block", "bucket", "payload"]
+                    [pa.array([block], pa.int64()), pa.array([bucket], pa.int32()), pa.array([packed(answer)], pa.binary())], ["block", "bucket", "payload"]
                 )
 
     return run
@@ -172,13 +181,11 @@ def _join_back(texts: list[bytes]):
         for payload in streams.column("payload"):
             whole = unpacked(payload.as_py())
             docs = unpacked(whole.column("docs")[0].as_py())
-            planes = [np.frombuffer(whole.column(f"b{i}")[0].as_py(), np.uint8) for i in range(4)]
-            numbers = sum(p.astype(np.int64) << 8 * i for i, p in enumerate(planes))
+            numbers, order = _from_planes("b", whole), _from_planes("o", whole)
             at = offsets(docs.column("n").to_numpy())
             if answers.num_rows:
-                parts = [unpacked(a.as_py()) for a in answers.column("payload")]
-                order = np.argsort(np.concatenate([np.cumsum(p.column("step").to_numpy(), dtype=np.int64) for p in parts]))
-                ids = pa.concat_arrays([p.column("ids").chunk(0) for p in parts]).take(pa.array(order))
+                parts = [unpacked(a.as_py()) for a in answers.sort_by("bucket").column("payload")]
+                ids = pa.concat_arrays([p.column("ids").chunk(0) for p in parts]).take(pa.array(np.argsort(order)))
                 sizes = np.diff(ids.offsets.to_numpy())
             weight = offsets(sizes[numbers])[at] if len(numbers) else at
             first, n = 0, len(at) - 1

@@ -74,7 +74,7 @@ def test_a_chunk_is_segmented_once(monkeypatch, library):
             return getattr(self.real, name)
 
     monkeypatch.setattr(pieces.sentencepiece, "SentencePieceProcessor", Counted)
-    chunks = pa.table({"step": [0, 1, 1], "chunk": pa.array(["a", "b", "c"], pa.large_string())})
+    chunks = pa.table({"chunk": pa.array(["a", "b", "c"], pa.large_string())})
     batch = pa.RecordBatch.from_pydict({"block": [1, 2], "bucket": pa.array([0, 0], pa.int32()), "payload": [pieces.packed(chunks)] * 2})
     assert len(list(pieces._segment(b"")([batch]))) == 2
     assert sorted(asked) == ["a", "b", "c"]
