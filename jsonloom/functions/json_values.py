@@ -10,10 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A variant holds at most 16 MiB. Below this text size a null parse means bad JSON; above it the text parser decides,
-# by the same rules: strings of any length, no NaN, the last of repeated keys counts.
-VARIANT_SAFE_BYTES = 4 * 1024 * 1024
-TEXT_RULES = {"allowNonNumericNumbers": "false", "maxStringLen": "2147483647"}
+# One set of rules for texts of every size: strings of any length, no NaN, no single quotes.
+TEXT_RULES = {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false", "maxStringLen": "2147483647"}
 
 
 def last_key_wins(spark) -> None:
@@ -32,21 +30,21 @@ EXACT_TYPES = {"STRING": "str", "BIGINT": "int", "DOUBLE": "float", "FLOAT": "fl
 PREFIX_TYPES = {"DECIMAL": "float", "OBJECT": "dict", "ARRAY": "list"}
 
 
-def wrapped(text: Column) -> Column:
-    """Text as the only element of a list: text after the document then no longer parses."""
-    return F.concat(F.lit("["), text, F.lit("]"))
+def one_object(text: Column) -> Column:
+    """The entries of a text that is one well-formed JSON object, values as text, and nothing behind it; else null.
+
+    The text is read as the first of two members of a list, so text that goes on after the object, or closes the list itself,
+    does not give two members.
+    """
+    looks_like_object = F.btrim(text, F.lit(" \t\r\n")).startswith("{")
+    members = F.from_json(F.concat(F.lit("["), text, F.lit(",{}]")), "array<map<string,string>>", TEXT_RULES)
+    return F.when(looks_like_object & (F.size(members) == 2), F.get(members, F.lit(0)))
 
 
-def is_document(text: Column, variant: Column) -> Column:
-    """True for one well-formed JSON object; ``variant`` is the parse of ``wrapped(text)``."""
-    body = F.btrim(text, F.lit(" \t\r\n"))
-    looks_like_object = body.startswith("{") & body.endswith("}")
-    small = F.octet_length(text) <= VARIANT_SAFE_BYTES
-    one_value = F.try_variant_get(variant, "$[1]", "variant").isNull()
-    large_ok = F.size(F.from_json(wrapped(text), "array<string>", TEXT_RULES)) == 1
-    return F.coalesce(
-        looks_like_object & F.when(variant.isNotNull(), one_value).otherwise(~small & large_ok), F.lit(False)
-    )
+def is_json(text: Column) -> Column:
+    """True for the text of one JSON value."""
+    members = F.from_json(F.concat(F.lit("["), text, F.lit(",0]")), "array<string>", TEXT_RULES)
+    return F.coalesce(F.size(members) == 2, F.lit(False))
 
 
 def is_object(value: Column) -> Column:
@@ -74,4 +72,4 @@ def named_type(schema: Column) -> Column:
 
 def record_fields(record: Column) -> Column:
     """Ordered ``array<struct<key,value:variant>>`` of one JSON object."""
-    return last_entries(F.map_entries(F.from_json(record, "map<string,variant>")))
+    return last_entries(F.map_entries(F.from_json(record, "map<string,variant>", TEXT_RULES)))

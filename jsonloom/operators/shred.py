@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jsonloom.functions.json_values import TEXT_RULES, is_document, is_object, last_entries, last_key_wins, wrapped
+from jsonloom.functions.json_values import TEXT_RULES, is_json, is_object, last_entries, last_key_wins, one_object
 from jsonloom.sources.documents import DOC_POSITION
 
 # Position of a record in arrival order.
@@ -15,73 +15,77 @@ RECORD_POSITION = DOC_POSITION + ["table_pos", "rec_pos"]
 QUARANTINE = "_quarantine"
 # Table of the one row per document that ``mark_documents`` adds.
 DOCUMENT = "_document"
+VALUES = "array<struct<key: string, value: variant>>"
 
 
 def _bodies(docs: DataFrame) -> DataFrame:
     """Add the entries of the object that holds the tables (the envelope is unwrapped): as text and as variants."""
     last_key_wins(docs.sparkSession)
-    text, variant = F.col("text"), F.col("_variant")
-    parsed = docs.withColumn("_variant", F.try_parse_json(wrapped(text)))
-    parsed = parsed.withColumns(
-        {
-            "_ok": is_document(text, variant),
-            "_inner": F.try_variant_get(variant, "$[0].data", "map<string,variant>"),
-        }
-    )
-    inner = F.from_json(text, "data map<string,string>", TEXT_RULES)["data"]
-    # too large for a variant: decide from the text
-    large = F.col("_ok") & variant.isNull() & F.get_json_object(text, "$.data").startswith("{")
-    enveloped = F.coalesce(F.col("_inner").isNotNull() | large, F.lit(False))
-    return parsed.withColumns(
-        {
-            "_enveloped": enveloped,
-            "_texts": F.when(enveloped, inner).otherwise(F.from_json(text, "map<string,string>", TEXT_RULES)),
-            "_values": F.coalesce("_inner", F.try_variant_get(variant, "$[0]", "map<string,variant>")),
-        }
-    )
-
-
-def _records(max_records: int | None):
-    """Records of one entry as ``array<struct<record, is_record>>``; empty for scalars, nulls and empty lists."""
-    raw, value = F.col("_entry.raw"), F.col("_entry.value")
+    text = F.col("text")
+    read = docs.withColumn("_top", one_object(text))
+    datas = F.filter(F.map_entries("_top"), lambda e: e["key"] == "data")
+    data = F.try_element_at(datas, F.lit(-1))["value"]
+    # text that looks like an object may be a string; a string does not parse as entries
+    entries = F.from_json(text, "data map<string,string>", TEXT_RULES)["data"]
+    values = F.map_entries(F.from_json(text, "map<string,variant>", TEXT_RULES))
+    last = F.try_element_at(F.filter(values, lambda e: e["key"] == "data"), F.lit(-1))["value"]
+    # of repeated keys the last counts, which may be no object after one that is
+    inner = F.when(data.startswith("{") & ((F.size(datas) == 1) | is_object(last)), entries)
+    read = read.withColumns({"_ok": F.col("_top").isNotNull(), "_inner": inner, "_data": data})
+    read = read.withColumn("_enveloped", F.col("_inner").isNotNull()).withColumn("_body", F.when(F.col("_enveloped"), F.col("_data")).otherwise(text))
+    return read.withColumns(
+        {"_texts": F.coalesce("_inner", "_top"), "_values": F.from_json("_body", "map<string,variant>", TEXT_RULES)}
+    ).drop("_top", "_inner", "_data")
+
+
+def _entry(e, v):
+    """An entry with its text and value. A variant holds 128 MiB; where a value is larger than that, and so none of its object has
+    a variant, JSON paths tell a list or an object from a string that only looks like one."""
+    path = F.concat(F.lit("$['"), e["key"], F.lit("']"))
+    listed = F.call_function("get_json_object", F.col("_body"), F.concat(path, F.lit("[*]"))).isNotNull()
+    # a string's text would have its quotes escaped in the object's text
+    object_text = F.concat(F.lit(":"), F.substring(e["value"], 1, 64))
+    nested = F.when(e["value"].startswith("["), listed).when(e["value"].startswith("{"), F.col("_body").contains(object_text))
+    known = F.when(F.col("_values").isNotNull(), F.lit(True)).otherwise(nested)
+    return F.struct(e["key"].alias("key"), e["value"].alias("raw"), v["value"].alias("value"), F.coalesce(known, F.lit(False)).alias("known"))
+
+
+def list_records(raw, first_is_object, values):
+    """Members of a list's text as ``array<struct<record, is_record>>``."""
     texts = F.from_json(raw, "array<string>", TEXT_RULES)
-    # in a document too large for a variant, its list members are variants of their own
-    values = F.when(value.isNotNull(), F.try_variant_get(value, "$", "array<variant>")).otherwise(F.from_json(raw, "array<variant>"))
-    first = F.get(values, F.lit(0))
 
     def pair(record, ok):
         return F.struct(record.alias("record"), ok.alias("is_record"))
 
-    def numbered(t, i, quoted):
-        literal = F.concat(F.lit('{"value":'), F.coalesce(t, F.lit("null")), F.lit(',"index":'), i.cast("string"), F.lit("}"))
-        string = F.to_json(F.struct(t.alias("value"), i.alias("index")))
-        return pair(F.when(quoted, string).otherwise(literal), F.lit(True))
-
     # Only a string can look like an object without being one; raw text without a string that
     # starts with a brace needs no second look at its members.
     plain = F.transform(texts, lambda t: pair(t, F.coalesce(t.startswith("{"), F.lit(False))))
     checked = F.zip_with(texts, values, lambda t, v: pair(t, F.coalesce(t.startswith("{"), F.lit(False)) & is_object(v)))
-    objects = F.when(raw.contains(',"{'), checked).otherwise(plain)
+    objects = F.when(raw.contains(',"{') & values.isNotNull(), checked).otherwise(plain)
     typed = F.zip_with(texts, values, lambda t, v: F.struct(t.alias("t"), (F.schema_of_variant(v) == "STRING").alias("q")))
-    numbers = F.transform(typed, lambda e, i: numbered(e["t"], i, e["q"]))
-    large_numbers = F.transform(
-        texts, lambda t, i: numbered(t, i, t.isNotNull() & F.try_parse_json(wrapped(t)).isNull())
-    )
+    numbers = F.transform(typed, lambda e, i: pair(numbered(e["t"], i, e["q"]), F.lit(True)))
+    unparsed = F.transform(texts, lambda t, i: pair(numbered(t, i, t.isNotNull() & ~is_json(t)), F.lit(True)))
+    return F.when(first_is_object, objects).otherwise(F.when(values.isNotNull(), numbers).otherwise(unparsed))
 
-    list_records = (
-        F.when(values.isNull() & F.get(texts, F.lit(0)).startswith("{"), plain)
-        .when(values.isNull(), large_numbers)
-        .when(is_object(first), objects)
-        .otherwise(numbers)
-    )
-    is_list = raw.startswith("[") & (first.isNotNull() | (value.isNull() & (F.size(texts) > 0)))
-    is_row = raw.startswith("{") & (is_object(value) | value.isNull())
-    limited = F.slice(list_records, 1, max_records) if max_records else list_records
-    return (
-        F.when(F.col("_entry.key").isin(QUARANTINE, DOCUMENT), F.array(pair(raw, F.lit(False))))
-        .when(is_list, limited)
-        .when(is_row, F.array(pair(raw, F.lit(True))))
-    )
+
+def numbered(value, index, quoted):
+    """A list's member that is no object as a record: its value and place."""
+    literal = F.concat(F.lit('{"value":'), F.coalesce(value, F.lit("null")), F.lit(',"index":'), index.cast("string"), F.lit("}"))
+    return F.when(quoted, F.to_json(F.struct(value.alias("value"), index.alias("index")))).otherwise(literal)
+
+
+def _records(max_records: int | None):
+    """Records of one entry as ``array<struct<record, is_record>>``; empty for scalars, nulls and empty lists."""
+    raw, value, known = F.col("_entry.raw"), F.col("_entry.value"), F.col("_entry.known")
+    values = F.from_json(F.when(raw.startswith("["), raw), "array<variant>", TEXT_RULES)
+    schema = F.schema_of_variant(value)
+    is_list = raw.startswith("[") & (raw != "[]") & known & F.coalesce(schema.startswith("ARRAY"), F.lit(True))
+    is_row = raw.startswith("{") & known & F.coalesce(schema.startswith("OBJECT"), F.lit(True))
+    # a list's text has no white space between its members, and its strings are quoted
+    members = list_records(raw, raw.startswith("[{"), values)
+    limited = F.slice(members, 1, max_records) if max_records else members
+    whole = F.array(F.struct(raw.alias("record"), (~F.col("_entry.key").isin(QUARANTINE, DOCUMENT)).alias("is_record")))
+    return F.when(F.col("_entry.key").isin(QUARANTINE, DOCUMENT), whole).when(is_list, limited).when(is_row, whole)
 
 
 def shred(
@@ -98,18 +102,14 @@ def shred(
     ``mark_documents`` adds a row per document (table ``_document``), also for one that has no records.
     No shuffle: a document is taken apart where it is read.
     """
-    entries = F.transform(
-        last_entries(F.map_entries("_texts")),
-        lambda e: F.struct(
-            e["key"].alias("key"), e["value"].alias("raw"), F.element_at("_values", e["key"]).alias("value")
-        ),
-    )
-    broken = F.array(
-        F.struct(F.lit(QUARANTINE).alias("key"), F.col("text").alias("raw"), F.lit(None).cast("variant").alias("value"))
-    )
-    mark = F.array(
-        F.struct(F.lit(DOCUMENT).alias("key"), F.lit(None).cast("string").alias("raw"), F.lit(None).cast("variant").alias("value"))
-    )
+    known = last_entries(F.map_entries("_values"))
+    entries = F.zip_with(last_entries(F.map_entries("_texts")), F.coalesce(known, F.array().cast(VALUES)), _entry)
+
+    def special(key: str, raw):
+        none = F.lit(None).cast("variant").alias("value")
+        return F.array(F.struct(F.lit(key).alias("key"), raw.alias("raw"), none, F.lit(True).alias("known")))
+
+    broken, mark = special(QUARANTINE, F.col("text")), special(DOCUMENT, F.lit(None).cast("string"))
     bodies = _bodies(docs)
     if keep_rejects:
         every = F.when(F.col("_ok"), entries).otherwise(broken)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jsonloom.functions.json_values import is_document, last_key_wins, wrapped
+from jsonloom.functions.json_values import one_object
 
 # Position of a document in arrival order.
 DOC_POSITION = ["file_order", "path", "block_start", "line_id"]
@@ -26,10 +26,14 @@ def _reader(source, lines: bool, glob: str, recursive: bool):
     )
 
 
+def file_order() -> Column:
+    """Place of the file a row comes from in arrival order: the time in its name, else its own, in microseconds."""
+    return F.unix_micros(F.coalesce(name_timestamp(F.col("_metadata.file_path")), F.col("_metadata.file_modification_time")))
+
+
 def _located(raw: DataFrame) -> DataFrame:
-    stamp = F.coalesce(name_timestamp(F.col("_metadata.file_path")), F.col("_metadata.file_modification_time"))
     return raw.select(
-        F.unix_micros(stamp).alias("file_order"),
+        file_order().alias("file_order"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").cast("bigint").alias("block_start"),
         F.col("value").alias("text"),
@@ -43,40 +47,40 @@ def number_lines(docs: DataFrame, lines: bool = True) -> DataFrame:
 
 
 def read_documents(
-    spark: SparkSession, path: str | list[str], lines: bool = False, glob: str = "*.json", recursive: bool = False
+    spark: SparkSession, path: str | list[str], lines: bool = False, glob: str = "*.json", recursive: bool = False,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Documents under ``path`` as ``(file_order, path, block_start, line_id, text)``.
 
-    With ``lines=False`` a file is one document and cannot be split; large inputs belong in
-    one-document-per-line files (``lines=True``), which Spark splits by block.
+    With ``lines=False`` a file is one document, read by one task; large files are for
+    :func:`~jsonloom.operators.large.shred_files`, or have one document per line (``lines=True``). ``max_bytes`` leaves out
+    larger files; they are not opened.
     """
     raw = _reader(spark.read, lines, glob, recursive).load(path)
+    if max_bytes is not None:
+        raw = raw.where(F.col("_metadata.file_size") <= max_bytes)
     if lines:
         raw = raw.where(F.length(F.trim("value")) > 0)
     return number_lines(_located(raw), lines)
 
 
-def stream_documents(
-    spark: SparkSession,
-    path: str,
-    lines: bool = False,
-    glob: str = "*.json",
-    max_files: int | None = None,
-    archive_dir: str | None = None,
+def stream_files(
+    spark: SparkSession, path: str, glob: str = "*.json", max_files: int | None = None, archive_dir: str | None = None,
     delete_source: bool = False,
 ) -> DataFrame:
-    """Unbounded form of :func:`read_documents`; every file is picked up once.
+    """Unbounded listing of the files that arrive under ``path``: ``(path, length, modificationTime)``, every file once.
 
-    Lines are numbered per micro-batch, with :func:`number_lines`.
+    Contents are not read, so no file can fail the stream; a file that is gone again before it is looked at is left out.
     """
-    reader = _reader(spark.readStream, lines, glob, False)
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", glob).option("ignoreMissingFiles", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     elif delete_source:
         reader = reader.option("cleanSource", "delete")
-    return _located(reader.load(path))
+    return reader.load(path).select("path", "length", "modificationTime")
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> DataFrame:
@@ -103,10 +107,4 @@ def sample_documents(
 
 def quarantine(docs: DataFrame) -> DataFrame:
     """Documents that are not one well-formed JSON object, with their whole text."""
-    last_key_wins(docs.sparkSession)
-    checked = docs.withColumn("_variant", F.try_parse_json(wrapped(F.col("text"))))
-    return (
-        checked.where(~is_document(F.col("text"), F.col("_variant")))
-        .withColumn("reason", F.lit("not a JSON object"))
-        .drop("_variant")
-    )
+    return docs.where(one_object(F.col("text")).isNull()).withColumn("reason", F.lit("not a JSON object"))
