@@ -79,9 +79,9 @@ def _of(rows: DataFrame, table: str, fields: list[str]) -> DataFrame:
     return rows.where(F.col("_table") == table).select(*RECORD_POSITION, *dict.fromkeys(fields))
 
 
-def _issue(rows: DataFrame, issue: str, kind: str, key: str, missing: str = "null", info: str = details()) -> DataFrame:
+def issue(rows: DataFrame, label: str, kind: str, key: str, missing: str = "null", info: str = details()) -> DataFrame:
     return rows.selectExpr(
-        f"{text(issue)} as issue", f"{text(kind)} as kind", f"cast({key} as string) as id",
+        f"{text(label)} as issue", f"{text(kind)} as kind", f"cast({key} as string) as id",
         f"cast({missing} as string) as missing", "path as file", f"{info} as details",
     )
 
@@ -89,7 +89,7 @@ def _issue(rows: DataFrame, issue: str, kind: str, key: str, missing: str = "nul
 def duplicate_ids(rows: DataFrame, rules: ArrivalRules) -> list[DataFrame]:
     """Every repeat of a declared id."""
     return [
-        _issue(repeated_occurrences(_of(rows, table, [key]), key, RECORD_POSITION), "duplicate_id", table, name(key))
+        issue(repeated_occurrences(_of(rows, table, [key]), key, RECORD_POSITION), "duplicate_id", table, name(key))
         for table, key in rules.keys.items()
     ]
 
@@ -101,33 +101,33 @@ def arrival_orphans(rows: DataFrame, rules: ArrivalRules) -> list[DataFrame]:
         child = _of(rows, ref.child, [ref.child_id, ref.foreign_key])
         parent = _of(rows, ref.parent, [ref.primary_key]).withColumnRenamed(ref.primary_key, "_parent")
         early = unseen_parents(child, ref.foreign_key, parent, "_parent", RECORD_POSITION)
-        out.append(_issue(early, "orphan", ref.kind, name(ref.child_id), name(ref.foreign_key)))
+        out.append(issue(early, "orphan", ref.kind, name(ref.child_id), name(ref.foreign_key)))
     return out
 
 
-def arrival_violations(rows: DataFrame, rules: ArrivalRules, segments: int | None = None) -> list[DataFrame]:
+def arrival_violations(rows: DataFrame, rules: ArrivalRules) -> list[DataFrame]:
     """Parents with more children since their last declaration than it allows."""
     if rules.capacity is None:
         return []
     parent, key, limit, child, child_key = rules.capacity
     declared, children = _of(rows, parent, [key, limit]), _of(rows, child, [child_key])
-    enrolled = count_since_reset(declared, key, children, child_key, RECORD_POSITION, "enrolled", segments)
+    enrolled = count_since_reset(declared, key, children, child_key, RECORD_POSITION, "enrolled")
     current = last_declaration(declared, key, RECORD_POSITION).selectExpr(
         f"{name(key)} as _key", "path", f"coalesce(try_cast({name(limit)} as bigint), 0) as capacity"
     )
     over = current.join(enrolled, F.col("_key") == F.col(key)).where("enrolled > capacity")
     info = details(enrolled="enrolled", capacity="capacity", violation="enrolled - capacity")
-    return [_issue(over, "capacity", parent, "_key", info=info)]
+    return [issue(over, "capacity", parent, "_key", info=info)]
 
 
-def arrival_issues(records: DataFrame, rules: ArrivalRules, segments: int | None = None) -> DataFrame:
+def arrival_issues(records: DataFrame, rules: ArrivalRules) -> DataFrame:
     """All issues of a stream of shredded records, one row each.
 
     Records shredded with ``keep_rejects`` bring the unreadable documents along.
     """
     rows = arrival_rows(records, rules)
-    parts = duplicate_ids(rows, rules) + arrival_orphans(rows, rules) + arrival_violations(rows, rules, segments)
-    parts.append(_issue(_of(rows, QUARANTINE, []), "unreadable", "document", "null"))
+    parts = duplicate_ids(rows, rules) + arrival_orphans(rows, rules) + arrival_violations(rows, rules)
+    parts.append(issue(_of(rows, QUARANTINE, []), "unreadable", "document", "null"))
     return reduce(DataFrame.unionByName, parts)
 
 

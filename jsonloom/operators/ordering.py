@@ -1,20 +1,25 @@
 """Order-dependent operators that stay parallel.
 
-A window without a partition key, or with a key that owns a third of the rows, puts all of them in
-one task. Here the rows are cut into range segments of about equal size first; each segment is a
-window of its own and only one small row per segment is carried over to the next.
+A window without a partition key, or with a key that owns a third of the rows, puts all of them in one task. Here the
+rows are dealt by ranges of their order, sorted and numbered where they lie, and cut into segments of so many numbers.
+A segment is a window of its own; what goes over from one segment to the next is added up along a tree: segments of a
+range, then ranges. Segments keep their size whatever the number of rows, and no plan grows with it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Rows a segment should hold, and the most segments a plan is cut into.
-ROWS_PER_SEGMENT = 250_000
-MAX_SEGMENTS = 2048
-SAMPLES_PER_SEGMENT = 32
+from jsonloom.session import cut_lineage
+
+# A segment has up to 2 ** SEGMENT_BITS rows.
+SEGMENT_BITS = 17
+# Numbers of a range's rows: a range's own number is above these bits (as Spark numbers rows).
+RANGE_BITS = 33
 
 
 def keep_last(df: DataFrame, key: list[str], order: list[str | Column]) -> DataFrame:
@@ -29,115 +34,87 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int)
     return ranked.where(F.col("_rank") <= k).drop("_rank")
 
 
-def split_points(df: DataFrame, columns: list[str], segments: int | None = None) -> list[tuple]:
-    """Sorted split points (as text) that cut ``df`` into about equal ranges of ``columns``.
+def in_segments(df: DataFrame, order: list[str], bits: int | None = None) -> DataFrame:
+    """The rows with ``_at``, a number that rises with ``order`` (nulls first), and ``_segment``, its higher bits.
 
-    They come from the rows with the smallest hashes, a uniform sample of bounded size, and only steer
-    the partitioning. Results do not depend on them. Without ``segments`` the number follows from the row count.
+    Rows are dealt by ranges once and go to the shared folder with their numbers, so every later reader sees the same.
     """
-    n = segments or min(df.count() // ROWS_PER_SEGMENT, MAX_SEGMENTS)
-    if n < 2:
-        return []  # small input: one segment
-    sample = df.select(*columns).orderBy(F.xxhash64(*columns), *columns).limit(SAMPLES_PER_SEGMENT * n)
-    texts = [f"cast({_quoted(c)} as string)" for c in columns]
-    rows = [tuple(r) for r in sample.orderBy(*columns).selectExpr(*texts).collect()]
-    points = [rows[len(rows) * i // n] for i in range(1, n)] if rows else []
-    return list(dict.fromkeys(points))
-
-
-def _quoted(column: str) -> str:
-    return "`" + column.replace("`", "``") + "`"
+    bits = SEGMENT_BITS if bits is None else bits
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    return cut_lineage(placed.withColumn("_segment", F.shiftright("_at", bits)))
 
 
-def segment_of(df: DataFrame, columns: list[str], points: list[tuple]) -> Column:
-    """Index of the range a row falls in, by binary search over the split points (nulls first)."""
-    types = [df.schema[c].dataType.simpleString() for c in columns]
-    key = "struct(" + ", ".join(f"{_quoted(c)} as k{i}" for i, c in enumerate(columns)) + ")"
+def carried_over(
+    cut: DataFrame, key: list[str], values: dict[str, Column], combine: Callable[[str | Column], Column], bits: int | None = None
+) -> DataFrame:
+    """What segments get from earlier ones of the same key: ``_from`` (the segment), the key as ``_of_<key>``, and the
+    combined ``values``. Only segments that get something have a row: one at most, if rows are ordered by key.
 
-    def literal(point) -> str:
-        values = ["null" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in point]
-        return "struct(" + ", ".join(f"cast({v} as {t}) as k{i}" for i, (v, t) in enumerate(zip(values, types))) + ")"
+    A window here holds the segments of a range, or the ranges: it grows with neither the rows of a range nor a key's rows.
+    """
+    up = RANGE_BITS - (SEGMENT_BITS if bits is None else bits)
+    sums = cut.groupBy("_segment", *key).agg(*[combine(v).alias(n) for n, v in values.items()])
+    sums = sums.withColumn("_range", F.shiftright("_segment", up))
+    earlier = Window.partitionBy("_range", *key).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    near = sums.select(
+        "_segment", "_range", *key, F.count(F.lit(1)).over(earlier).alias("_n"), *[combine(n).over(earlier).alias(n) for n in values]
+    )
+    ranges = sums.groupBy("_range", *key).agg(*[combine(n).alias(n) for n in values])
+    before = Window.partitionBy(*(key or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    far = ranges.select(
+        F.col("_range").alias("_r"), *[F.col(c).alias(f"_of_{c}") for c in key], F.count(F.lit(1)).over(before).alias("_m"),
+        *[combine(n).over(before).alias(f"_far_{n}") for n in values],
+    ).where("_m > 0")
+    on = [F.col("_range") == F.col("_r")] + [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in key]
+    met = near.join(far, on, "left").where("_n > 0 or _m > 0")
+    both = {n: combine_two(combine, F.col(n), F.col(f"_far_{n}")) for n in values}
+    return met.select(F.col("_segment").alias("_from"), *[near[c].alias(f"_of_{c}") for c in key], *[v.alias(n) for n, v in both.items()])
 
-    def search(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        middle = (low + high) // 2
-        return f"if({key} < {literal(points[middle])}, {search(low, middle)}, {search(middle + 1, high)})"
 
-    return F.expr(search(0, len(points)))
+def combine_two(combine: Callable, left: Column, right: Column) -> Column:
+    """Two partial results in one; null counts as none."""
+    if combine is F.max:
+        return F.greatest(left, right)
+    return F.coalesce(left, F.lit(0)) + F.coalesce(right, F.lit(0))
 
 
 def running_totals(
-    df: DataFrame, key: list[str], order: list[str], totals: dict[str, Column], segments: int | None = None
+    df: DataFrame, key: list[str], order: list[str], totals: dict[str, Column], bits: int | None = None
 ) -> DataFrame:
     """Add, per row, the sums of ``totals`` over the earlier rows of the same key (zero for the first).
 
     ``order`` must be unique within a key. Works for a key that owns most of the rows and for no key at all.
     """
-    points = split_points(df, key + order, segments)
-    return running_totals_at(df, key, order, totals, points)
-
-
-def running_totals_at(
-    df: DataFrame, key: list[str], order: list[str], totals: dict[str, Column], points: list[tuple]
-) -> DataFrame:
-    """:func:`running_totals` with given split points."""
-    inputs = [f"_in_{name}" for name in totals]
-    cut = df.withColumns({"_segment": segment_of(df, key + order, points)} | dict(zip(inputs, totals.values())))
-    before = Window.partitionBy("_segment", *key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = cut.withColumns({n: F.coalesce(F.sum(i).over(before), F.lit(0)) for n, i in zip(totals, inputs)})
-    if not points:
-        return local.drop("_segment", *inputs)
-
-    # Only a key that holds a split point reaches into a second segment, so the carried sums are
-    # at most one row per segment and such key: fewer than 2 * MAX_SEGMENTS rows in all.
-    crossing = cut
-    if key:
-        texts = [f"_{c}" for c in key]
-        holders = df.sparkSession.createDataFrame(
-            sorted({p[: len(key)] for p in points}, key=repr), ", ".join(f"{_quoted(t)} string" for t in texts)
-        ).select(*[F.col(t).cast(df.schema[c].dataType).alias(t) for t, c in zip(texts, key)])
-        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
-        crossing = cut.join(F.broadcast(holders), same, "left_semi")
-    sums = crossing.groupBy("_segment", *key).agg(*[F.sum(i).alias(i) for i in inputs])
-    earlier = (
-        Window.partitionBy(*(key or [F.lit(0)])).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = sums.select(
-        F.col("_segment").alias("_carry_segment"),
-        *[F.col(c).alias(f"_carry_{c}") for c in key],
-        *[F.coalesce(F.sum(f"_in_{n}").over(earlier), F.lit(0)).alias(f"_carry_in_{n}") for n in totals],
-    )
-    on = [F.col("_segment") == F.col("_carry_segment")] + [F.col(c).eqNullSafe(F.col(f"_carry_{c}")) for c in key]
-    out = local.join(F.broadcast(carried), on, "left")
-    carried_on = [(F.col(n) + F.coalesce(F.col(f"_carry_in_{n}"), F.lit(0))).alias(n) for n in totals]
-    return out.select(*df.columns, *carried_on)
+    inputs = {f"_in_{name}": value for name, value in totals.items()}
+    cut = in_segments(df.withColumns(inputs), key + order, bits)
+    carried = carried_over(cut, key, {f"_carry_{n}": F.col(f"_in_{n}") for n in totals}, F.sum, bits)
+    before = Window.partitionBy("_segment", *key).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    # dealt by segment, the rows serve the window and the join
+    local = cut.repartition("_segment").withColumns({n: F.coalesce(F.sum(f"_in_{n}").over(before), F.lit(0)) for n in totals})
+    on = [F.col("_segment") == F.col("_from")] + [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in key]
+    out = local.join(carried, on, "left")
+    return out.select(*df.columns, *[(F.col(n) + F.coalesce(F.col(f"_carry_{n}"), F.lit(0))).alias(n) for n in totals])
 
 
 def sequential_ids(
-    df: DataFrame, order: list[str], column: str, prefix: str, start: int, segments: int | None = None
+    df: DataFrame, order: list[str], column: str, prefix: str, start: int, bits: int | None = None
 ) -> DataFrame:
     """Prefixed ids without gaps, in ``order``, from ``start`` on."""
-    counted = running_totals(df, [], order, {"_earlier": F.lit(1)}, segments)
+    counted = running_totals(df, [], order, {"_earlier": F.lit(1)}, bits)
     number = (F.col("_earlier") + F.lit(start)).cast("string")
     return counted.withColumn(column, F.concat(F.lit(prefix), number)).drop("_earlier")
 
 
-def with_previous(df: DataFrame, value: str, column: str = "previous", segments: int | None = None) -> DataFrame:
+def with_previous(df: DataFrame, value: str, column: str = "previous", bits: int | None = None) -> DataFrame:
     """Add the previous value of ``value`` in its own order over all rows (null for the first)."""
-    points = split_points(df, [value], segments)
-    cut = df.withColumn("_segment", segment_of(df, [value], points))
-    inside = cut.withColumn(column, F.lag(value).over(Window.partitionBy("_segment").orderBy(value)))
-    if not points:
-        return inside.drop("_segment")
-    last = cut.groupBy("_segment").agg(F.max(value).alias("_last"))  # one row per segment
-    earlier = Window.partitionBy(F.lit(0)).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select(F.col("_segment").alias("_carry"), F.max("_last").over(earlier).alias("_carried"))
-    joined = inside.join(F.broadcast(carried), F.col("_segment") == F.col("_carry"), "left")
-    return joined.withColumn(column, F.coalesce(column, "_carried")).drop("_segment", "_carry", "_carried")
-
-
-def gap_statistics(df: DataFrame, ts: str, segments: int | None = None) -> DataFrame:
+    cut = in_segments(df, [value], bits)
+    inside = cut.repartition("_segment").withColumn("_near", F.lag(value).over(Window.partitionBy("_segment").orderBy("_at")))
+    carried = carried_over(cut, [], {"_far": F.col(value)}, F.max, bits)
+    joined = inside.join(carried, F.col("_segment") == F.col("_from"), "left")
+    return joined.select(*df.columns, F.coalesce("_near", "_far").alias(column))
+
+
+def gap_statistics(df: DataFrame, ts: str, bits: int | None = None) -> DataFrame:
     """Average, minimum and maximum seconds between consecutive timestamps.
 
     Equal timestamps are merged first (their gaps are zero), so a burst at one instant cannot
@@ -145,7 +122,7 @@ def gap_statistics(df: DataFrame, ts: str, segments: int | None = None) -> DataF
     """
     times = df.where(F.col(ts).isNotNull()).select(F.unix_micros(F.col(ts).cast("timestamp")).alias("us"))
     instants = times.groupBy("us").agg(F.count(F.lit(1)).alias("n"))
-    gaps = with_previous(instants, "us", "previous", segments)
+    gaps = with_previous(instants, "us", "previous", bits)
     gap = (F.col("us") - F.col("previous")) / 1e6
     smallest = F.min(F.when(F.col("n") > 1, F.lit(0.0)).otherwise(gap))
     return gaps.agg(

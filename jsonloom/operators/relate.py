@@ -10,9 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
-
-from jsonloom.operators.ordering import segment_of, split_points
 
 
 def comparable(left: T.DataType, right: T.DataType) -> bool:
@@ -151,34 +148,15 @@ def unseen_parents(
 
 
 def count_since_reset(
-    resets: DataFrame, reset_key: str, child: DataFrame, child_key: str, position: list[str],
-    name: str = "since_reset", segments: int | None = None,
+    resets: DataFrame, reset_key: str, child: DataFrame, child_key: str, position: list[str], name: str = "since_reset"
 ) -> DataFrame:
     """Child rows after the last reset row of each key: ``(reset_key, name)``, 0 without any.
 
-    Rows are windowed per key and position segment, so a hot key is spread over all segments;
-    per key at most one row per segment remains for the final sum.
+    Children meet one row per key, and a hot key's children are split in that join and counted before they move again.
     """
-    marks = resets.where(F.col(reset_key).isNotNull()).select(
-        F.col(reset_key).alias("_key"), *position, F.lit(True).alias("_reset")
-    )
-    rows = marks.unionByName(
-        child.where(F.col(child_key).isNotNull()).select(
-            F.col(child_key).alias("_key"), *position, F.lit(False).alias("_reset")
-        )
-    )
-    points = split_points(rows, position, segments)
     at = _position(position)
-    cell = Window.partitionBy("_key", "_segment")
-    marked = rows.withColumn("_segment", segment_of(rows, position, points)).withColumn(
-        "_last", F.max(F.when(F.col("_reset"), at)).over(cell)
-    )
-    cells = marked.groupBy("_key", "_segment").agg(
-        F.count(F.when(F.col("_reset"), F.lit(1))).alias("resets"),
-        F.count(F.when(~F.col("_reset"), F.lit(1))).alias("all"),
-        F.count(F.when(~F.col("_reset") & (at > F.col("_last")), F.lit(1))).alias("after"),
-    )
-    last_segment = F.max(F.when(F.col("resets") > 0, F.col("_segment"))).over(Window.partitionBy("_key"))
-    counted = cells.withColumn("_at", last_segment).where(F.col("_segment") >= F.col("_at"))
-    total = F.sum(F.when(F.col("_segment") == F.col("_at"), F.col("after")).otherwise(F.col("all")))
-    return counted.groupBy(F.col("_key").alias(reset_key)).agg(total.alias(name))
+    last = resets.where(F.col(reset_key).isNotNull()).groupBy(F.col(reset_key).alias("_key")).agg(F.max(at).alias("_last"))
+    rows = child.where(F.col(child_key).isNotNull()).select(F.col(child_key).alias("_child"), at.alias("_pos"))
+    after = rows.join(last, F.col("_child") == F.col("_key")).where("_pos > _last").groupBy("_child").agg(F.count(F.lit(1)).alias("_n"))
+    counted = last.join(after, F.col("_key") == F.col("_child"), "left")
+    return counted.select(F.col("_key").alias(reset_key), F.coalesce("_n", F.lit(0)).alias(name))

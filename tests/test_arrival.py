@@ -14,9 +14,9 @@ from jsonloom.sources.reports import comparison_markdown
 from pyspark.sql import functions as F
 
 
-def analyse(spark, path, segments=None):
+def analyse(spark, path):
     docs = read_documents(spark, path)
-    return score_issues(arrival_issues(shred(docs, keep_rejects=True), ARRIVAL, segments))
+    return score_issues(arrival_issues(shred(docs, keep_rejects=True), ARRIVAL))
 
 
 def write(tmp_path, documents):
@@ -73,10 +73,10 @@ def random_documents(seed, n=14):
     return documents
 
 
-@pytest.mark.parametrize("seed, segments", [(1, None), (2, 4), (3, 3)])
-def test_random_streams(spark, tmp_path, seed, segments):
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_streams(spark, tmp_path, seed):
     documents = random_documents(seed)
-    assert tuple(analyse(spark, write(tmp_path, documents), segments).first()) == model(documents)
+    assert tuple(analyse(spark, write(tmp_path, documents)).first()) == model(documents)
 
 
 CASES = {
@@ -143,6 +143,58 @@ def test_admission_matches_a_loop(spark, seed, segments):
     assert {r.seq for r in got.collect()} == admitted(requests, students, rooms, 4, 0.8)
 
 
+def run_admission(spark, requests, most, rooms, **settings):
+    students = {s for _, s, _ in requests}
+    got = admit_two_limits(
+        spark.createDataFrame(requests, "seq bigint, s string, c string").repartition(5), "seq", "s", "c",
+        spark.createDataFrame([(s,) for s in students], "s string"), "s", most,
+        spark.createDataFrame(list(rooms.items()), "c string, room bigint"), "c", "room", 1.0, **settings,
+    )
+    assert {r.seq for r in got.collect()} == admitted(requests, students, rooms, most, 1.0)
+
+
+@pytest.mark.parametrize("in_sequence", [7, 60, 1000])
+def test_admission_in_groups(spark, in_sequence):
+    """Many small groups and one large, with groups, slices of the large one, or all settled in sequence."""
+    rnd = random.Random(5)
+    requests = [(f"s{g}x{rnd.randrange(4)}", f"c{g}x{rnd.randrange(3)}") for g in range(8) for _ in range(12)]
+    requests += [(f"t{rnd.randrange(30)}", f"d{rnd.randrange(8)}") for _ in range(90)]
+    rnd.shuffle(requests)
+    rooms = {c: rnd.randrange(1, 6) for _, c in requests}
+    run_admission(spark, [(i, s, c) for i, (s, c) in enumerate(requests)], 2, rooms, bits=5, in_sequence=in_sequence)
+
+
+def test_a_chain_takes_few_rounds(spark, monkeypatch):
+    """Each request waits for the one before it: student and class in turn are what the two have in common."""
+    from jsonloom.operators import allocate
+
+    rounds = []
+    real = allocate.cut_lineage
+    monkeypatch.setattr(allocate, "cut_lineage", lambda df: rounds.append(1) or real(df))
+    requests = [(i, f"s{(i + 1) // 2}", f"c{i // 2}") for i in range(10_000)]
+    run_admission(spark, requests, 1, {c: 1 for _, _, c in requests})
+    assert len(rounds) < 12
+
+
+def test_components(spark):
+    from jsonloom.operators.graph import groups
+
+    rnd = random.Random(8)
+    edges = [(f"n{rnd.randrange(70):03d}", f"n{rnd.randrange(70):03d}") for _ in range(45)] + [(f"p{i:03d}", f"p{i + 1:03d}") for i in range(40)]
+    up = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    got = {r.node: r.group for r in groups(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert got == {x: find(x) for e in edges for x in e}
+
+
 def test_admission_example(spark):
     requests = spark.createDataFrame([(1, "s1", "c"), (2, "s1", "c"), (3, "s2", "c"), (4, "s3", "c")], "seq bigint, s string, c string")
     students = spark.createDataFrame([("s1",), ("s2",), ("s3",)], "s string")

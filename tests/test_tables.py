@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from jsonloom.operators import relate
 from jsonloom.operators.align import align_columns, union_batches
 from jsonloom.operators.ordering import (
-    gap_statistics, keep_last, running_totals, sequential_ids, split_points, with_previous,
+    gap_statistics, in_segments, keep_last, running_totals, sequential_ids, with_previous,
 )
 
 RECOUNT_CASES = {
@@ -77,16 +77,29 @@ def test_ids_and_previous_match_a_loop(spark, segments):
     assert previous == dict(zip(values, [None, *values[:-1]]))
 
 
-def test_split_points_of_text_and_times(spark):
+def test_ids_in_order_of_text_and_times(spark):
     df = spark.createDataFrame([(f"it's \\ {i:03d}", i) for i in range(300)], "a string, b bigint").withColumn(
         "t", F.timestamp_seconds("b")
     )
     for columns in (["a"], ["t"], ["a", "t"]):
-        assert len(split_points(df, columns, 6)) == 5
-        ids = sequential_ids(df, columns, "id", "", 0, 6).collect()
+        ids = sequential_ids(df, columns, "id", "", 0, 4).collect()
         assert all(int(r.id) == r.b for r in ids)
 
 
+def test_segments_keep_their_size(spark):
+    """The plan and the rows of a window stay the same when the rows grow tenfold, also for one key that holds them all."""
+    plans = []
+    for n in (300, 3000):
+        df = spark.range(n, numPartitions=3).selectExpr("'hot' as k", "id as seq")
+        cut = in_segments(df, ["k", "seq"], 5)
+        sizes = [r["count"] for r in cut.groupBy("_segment").count().collect()]
+        assert max(sizes) <= 32 and sum(sizes) == n and len(sizes) >= n / 32
+        totals = running_totals(df, ["k"], ["seq"], {"before": F.lit(1)}, 5)
+        assert totals.where("before <> seq").count() == 0
+        plans.append(len(totals._jdf.queryExecution().optimizedPlan().toString()))
+    assert abs(plans[0] - plans[1]) < 200
+
+
 @pytest.mark.parametrize("segments", [None, 3])
 def test_gaps(spark, segments):
     df = spark.createDataFrame([(s,) for s in (5, 0, 2)], "s bigint").select(F.timestamp_seconds("s").alias("ts"))
@@ -114,8 +127,7 @@ def test_keep_last_and_repeats(spark):
     assert duplicated == {s: len(m) for m in members.values() if len(m) > 1 for s in m}
 
 
-@pytest.mark.parametrize("segments", [None, 6])
-def test_count_since_reset_matches_a_loop(spark, segments):
+def test_count_since_reset_matches_a_loop(spark):
     rows = hot_rows(4)
     df = spark.createDataFrame(rows, "seq bigint, k string, v bigint").repartition(6)
     resets, child = df.where("v % 7 = 0"), df.where("v % 7 <> 0")
@@ -125,7 +137,7 @@ def test_count_since_reset_matches_a_loop(spark, segments):
             counts[k] = 0
         elif k in counts:
             counts[k] += 1
-    got = relate.count_since_reset(resets, "k", child, "k", ["seq"], segments=segments).collect()
+    got = relate.count_since_reset(resets, "k", child, "k", ["seq"]).collect()
     assert {r.k: r.since_reset for r in got} == counts
 
 
