@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 from jsonloom.functions.json_values import named_type, record_fields, type_name
 from jsonloom.operators.ordering import top_per_group
 from jsonloom.operators.shred import RECORD_POSITION
+from jsonloom.operators.sketches import column_sketches, sketched_profile
 
 SAMPLES = 10
 SCALARS = ("str", "int", "float", "bool", "dict")
@@ -182,8 +183,13 @@ def field_profile(facts: DataFrame, tables: DataFrame, mode: str = "default") ->
     )
 
 
-def column_profile(df: DataFrame, table: str) -> DataFrame:
-    """Profile of a typed table: one row per column from a single pass with exact distinct counts per value."""
+def column_profile(df: DataFrame, table: str, approximate: bool = False) -> DataFrame:
+    """Profile of a typed table: one row per column from a single pass with exact distinct counts per value.
+
+    ``approximate`` estimates these from sketches; no value is shuffled then.
+    """
+    if approximate:
+        return sketched_profile(column_sketches(df, table))
     from jsonloom.operators.quality.distribution import value_counts
 
     counts = value_counts(df, df.columns)

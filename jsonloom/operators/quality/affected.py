@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from jsonloom.operators.quality.capacity import capacity_violations
 from jsonloom.operators.quality.consistency import duplicate_key_counts
-from jsonloom.operators.quality.integrity import _target_key, precondition
+from jsonloom.operators.quality.integrity import target_key, precondition
 from jsonloom.operators.quality.suite import Rules
 from jsonloom.operators.relate import child_counts
 
@@ -35,7 +35,7 @@ def affected_rows(spark: SparkSession, tables: dict[str, DataFrame], rules: Rule
 
     for r in rules.references:
         if precondition(r, tables, rules.primary_keys) is None:
-            primary = _target_key(r, tables, rules.primary_keys)
+            primary = target_key(r, tables, rules.primary_keys)
             child, parents = tables[r.from_table], tables[r.to_table].select(F.col(primary).alias("_parent")).distinct()
             orphans = child.where(F.col(f"`{r.foreign_key}`").isNotNull()).join(parents, F.col(f"`{r.foreign_key}`") == F.col("_parent"), "left_anti")
             add(f"Referential Integrity: {r.from_table}.{r.foreign_key} → {r.to_table}.{primary}", r.from_table, orphans, r.foreign_key)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jsonloom.functions.names import key_columns
@@ -46,6 +46,11 @@ def null_rates(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
 def table_checks(table: str, df: DataFrame) -> DataFrame:
     """Empty-table check and null checks of all key columns from one aggregate over the table."""
     columns = key_columns(df)
+    return table_rows(_null_counts(df, columns), table, columns)
+
+
+def table_rows(counts: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    """The check rows of a table from its rows, ``total``, and the nulls of column i in ``n<i>``."""
 
     def check(failed: str, values: list[str]) -> str:
         cells = ", ".join(f"{v} as {f.name}" for f, v in zip(CHECK_SCHEMA.fields, values))
@@ -73,7 +78,7 @@ def table_checks(table: str, df: DataFrame) -> DataFrame:
                 ],
             )
         )
-    return _null_counts(df, columns).selectExpr(f"inline(array_compact(array({', '.join(checks)})))")
+    return counts.selectExpr(f"inline(array_compact(array({', '.join(checks)})))")
 
 
 def duplicate_key_counts(df: DataFrame, key: str) -> DataFrame:
@@ -84,11 +89,25 @@ def duplicate_key_counts(df: DataFrame, key: str) -> DataFrame:
 def uniqueness_check(table: str, df: DataFrame, key: str) -> DataFrame:
     repeated = duplicate_key_counts(df, key)
     summary = repeated.agg(F.expr("coalesce(sum(n), 0) as rows"), F.expr("count(1) as values"))
+    return uniqueness_row(summary, table, key, sample_list(repeated, key))
+
+
+def uniqueness_row(summary: DataFrame, table: str, key: str, affected: Column | None = None) -> DataFrame:
+    """The check row of a key from its totals: ``rows`` of repeated ``values``."""
     return as_check(
         summary, CONSISTENCY, text(f"Primary Key Uniqueness: {table}.{key}"), "`values` = 0",
         "'All primary key values are unique'", "format_string('Found %d duplicate primary key values', `rows`)", "ERROR",
         "`rows`", bad_details=details(duplicate_count="`rows`", unique_duplicates="`values`"),
-        affected=sample_list(repeated, key),
+        affected=affected,
+    )
+
+
+def field_rule_row(summary: DataFrame, rule: FieldRule) -> DataFrame:
+    """The check row of a rule from its totals: ``bad`` of ``total`` rows."""
+    return as_check(
+        summary, BUSINESS, text(rule.check_name), "bad = 0", text(rule.passed_message),
+        f"format_string({text(f'Found %d {rule.noun}')}, bad)", "WARNING", "bad",
+        bad_details=details(inconsistent_count="bad", total_students="total"),
     )
 
 
@@ -98,11 +117,5 @@ def field_rule_checks(tables: dict[str, DataFrame], rules: list[FieldRule]) -> l
         if rule.table not in tables or not set(rule.columns) <= set(tables[rule.table].columns):
             continue
         summary = tables[rule.table].agg(F.expr(f"count_if({rule.violation}) as bad"), F.expr("count(1) as total"))
-        parts.append(
-            as_check(
-                summary, BUSINESS, text(rule.check_name), "bad = 0", text(rule.passed_message),
-                f"format_string({text(f'Found %d {rule.noun}')}, bad)", "WARNING", "bad",
-                bad_details=details(inconsistent_count="bad", total_students="total"),
-            )
-        )
+        parts.append(field_rule_row(summary, rule))
     return parts

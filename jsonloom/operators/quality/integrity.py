@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jsonloom.functions.names import key_columns
 from jsonloom.operators.quality.rows import INTEGRITY, SAMPLE, as_check, details, literal_checks, sample_list, text
@@ -21,7 +22,7 @@ class Reference:
     to_table: str
 
 
-def _target_key(reference: Reference, tables: dict[str, DataFrame], keys: dict[str, str | None]) -> str | None:
+def target_key(reference: Reference, tables: dict[str, DataFrame], keys: dict[str, str | None]) -> str | None:
     columns = tables[reference.to_table].columns
     declared = keys.get(reference.to_table)
     if declared in columns:
@@ -40,7 +41,7 @@ def precondition(
     if reference.foreign_key not in tables[source].columns:
         name = f"Foreign Key Column {reference.foreign_key}"
         return INTEGRITY, name, f"Foreign key column {reference.foreign_key} not found in {source}", "ERROR"
-    if _target_key(reference, tables, keys) is None:
+    if target_key(reference, tables, keys) is None:
         name = f"Primary Key Detection for {target}"
         return INTEGRITY, name, f"Cannot determine primary key for table {target}", "WARNING"
     return None
@@ -58,9 +59,32 @@ def integrity_checks(
     return parts
 
 
+def reference_row(summary: DataFrame, reference: Reference, primary_key: str, affected: Column | None = None) -> DataFrame:
+    """The check row of a reference from its totals: ``total, refs, orphans, parents`` and ``values_``, some orphaned keys."""
+    label = f"Referential Integrity: {reference.from_table}.{reference.foreign_key} → {reference.to_table}.{primary_key}"
+    return as_check(
+        summary, INTEGRITY, text(label), "orphans = 0", "'All foreign key references are valid'",
+        "format_string('Found %d orphaned foreign key references', orphans)", "ERROR", "orphans",
+        details(total_references="total", unique_references="refs"),
+        details(
+            orphaned_count="orphans", orphaned_values="to_json(values_)",
+            total_foreign_keys="total", total_primary_keys="parents",
+        ),
+        affected,
+    )
+
+
+def key_type_checks(spark: SparkSession, reference: Reference, left: T.DataType, right: T.DataType) -> list[DataFrame]:
+    """A warning where the two keys' types can never match."""
+    if comparable(left, right):
+        return []
+    note = f"{left.simpleString()} and {right.simpleString()} keys never match"
+    return [literal_checks(spark, [(INTEGRITY, f"Key Types: {reference.from_table}.{reference.foreign_key}", note, "WARNING")])]
+
+
 def _reference_check(spark, reference: Reference, tables, keys) -> list[DataFrame]:
     child, parent = tables[reference.from_table], tables[reference.to_table]
-    foreign_key, primary_key = reference.foreign_key, _target_key(reference, tables, keys)
+    foreign_key, primary_key = reference.foreign_key, target_key(reference, tables, keys)
     per_key = reference_counts(child, foreign_key, parent, primary_key)
     summary = per_key.selectExpr("n", "fk", "pk", "if(fk is not null and pk is null, n, 0) as lost").agg(
         F.expr("coalesce(sum(n), 0) as total"), F.expr("count(fk) as refs"),
@@ -74,21 +98,5 @@ def _reference_check(spark, reference: Reference, tables, keys) -> list[DataFram
         few = orphan_keys.orderBy("fk").limit(SAMPLE).select("fk")  # at most SAMPLE keys to broadcast
         rows = child.join(F.broadcast(few), F.col(foreign_key) == F.col("fk"), "left_semi")
         affected = sample_list(rows, ids)
-    label = f"Referential Integrity: {reference.from_table}.{foreign_key} → {reference.to_table}.{primary_key}"
-    parts = [
-        as_check(
-            summary, INTEGRITY, text(label), "orphans = 0", "'All foreign key references are valid'",
-            "format_string('Found %d orphaned foreign key references', orphans)", "ERROR", "orphans",
-            details(total_references="total", unique_references="refs"),
-            details(
-                orphaned_count="orphans", orphaned_values="to_json(values_)",
-                total_foreign_keys="total", total_primary_keys="parents",
-            ),
-            affected,
-        )
-    ]
-    left, right = child.schema[foreign_key].dataType, parent.schema[primary_key].dataType
-    if not comparable(left, right):
-        note = f"{left.simpleString()} and {right.simpleString()} keys never match"
-        parts.append(literal_checks(spark, [(INTEGRITY, f"Key Types: {reference.from_table}.{foreign_key}", note, "WARNING")]))
-    return parts
+    parts = [reference_row(summary, reference, primary_key, affected)]
+    return parts + key_type_checks(spark, reference, child.schema[foreign_key].dataType, parent.schema[primary_key].dataType)

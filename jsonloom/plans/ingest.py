@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jsonloom.operators.contracts import Contract, check_documents, document_records
+from jsonloom.operators.large import LARGE_FILE, shred_files
 from jsonloom.operators.quality.rows import text
 from jsonloom.operators.shred import DOCUMENT, QUARANTINE, RECORD_POSITION, shred, typed_records
 from jsonloom.plans.catalog import Catalog, discover
@@ -83,6 +85,14 @@ def _drop_staging(store: TableStore, version: str) -> None:
         store._fs().delete(store._path("_staging", name), True)
 
 
+@dataclass
+class Extra:
+    """What goes into a batch beside its documents: ``write`` is called with the batch before it is published, and returns rejects (or
+    None) and the number of documents that failed with them."""
+
+    write: Callable[[Batch], tuple[DataFrame | None, int]]
+
+
 def ingest_documents(
     store: TableStore, docs: DataFrame, batch_id: int | None = None, options: IngestOptions = IngestOptions(),
     token: tuple[str, int] | None = None,
@@ -91,12 +101,32 @@ def ingest_documents(
 
     All tables of the batch, its rejects, its catalog and its counters become visible together.
     """
+    return ingest_records(store, lambda: shred(docs, keep_rejects=True, mark_documents=True), batch_id, options, token)
+
+
+def ingest_files(
+    store: TableStore, path: str | list[str], glob: str = "*.json", recursive: bool = False, batch_id: int | None = None,
+    options: IngestOptions = IngestOptions(), token: tuple[str, int] | None = None, large: int = LARGE_FILE,
+) -> bool:
+    """:func:`ingest_documents` for whole-file documents of any size; files above ``large`` bytes are read by several tasks."""
+
+    def records() -> DataFrame:
+        return shred_files(store.spark, path, glob, recursive, keep_rejects=True, mark_documents=True, large=large)
+
+    return ingest_records(store, records, batch_id, options, token)
+
+
+def ingest_records(
+    store: TableStore, records_of: Callable[[], DataFrame], batch_id: int | None = None, options: IngestOptions = IngestOptions(),
+    token: tuple[str, int] | None = None, extra: Extra | None = None,
+) -> bool:
+    """Type and merge the shredded records (with rejects and document marks) that ``records_of`` gives."""
     batch = store.batch(batch_id, token)
     if batch.published:
         return False
     batch_id = batch.id
     started = datetime.now(timezone.utc)
-    staged = _staged(store, shred(docs, keep_rejects=True, mark_documents=True), batch.version)
+    staged = _staged(store, records_of(), batch.version)
     records = staged.where(~F.col("_table").isin(QUARANTINE, DOCUMENT) & F.col("reason").isNull()).drop("_table")
 
     before = stored_catalog(store, options, batch_id - 1)
@@ -143,14 +173,16 @@ def ingest_documents(
         lost = list(pool.map(load, known))
 
     rejects = staged.where(F.col("reason").isNotNull()).select(*REJECT_COLUMNS)
+    more, failed = extra.write(batch) if extra else (None, 0)
+    lost += [more] if more is not None else []
     batch.append(REJECTS, reduce(DataFrame.unionByName, lost, rejects), skip_empty=True)
-    _count(batch, staged, started, sorted(present - set(schemas)))
+    _count(batch, staged, started, sorted(present - set(schemas)), failed)
     batch.commit()
     _drop_staging(store, batch.version)
     return True
 
 
-def _count(batch: Batch, staged: DataFrame, started: datetime, unknown: list[str]) -> None:
+def _count(batch: Batch, staged: DataFrame, started: datetime, unknown: list[str], failed: int = 0) -> None:
     """Every document counts once: failed if it is no JSON object, skipped if all its tables are unknown, else processed
     (also one without records)."""
     per_document = staged.groupBy(*DOC_POSITION).agg(
@@ -163,13 +195,13 @@ def _count(batch: Batch, staged: DataFrame, started: datetime, unknown: list[str
         F.count(F.when(~F.col("bad") & F.col("foreign"), F.lit(1))).alias("skipped"),
     ).first()
     finished = datetime.now(timezone.utc)
-    row = [(batch.id, counts.processed, counts.failed, counts.skipped, started, finished)]
+    row = [(batch.id, counts.processed, counts.failed + failed, counts.skipped, started, finished)]
     batch.append(METRICS, batch.store.spark.createDataFrame(row, METRICS_SCHEMA))
 
 
 def ingest_contracts(
     store: TableStore, docs: DataFrame, batch_id: int | None, contracts: list[Contract],
-    token: tuple[str, int] | None = None,
+    token: tuple[str, int] | None = None, extra: Extra | None = None,
 ) -> bool:
     """Validated ingest with declared schemas: a document with one bad record is rejected whole."""
     batch = store.batch(batch_id, token)
@@ -189,12 +221,14 @@ def ingest_contracts(
         *DOC_POSITION, F.lit(0).alias("table_pos"), F.lit(0).alias("rec_pos"), F.lit(QUARANTINE).alias("table"),
         F.array_join("violations", "; ").alias("reason"), F.col("text").alias("record"),
     )
-    batch.append(REJECTS, rejects.select(*REJECT_COLUMNS), skip_empty=True)
+    more, failed = extra.write(batch) if extra else (None, 0)
+    rejects = rejects.select(*REJECT_COLUMNS)
+    batch.append(REJECTS, rejects if more is None else rejects.unionByName(more), skip_empty=True)
     counts = checked.agg(
         F.count(F.when(F.size("violations") == 0, F.lit(1))).alias("processed"),
         F.count(F.when(F.size("violations") > 0, F.lit(1))).alias("failed"),
     ).first()
-    row = [(batch_id, counts.processed, counts.failed, 0, started, datetime.now(timezone.utc))]
+    row = [(batch_id, counts.processed, counts.failed + failed, 0, started, datetime.now(timezone.utc))]
     batch.append(METRICS, store.spark.createDataFrame(row, METRICS_SCHEMA))
     batch.commit()
     _drop_staging(store, batch.version)

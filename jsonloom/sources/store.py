@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from jsonloom.operators.align import align_columns, common_schema
 from jsonloom.operators.ordering import keep_last
+from jsonloom.session import cut_lineage
 
 # Buckets of a new table unless given: at least this many, or the session's shuffle partitions if more.
 # A table of 100 TB wants thousands, so that a bucket is rewritten by a few tasks.
@@ -96,6 +97,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark, self.root = spark, root.rstrip("/")
         self.buckets = buckets or max(FEWEST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        self._manifests: dict[int, str] = {}
 
     # -- files ---------------------------------------------------------------------------------
 
@@ -117,8 +119,12 @@ class TableStore:
         known = [b for b in self.batches() if batch is None or b <= batch]
         if not known:
             return {"tables": {}, "applied": {}}
-        path = f"{self.root}/_manifest/{_name(known[-1])}.json"
-        return json.loads(self.spark.read.option("wholetext", True).text(path).first().value)
+        # a manifest never changes once it is there
+        if known[-1] not in self._manifests:
+            path = f"{self.root}/_manifest/{_name(known[-1])}.json"
+            text = self.spark.read.option("wholetext", True).text(path).first().value
+            self._manifests = {b: t for b, t in sorted(self._manifests.items())[-7:]} | {known[-1]: text}
+        return json.loads(self._manifests[known[-1]])
 
     def manifest(self, batch: int | None = None) -> dict[str, TableEntry]:
         """Tables as of ``batch`` (the newest published one by default)."""
@@ -170,6 +176,32 @@ class TableStore:
         ]
         return reduce(DataFrame.unionByName, [f.select(*entry.schema.fieldNames()) for f in frames])
 
+    def changed(self, table: str, since: int, until: int | None = None) -> DataFrame | None:
+        """Rows that came (``_sign`` 1) and went (-1) between two batches, None where nothing did.
+
+        Only parts whose version changed are read: a row that a merge wrote again as it was comes and goes. Columns are
+        those of the newer table.
+        """
+        if since and since not in self.batches():
+            raise ValueError(f"batch {since} was deleted")
+        new, old = self.manifest(until).get(table), self.manifest(since).get(table) if since else None
+        if new is None:
+            return None
+        gone = set(old.parts) - set(new.parts) if old else set()
+        came = set(new.parts) - set(old.parts if old else [])
+        sides = []
+        for parts, entry, sign in ((came, new, 1), (gone, old, -1)):
+            if parts:
+                some = TableEntry(entry.schema, entry.key, entry.buckets, sorted(parts), entry.written)
+                sides.append(align_columns(self._read_parts(table, some), new.schema).select(*new.schema.fieldNames()).withColumn("_sign", F.lit(sign)))
+        return reduce(DataFrame.unionByName, sides) if sides else None
+
+    def read_near(self, table: str, keys: DataFrame, batch: int | None = None) -> DataFrame:
+        """The buckets of a keyed table that hold the given keys; ``keys`` has the key columns and is read twice."""
+        entry = self.manifest(batch)[table]
+        buckets = {row[0] for row in keys.select(_bucket_of(entry.key, entry.buckets)).distinct().collect()}
+        return self._read_parts(table, entry, buckets)
+
     # -- writing -------------------------------------------------------------------------------
 
     def batch(self, batch_id: int | None = None, token: tuple[str, int] | None = None) -> Batch:
@@ -293,6 +325,10 @@ class Batch:
         entry.parts = [p for p in entry.parts if p[1] != self.version] + [(-1, self.version)]
         self._written(entry)
 
+    def kept(self, df: DataFrame) -> DataFrame:
+        """The rows as files beside the tables, for steps that read them more than once."""
+        return cut_lineage(df)
+
     def compact(self, table: str) -> None:
         """Write a table's parts as one version, so its manifest entry stays short after many appends."""
         if not self.published and table in self.entries:

@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from jsonloom.operators.contracts import Contract
+from jsonloom.operators.large import LARGE_FILE, shred_files
 from jsonloom.operators.quality.suite import Rules, count_checks, run_checks
 from jsonloom.operators.shred import shred
 from jsonloom.plans.catalog import discover
 from jsonloom.plans.ingest import (
-    METRICS, REJECTS, IngestOptions, ingest_contracts, ingest_documents, initialize, stored_catalog,
+    METRICS, REJECT_COLUMNS, REJECTS, Extra, IngestOptions, ingest_contracts, ingest_records, initialize, stored_catalog,
 )
+from jsonloom.plans.incremental import recount_changes, update_checks
 from jsonloom.plans.validate import recount
-from jsonloom.sources.documents import number_lines, sample_documents, stream_documents
+from jsonloom.sources.documents import read_documents, sample_documents, stream_files
 from jsonloom.sources.reports import read_text, schema_documents, schema_markdown, write_text
-from jsonloom.sources.store import TableStore
+from jsonloom.sources.store import Batch, BatchConflict, TableStore
+from jsonloom.streaming.retries import record_outcomes, reject_rows, unreadable, waiting_files
 
 QUALITY = "_quality"
 
@@ -54,31 +57,88 @@ def start_ingest(
     archive_dir: str | None = None,
     options: IngestOptions = IngestOptions(),
     contracts: list[Contract] | None = None,
-    after_batch: AfterBatch | None = None,
+    after_batch: AfterBatch | None = None, large: int = LARGE_FILE,
 ) -> StreamingQuery:
     """Start the stream. Without ``interval`` it drains what is there and stops.
 
-    The source checkpoint hands every file over once and the store skips a batch it has published, so a
-    restart repeats nothing. With ``contracts`` the documents are validated, otherwise tables are
-    discovered. Malformed documents go to the reject table with their whole text.
+    The stream hands over the names of files that arrived, each once, and the store skips a batch it has published, so a
+    restart repeats nothing. With ``contracts`` the documents are validated, otherwise tables are discovered; whole-file
+    documents above ``large`` bytes are then read by several tasks. Malformed documents go to the reject table with their
+    whole text. A file that cannot be read does not keep the others of its batch: the ledger ``_files`` has it wait, later
+    batches try it again, and after three attempts it is a reject without text.
     """
-    docs = stream_documents(spark, source, lines, glob, max_files, archive_dir)
+    arrived = stream_files(spark, source, glob, max_files, archive_dir)
     stream = _stream_id(store, checkpoint)
 
     def merge(frame: DataFrame, epoch: int) -> None:
-        numbered, token = number_lines(frame, lines), (stream, epoch)
-        if contracts is not None:
-            ingest_contracts(store, numbered, None, contracts, token)
-        else:
-            ingest_documents(store, numbered, None, options, token)
+        paths = [row.path for row in frame.select("path").collect()]
+        load_files(store, paths, lines, options, contracts, (stream, epoch), archive_dir, large)
         if after_batch is not None:
             after_batch(store, stream, epoch)
 
-    writer = docs.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    writer = arrived.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
 
 
+def load_files(
+    store: TableStore, paths: list[str], lines: bool = False, options: IngestOptions = IngestOptions(),
+    contracts: list[Contract] | None = None, token: tuple[str, int] | None = None, archive_dir: str | None = None, large: int = LARGE_FILE,
+) -> bool:
+    """Load these files and those that wait for another attempt, as one batch. False when it had been published before.
+
+    Call it without paths to try waiting files when no new ones come.
+    """
+    spark = store.spark
+    if store.batch(token=token).published:
+        return False
+    attempts = waiting_files(store)
+    # a waiting file may be in the archive by now
+    asked = {path: _present(spark, path, archive_dir) for path in [*paths, *(p for p in attempts if p not in paths)]}
+    if not asked:
+        return False
+
+    def load(failed: dict[str, str]) -> bool:
+        good = [path for path in asked if path not in failed]
+        where = [asked[path] for path in good]
+
+        def extra(batch: Batch) -> tuple[DataFrame | None, int]:
+            done = record_outcomes(batch, good, failed, attempts)
+            return reject_rows(spark, done, failed, REJECT_COLUMNS), len(done)
+
+        if contracts is not None or lines or not where:
+            docs = read_documents(spark, where, lines, "*") if where else _no_documents(spark)
+            if contracts is not None:
+                return ingest_contracts(store, docs, None, contracts, token, Extra(extra))
+            return ingest_records(store, lambda: shred(docs, keep_rejects=True, mark_documents=True), None, options, token, Extra(extra))
+        settings = {"keep_rejects": True, "mark_documents": True, "large": large}
+        return ingest_records(store, lambda: shred_files(spark, where, "*", **settings), None, options, token, Extra(extra))
+
+    try:
+        return load({})
+    except BatchConflict:
+        raise
+    except Exception:  # noqa: BLE001 - a read error has many shapes; without an unreadable file it is raised again
+        failed = unreadable(spark, list(asked.values()), lines)
+        if not failed:
+            raise
+    return load({path: failed[place] for path, place in asked.items() if place in failed})
+
+
+def _no_documents(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "file_order bigint, path string, block_start bigint, text string, line_id bigint")
+
+
+def _present(spark: SparkSession, path: str, archive_dir: str | None) -> str:
+    """The path, or its place under the archive if it is there by now."""
+    if archive_dir is None:
+        return path
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return path
+    return f"{archive_dir.rstrip('/')}{at.toUri().getPath()}"
+
+
 def discover_then_ingest(
     spark: SparkSession, source: str, store: TableStore, checkpoint: str, sample_files: int = 50,
     sample_records: int = 100, lines: bool = False, glob: str = "*.json", **settings,
@@ -104,11 +164,21 @@ def check_each_batch(rules: Rules) -> AfterBatch:
     return check
 
 
-def recount_each_batch(parent: str, key: str, child: str, child_key: str, column: str) -> AfterBatch:
-    """Recount children after every batch."""
+def check_changes(rules: Rules) -> AfterBatch:
+    """:func:`check_each_batch` from what the batch changed: its cost follows the batch, not the store."""
+
+    def check(store: TableStore, stream: str, epoch: int) -> None:
+        update_checks(store, rules, (f"{stream}/quality", epoch), QUALITY)
+
+    return check
+
+
+def recount_each_batch(parent: str, key: str, child: str, child_key: str, column: str, whole: bool = False) -> AfterBatch:
+    """Recount children after every batch: of the parents that the batch touched, or of all (``whole``)."""
 
     def count(store: TableStore, stream: str, epoch: int) -> None:
-        recount(store, parent, key, child, child_key, column, (f"{stream}/recount", epoch))
+        run = recount if whole else recount_changes
+        run(store, parent, key, child, child_key, column, (f"{stream}/recount", epoch))
 
     return count
 

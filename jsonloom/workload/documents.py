@@ -94,11 +94,23 @@ def file_metrics(spark, folder):
     )
 
 
-@query()
+@query("""
+with records as (
+  select c_custkey // 500 as doc, c_custkey, to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey,
+   'c_acctbal': c_acctbal, 'c_mktsegment': c_mktsegment}) as r from customer),
+ files as (select strlen('{"customer":[' || string_agg(r, ',' order by c_custkey) || ']}') + 1 as n from records group by doc),
+ span as (select date_diff('microsecond', min(ts), max(ts)) / 1e6 as s from events)
+select count(*) as files, avg(n) as size_bytes_avg, min(n) as size_bytes_min, max(n) as size_bytes_max, sum(n)::bigint as size_bytes_total,
+ round(count(*) / any_value(s), 6)::double as files_per_second, 100.0::double * count(*) / (1 + (select max(o_custkey) // 500 from orders)) as completion_pct
+from files, span
+""")
 def file_sizes(spark, folder):
+    """Sizes of the customers' files, their rate over the span of the events, and how many of those that orders name are there."""
     files = list_files(spark, customer_files(spark, folder), recursive=True).where(F.col("path").contains("batch="))
-    seconds = F.lit(10.0)
-    return M.rates(M.size_metrics(files), seconds, F.col("files"))
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    seconds = load(spark, folder, "events").agg(((F.max(at) - F.min(at)) / 1e6).alias("s")).scalar()
+    expected = load(spark, folder, "orders").agg((F.floor(F.max("o_custkey") / ROWS_PER_DOCUMENT) + 1).alias("n")).scalar()
+    return M.rates(M.size_metrics(files), seconds, expected).withColumn("files_per_second", F.round("files_per_second", 6))
 
 
 @query("""

@@ -209,8 +209,17 @@ def admit_single_limit(spark, folder):
     return allocate.admit_single_limit(requests, "o_custkey", F.expr("(8 + o_custkey % 10) * 0.8"), ["o_orderkey"])
 
 
-@query()
+@query("""
+with requests as (
+  select o_orderkey as q, o_custkey as s, o_orderdate::date as c, (5 + day(o_orderdate::date) % 4) * 0.8 as room
+  from orders where o_custkey in (select c_custkey from customer)),
+ folded as (select list_reduce(list([{'q': q, 's': s, 'c': c, 'room': room}] order by q), lambda acc, x:
+  case when len(list_filter(acc, lambda a: a.c = x[1].c)) < x[1].room and len(list_filter(acc, lambda a: a.s = x[1].s)) < 5
+  then list_append(acc, x[1]) else acc end, []) as admitted from requests)
+select e.q as o_orderkey, e.s as o_custkey, cast(e.c as varchar) as day from (select unnest(admitted) as e from folded) t
+""")
 def admit_two_limits(spark, folder):
+    """The SQL goes through the requests one by one."""
     orders = load(spark, folder, "orders").withColumn("day", F.to_date("o_orderdate"))
     days = orders.select("day").distinct().withColumn("room", F.expr("5 + day(day) % 4"))
     return allocate.admit_two_limits(
