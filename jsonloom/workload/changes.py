@@ -34,7 +34,7 @@ from jsonloom.workload.registry import query
 from jsonloom.workload.streams import SIGNUPS, _positions, event_documents
 from jsonloom.workload.tables import exported, load, numbered, registry
 
-LINE = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double, l_extendedprice double, l_returnflag string, l_shipmode string"
+LINE = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string"
 
 
 def one_document(spark, folder):
@@ -53,7 +53,7 @@ def one_document(spark, folder):
     return exported(spark, folder, "one-document", build)
 
 
-@query("select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag, l_shipmode from lineitem")
+@query("select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount, l_returnflag from lineitem")
 def shred_large_document(spark, folder):
     """One document that is read by byte ranges."""
     records = shred_files(spark, one_document(spark, folder), "*", large=1000)
