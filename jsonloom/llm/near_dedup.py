@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -79,7 +79,7 @@ def odd_sketches(minima: np.ndarray) -> np.ndarray:
 
 
 def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """row, doc_id, text -> row, doc_id, n_shingles, set_a, set_b (a digest of the set), bands, sketch."""
+    """row, doc_id, text, text_a, text_b -> row, doc_id, text_a, text_b, n_shingles, set_a, set_b (a digest of the set), bands, sketch."""
     for batch in batches:
         for first, sets in shingle_sets(batch.column(2)):
             n = len(sets)
@@ -98,9 +98,9 @@ def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     bands[i], sketches[i] = keys[j].view(np.int64), packed[j].tobytes()
             part = batch.slice(first, n)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(sizes), pa.array(digests[:, 0].view(np.int64)), pa.array(digests[:, 1].view(np.int64)),
+                [*(part.column(i) for i in (0, 1, 3, 4)), pa.array(sizes), pa.array(digests[:, 0].view(np.int64)), pa.array(digests[:, 1].view(np.int64)),
                  pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                ["row", "doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"],
+                ["row", "doc_id", "text_a", "text_b", "n_shingles", "set_a", "set_b", "bands", "sketch"],
             )
 
 
@@ -228,17 +228,22 @@ def hashed_bit(column: str):
     return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("bigint")
 
 
-def id_filter(clusters: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A bitmap of FILTER_BITS hashed ids, as its words that are not 0: at most FILTER_BITS / 64 of them."""
+def text_key() -> list[Column]:
+    """128 bits that name a text wherever and however often it is read; no place in a plan does."""
+    return [F.xxhash64("text").alias("text_a"), F.xxhash64(F.lit(1), F.col("text")).alias("text_b")]
+
+
+def id_filter(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """A bitmap of FILTER_BITS hashed text keys, as its words that are not 0: at most FILTER_BITS / 64 of them."""
     rows = (
-        clusters.select(hashed_bit("node").alias("at")).select(F.expr("at div 64").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bit"))
+        texts.select(hashed_bit("text_a").alias("at")).select(F.expr("at div 64").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bit"))
         .groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
     )
     return np.array([r.word for r in rows], np.int64), np.array([r.bits for r in rows], np.int64)
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
-    """One row per document: ``row, doc_id, n_shingles, component_id, kept``.
+    """One row per document: ``row, doc_id, n_shingles, component_id, kept``; ``row`` tells the rows of this result apart.
 
     1. One pass over the texts gives each document its set size, a 128-bit digest of its set, BANDS band keys and an odd
        sketch. Documents with equal sets become one member, so a group of copies of any size is one row from here on.
@@ -246,23 +251,30 @@ def near_dedup(docs: DataFrame) -> DataFrame:
        differ, and pairs that even six standard deviations cannot bring to the threshold are no candidates. A task
        gives a spanning forest, never all pairs; a bucket of over BLOCK members is dealt in pairs of blocks.
     3. The components of these forests are clusters: a linked pair is always in one. Only members of clusters have their
-       sets built again (a second pass over the texts, where a bitmap of their ids lets the others go) and compared exactly, in pairs of blocks again. The forests of confirmed links give the classes.
+       sets built again (a second pass over the texts, which meets the first by a hash of each text; a bitmap lets the others
+       go) and compared exactly, in pairs of blocks again. The forests of confirmed links give the classes.
 
     A pair at exactly 0.75 is missed by the bands with probability 2.4e-8; the sketches' 6 deviations add about 1e-9.
     Null and empty texts have no shingles and are linked with nothing. ``component_id`` is the smallest doc_id of the
     class; documents without id have none and come last. Of repeated rows with the class's smallest id exactly one is
     kept; a text without shingles is always kept. An empty table gives no rows; other columns are not read.
     """
-    source = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return _classified(docs).drop("text_a", "text_b")
+
+
+def _classified(docs: DataFrame) -> DataFrame:
+    """:func:`near_dedup` with the keys of the texts."""
+    source = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text", *text_key())
     signed = cut_lineage(
         source.mapInArrow(
-            signatures, "row bigint, doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch binary"
+            signatures, "row bigint, doc_id bigint, text_a bigint, text_b bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch binary"
         )
     )
     shingled = signed.where("n_shingles > 0")
     key = ["n_shingles", "set_a", "set_b"]
     members = shingled.groupBy(*key).agg(
-        F.min("row").alias("id"), F.min("doc_id").alias("least_doc"), F.min_by("bands", "row").alias("bands"), F.min_by("sketch", "row").alias("sketch")
+        F.min("row").alias("id"), F.min("doc_id").alias("least_doc"), F.min_by("bands", "row").alias("bands"), F.min_by("sketch", "row").alias("sketch"),
+        F.min_by("text_a", "row").alias("text_a"), F.min_by("text_b", "row").alias("text_b"),
     )
     members = cut_lineage(members)
     bands = members.select("id", F.explode("bands").alias("band"))
@@ -279,21 +291,28 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     sizes = clusters.groupBy("root").agg(F.count("*").alias("n"))
     clustered = clusters.join(sizes, "root").withColumnRenamed("node", "id")
 
-    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(clusters))
+    asked = clustered.join(members.select("id", "sketch", "text_a", "text_b"), "id")
+    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(asked))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER_BITS // 64, np.int64)
         bits[wanted.value[0]] = wanted.value[1]
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             bit = batch.column("bit").to_numpy()
             batch = batch.filter(pa.array((bits[bit >> 6] >> (bit & 63)) & 1 == 1))
+            keys = list(zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True))
+            # of copies one is enough
+            first_ones = [i for i, key in enumerate(keys) if not (key in seen or seen.add(key))]
+            batch = batch.take(pa.array(first_ones, pa.int64()))
             for first, found in shingle_sets(batch.column("text")):
+                part = batch.slice(first, len(found))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(first, len(found)), pa.array([x.tobytes() for x in found], pa.binary())], ["id", "shingles"]
+                    [part.column("text_a"), part.column("text_b"), pa.array([x.tobytes() for x in found], pa.binary())], ["text_a", "text_b", "shingles"]
                 )
 
-    again = source.select(F.col("row").alias("id"), hashed_bit("row").alias("bit"), "text").mapInArrow(sets, "id bigint, shingles binary")
-    full = again.join(clustered.join(members.select("id", "sketch"), "id"), "id")
+    again = docs.select("text", *text_key()).withColumn("bit", hashed_bit("text_a")).mapInArrow(sets, "text_a bigint, text_b bigint, shingles binary")
+    full = again.dropDuplicates(["text_a", "text_b"]).join(asked, ["text_a", "text_b"])
     links = (
         block_pairs(full, "root", "id")
         .select("root", "first", "second", "id", "sketch", "shingles")
@@ -306,40 +325,52 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     )
     names = rooted.groupBy("root").agg(F.min("least_doc").alias("component_id"))
     named = rooted.join(names, "root").select(*key, "component_id")
-    placed = shingled.select("row", "doc_id", *key).join(named, key).select("row", "doc_id", "n_shingles", "component_id")
+    text = ["text_a", "text_b"]
+    placed = shingled.select("row", "doc_id", *text, *key).join(named, key).select("row", "doc_id", *text, "n_shingles", "component_id")
     owners = (
         placed.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component_id").agg(F.min("row").alias("owner")).withColumnRenamed("component_id", "named")
     )
     return _with_owner(placed, owners).unionAll(
-        signed.where("n_shingles = 0").select("row", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+        signed.where("n_shingles = 0").select("row", "doc_id", *text, "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
     )
 
 
 def _with_owner(placed: DataFrame, owners: DataFrame) -> DataFrame:
     return placed.join(owners, placed["component_id"].eqNullSafe(owners["named"]), "left").select(
-        "row", "doc_id", "n_shingles", "component_id", (F.col("row") == F.col("owner")).alias("kept")
+        "row", "doc_id", "text_a", "text_b", "n_shingles", "component_id", (F.col("row") == F.col("owner")).alias("kept")
     )
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``near_dedup`` keeps, in their own columns.
+    """The rows of ``docs`` that ``near_dedup`` keeps, in their own columns, whatever these are.
 
-    Only rows that the bitmap of dropped ids cannot tell from them are shuffled to meet the dropped ids.
+    The rows meet what was found by doc_id and text, so the table may be read in another way the second time. Of rows equal
+    in both of which one stays, it is the one with the smallest hash of all columns, or one of rows equal in all. Rows
+    without id or text, empty texts, repeated rows and empty tables are as in ``near_dedup``. Only rows that the bitmap of
+    texts with dropped rows cannot tell from these are shuffled.
     """
-    dropped = cut_lineage(near_dedup(docs).where(~F.col("kept")).select(F.col("row").alias("node")))
-    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(dropped))
-    rows = docs.select(F.struct("*").alias("document"), F.monotonically_increasing_id().alias("row"))
-    given = rows.select("document", "row", hashed_bit("row").alias("bit"))
-    schema = StructType([*given.schema.fields[:2], StructField("maybe", BooleanType())])
+    key = ["_doc", "text_a", "text_b"]
+    found = _classified(docs).groupBy(F.col("doc_id").alias("_doc"), "text_a", "text_b").agg(F.count_if("kept").alias("stay"), F.count("*").alias("rows"))
+    partly = cut_lineage(found.where("stay < rows"))
+    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(partly))
+    rows = docs.select(F.struct("*").alias("document"), F.col("doc_id").cast("bigint").alias("_doc"), *text_key())
+    given = rows.select("document", *key, hashed_bit("text_a").alias("bit"))
+    schema = StructType([*given.schema.fields[:4], StructField("maybe", BooleanType())])
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER_BITS // 64, np.int64)
         bits[wanted.value[0]] = wanted.value[1]
         for batch in batches:
-            bit = batch.column(2).to_numpy()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((bits[bit >> 6] >> (bit & 63)) & 1 == 1)], ["document", "row", "maybe"])
+            bit = batch.column(4).to_numpy()
+            maybe = pa.array((bits[bit >> 6] >> (bit & 63)) & 1 == 1)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), maybe], ["document", *key, "maybe"])
 
     flagged = given.mapInArrow(flag, schema)
-    unsure = flagged.where("maybe").join(dropped, flagged["row"] == dropped["node"], "left_anti")
-    return flagged.where("not maybe").select("document.*").unionAll(unsure.select("document.*"))
+    unsure = flagged.where("maybe")
+    there = partly.select(*[F.col(c).alias(f"found{c}") for c in key], "stay")
+    met = unsure.join(there, [unsure[c].eqNullSafe(F.col(f"found{c}")) for c in key], "left")
+    one = Window.partitionBy(*key).orderBy(F.xxhash64(F.to_json("document")))
+    single = met.where("stay = 1").withColumn("rank", F.row_number().over(one)).where("rank = 1")
+    parts = [flagged.where("not maybe"), met.where("stay is null"), single]
+    return parts[0].select("document.*").unionAll(parts[1].select("document.*")).unionAll(parts[2].select("document.*"))

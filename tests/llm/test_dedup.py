@@ -125,6 +125,42 @@ def test_near_dedup_keeps_one_of_repeated_rows(spark, tmp_path):
     assert left.columns == given.columns and sorted(r.doc_id for r in left.collect()) == [1, 3, 3]
 
 
+def repartitioned(monkeypatch, spark):
+    """From the first look at the clusters on, files are packed into other partitions, as when executors join."""
+    real = near_dedup.id_filter
+
+    def other(df):
+        found = real(df)
+        spark.conf.set("spark.sql.files.minPartitionNum", 13)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        return found
+
+    monkeypatch.setattr(near_dedup, "id_filter", other)
+
+
+def test_near_dedup_does_not_depend_on_partitions(spark, tmp_path, monkeypatch):
+    draw, rows = random.Random(6), []
+    for _ in range(5):
+        words = [f"w{draw.randrange(300)}" for _ in range(50)]
+        rows += [(len(rows) + k, edited(draw, words, draw.choice([0, 0.02]))) for k in range(6)]
+    rows += [(3, rows[3][1]), (3, rows[3][1]), (900, None), (None, rows[0][1])]
+    given = docs(spark, tmp_path, [(i, t, draw.choice("ab")) for i, t in rows], "doc_id bigint, text string, text_a string", 9)
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")}
+    repartitioned(monkeypatch, spark)
+    try:
+        got = near_dedup.near_dedup(given).collect()
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+        left = near_dedup.drop_near_duplicates(given)
+        assert left.columns == given.columns
+        stay = [(r.doc_id, r.text) for r in left.collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == near_by_force(rows)
+    assert sorted(i for i, _ in stay) == sorted(r.doc_id for r in got if r.kept) and len(stay) < len(rows)
+
+
 def test_near_dedup_odd_tables(spark, tmp_path):
     clash = docs(spark, tmp_path, [(1, "a b c d e", 5, "x")], "doc_id bigint, text string, row bigint, band string")
     assert [tuple(r) for r in near_dedup.near_dedup(clash).drop("row").collect()] == [(1, 1, 1, True)]
