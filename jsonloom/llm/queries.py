@@ -104,15 +104,15 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         from pages),
     totals as (select host, count(*) as pages from cut group by host having count(*) >= 4),
     held as (select host, line, count(*) as n from (select host, unnest(list_distinct(lines)) as line from cut) group by host, line),
-    common as (select host, list(line) as common from held join totals using (host) where n > 0.1 * pages group by host)
+    common as (select host, list(line) as common from held join totals using (host) where n > 0.1 * pages and n >= 3 group by host)
     select page_id, cut.host, len(lines) as n_lines, len(lines) - len(list_filter(lines, lambda x: not list_contains(coalesce(common, []), x))) as n_dropped,
         array_to_string(list_filter(lines, lambda x: not list_contains(coalesce(common, []), x)), chr(10)) as text
     from cut left join common on cut.host = common.host
     """
 )
 def op2_site_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Every page's text without its site's boilerplate lines, by the SQL's rule (no least number of pages for a line)."""
-    return line_dedup.line_dedup(table(spark, folder, "pages"), support=1)
+    """Every page's text without its site's boilerplate lines."""
+    return line_dedup.line_dedup(table(spark, folder, "pages"))
 
 
 @query()
