@@ -79,10 +79,14 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, overhead: int = 8) -> Data
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, overhead: int = 8) -> DataFrame:
-    """``docs`` with ``shard`` and ``slot`` added (``docs`` must not have columns of these names).
+    """``docs`` with ``shard`` and ``slot`` added; ValueError if it has columns of these names.
 
-    The texts are shuffled once, to meet their units; copies of a row are numbered where they meet.
+    The texts are shuffled once, to meet their units; copies of a row are numbered where they meet. Nulls, ties, repeated
+    rows and empty tables are as in ``shard_by_bytes``; other columns, also of the names used here inside, stay as they are.
     """
+    taken = {"shard", "slot"} & {c.lower() for c in docs.columns}
+    if taken:
+        raise ValueError(f"columns named {sorted(taken)} are in the way; rename them first")
     text = F.coalesce(F.col("text"), F.lit(""))
     some, none = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), F.col("doc_id").isNull()
     rows = docs.select(

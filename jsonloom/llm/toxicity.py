@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -86,15 +86,16 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> dict[in
     """The weights that are not 0, by slot; ``1 << bits`` is the intercept.
 
     Fitted by one task on at most ``sample`` toxic and ``sample`` other labelled documents that are not held out,
-    those with the smallest hash of their id. Labels are joined by doc_id; rows without id, label or with several
-    labels for an id: the largest label counts.
+    those with the smallest hash of their id. Labels are joined by doc_id; rows without id or label are not used; of
+    several labels of an id the largest counts, of several documents the one whose text has the smallest hash.
     """
     marked = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.where(~held_out()).withColumn("turn", F.xxhash64(F.lit(8), F.col("doc_id")))
     chosen = marked.where("toxic = 1").orderBy("turn", "doc_id").limit(s.sample).unionAll(
         marked.where("toxic = 0").orderBy("turn", "doc_id").limit(s.sample)
     )  # at most two samples of ids
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "turn", "text")
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("nth", F.row_number().over(one)).where("nth = 1").select("toxic", "turn", "text")
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,6 +152,10 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, s: Settings = Settings()
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` that score under the threshold, in their own columns."""
+    """The rows of ``docs`` that score under the threshold, in their own columns, whatever these are.
+
+    Null and empty texts have the intercept's score; rows without id or label are scored like others; equal rows are equal in
+    score and stay or go together; an empty table gives no rows.
+    """
     packed = docs.select(F.struct("*").alias("row"), F.col("text"))
     return scored(packed, fit(docs, labels, s), s, ["row"]).where(F.col("score") < s.threshold).select("row.*")

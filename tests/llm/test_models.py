@@ -302,3 +302,45 @@ def test_no_texts(spark):
 
 def test_digest_of_no_spans():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_many_spans_in_one_text(spark, tmp_path):
+    """The time a text takes follows its spans; all places are right, also over groups of matches and pieces of text."""
+    import time
+
+    n = 50_000
+    text = " ".join(f"u{i}@h{i % 7}.org" + (" ünï" if i % 1000 == 0 else "") for i in range(n))
+    spark.createDataFrame([(1, text), (2, "a@b.org, c@d.org"), (3, None)], "doc_id bigint, text string").write.parquet(str(tmp_path / "docs"))
+    start = time.time()
+    got = {r.doc_id: r.base for r in pii.find_pii(spark.read.parquet(str(tmp_path / "docs"))).collect()}
+    assert time.time() - start < 90
+    assert [(s.start, s.end) for s in got[1]] == [m.span() for m in re.finditer(r"[a-z0-9]+@[a-z0-9]+\.org", text)]
+    assert [(s.start, s.end) for s in got[2]] == [(0, 7), (9, 16)] and got[3] == []
+
+
+def test_added_spans_against_a_plain_loop(spark):
+    draw = random.Random(12)
+    likely, base = [], []
+    for row in range(40):
+        base += [(row, 0, a, a + draw.randrange(1, 6)) for a in range(0, 60, 15) if draw.random() < 0.5]
+        likely += [(row, round(draw.random(), 3), draw.randrange(4), a, a + draw.randrange(1, 12)) for a in (draw.randrange(60) for _ in range(draw.randrange(8)))]
+    rows = spark.createDataFrame([(r, [x[1:] for x in base if x[0] == r]) for r in range(40)], "row bigint, base array<struct<order:int,start:int,end:int>>")
+    got = {r.row: sorted((s.start, s.end, s.order) for s in r.more) for r in pii.added(spark.createDataFrame(likely, "row bigint, p double, order int, start int, end int"), rows).collect()}
+    for row in range(40):
+        taken, found = [(a, b) for r, _, a, b in base if r == row], []
+        for _, p, order, a, b in sorted((x for x in likely if x[0] == row), key=lambda x: (-x[1], x[3], x[4], x[2])):
+            if all(e <= a or b <= s for s, e in taken):
+                taken.append((a, b))
+                found.append((a, b, order))
+        assert got.get(row, []) == sorted(found)
+
+
+def test_repeated_ids_do_not_swell_the_sample(spark):
+    ids = spark.range(100).withColumnRenamed("id", "doc_id")
+    free = [r.doc_id for r in ids.where(~toxicity.held_out()).orderBy("doc_id").limit(3).collect()]
+    rows = [(free[0], f"bad word {i}") for i in range(300)] + [(free[1], "good"), (free[2], "fine")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(i, 0, int(i == free[0])) for i in free], "doc_id bigint, quality int, toxic int")
+    least = docs.where(f"doc_id = {free[0]}").selectExpr("min_by(text, xxhash64(text))").first()[0]
+    one = docs.where((docs["doc_id"] != free[0]) | (docs["text"] == least))
+    assert toxicity.fit(docs, labels) == toxicity.fit(one, labels)

@@ -51,3 +51,27 @@ def test_shards_are_even(outputs):
 def test_run(spark, outputs):
     got = corpus_pipeline.run(spark, FOLDER)
     assert sorted((r.shard, r.slot, r.doc_id) for r in got.collect()) == sorted((r.shard, r.slot, r.doc_id) for r in outputs["shards"].collect())
+
+
+ODD = "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, bit int, document int, matches int, size string"
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_odd_tables(spark, tmp_path, name, stage):
+    """Nulls, empty texts, ties, repeated rows and columns of names that are used inside: rows stay whole; an empty table stays empty."""
+    rest = ("en", "a", 1, "r", 1, 2, 3, "s")
+    rows = [(1, "one two three four five six", *rest), (None, "seven eight nine ten", *rest), (2, None, *rest), (3, "", *rest), (None, None, None, None, None, *rest[3:])]
+    rows += [(4, "the same words in every row here", *rest)] * 3 + [(5, "the same words in every row here", *rest), (6, "x " * 5000, *rest)]
+    spark.createDataFrame(rows, ODD).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    got = stage(spark, docs, FOLDER)
+    assert got.columns[: len(docs.columns)] == docs.columns
+    given = {repr(tuple(r)) for r in docs.collect()}
+    kept = [r for r in got.select(*docs.columns).collect()]
+    assert all(repr(tuple(r)) in given for r in kept)
+    if name == "near_duplicates":
+        assert sorted(r.doc_id for r in kept if r.text and r.text.startswith("the same")) == [4]
+        assert len(kept) == len(rows) - 3
+    if name in ("toxicity", "benchmark", "shards"):
+        assert len(kept) == len(rows)
+    assert stage(spark, docs.where("doc_id = 99"), FOLDER).count() == 0

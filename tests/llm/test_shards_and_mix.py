@@ -122,3 +122,10 @@ def test_nothing_to_mix(spark):
     assert mixing.mix_report(mixing.slim(empty, 9)).count() == 0 and mixing.mix_documents(empty).count() == 0
     bare = spark.createDataFrame([(1, None, "a"), (2, " ", None)], SCHEMA)
     assert {r.taken for r in mixing.mix_report(mixing.slim(bare, 9)).collect()} == {0}
+
+
+@pytest.mark.parametrize("name", ["shard", "Slot"])
+def test_shard_documents_says_what_is_in_the_way(spark, name):
+    docs = spark.createDataFrame([(1, "a", 5)], f"doc_id bigint, text string, {name} int")
+    with pytest.raises(ValueError, match=name.lower()):
+        sharding.shard_documents(docs)
