@@ -121,12 +121,15 @@ def _with_rules(flat: DataFrame, contract: Contract) -> DataFrame:
     return flat.withColumn("violations", F.array_compact(every)).drop("_problems")
 
 
-def check_documents(docs: DataFrame, contracts: list[Contract]) -> DataFrame:
+def check_documents(docs: DataFrame, contracts: list[Contract], scope: str = "document") -> DataFrame:
     """Documents with a column of typed records per table and ``violations``.
 
-    One bad record rejects its document. All records of a document are in one row, so the verdict
-    needs no shuffle. An envelope is unwrapped first.
+    One bad record rejects its document. With ``scope="record"`` it rejects itself only: it is left out of its table and
+    listed in ``rejected`` (table, place, reason, record), and only what is wrong with the document as a whole rejects that. All
+    records of a document are in one row, so the verdict needs no shuffle. An envelope is unwrapped first.
     """
+    if scope not in ("document", "record"):
+        raise ValueError("scope is document or record")
     schema = T.StructType([T.StructField(c.table, T.ArrayType(c.raw_schema)) for c in contracts])
     inner = T.StructType([T.StructField("data", schema)])
     tables = F.when(F.col("_enveloped"), F.from_json("text", inner)["data"]).otherwise(F.from_json("text", schema))
@@ -145,6 +148,11 @@ def check_documents(docs: DataFrame, contracts: list[Contract]) -> DataFrame:
         columns.append(F.transform(raw, partial(_checked, contract)).alias(contract.table))
     staged = parsed.select(*DOC_POSITION, "text", "_ok", F.concat(*violations).alias("_document"), *columns)
     problems = [F.flatten(F.transform(F.coalesce(F.col(c.table), F.array()), lambda r: r["problems"])) for c in contracts]
+    if scope == "record":
+        sound = [F.transform(F.filter(F.col(c.table), lambda r: F.size(r["problems"]) == 0), lambda r: r["row"]).alias(c.table) for c in contracts]
+        bad = [F.filter(F.transform(F.coalesce(F.col(c.table), F.array()), partial(_rejected, c)), lambda r: r["reason"] != "") for c in contracts]
+        whole = F.array_compact(F.col("_document"))
+        return staged.select(*DOC_POSITION, "text", whole.alias("violations"), F.flatten(F.array(*bad)).alias("rejected"), *sound)
     rows = [F.transform(F.col(c.table), lambda r: r["row"]).alias(c.table) for c in contracts]
     found = F.array_distinct(F.array_compact(F.concat("_document", *problems)))
     return staged.select(*DOC_POSITION, "text", found.alias("violations"), *rows)
@@ -158,7 +166,13 @@ def _checked(contract: Contract, raw: Column) -> Column:
     for name, rule in contract.rules.items():
         met = _met(rule, lambda n: _typed(specs[n], raw[n]))
         problems.append(F.when(~met, F.lit(f"{contract.table}: {name}")))
-    return F.struct(typed.alias("row"), F.array_compact(F.array(*problems)).alias("problems"))
+    found = F.array_compact(F.array(*problems))
+    return F.struct(typed.alias("row"), found.alias("problems"), F.when(F.size(found) > 0, F.to_json(raw)).alias("record"))
+
+
+def _rejected(contract: Contract, checked: Column, place: Column) -> Column:
+    reason = F.array_join(F.array_distinct(checked["problems"]), "; ")
+    return F.struct(F.lit(contract.table).alias("table"), place.alias("rec_pos"), reason.alias("reason"), checked["record"].alias("record"))
 
 
 # comparison sign -> Column comparison

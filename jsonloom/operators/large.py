@@ -10,11 +10,13 @@ chunk, one record, or a document's summaries.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,6 +26,9 @@ from jsonloom.operators.shred import DOCUMENT, QUARANTINE, numbered, shred
 from jsonloom.session import cut_lineage
 from jsonloom.sources.documents import DOC_POSITION, file_order, list_files, read_documents
 
+# what runs in tasks travels with them, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: files above this size are read by several tasks
 LARGE_FILE = 32 * 2**20
 #: bytes of text in a chunk, about

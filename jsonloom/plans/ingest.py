@@ -201,16 +201,17 @@ def _count(batch: Batch, staged: DataFrame, started: datetime, unknown: list[str
 
 def ingest_contracts(
     store: TableStore, docs: DataFrame, batch_id: int | None, contracts: list[Contract],
-    token: tuple[str, int] | None = None, extra: Extra | None = None,
+    token: tuple[str, int] | None = None, extra: Extra | None = None, scope: str = "document",
 ) -> bool:
-    """Validated ingest with declared schemas: a document with one bad record is rejected whole."""
+    """Validated ingest with declared schemas: a document with one bad record is rejected whole, or (``scope="record"``) the
+    record alone."""
     batch = store.batch(batch_id, token)
     if batch.published:
         return False
     batch_id = batch.id
     started = datetime.now(timezone.utc)
     path = f"{store.root}/_staging/{batch.version}"
-    check_documents(docs, contracts).write.mode("overwrite").parquet(path)
+    check_documents(docs, contracts, scope).write.mode("overwrite").parquet(path)
     checked = store.spark.read.parquet(path)
     order = [*DOC_POSITION, "rec_pos"]
     for contract in contracts:
@@ -223,6 +224,9 @@ def ingest_contracts(
     )
     more, failed = extra.write(batch) if extra else (None, 0)
     rejects = rejects.select(*REJECT_COLUMNS)
+    if scope == "record":
+        alone = checked.where("size(violations) = 0").select(*DOC_POSITION, F.explode("rejected").alias("r"))
+        rejects = rejects.unionByName(alone.select(*DOC_POSITION, F.lit(0).alias("table_pos"), "r.rec_pos", "r.table", "r.reason", "r.record"))
     batch.append(REJECTS, rejects if more is None else rejects.unionByName(more), skip_empty=True)
     counts = checked.agg(
         F.count(F.when(F.size("violations") == 0, F.lit(1))).alias("processed"),

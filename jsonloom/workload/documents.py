@@ -468,3 +468,21 @@ def reject_documents(spark, folder):
         F.count(F.lit(1)).alias("documents"), F.count(F.when(good, F.lit(1))).alias("accepted"),
         F.coalesce(F.sum(F.when(good, F.size("orders").cast("bigint"))), F.lit(0)).alias("accepted_records"),
     )
+
+
+@query("""
+select o_orderkey // 10 as doc, count(*) filter (where ok) as kept, count(*) filter (where not ok) as rejected
+from (select o_orderkey, o_totalprice between 0 and 480000 and o_orderkey >= o_custkey as ok from orders) t group by 1
+""")
+def reject_records(spark, folder):
+    """Ten orders per document; a bad order rejects itself only."""
+
+    def build():
+        rows = load(spark, folder, "orders").drop("o_orderdate").withColumn("batch", F.floor(F.col("o_orderkey") / 10))
+        return documents({"orders": rows}, "batch")
+
+    docs = read_documents(spark, exported(spark, folder, "tens", build), lines=True, glob="*")
+    key = F.coalesce(F.get("orders.o_orderkey", F.lit(0)), F.get_json_object(F.get("rejected.record", F.lit(0)), "$.o_orderkey").cast("bigint"))
+    return check_documents(docs, [ORDER], "record").select(
+        F.floor(key / 10).cast("bigint").alias("doc"), F.size("orders").cast("bigint").alias("kept"), F.size("rejected").cast("bigint").alias("rejected")
+    )

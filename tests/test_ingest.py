@@ -77,6 +77,24 @@ def test_contract_ingest_is_all_or_nothing(spark, folder, tmp_path):
     assert (store.batches(), store.read("students").inputFiles()) == (batches, files)
 
 
+def test_records_are_rejected_alone(spark, folder, tmp_path):
+    bad = {**STUDENT, "student_id": "S2", "age": 99, "gpa": 9.0}
+    path = folder(mixed={"students": [bad, STUDENT, bad], "classes": [CLASS, {**CLASS, "class_id": "C2", "current_enrollment": 3}]}, shape={"students": "none"})
+    store = TableStore(spark, str(tmp_path / "store"), 2)
+    assert ingest_contracts(store, read_documents(spark, path), 1, school.CONTRACTS, scope="record")
+    assert [r.student_id for r in store.read("students").collect()] == ["S1"] and [r.class_id for r in store.read("classes").collect()] == ["C1"]
+    rejects = sorted((r.table, r.rec_pos, r.reason) for r in store.read(REJECTS).collect())
+    assert rejects == [
+        ("_quarantine", 0, "students: not a list of records"), ("classes", 1, "classes: enrollment within capacity"),
+        ("students", 0, "students.age: outside 5..25; students.gpa: outside 0..4"), ("students", 2, "students.age: outside 5..25; students.gpa: outside 0..4"),
+    ]
+    assert json.loads(store.read(REJECTS).where("table = 'students'").first().record)["age"] == "99"
+    counts = store.read(METRICS).first()
+    assert (counts.processed, counts.failed) == (1, 1)
+    with pytest.raises(ValueError):
+        check_documents(read_documents(spark, path), school.CONTRACTS, "table")
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_upsert_matches_a_dict(spark, tmp_path, seed):
     rnd = random.Random(seed)
