@@ -143,10 +143,16 @@ def _chunked(size: int):
     return run
 
 
+def one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows as dicts; only one chunk's text is copied at a time."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each chunk: what opened depths 2 and 3 last, its first comma at depth 1, and entries of depth 1 named data."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in one_by_one(batch):
             lexed = Lexed(row["text"], row["quoted"], row["depth"])
             opened = {}
             for depth in (2, 3):
@@ -252,7 +258,7 @@ def _cut(row: dict) -> list[dict]:
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in one_by_one(batch):
             cut = _cut(row)
             for first in range(0, len(cut), 10_000):
                 yield pa.RecordBatch.from_pylist(cut[first : first + 10_000], schema=_PIECE_SCHEMA)

@@ -80,6 +80,8 @@ def frequent_values(df: DataFrame, columns: list[str], k: int = TOP_VALUES) -> D
     classes, bounded by the columns, pass through the driver.
     """
     spark = df.sparkSession
+    if not columns:
+        return spark.createDataFrame([], "field string, long_value bigint, double_value double, text_value string, n bigint")
     cells = melted(df, columns)
     named = df.agg(*[F.expr(f"approx_top_k({_item(df, c)}, {CANDIDATES}, {TRACKED}).item as c{i}") for i, c in enumerate(columns)])
     listed = melted_items(named, df, columns).distinct()  # a sketch tells 0.0 and -0.0 apart

@@ -88,7 +88,7 @@ def test_records_are_rejected_alone(spark, folder, tmp_path):
         ("_quarantine", 0, "students: not a list of records"), ("classes", 1, "classes: enrollment within capacity"),
         ("students", 0, "students.age: outside 5..25; students.gpa: outside 0..4"), ("students", 2, "students.age: outside 5..25; students.gpa: outside 0..4"),
     ]
-    assert json.loads(store.read(REJECTS).where("table = 'students'").first().record)["age"] == "99"
+    assert json.loads(store.read(REJECTS).where("table = 'students'").first().record)["age"] == 99
     counts = store.read(METRICS).first()
     assert (counts.processed, counts.failed) == (1, 1)
     with pytest.raises(ValueError):

@@ -49,7 +49,7 @@ def rows(df):
     return sorted(((r.path, r.table, r.table_pos, r.rec_pos, r.record, r.reason) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("seed, chunk", [(1, 1), (2, 9), (3, 60), (4, 5000)])
+@pytest.mark.parametrize("seed, chunk", [(1, 1), (3, 60)])
 def test_ranges_give_the_same_rows(spark, tmp_path, seed, chunk):
     draw = random.Random(seed)
     texts = FIXED + [document(draw) for _ in range(40)]
