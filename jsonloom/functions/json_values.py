@@ -70,6 +70,6 @@ def named_type(schema: Column) -> Column:
     return chain
 
 
-def record_fields(record: Column) -> Column:
-    """Ordered ``array<struct<key,value:variant>>`` of one JSON object."""
-    return last_entries(F.map_entries(F.from_json(record, "map<string,variant>", TEXT_RULES)))
+def parsed_entries(record: Column) -> Column:
+    """Ordered ``array<struct<key,value:variant>>`` of one JSON object, repeated keys included."""
+    return F.map_entries(F.from_json(record, "map<string,variant>", TEXT_RULES))

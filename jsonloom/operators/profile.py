@@ -7,44 +7,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from jsonloom.functions.json_values import named_type, record_fields, type_name
+from jsonloom.functions.json_values import last_entries, named_type, parsed_entries, type_name
 from jsonloom.operators.ordering import top_per_group
 from jsonloom.operators.shred import RECORD_POSITION
 from jsonloom.operators.sketches import column_sketches, sketched_profile
+from jsonloom.session import cut_lineage
 
 SAMPLES = 10
 SCALARS = ("str", "int", "float", "bool", "dict")
 ELEMENTS = (*SCALARS, "list")
+FLAGS = [f"has_{t}" for t in (*SCALARS, "list")] + [f"of_{t}" for t in ELEMENTS]
 
 
 # Where a table or field was first seen: file, block, and a number that orders the places in a block.
 BLOCK = ["file_order", "path", "block_start"]
 # line (33 bits), record and field (31 bits each) in one decimal: exact for every size, and hash aggregates take it
-_PLACE = "cast(line_id & 8589934591 as decimal(10,0)) * cast(4611686018427387904 as decimal(19,0)) + cast({} as bigint) * 2147483648 + {}"
-
-
-def _first_seen(per_block: DataFrame, keys: list[str], *facts) -> DataFrame:
-    """Combine facts per block. Rows were reduced to one per key and block by a hash aggregate before,
-    so only those few are compared as structs."""
-    seen = F.min(F.struct(*BLOCK, "place")).alias("first_seen")
-    return per_block.groupBy(*keys).agg(*facts, seen)
-
-
-def table_facts(records: DataFrame) -> DataFrame:
-    """``(table, record_count, first_seen)`` per table."""
-    place = F.expr(f"min({_PLACE.format('0', 'table_pos')}) as place")
-    per_block = records.groupBy("table", *BLOCK).agg(F.expr("count(1) as n"), place)
-    return _first_seen(per_block, ["table"], F.sum("n").alias("record_count"))
-
-
+_PLACE = "cast(({}) & 8589934591 as decimal(10,0)) * cast(4611686018427387904 as decimal(19,0)) + cast({} as bigint) * 2147483648 + {}"
+# Lines (2 ** 6) and records of a line (2 ** 13) whose values are summed up together.
+LINE_BITS, RECORD_BITS = 6, 13
+CHUNK = [*BLOCK, "line_chunk", "rec_chunk"]
 SAMPLES_TYPE = "array<struct<at: struct<file_order: bigint, path: string, block_start: bigint, line_id: bigint, table_pos: int, rec_pos: int, pos: int>, sample: string>>"
 
 
 def _values(records: DataFrame) -> DataFrame:
-    """One row per field of every record: position columns, ``table, field, pos, value, type``."""
-    fields = records.select(
-        "table", *RECORD_POSITION, F.posexplode_outer(record_fields(F.col("record"))).alias("pos", "f")
-    ).where(F.col("f").isNotNull())
+    """One row per field of every record, and one with nulls for a record without any: position columns,
+    ``table, field, pos, value, type``."""
+    # parsed in a step of its own: the generator would parse a record each time it names its fields
+    parsed = records.select("table", *RECORD_POSITION, parsed_entries(F.col("record")).alias("_entries"))
+    fields = parsed.select("table", *RECORD_POSITION, F.posexplode_outer(last_entries(F.col("_entries"))).alias("pos", "f"))
     kinds = fields.select(
         "table", *RECORD_POSITION, "pos", F.col("f.key").alias("field"), F.col("f.value").alias("value"),
         F.schema_of_variant("f.value").alias("kind"),
@@ -52,45 +42,108 @@ def _values(records: DataFrame) -> DataFrame:
     return kinds.withColumn("type", named_type(F.col("kind"))).drop("kind")
 
 
-def field_facts(records: DataFrame) -> DataFrame:
-    """Mergeable facts per (table, field).
+def _in_chunks(records: DataFrame) -> DataFrame:
+    return records.withColumns(
+        {"line_chunk": F.shiftright("line_id", LINE_BITS), "rec_chunk": F.shiftright("rec_pos", RECORD_BITS)}
+    )
+
+
+def chunk_facts(records: DataFrame) -> DataFrame:
+    """Mergeable facts per table, field and chunk, from one pass over the records; kept in the shared folder.
 
-    Type sets are kept as boolean maxima: they combine before the shuffle like any other
-    aggregate, and their size does not depend on the data.
+    Type sets are kept as bits: they combine before the shuffle like any other
+    aggregate, and their size does not depend on the data. A record counts for its table where its first field is.
     """
     elements = F.when(
         F.col("type") == "list",
         F.array_distinct(F.transform(F.try_variant_get("value", "$", "array<variant>"), type_name)),
     )
-    values = _values(records).withColumns(
+    values = _in_chunks(_values(records)).withColumns(
         {"elements": elements, "text": F.when(F.col("type") == "str", F.try_variant_get("value", "$", "string"))}
     )
-    flags = {f"has_{t}": f"type = '{t}'" for t in (*SCALARS, "list")}
-    flags |= {f"of_{t}": f"array_contains(elements, '{t}')" for t in ELEMENTS} | {"nullable": "type is null"}
-    per_block = values.groupBy("table", "field", *BLOCK).agg(
-        *[F.expr(f"max({test}) as {flag}") for flag, test in flags.items()],
+    # a chunk's place fits a number: line (6 bits), record (13) and field (31)
+    line, here = f"(line_id & {2 ** LINE_BITS - 1})", f"(rec_pos & {2 ** RECORD_BITS - 1})"
+    values = values.withColumn("bits", F.coalesce(_type_bits(), F.lit(0))).withColumn(
+        "near", F.expr(f"shiftleft(shiftleft({line}, {RECORD_BITS}) | {here}, 31) | coalesce(pos, 0)")
+    )
+    found = values.groupBy("table", "field", *CHUNK).agg(
+        F.expr("bit_or(bits) as bits"),
         F.expr("max(length(text)) as max_length"),
         F.expr("count(1) as present_count"),
         F.expr("count_if(type is null) as null_count"),
-        F.expr(f"min({_PLACE.format('rec_pos', 'pos')}) as place"),
+        F.expr("count_if(coalesce(pos, 0) = 0) as records"),
+        F.expr("min(near) as near"),
+        F.expr("min(if(type is null, null, near)) as value_near"),
+        F.expr("max(if(type is null, null, near)) as last_near"),
+        F.expr(f"min(shiftleft({line}, 31) | table_pos) as table_near"),
     )
-    return _first_seen(
-        per_block, ["table", "field"], *[F.max(f).alias(f) for f in (*flags, "max_length")],
-        F.sum("present_count").alias("present_count"), F.sum("null_count").alias("null_count"),
+    first_line, first_record = f"shiftleft(line_chunk, {LINE_BITS})", f"shiftleft(cast(rec_chunk as bigint), {RECORD_BITS})"
+
+    def place(near: str) -> Column:
+        of_line = f"{first_line} | shiftright({near}, {31 + RECORD_BITS})"
+        record = f"({first_record} | (shiftright({near}, 31) & {2 ** RECORD_BITS - 1}))"
+        return F.expr(_PLACE.format(of_line, record, f"({near} & 2147483647)"))
+
+    table_place = F.expr(_PLACE.format(f"{first_line} | shiftright(table_near, 31)", "0", "(table_near & 2147483647)"))
+    flags = [(F.col("bits").bitwiseAND(1 << i) != 0).alias(flag) for i, flag in enumerate(FLAGS)]
+    return cut_lineage(
+        found.select(
+            "table", "field", *CHUNK, *flags, (F.col("null_count") > 0).alias("nullable"), "max_length", "present_count", "null_count",
+            "records", place("near").alias("place"), place("value_near").alias("value_place"), place("last_near").alias("last_place"),
+            table_place.alias("table_place"),
+        )
     )
 
 
-def field_samples(records: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    """The first values of every field (of the fields in ``wanted``, a list of (table, field), if given)."""
-    values = _values(records).where("type is not null")
+def _type_bits() -> Column:
+    """FLAGS of a value in one number: many maxima in an aggregate would be too much code to compile."""
+    bit = {flag: 1 << i for i, flag in enumerate(FLAGS)}
+    elements = sum((F.when(F.array_contains("elements", t), F.lit(bit[f"of_{t}"])).otherwise(F.lit(0)) for t in ELEMENTS), F.lit(bit["has_list"]))
+    chain = F.when(F.col("type") == "list", elements)
+    for t in SCALARS:
+        chain = chain.when(F.col("type") == t, F.lit(bit[f"has_{t}"]))
+    return chain
+
+
+def table_facts(chunks: DataFrame) -> DataFrame:
+    """``(table, record_count, first_seen)`` per table."""
+    seen = F.min(F.struct(*BLOCK, F.col("table_place").alias("place"))).alias("first_seen")
+    return chunks.groupBy("table").agg(F.sum("records").alias("record_count"), seen)
+
+
+def field_facts(chunks: DataFrame) -> DataFrame:
+    """Mergeable facts per (table, field)."""
+    flags = [*FLAGS, "nullable", "max_length"]
+    return chunks.where(F.col("field").isNotNull()).groupBy("table", "field").agg(
+        *[F.max(f).alias(f) for f in flags], F.sum("present_count").alias("present_count"),
+        F.sum("null_count").alias("null_count"), F.min(F.struct(*BLOCK, "place")).alias("first_seen"),
+    )
+
+
+def field_samples(records: DataFrame, chunks: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """The first values of every field (of the fields in ``wanted``, a list of (table, field), if given).
+
+    Of a field's chunks only the SAMPLES whose first values come first can hold one of its first SAMPLES values, and none
+    that begins behind a chunk with so many. The records are read again in these alone; their list is bounded by the fields.
+    """
+    some = chunks.where(F.col("value_place").isNotNull())
     if wanted is not None:
-        values = values.join(wanted, ["table", "field"], "left_semi")
+        some = some.join(wanted, ["table", "field"], "left_semi")
+    keys = ["table", "field"]
+    near = top_per_group(some, keys, [F.col(c) for c in (*BLOCK, "value_place")], SAMPLES)
+    enough = F.when(F.col("present_count") - F.col("null_count") >= SAMPLES, F.struct(*BLOCK, F.col("last_place").alias("place")))
+    begins = F.struct(*BLOCK, F.col("value_place").alias("place"))
+    near = near.withColumn("_enough", F.min(enough).over(Window.partitionBy(*keys)))
+    near = near.where(F.col("_enough").isNull() | (begins <= F.col("_enough"))).select(*keys, "path", "block_start", "line_chunk", "rec_chunk")
+    near = near.sparkSession.createDataFrame(near.toArrow())
+    lines = F.concat_ws(":", "block_start", F.shiftright("line_id", LINE_BITS), "path")
+    places = [r[0] for r in near.select(F.concat_ws(":", "block_start", "line_chunk", "path")).distinct().collect()]
+    values = _in_chunks(_values(records.where(lines.isin(places)))).where("type is not null")
+    values = values.join(F.broadcast(near), near.columns, "left_semi")
     shown = F.when(F.col("type") == "str", F.try_variant_get("value", "$", "string")).otherwise(F.to_json("value"))
     at = F.struct(*RECORD_POSITION, "pos").alias("at")
-    first = top_per_group(
-        values.select("table", "field", at, shown.alias("sample")), ["table", "field"], [F.col("at")], SAMPLES
-    )
-    return first.groupBy("table", "field").agg(F.expr("array_sort(collect_list(struct(at, sample))) as samples"))
+    first = top_per_group(values.select(*keys, at, shown.alias("sample")), keys, [F.col("at")], SAMPLES)
+    return first.groupBy(*keys).agg(F.expr("array_sort(collect_list(struct(at, sample))) as samples"))
 
 
 def with_samples(facts: DataFrame, samples: DataFrame) -> DataFrame:
@@ -101,7 +154,7 @@ def with_samples(facts: DataFrame, samples: DataFrame) -> DataFrame:
 
 def merge_facts(facts: DataFrame) -> DataFrame:
     """Combine facts of several discovery runs: types add up, nullable only turns on, first samples stay."""
-    flags = [f"has_{t}" for t in (*SCALARS, "list")] + [f"of_{t}" for t in ELEMENTS] + ["nullable"]
+    flags = [*FLAGS, "nullable"]
     samples = F.slice(F.array_sort(F.flatten(F.collect_list("samples"))), 1, SAMPLES)  # ≤ 10 per run
     return facts.groupBy("table", "field").agg(
         *[F.max(f).alias(f) for f in flags],

@@ -16,6 +16,8 @@ QUARANTINE = "_quarantine"
 # Table of the one row per document that ``mark_documents`` adds.
 DOCUMENT = "_document"
 VALUES = "array<struct<key: string, value: variant>>"
+# A string of an object that may look like a list or an object; in a text without one, the first character tells kinds.
+LOOKALIKE = r':[ \t\r\n]*"[\[{\\]'
 
 
 def _bodies(docs: DataFrame) -> DataFrame:
@@ -33,9 +35,9 @@ def _bodies(docs: DataFrame) -> DataFrame:
     inner = F.when(data.startswith("{") & ((F.size(datas) == 1) | is_object(last)), entries)
     read = read.withColumns({"_ok": F.col("_top").isNotNull(), "_inner": inner, "_data": data})
     read = read.withColumn("_enveloped", F.col("_inner").isNotNull()).withColumn("_body", F.when(F.col("_enveloped"), F.col("_data")).otherwise(text))
-    return read.withColumns(
-        {"_texts": F.coalesce("_inner", "_top"), "_values": F.from_json("_body", "map<string,variant>", TEXT_RULES)}
-    ).drop("_top", "_inner", "_data")
+    read = read.withColumn("_alike", F.col("_body").rlike(LOOKALIKE))
+    values = F.when(F.col("_alike"), F.from_json("_body", "map<string,variant>", TEXT_RULES))
+    return read.withColumns({"_texts": F.coalesce("_inner", "_top"), "_values": values}).drop("_top", "_inner", "_data")
 
 
 def _entry(e, v):
@@ -46,7 +48,8 @@ def _entry(e, v):
     # a string's text would have its quotes escaped in the object's text
     object_text = F.concat(F.lit(":"), F.substring(e["value"], 1, 64))
     nested = F.when(e["value"].startswith("["), listed).when(e["value"].startswith("{"), F.col("_body").contains(object_text))
-    known = F.when(F.col("_values").isNotNull(), F.lit(True)).otherwise(nested)
+    plain = F.col("_values").isNotNull() | ~F.col("_alike")
+    known = F.when(plain, F.lit(True)).otherwise(nested)
     return F.struct(e["key"].alias("key"), e["value"].alias("raw"), v["value"].alias("value"), F.coalesce(known, F.lit(False)).alias("known"))
 
 

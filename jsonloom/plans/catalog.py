@@ -79,16 +79,16 @@ def discover(
 
     With ``known``, the catalog so far, sample values are looked up only for fields that lack them.
     """
-    tables, facts = held(P.table_facts(records)), held(P.field_facts(records))
-    if known is None:
-        samples = P.field_samples(records)
-    else:
+    chunks = P.chunk_facts(records)
+    tables, facts = held(P.table_facts(chunks)), held(P.field_facts(chunks))
+    wanted = None
+    if known is not None:
         full = known.field_facts.where(F.size("samples") >= P.SAMPLES).select("table", "field")
         wanted = held(facts.select("table", "field").join(full, ["table", "field"], "left_anti"))
         if wanted.isEmpty():
             wanted_samples = facts.select("table", "field", F.array().cast(P.SAMPLES_TYPE).alias("samples"))
             return Catalog(tables, held(P.with_samples(facts, wanted_samples)), mode, plurals)
-        samples = P.field_samples(records, wanted)
+    samples = P.field_samples(records, chunks, wanted)
     return Catalog(tables, held(P.with_samples(facts, samples)), mode, plurals)
 
 
