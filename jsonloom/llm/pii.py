@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jsonloom.operators.ordering import running_totals
 from jsonloom.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -44,11 +45,9 @@ FEATURES = (
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: candidates that the trees are fitted on at most, in equal parts for every kind and class (smallest
-    hashes, weighted by what they stand for; a fifth of them sets the threshold); ``precision``: what spans above the
-    threshold must reach there."""
+    """``trees`` of a ``depth``, fitted on all known cases but the fifth that sets the threshold; ``precision``: what spans
+    above the threshold must reach there."""
 
-    sample: int = 20_000
     trees: int = 12
     depth: int = 3
     precision: float = 0.98
@@ -229,7 +228,7 @@ def _described(kind: str, s: Column, doc: Column, made: bool, before: Column, af
         ready = ~known & ~fails
     return F.struct(
         F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), label.cast("int").alias("label"), stands.alias("stands"), ready.alias("open"),
-        chance.alias("chance"), F.xxhash64(doc, s["start"], s["value"]).alias("draw"),
+        chance.alias("chance"),
         *[F.coalesce(features[f], F.lit(0.0)).alias(f) for f in FEATURES],
     )
 
@@ -262,30 +261,28 @@ def candidates(text: DataFrame) -> DataFrame:
 
 
 def fit(rows: DataFrame, s: Settings) -> tuple[GBTClassificationModel | None, float]:
-    """The trees and the threshold; no model where the table has no known case of either class to fit.
+    """The trees and the threshold, from all known cases; no model where the table has none of either class to fit.
 
-    Every kind and class gives as many of its candidates as the others; a weight makes them stand for all of theirs. Rows
-    far over the sample's hash range are left out before they are ranked.
+    A fifth of the cases, by a hash, is held out for the threshold: the lowest probability from which on the likelier
+    ones reach the precision.
     """
-    each = rows.select(F.explode("loose").alias("c")).select("c.*").where("label is not null").withColumn("label", F.col("label").cast("double"))
-    strata = {(r.kind, r.label): r["count"] for r in each.groupBy("kind", "label").count().collect()}  # 8 at most
-    if {label for _, label in strata} != {0.0, 1.0}:
-        return None, 2.0
-    part = max(1, s.sample // (2 * len(KINDS)))
-    total = F.coalesce(*[F.when((F.col("kind") == k) & (F.col("label") == label), F.lit(n)) for (k, label), n in strata.items()])
-    near = each.withColumn("total", total).where(F.pmod("draw", F.lit(1 << 30)).cast("double") * F.col("total") <= float((4 * part + 100) << 30))
-    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("kind", "label").orderBy("draw", "start", "end"))).where(F.col("rank") <= part)
-    weight = F.col("stands") * F.greatest(F.lit(1.0), F.col("total") / part)
-    sample = cut_lineage(ranked.withColumn("weight", weight).withColumn("held", F.pmod("chance", F.lit(5)) == 0))
-    if sample.where("not held").select("label").distinct().count() < 2:
+    each = rows.select(F.explode("loose").alias("c")).select("c.*").where("label is not null")
+    cases = cut_lineage(
+        each.select(
+            F.col("label").cast("double").alias("label"), F.col("stands").alias("weight"), (F.pmod("chance", F.lit(5)) == 0).alias("held"), *FEATURES
+        )
+    )
+    if cases.where("not held").select("label").distinct().count() < 2:
         return None, 2.0
-    ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
+    ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(cases)
     model = GBTClassifier(maxIter=s.trees, maxDepth=s.depth, stepSize=0.3, maxBins=32, seed=10, weightCol="weight").fit(ready.where("not held"))
-    tested = model.transform(ready.where("held")).select("label", "weight", vector_to_array("probability")[1].alias("p"))
-    down = Window.orderBy(F.col("p").desc())  # a fifth of the sample
-    precision = F.sum(F.col("label") * F.col("weight")).over(down) / F.sum("weight").over(down)
-    lowest = tested.select("p", precision.alias("precision")).where(F.col("precision") >= s.precision).agg(F.min("p").alias("p")).first().p
-    return model, 2.0 if lowest is None else max(0.5, lowest)
+    tested = model.transform(ready.where("held")).select("label", "weight", (-vector_to_array("probability")[1]).alias("down"))
+    # one row per probability, then sums along them that no task holds whole
+    steps = tested.groupBy("down").agg(F.sum(F.col("label") * F.col("weight")).alias("right"), F.sum("weight").alias("all"))
+    sums = running_totals(steps, [], ["down"], {"right_before": F.col("right"), "all_before": F.col("all")})
+    precision = (F.col("right_before") + F.col("right")) / (F.col("all_before") + F.col("all"))
+    lowest = sums.where(precision >= s.precision).agg(F.max("down").alias("down")).first().down
+    return model, 2.0 if lowest is None else max(0.5, -lowest)
 
 
 def find_pii(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
