@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from jsonloom.llm import decontamination, lm_scoring, pii, toxicity
 from jsonloom.llm import text as T
@@ -130,6 +131,28 @@ def test_lm_scores(spark, tmp_path):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
+def test_lm_mixer_learns_from_all_words(spark):
+    """More words than a bounded sample holds: weights and map are those of one mixer that sees every word."""
+    draw = random.Random(3)
+    rows = [("".join(draw.choice("etaoinsh") for _ in range(draw.randrange(2, 9))) + str(i), [1 + (i % 7 == 0), i % 2]) for i in range(62_000)]
+    words = spark.createDataFrame(rows, "word string, counts array<bigint>").select(F.col("word").cast("binary").alias("word"), "counts").repartition(5).localCheckpoint()
+    shared, weights, refining = lm_scoring.train(words, 2, lm_scoring.Settings())
+    one = lm_scoring.Mixer.of(*shared.value)
+    dealt = words.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(16))).toPandas()
+    part, counts = dealt["part"].to_numpy(), np.stack(dealt["counts"].to_numpy())
+    text = lm_scoring._as_text(pa.array(dealt["word"].tolist(), pa.binary()))
+
+    def added(what, at):
+        some = [(g, at[counts[at, g] > 0]) for g in range(2)]
+        return sum(what(text.take(pa.array(a)), g, counts[a, g]) for g, a in some)
+
+    for first, last in ((0, 1), (1, 2), (2, 4), (4, 8), (8, 16)):
+        one.follow(added(one.bends, np.flatnonzero((part >= first) & (part < last))))
+    one.refine(added(one.shares, np.arange(len(part))))
+    assert np.allclose(np.frombuffer(weights).reshape(one.weights.shape), one.weights, atol=1e-6)
+    assert np.allclose(np.frombuffer(refining).reshape(one.map.shape), one.map, atol=1e-4)
+
+
 def test_lm_scores_without_rows(spark, tmp_path):
     spark.createDataFrame([], DOCS + ", block string, row int").write.parquet(str(tmp_path / "docs"))
     assert lm_scoring.lm_scores(spark.read.parquet(str(tmp_path / "docs"))).count() == 0
