@@ -43,7 +43,7 @@ _SPECIAL[[_QUOTE, _COMMA, *_OPEN, *_CLOSE]] = True
 # a key that reads "data", also with its letters escaped, and the first character of its value
 _DATA = re.compile(rb'"(?:d|\\u0064)(?:a|\\u0061)(?:t|\\u0074)(?:a|\\u0061)"\s*:\s*(.?)', re.S)
 
-_CHUNKS = "path string, file_order bigint, block_start bigint, k bigint, file_size bigint, text binary, odd boolean, parity int, d0 bigint, d1 bigint"
+_CHUNKS = "file bigint, block_start bigint, k bigint, text binary, odd boolean, parity int, d0 bigint, d1 bigint"
 _FACTS = "path string, no bigint, o2 string, o3 string, first1 bigint, datas array<struct<at: bigint, object: boolean, next: bigint>>"
 _PIECES = (
     "path string, no bigint, idx int, starts boolean, complete boolean, inside boolean, entry boolean, entry_idx int, opened boolean,"
@@ -87,8 +87,8 @@ class Lexed:
 
 _CHUNK_SCHEMA = pa.schema(
     [
-        ("path", pa.string()), ("file_order", pa.int64()), ("block_start", pa.int64()), ("k", pa.int64()), ("file_size", pa.int64()),
-        ("text", pa.binary()), ("odd", pa.bool_()), ("parity", pa.int32()), ("d0", pa.int64()), ("d1", pa.int64()),
+        ("file", pa.int64()), ("block_start", pa.int64()), ("k", pa.int64()), ("text", pa.binary()), ("odd", pa.bool_()),
+        ("parity", pa.int32()), ("d0", pa.int64()), ("d1", pa.int64()),
     ]
 )
 
@@ -105,23 +105,21 @@ def _chunked(size: int):
         def flush() -> pa.RecordBatch:
             text = b",".join(held)
             free, inner = Lexed(text, 0), Lexed(text, 1)
-            row = dict(zip(("path", "block_start", "file_size", "file_order"), now)) | {
+            row = dict(zip(("file", "block_start"), now)) | {
                 "k": k, "text": text, "odd": _ends_odd(text), "parity": free.parity, "d0": free.end_depth, "d1": inner.end_depth,
             }
             return pa.RecordBatch.from_pylist([row], schema=_CHUNK_SCHEMA)
 
         for batch in batches:
-            paths, starts, sizes, orders = (batch.column(n) for n in ("path", "block_start", "file_size", "file_order"))
+            files, split = (batch.column(n).to_numpy() for n in ("file", "block_start"))
             text = batch.column("text").cast(pa.large_binary())
             lengths = pc.binary_length(text).to_numpy(zero_copy_only=False) + 1
             place = np.zeros(batch.num_rows, np.int64)
-            split = starts.to_numpy()
-            codes = paths.dictionary_encode().indices.to_numpy()
-            same = np.append(False, (split[1:] == split[:-1]) & (codes[1:] == codes[:-1])) if batch.num_rows else place.astype(bool)
+            same = np.append(False, (split[1:] == split[:-1]) & (files[1:] == files[:-1])) if batch.num_rows else place.astype(bool)
             ends = np.cumsum(lengths)
             first = 0
             while first < batch.num_rows:
-                own = (paths[first].as_py(), int(split[first]), sizes[first].as_py(), orders[first].as_py())
+                own = (int(files[first]), int(split[first]))
                 run_end = first + 1 + int(np.argmax(np.append(~same[first + 1 :], True)))
                 if own != now:
                     if held:
@@ -266,11 +264,16 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_chunks(spark: SparkSession, paths: list[str], chunk: int = CHUNK) -> DataFrame:
     """The files' text by byte ranges, in chunks that end at commas, with their summaries; written once."""
+    file = F.xxhash64("_metadata.file_path")
+    # a row per comma: what is the same for a whole file joins the chunks, of which there are few
     raw = spark.read.format("text").option("lineSep", ",").load(paths).select(
-        F.col("_metadata.file_path").alias("path"), file_order().alias("file_order"), F.col("_metadata.file_block_start").cast("bigint").alias("block_start"),
-        F.col("_metadata.file_size").cast("bigint").alias("file_size"), F.col("value").cast("binary").alias("text"),
+        file.alias("file"), F.col("_metadata.file_block_start").cast("bigint").alias("block_start"), F.col("value").cast("binary").alias("text"),
     )
-    return cut_lineage(raw.mapInArrow(_chunked(chunk), _CHUNKS))
+    given = spark.read.format("binaryFile").load(paths).select(
+        file.alias("file"), F.col("_metadata.file_path").alias("path"), file_order().alias("file_order"),
+        F.col("_metadata.file_size").cast("bigint").alias("file_size"),
+    )
+    return cut_lineage(raw.mapInArrow(_chunked(chunk), _CHUNKS)).join(F.broadcast(cut_lineage(given)), "file").drop("file")
 
 
 def _located(chunks: DataFrame) -> DataFrame:

@@ -113,3 +113,19 @@ def test_structure_of_a_chunk():
     lexed = Lexed(b'a\\",{" : [1,2],', quoted=1, depth=3)
     assert lexed.end_depth == 4 - 1 and lexed.parity == 1
     assert [chr(k) for k in lexed.kind if chr(k) in ",[]"] == ["[", ",", "]", ","]
+
+
+def test_rows_per_comma_carry_no_path(spark, tmp_path):
+    """Of a file's name, size and order a comma's row has an id only; files of equal texts stay apart."""
+    from jsonloom.operators import large
+
+    assert not {"path", "file_order", "file_size"} & set(large._CHUNK_SCHEMA.names)
+    text = json.dumps({"a": [{"x": i} for i in range(300)]})
+    for name in ("one", "two"):
+        (tmp_path / f"{name}.json").write_text(text)
+    paths = [str(tmp_path / f"{name}.json") for name in ("one", "two")]
+    chunks = read_chunks(spark, paths, 500).collect()
+    for path in paths:
+        own = sorted((r.block_start, r.k, bytes(r.text)) for r in chunks if r.path.endswith(path))
+        assert len(own) > 3 and b",".join(t for *_, t in own).decode() == text
+    assert {r.file_size for r in chunks} == {len(text)}
