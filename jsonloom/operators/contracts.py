@@ -145,7 +145,9 @@ def check_documents(docs: DataFrame, contracts: list[Contract], scope: str = "do
         # a null entry means no records; anything else that is not a list of objects is an error
         given = F.coalesce(F.element_at("_entries", contract.table), F.lit("null")) != "null"
         violations.append(F.array(F.when(given & raw.isNull(), F.lit(f"{contract.table}: not a list of records"))))
-        columns.append(F.transform(raw, partial(_checked, contract)).alias(contract.table))
+        # one step after the other: in one, every use of a value would read it again
+        read = F.transform(raw, partial(_read, contract))
+        columns.append(F.transform(F.transform(read, partial(_judged, contract)), _kept).alias(contract.table))
     staged = parsed.select(*DOC_POSITION, "text", "_ok", F.concat(*violations).alias("_document"), *columns)
     problems = [F.flatten(F.transform(F.coalesce(F.col(c.table), F.array()), lambda r: r["problems"])) for c in contracts]
     if scope == "record":
@@ -158,16 +160,22 @@ def check_documents(docs: DataFrame, contracts: list[Contract], scope: str = "do
     return staged.select(*DOC_POSITION, "text", found.alias("violations"), *rows)
 
 
-def _checked(contract: Contract, raw: Column) -> Column:
-    typed = typed_record(contract, raw)
+def _read(contract: Contract, raw: Column) -> Column:
+    return F.struct(raw.alias("raw"), typed_record(contract, raw).alias("row"))
+
+
+def _judged(contract: Contract, read: Column) -> Column:
+    raw, typed = read["raw"], read["row"]
     problems = field_problems(contract, raw, typed)
     problems.append(F.when(raw.isNull(), F.lit(f"{contract.table}: record is not an object")))
-    specs = {f.name: f for f in contract.fields}
     for name, rule in contract.rules.items():
-        met = _met(rule, lambda n: _typed(specs[n], raw[n]))
-        problems.append(F.when(~met, F.lit(f"{contract.table}: {name}")))
-    found = F.array_compact(F.array(*problems))
-    return F.struct(typed.alias("row"), found.alias("problems"), F.when(F.size(found) > 0, F.to_json(raw)).alias("record"))
+        problems.append(F.when(~_met(rule, lambda n: typed[n]), F.lit(f"{contract.table}: {name}")))
+    return F.struct(raw.alias("raw"), typed.alias("row"), F.array_compact(F.array(*problems)).alias("problems"))
+
+
+def _kept(judged: Column) -> Column:
+    text = F.when(F.size(judged["problems"]) > 0, F.to_json(judged["raw"]))
+    return F.struct(judged["row"].alias("row"), judged["problems"].alias("problems"), text.alias("record"))
 
 
 def _rejected(contract: Contract, checked: Column, place: Column) -> Column:

@@ -300,3 +300,19 @@ def test_every_document_is_counted(spark, folder, tmp_path):
     ingest_documents(store, read_documents(spark, path))
     row = store.read(METRICS).first()
     assert (row.processed, row.failed, row.skipped) == (3, 1, 0)
+
+
+def test_a_contract_reads_each_value_once(spark):
+    """Ranges, rules and the row itself share one reading of a record's fields."""
+    from jsonloom.operators import contracts as C
+
+    docs = spark.createDataFrame([(1, "a", 0, 0, json.dumps({"students": [STUDENT]}))], "file_order bigint, path string, block_start bigint, line_id bigint, text string")
+    contract = next(c for c in school.CONTRACTS if c.table == "students")
+    read = docs.select(F.from_json("text", contract.raw_schema).alias("raw")).select(C.typed_record(contract, F.col("raw")).alias("row"))
+    spark.conf.set("spark.sql.debug.maxToStringFields", 100_000)
+    try:
+        plans = [df._jdf.queryExecution().analyzed().toString() for df in (read, C.check_documents(docs, [contract], "record"))]
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    calls = [plan.count("try_variant_get(") for plan in plans]
+    assert calls[0] == calls[1] > 0, calls
