@@ -20,6 +20,12 @@ def name_timestamp(path: Column) -> Column:
     return F.try_to_timestamp(F.nullif(F.regexp_extract(path, NAME_STAMP, 1), F.lit("")), F.lit(NAME_STAMP_FORMAT))
 
 
+def few_listing_tasks(spark: SparkSession) -> None:
+    """Have files listed by some tasks a core. Spark's own number, a task per path up to 10,000, costs each path a task and
+    the driver that task's result."""
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * max(8, spark.sparkContext.defaultParallelism)))
+
+
 def _reader(source, lines: bool, glob: str, recursive: bool):
     return source.format("text").option("wholetext", not lines).option("pathGlobFilter", glob).option(
         "recursiveFileLookup", recursive
@@ -56,6 +62,7 @@ def read_documents(
     :func:`~jsonloom.operators.large.shred_files`, or have one document per line (``lines=True``). ``max_bytes`` leaves out
     larger files; they are not opened.
     """
+    few_listing_tasks(spark)
     raw = _reader(spark.read, lines, glob, recursive).load(path)
     if max_bytes is not None:
         raw = raw.where(F.col("_metadata.file_size") <= max_bytes)
@@ -72,6 +79,7 @@ def stream_files(
 
     Contents are not read, so no file can fail the stream; a file that is gone again before it is looked at is left out.
     """
+    few_listing_tasks(spark)
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", glob).option("ignoreMissingFiles", "true")
     if max_files:
@@ -85,6 +93,7 @@ def stream_files(
 
 def list_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> DataFrame:
     """File metadata ``(path, length, modificationTime)``; contents are not read."""
+    few_listing_tasks(spark)
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)

@@ -198,3 +198,21 @@ def test_values_keep_their_kind(spark):
     row = frequent_values(df, ["v"], 1).first()
     assert (row.field, row.long_value, row.double_value, row.text_value, row.n) == ("v", 1, None, None, 2)
     assert df.agg(F.count("v")).first()[0] == 3
+
+
+def test_listing_takes_fewer_tasks_than_paths(spark, tmp_path):
+    """A task per path would send the driver a result per path."""
+    from jsonloom.sources import documents
+
+    for i in range(100):
+        (tmp_path / f"{i}.json").write_text('{"t": [{"a": 1}]}')
+    paths = [str(tmp_path / f"{i}.json") for i in range(100)]
+    context = spark.sparkContext
+    for n, read in enumerate((documents.read_documents, documents.list_files)):
+        context.setJobGroup(f"listing-{n}", "listing")
+        found = read(spark, paths, glob="*")
+        tracker = context.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup(f"listing-{n}") for s in tracker.getJobInfo(j).stageIds]
+        assert stages and all(tracker.getStageInfo(s).numTasks < 50 for s in stages)
+        context.setJobGroup("rest", "rest")
+        assert found.count() == 100
