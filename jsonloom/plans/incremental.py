@@ -122,10 +122,11 @@ def _added(batch: Batch, table: str, schema: T.StructType, deltas: DataFrame, va
     extra = [cap] if cap else []
     written = F.when(F.col("capped").isNotNull(), F.col("capped.cap")).otherwise(F.col(f"old_{cap}")) if cap else None
     before = old.select(*keys, *[F.col(v).alias(f"old_{v}") for v in [*values, *extra]])
-    met = deltas.join(before, keys, "left").withColumns({f"old_{v}": F.coalesce(f"old_{v}", F.lit(0)) for v in values})
+    # sorted by key first: a rule has many
+    met = deltas.join(before, ["key", "rule"], "left").withColumns({f"old_{v}": F.coalesce(f"old_{v}", F.lit(0)) for v in values})
     met = met.withColumns({v: F.col(v) + F.col(f"old_{v}") for v in values} | ({cap: written} if cap else {}))
     met = batch.kept(met)
-    batch.upsert(table, met.select(*schema.fieldNames()), keys, keys, schema)
+    batch.upsert(table, met.select(*schema.fieldNames()), keys, keys, schema, unique=True)
     return met
 
 
@@ -224,7 +225,8 @@ def _reference_rule(r) -> str:
 def _key_deltas(store: TableStore, wanted: list[Watch], as_of: dict[str, int], until: int) -> DataFrame | None:
     """What changed in the counts of every key: ``rule, key, c, p, capped`` (the cap of a parent that was written).
 
-    The changed rows of a table are read once for all checks that look at it.
+    The changed rows of a table are read once for all checks that look at it, and a column's keys counted once for all that
+    count them alike.
     """
     sides: dict[tuple[str, int], list[tuple[Watch, str, str, T.DataType]]] = {}
     for w in wanted:
@@ -236,19 +238,27 @@ def _key_deltas(store: TableStore, wanted: list[Watch], as_of: dict[str, int], u
         changed = store.changed(table, since, until)
         if changed is None:
             continue
-        cells = []
+        cells: dict[tuple, tuple[Column, list[Column]]] = {}
         for w, side, column, partner in some:
-            key = key_text(column, changed.schema[column].dataType, partner)
+            own, capped = changed.schema[column].dataType, side == "p" and w.cap
+            key = key_text(column, own, partner)
             key = F.coalesce(key, F.lit(_NULL)) if side in w.nulls else key
-            cap = F.col(w.cap).cast("double") if side == "p" and w.cap else F.lit(None).cast("double")
-            cells.append(F.struct(F.lit(w.rule).alias("rule"), key.alias("key"), F.lit(side).alias("side"), cap.alias("cap")))
-        rows = changed.select("_sign", F.inline(F.array(*cells))).where("key is not null")
-        parts.append(rows.groupBy("rule", "key", "side", "cap").agg(F.sum("_sign").alias("d")).where("d <> 0"))
+            cap = F.col(w.cap).cast("double") if capped else F.lit(None).cast("double")
+            alike = (column, partner.simpleString(), side in w.nulls, capped)
+            counted = F.struct(F.lit(len(cells)).alias("cell"), key.alias("key"), cap.alias("cap"))
+            cells.setdefault(alike, (counted, []))[1].append(F.struct(F.lit(w.rule).alias("rule"), F.lit(side).alias("side")))
+        rows = changed.select("_sign", F.inline(F.array(*[c for c, _ in cells.values()]))).where("key is not null")
+        counts = rows.groupBy("cell", "key", "cap").agg(F.sum("_sign").alias("d")).where("d <> 0")
+        uses = F.array(*[F.array(*rules) for _, rules in cells.values()])
+        parts.append(counts.select("key", "cap", "d", F.inline(F.get(uses, F.col("cell")))))
     if not parts:
         return None
     count = {s: F.sum(F.when(F.col("side") == s, F.col("d")).otherwise(0)).alias(s) for s in "cp"}
-    capped = F.max(F.when((F.col("side") == "p") & (F.col("d") > 0), F.struct("cap"))).alias("capped")
-    return reduce(DataFrame.unionByName, parts).groupBy("rule", "key").agg(*count.values(), capped)
+    # numbers only: a struct's maximum would have the rows sorted
+    came = (F.col("side") == "p") & (F.col("d") > 0)
+    caps = [F.count_if(came).alias("came"), F.max(F.when(came, F.col("cap"))).alias("cap")]
+    sums = reduce(DataFrame.unionByName, parts).groupBy("rule", "key").agg(*count.values(), *caps)
+    return sums.select("rule", "key", "c", "p", F.when(F.col("came") > 0, F.struct("cap")).alias("capped"))
 
 
 def update_checks(store: TableStore, rules: Rules, token: tuple[str, int] | None = None, append_to: str | None = None) -> DataFrame | None:

@@ -275,12 +275,12 @@ class Batch:
         return f"{self.store.root}/{table}/v={self.version}"
 
     def upsert(
-        self, table: str, df: DataFrame, key: list[str], order: list[str], schema: T.StructType | None = None
+        self, table: str, df: DataFrame, key: list[str], order: list[str], schema: T.StructType | None = None, unique: bool = False
     ) -> None:
         """Merge rows by key; the last row in ``order`` wins, new rows win over stored ones.
 
         Only buckets that receive rows are read and written again. ``df`` is read twice (touched
-        buckets, merge), so it should come from files.
+        buckets, merge), so it should come from files. ``unique``: it has a row per key, so none has to be found.
         """
         if self.published:
             return
@@ -291,7 +291,7 @@ class Batch:
         entry = self._entry(table, df.drop(*hidden), key, schema)
         if entry.key != key:
             raise ValueError(f"{table} is keyed by {entry.key}, not {key}")
-        newest = keep_last(df, key, order)
+        newest = df if unique else keep_last(df, key, order)
         columns = entry.schema.fieldNames()
         incoming = align_columns(newest.drop(*hidden), entry.schema).select(*columns).withColumn("_new", F.lit(1))
         rows = align_columns(df.select(*key), T.StructType([entry.schema[k] for k in key]))
@@ -305,9 +305,9 @@ class Batch:
             stored = self.store._read_parts(table, entry, touched)
             total = sum(r[1] for r in sizes) + stored.count()  # from the file footers
             both = stored.withColumn("_new", F.lit(0)).unionByName(incoming)
-            # one exchange serves the merge and the layout of the files
+            # one exchange serves the merge and the layout of the files; a task's rows differ in the key, so sorts begin with it
             placed = _placed(both, key, entry.buckets, total)
-            merged = keep_last(placed, [_BUCKET, _SPLIT, *key], ["_new"]).drop("_new", _SPLIT)
+            merged = keep_last(placed, [*reversed(key), _BUCKET, _SPLIT], ["_new"]).drop("_new", _SPLIT)
         merged.write.mode("overwrite").partitionBy(_BUCKET).parquet(self._folder(table))
         entry.parts = [p for p in entry.parts if p[0] not in touched] + [(b, self.version) for b in sorted(touched)]
         self._written(entry)

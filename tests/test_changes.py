@@ -13,7 +13,7 @@ from jsonloom.operators.quality.consistency import FieldRule
 from jsonloom.operators.quality.integrity import Reference
 from jsonloom.operators.quality.suite import Rules, run_checks
 from jsonloom.operators.relate import with_child_count
-from jsonloom.plans.incremental import recount_changes, update_checks
+from jsonloom.plans.incremental import _key_deltas, recount_changes, update_checks, watches
 from jsonloom.plans.ingest import METRICS, REJECTS
 from jsonloom.sources.store import TableStore
 from jsonloom.streaming import retries
@@ -147,3 +147,21 @@ def test_errors_that_are_no_file_s_are_raised(spark, tmp_path, monkeypatch):
     with pytest.raises(ZeroDivisionError):
         load_files(store, [str(tmp_path / "f1.json")])
     assert retries.FILES not in store.manifest()
+
+
+def test_counts_of_checks_are_not_sorted(spark, tmp_path):
+    """Checks that share a column get its counts each, from hash aggregates alone."""
+    store = TableStore(spark, str(tmp_path / "s"), 4)
+    rules = Rules([Reference("grades", "student_id", "students")], {"students": "student_id"},
+                  [CapacityRule("students", "student_id", "places", "grades", "student_id")], [EntityLimit("grades", "student_id", 1)])
+    with store.batch() as batch:
+        batch.upsert("students", spark.createDataFrame([(1, 1), (2, None)], "student_id bigint, places int"), ["student_id"], ["student_id"])
+        batch.append("grades", spark.createDataFrame([(1,), (1,), (2,), (None,)], "student_id bigint"))
+    wanted = watches(store.read_all(), rules)
+    deltas = _key_deltas(store, wanted, {w.rule: 0 for w in wanted}, 1)
+    plan = deltas._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    found = {(r.rule, r.key): (r.c, r.p, r.capped and (r.capped.cap,)) for r in deltas.collect()}
+    assert found[("capacity:0", "1")] == (2, 1, (1.0,)) and found[("capacity:0", "2")] == (1, 1, (None,))
+    assert found[("limit:0", "1")] == (2, 0, None) and ("limit:0", "\u0000null") not in found
+    assert rows_of(update_checks(store, rules)) == rows_of(run_checks(spark, store.read_all(), rules))
