@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -153,6 +154,34 @@ def test_lm_mixer_learns_from_all_words(spark):
     assert np.allclose(np.frombuffer(refining).reshape(one.map.shape), one.map, atol=1e-4)
 
 
+def test_lm_counting_holds_little_beside_its_input(monkeypatch):
+    """An executor runs several of these tasks beside its heap: a block's tokens and sums of all slots are not held whole."""
+    draw = random.Random(4)
+    texts = [" ".join(draw.choice("abcdefgh") * draw.randrange(1, 9) for _ in range(300)) for _ in range(6000)]
+    block = pa.RecordBatch.from_arrays(
+        [pa.array([0] * 6000), pa.array([i % 5 == 1 for i in range(6000)]), pa.array([i % 2 for i in range(6000)], pa.int32()), pa.array(texts)],
+        ["block", "held_out", "class", "text"],
+    )
+
+    def peak(made):
+        tracemalloc.start()
+        out = list(made)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most
+
+    (words,), most = peak(lm_scoring.block_words(iter([block]), 2))
+    assert most < 3 * block.nbytes
+    want = [Counter(w for i, t in enumerate(texts) if i % 5 != 1 and i % 2 == g for w in t.split() + [""]) for g in (0, 1)]
+    assert {w.decode(): n for w, n in zip(words["word"].to_pylist(), words["counts"].to_pylist(), strict=True)} == {
+        w: [want[0][w], want[1][w]] for w in {*want[0], *want[1]}
+    }
+    monkeypatch.setattr(lm_scoring, "TABLE_BITS", 18)
+    tables = len(lm_scoring.ORDERS) * 4 * (2 << 18)
+    _, most = peak(lm_scoring.packed_counts(iter([words.select(["word", "counts"])]), lm_scoring.huffman(np.arange(256)), 2))
+    assert most < 1.4 * tables
+
+
 def test_lm_scores_without_rows(spark, tmp_path):
     spark.createDataFrame([], DOCS + ", block string, row int").write.parquet(str(tmp_path / "docs"))
     assert lm_scoring.lm_scores(spark.read.parquet(str(tmp_path / "docs"))).count() == 0
