@@ -21,9 +21,10 @@ def last_key_wins(spark) -> None:
 
 def last_entries(entries: Column) -> Column:
     """Entries of an object with each key once: at its first place, with its last value."""
-    keys = F.transform(entries, lambda e: e["key"])
-    once = F.transform(F.array_distinct(keys), lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1))
-    return F.when(F.size(keys) == F.size(F.array_distinct(keys)), entries).otherwise(once)
+    keys = entries["key"]
+    distinct = F.array_distinct(keys)
+    once = F.transform(distinct, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1))
+    return F.when(F.size(keys) == F.size(distinct), entries).otherwise(once)
 
 # variant type -> type name used in profiles; fixed values. Decimals, arrays and objects carry parameters.
 EXACT_TYPES = {"STRING": "str", "BIGINT": "int", "DOUBLE": "float", "FLOAT": "float", "BOOLEAN": "bool"}

@@ -29,28 +29,38 @@ CHUNK = [*BLOCK, "line_chunk", "rec_chunk"]
 SAMPLES_TYPE = "array<struct<at: struct<file_order: bigint, path: string, block_start: bigint, line_id: bigint, table_pos: int, rec_pos: int, pos: int>, sample: string>>"
 
 
-def _values(records: DataFrame) -> DataFrame:
-    """One row per field of every record, and one with nulls for a record without any: position columns,
-    ``table, field, pos, value, type``."""
-    # parsed in a step of its own: the generator would parse a record each time it names its fields
-    parsed = records.select("table", *RECORD_POSITION, parsed_entries(F.col("record")).alias("_entries"))
-    fields = parsed.select("table", *RECORD_POSITION, F.posexplode_outer(last_entries(F.col("_entries"))).alias("pos", "f"))
+def _values(records: DataFrame, kept: list[str]) -> DataFrame:
+    """One row per field of every record, and one with nulls for a record without any: the columns ``kept``,
+    ``field, pos, value, type``."""
+    # parsed, and keys made one, in steps of their own: the generator would do both each time it names its fields
+    parsed = records.select(*kept, parsed_entries(F.col("record")).alias("_parsed"))
+    once = parsed.select(*kept, last_entries(F.col("_parsed")).alias("_entries"))
+    fields = once.select(*kept, F.posexplode_outer("_entries").alias("pos", "f"))
     kinds = fields.select(
-        "table", *RECORD_POSITION, "pos", F.col("f.key").alias("field"), F.col("f.value").alias("value"),
-        F.schema_of_variant("f.value").alias("kind"),
+        *kept, "pos", F.col("f.key").alias("field"), F.col("f.value").alias("value"), F.schema_of_variant("f.value").alias("kind"),
     )
     return kinds.withColumn("type", named_type(F.col("kind"))).drop("kind")
 
 
+# Two numbers stand for a block beside every field of stored records, 128 bits of hashes: file paths would be copied, hashed and compared there.
+BLOCK_HASHES = {"block_a": F.xxhash64, "block_b": lambda order, path, start: F.xxhash64(F.lit("b"), start, path, order)}
+
+
+def _hashed_blocks(records: DataFrame) -> DataFrame:
+    return records.withColumns({name: hashed(*[F.col(c) for c in BLOCK]) for name, hashed in BLOCK_HASHES.items()})
+
+
 def _in_chunks(records: DataFrame) -> DataFrame:
     return records.withColumns(
         {"line_chunk": F.shiftright("line_id", LINE_BITS), "rec_chunk": F.shiftright("rec_pos", RECORD_BITS)}
     )
 
 
-def chunk_facts(records: DataFrame) -> DataFrame:
+def chunk_facts(records: DataFrame, stored: bool = False) -> DataFrame:
     """Mergeable facts per table, field and chunk, from one pass over the records; kept in the shared folder.
 
+    ``stored``: the records are read from stored columns, so that their blocks can be listed for next to nothing.
+
     Type sets are kept as bits: they combine before the shuffle like any other
     aggregate, and their size does not depend on the data. A record counts for its table where its first field is.
     """
@@ -58,15 +68,18 @@ def chunk_facts(records: DataFrame) -> DataFrame:
         F.col("type") == "list",
         F.array_distinct(F.transform(F.try_variant_get("value", "$", "array<variant>"), type_name)),
     )
-    values = _in_chunks(_values(records)).withColumns(
-        {"elements": elements, "text": F.when(F.col("type") == "str", F.try_variant_get("value", "$", "string"))}
-    )
     # a chunk's place fits a number: line (6 bits), record (13) and field (31)
     line, here = f"(line_id & {2 ** LINE_BITS - 1})", f"(rec_pos & {2 ** RECORD_BITS - 1})"
-    values = values.withColumn("bits", F.coalesce(_type_bits(), F.lit(0))).withColumn(
-        "near", F.expr(f"shiftleft(shiftleft({line}, {RECORD_BITS}) | {here}, 31) | coalesce(pos, 0)")
+    block = [*BLOCK_HASHES] if stored else BLOCK
+    chunked = _in_chunks(_hashed_blocks(records) if stored else records).withColumns(
+        {"_near": F.expr(f"shiftleft(shiftleft({line}, {RECORD_BITS}) | {here}, 31)"), "_table_near": F.expr(f"shiftleft({line}, 31) | table_pos")}
+    )
+    here_only = ["table", *block, "line_chunk", "rec_chunk"]
+    values = _values(chunked, [*here_only, "_near", "_table_near"]).withColumns(
+        {"elements": elements, "text": F.when(F.col("type") == "str", F.try_variant_get("value", "$", "string"))}
     )
-    found = values.groupBy("table", "field", *CHUNK).agg(
+    values = values.withColumn("bits", F.coalesce(_type_bits(), F.lit(0))).withColumn("near", F.expr("_near | coalesce(pos, 0)"))
+    found = values.groupBy("field", *here_only).agg(
         F.expr("bit_or(bits) as bits"),
         F.expr("max(length(text)) as max_length"),
         F.expr("count(1) as present_count"),
@@ -75,8 +88,10 @@ def chunk_facts(records: DataFrame) -> DataFrame:
         F.expr("min(near) as near"),
         F.expr("min(if(type is null, null, near)) as value_near"),
         F.expr("max(if(type is null, null, near)) as last_near"),
-        F.expr(f"min(shiftleft({line}, 31) | table_pos) as table_near"),
+        F.expr("min(_table_near) as table_near"),
     )
+    if stored:
+        found = found.join(_hashed_blocks(records.select(*BLOCK).distinct()), [*BLOCK_HASHES])
     first_line, first_record = f"shiftleft(line_chunk, {LINE_BITS})", f"shiftleft(cast(rec_chunk as bigint), {RECORD_BITS})"
 
     def place(near: str) -> Column:
@@ -138,7 +153,7 @@ def field_samples(records: DataFrame, chunks: DataFrame, wanted: DataFrame | Non
     near = near.sparkSession.createDataFrame(near.toArrow())
     lines = F.concat_ws(":", "block_start", F.shiftright("line_id", LINE_BITS), "path")
     places = [r[0] for r in near.select(F.concat_ws(":", "block_start", "line_chunk", "path")).distinct().collect()]
-    values = _in_chunks(_values(records.where(lines.isin(places)))).where("type is not null")
+    values = _in_chunks(_values(records.where(lines.isin(places)), ["table", *RECORD_POSITION])).where("type is not null")
     values = values.join(F.broadcast(near), near.columns, "left_semi")
     shown = F.when(F.col("type") == "str", F.try_variant_get("value", "$", "string")).otherwise(F.to_json("value"))
     at = F.struct(*RECORD_POSITION, "pos").alias("at")

@@ -73,13 +73,14 @@ class Catalog:
 
 
 def discover(
-    records: DataFrame, mode: str = "default", plurals: str = "basic", known: Catalog | None = None
+    records: DataFrame, mode: str = "default", plurals: str = "basic", known: Catalog | None = None, stored: bool = False
 ) -> Catalog:
-    """Profile shredded records. ``mode="reference"`` and ``plurals`` select the type and naming rules.
+    """Profile shredded records (``stored``: as columns of files). ``mode="reference"`` and ``plurals`` select the type and
+    naming rules.
 
     With ``known``, the catalog so far, sample values are looked up only for fields that lack them.
     """
-    chunks = P.chunk_facts(records)
+    chunks = P.chunk_facts(records, stored)
     tables, facts = held(P.table_facts(chunks)), held(P.field_facts(chunks))
     wanted = None
     if known is not None:

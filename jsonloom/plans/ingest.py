@@ -133,7 +133,7 @@ def ingest_records(
     if options.frozen and before is not None:
         catalog = before
     else:
-        found = discover(records, options.mode, options.plurals, before)
+        found = discover(records, options.mode, options.plurals, before, stored=True)
         catalog = before.merge(found) if before is not None else found
         save_catalog(batch, catalog)
     schemas, keys = catalog.schemas(), catalog.keys()

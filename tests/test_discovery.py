@@ -2,13 +2,17 @@ import json
 
 import pytest
 
+from jsonloom.operators import profile
 from jsonloom.operators.keys import er_edges, field_descriptions
-from jsonloom.plans.catalog import Catalog, completeness, described_fields, discover
 from jsonloom.operators.metrics import complexity
 from jsonloom.operators.shred import shred
+from jsonloom.plans.catalog import Catalog, completeness, described_fields, discover
+from jsonloom.plans.ingest import ingest_documents
+from jsonloom.session import cut_lineage
 from jsonloom.sources import tables as sidecars
 from jsonloom.sources.documents import read_documents
 from jsonloom.sources.reports import schema_documents, schema_markdown, write_text
+from jsonloom.sources.store import TableStore
 
 SCHOOL = {
     "students": [{"student_id": "S1", "name": "a", "gpa": 3.5}],
@@ -145,3 +149,23 @@ def test_order_of_many_fields_and_late_samples(spark, folder):
     assert (order["zz_id"], order["aa_id"]) == (1051, 1052)
     assert found.keys()["wide"] == "zz_id"
     assert found.profile.where("field = 'x'").first().samples == ["late"]
+
+
+def test_fields_of_stored_records_carry_no_paths(spark, folder, tmp_path_factory, monkeypatch):
+    """Beside each of a record's fields its file's path would be copied and compared: hashes of the block stand for it."""
+    path = folder(a={"t": [{"x": 1, "y": "é"}, {}], "u": [{"z": [1, "2"]}]}, b={"t": [{"x": None}, 5]}, c='{"t": [{"x": "a", "w": 1, "x": "abc"}]}')
+    plans = []
+
+    def kept(rows):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return cut_lineage(rows)
+
+    monkeypatch.setattr(profile, "cut_lineage", kept)
+    ingest_documents(TableStore(spark, str(tmp_path_factory.mktemp("store")), buckets=2), read_documents(spark, path))
+    over_fields = [line for plan in plans for line in plan.splitlines() if "Aggregate [" in line and "bit_or(" in line]
+    assert over_fields and not any("path#" in line for line in over_fields)
+
+    records = cut_lineage(shred(read_documents(spark, path)))
+    columns = sorted(profile.chunk_facts(records).columns)
+    by_path, by_hash = [sorted(map(str, profile.chunk_facts(records, stored).select(columns).collect())) for stored in (False, True)]
+    assert by_path == by_hash and len(by_path) == 7
