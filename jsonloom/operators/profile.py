@@ -29,9 +29,10 @@ CHUNK = [*BLOCK, "line_chunk", "rec_chunk"]
 SAMPLES_TYPE = "array<struct<at: struct<file_order: bigint, path: string, block_start: bigint, line_id: bigint, table_pos: int, rec_pos: int, pos: int>, sample: string>>"
 
 
-def _values(records: DataFrame, kept: list[str]) -> DataFrame:
-    """One row per field of every record, and one with nulls for a record without any: the columns ``kept``,
+def _values(records: DataFrame) -> DataFrame:
+    """One row per field of every record, and one with nulls for a record without any: the columns beside ``record``,
     ``field, pos, value, type``."""
+    kept = [c for c in records.columns if c != "record"]
     # parsed, and keys made one, in steps of their own: the generator would do both each time it names its fields
     parsed = records.select(*kept, parsed_entries(F.col("record")).alias("_parsed"))
     once = parsed.select(*kept, last_entries(F.col("_parsed")).alias("_entries"))
@@ -75,7 +76,7 @@ def chunk_facts(records: DataFrame, stored: bool = False) -> DataFrame:
         {"_near": F.expr(f"shiftleft(shiftleft({line}, {RECORD_BITS}) | {here}, 31)"), "_table_near": F.expr(f"shiftleft({line}, 31) | table_pos")}
     )
     here_only = ["table", *block, "line_chunk", "rec_chunk"]
-    values = _values(chunked, [*here_only, "_near", "_table_near"]).withColumns(
+    values = _values(chunked.select(*here_only, "_near", "_table_near", "record")).withColumns(
         {"elements": elements, "text": F.when(F.col("type") == "str", F.try_variant_get("value", "$", "string"))}
     )
     values = values.withColumn("bits", F.coalesce(_type_bits(), F.lit(0))).withColumn("near", F.expr("_near | coalesce(pos, 0)"))
@@ -153,7 +154,7 @@ def field_samples(records: DataFrame, chunks: DataFrame, wanted: DataFrame | Non
     near = near.sparkSession.createDataFrame(near.toArrow())
     lines = F.concat_ws(":", "block_start", F.shiftright("line_id", LINE_BITS), "path")
     places = [r[0] for r in near.select(F.concat_ws(":", "block_start", "line_chunk", "path")).distinct().collect()]
-    values = _in_chunks(_values(records.where(lines.isin(places)), ["table", *RECORD_POSITION])).where("type is not null")
+    values = _in_chunks(_values(records.where(lines.isin(places)).select("table", *RECORD_POSITION, "record"))).where("type is not null")
     values = values.join(F.broadcast(near), near.columns, "left_semi")
     shown = F.when(F.col("type") == "str", F.try_variant_get("value", "$", "string")).otherwise(F.to_json("value"))
     at = F.struct(*RECORD_POSITION, "pos").alias("at")
