@@ -5,6 +5,9 @@ document (inside a string or not, how deep) is summed up for both ways it may be
 summaries, which are small, tell where each really begins. Then every chunk cuts itself at the commas between entries and
 between the members of a list; only pieces that go over a chunk's end move, to be put together. No task holds more than a
 chunk, one record, or a document's summaries.
+
+The text is written once, compressed, and otherwise stays where it lies: the summaries go to the chunks, which are cut once to
+judge a document and once more for its rows. So beside the files the steps need disk for that one copy.
 """
 
 from __future__ import annotations
@@ -33,21 +36,25 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LARGE_FILE = 32 * 2**20
 #: bytes of text in a chunk, about
 CHUNK = 2**20
+#: the one copy of the text is small, and read some chunks at a time: Spark holds a row group's texts, and those of 100 rows at least
+#: were Parquet's own rule
+_STORED = {"compression": "zstd", "parquet.block.size": str(8 * CHUNK), "parquet.page.size.row.check.min": "8"}
 #: a broken document's text is kept up to this size; a row cannot hold much more
 KEPT_TEXT = 2**30
 
 _QUOTE, _ESCAPE, _COMMA = 0x22, 0x5C, 0x2C
-_OPEN, _CLOSE = np.array([0x7B, 0x5B], np.uint8), np.array([0x7D, 0x5D], np.uint8)
-_SPECIAL = np.zeros(256, bool)
-_SPECIAL[[_QUOTE, _COMMA, *_OPEN, *_CLOSE]] = True
+_STEP = np.zeros(256, np.int8)
+_STEP[[0x7B, 0x5B]], _STEP[[0x7D, 0x5D]] = 1, -1
+_SPECIAL = _STEP != 0
+_SPECIAL[[_QUOTE, _COMMA]] = True
 # a key that reads "data", also with its letters escaped, and the first character of its value
 _DATA = re.compile(rb'"(?:d|\\u0064)(?:a|\\u0061)(?:t|\\u0074)(?:a|\\u0061)"\s*:\s*(.?)', re.S)
 
-_CHUNKS = "file bigint, block_start bigint, k bigint, text binary, odd boolean, parity int, d0 bigint, d1 bigint"
-_FACTS = "path string, no bigint, o2 string, o3 string, first1 bigint, datas array<struct<at: bigint, object: boolean, next: bigint>>"
+_CHUNKS = "file bigint, block_start bigint, k bigint, text binary, bytes bigint, odd boolean, parity int, d0 bigint, d1 bigint"
+_FACTS = "file bigint, no bigint, o2 string, o3 string, first1 bigint, datas array<struct<at: bigint, object: boolean, next: bigint>>"
 _PIECES = (
-    "path string, no bigint, idx int, starts boolean, complete boolean, inside boolean, entry boolean, entry_idx int, opened boolean,"
-    " leads boolean, head binary, body binary, tail binary"
+    "file bigint, no bigint, at bigint, of bigint, starts boolean, complete boolean, inside boolean, entry boolean, opened boolean,"
+    " leads boolean, last boolean, enveloped boolean, head binary, body binary, tail binary"
 )
 
 
@@ -68,11 +75,14 @@ class Lexed:
         passed = np.cumsum(quotes)
         self.parity = int(quotes.sum()) & 1
         outside = ((passed - quotes + quoted) & 1) == 0
-        opens, closes = np.isin(kind, _OPEN) & outside, np.isin(kind, _CLOSE) & outside
-        step = opens.astype(np.int64) - closes
-        structural = opens | closes | ((kind == _COMMA) & outside) | (quotes & outside)
+        steps = _STEP[kind]
+        step = np.where(outside, steps, 0).astype(np.int64)
+        opens, closes = step > 0, step < 0
+        structural = (quotes | (kind != _QUOTE)) & outside
         self.depth_after = depth + np.cumsum(step)[structural]
         self.end_depth = depth + int(step.sum())
+        #: where it ends if it begins the other way, inside a string or not
+        self.other_end_depth = depth + int(steps.sum(dtype=np.int64)) - int(step.sum())
         self.at, self.kind = at[structural], kind[structural]
         self.opens, self.closes, self.comma = opens[structural], closes[structural], (kind == _COMMA)[structural]
         # quotes that begin a string
@@ -87,8 +97,8 @@ class Lexed:
 
 _CHUNK_SCHEMA = pa.schema(
     [
-        ("file", pa.int64()), ("block_start", pa.int64()), ("k", pa.int64()), ("text", pa.binary()), ("odd", pa.bool_()),
-        ("parity", pa.int32()), ("d0", pa.int64()), ("d1", pa.int64()),
+        ("file", pa.int64()), ("block_start", pa.int64()), ("k", pa.int64()), ("text", pa.binary()), ("bytes", pa.int64()),
+        ("odd", pa.bool_()), ("parity", pa.int32()), ("d0", pa.int64()), ("d1", pa.int64()),
     ]
 )
 
@@ -104,9 +114,10 @@ def _chunked(size: int):
 
         def flush() -> pa.RecordBatch:
             text = b",".join(held)
-            free, inner = Lexed(text, 0), Lexed(text, 1)
+            lexed = Lexed(text)
             row = dict(zip(("file", "block_start"), now)) | {
-                "k": k, "text": text, "odd": _ends_odd(text), "parity": free.parity, "d0": free.end_depth, "d1": inner.end_depth,
+                "k": k, "text": text, "bytes": len(text), "odd": _ends_odd(text), "parity": lexed.parity, "d0": lexed.end_depth,
+                "d1": lexed.other_end_depth,
             }
             return pa.RecordBatch.from_pylist([row], schema=_CHUNK_SCHEMA)
 
@@ -166,9 +177,9 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     after = commas[commas > found.start()]
                     datas.append({"at": found.start(), "object": found.group(1) == b"{", "next": int(after[0]) if len(after) else None})
             yield pa.RecordBatch.from_pylist(
-                [{"path": row["path"], "no": row["no"], "o2": opened[2], "o3": opened[3], "first1": -1 if edge else int(commas[0]) if len(commas) else None, "datas": datas}],
+                [{"file": row["file"], "no": row["no"], "o2": opened[2], "o3": opened[3], "first1": -1 if edge else int(commas[0]) if len(commas) else None, "datas": datas}],
                 schema=pa.schema([
-                    ("path", pa.string()), ("no", pa.int64()), ("o2", pa.string()), ("o3", pa.string()), ("first1", pa.int64()),
+                    ("file", pa.int64()), ("no", pa.int64()), ("o2", pa.string()), ("o3", pa.string()), ("first1", pa.int64()),
                     ("datas", pa.list_(pa.struct([("at", pa.int64()), ("object", pa.bool_()), ("next", pa.int64())]))),
                 ]),
             )
@@ -176,29 +187,40 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 _PIECE_SCHEMA = pa.schema(
     [
-        ("path", pa.string()), ("no", pa.int64()), ("idx", pa.int32()), ("starts", pa.bool_()), ("complete", pa.bool_()), ("inside", pa.bool_()),
-        ("entry", pa.bool_()), ("entry_idx", pa.int32()), ("opened", pa.bool_()), ("leads", pa.bool_()), ("head", pa.binary()),
-        ("body", pa.binary()), ("tail", pa.binary()),
+        ("file", pa.int64()), ("no", pa.int64()), ("at", pa.int64()), ("of", pa.int64()), ("starts", pa.bool_()), ("complete", pa.bool_()),
+        ("inside", pa.bool_()), ("entry", pa.bool_()), ("opened", pa.bool_()), ("leads", pa.bool_()), ("last", pa.bool_()),
+        ("enveloped", pa.bool_()), ("head", pa.binary()), ("body", pa.binary()), ("tail", pa.binary()),
     ]
 )
 
 
-def _cut(row: dict) -> list[dict]:
-    """The pieces of one chunk."""
+def _after(events: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """For each piece of text the first event in it, -1 without one."""
+    if not len(events):
+        return np.full(len(begins), -1)
+    i = np.searchsorted(events, begins, "left")
+    found = events[np.minimum(i, len(events) - 1)]
+    return np.where((i < len(events)) & (found < stops), found, -1)
+
+
+def _cut(row: dict) -> pa.RecordBatch:
+    """The pieces of one chunk; ``at`` and ``of`` count the document's units from ``earlier``, those before the chunk."""
     text, no = row["text"], row["no"]
     base = 2 if row["enveloped"] else 1
     lexed = Lexed(text, row["quoted"], row["depth"])
     holder = lexed.holder(base + 1, row["opener"])
-    start, end = (row["s_no"], row["s_at"]), (row["e_no"], row["e_at"])
 
-    def within(at: int) -> bool:
-        """Whether the object that holds the tables is around this place."""
-        return not row["enveloped"] or (start < (no, at) and (end[0] is None or (no, at) < end))
-
-    if row["enveloped"] and no in (start[0], end[0]):
-        inside = np.array([within(a) for a in lexed.at.tolist()], bool)
-    else:
-        inside = np.full(len(lexed.at), within(0))
+    def within(at):
+        """Whether the object that holds the tables is around these places."""
+        at = np.asarray(at, np.int64)
+        if not row["enveloped"]:
+            return np.ones(at.shape, bool)
+        begun = at > row["s_at"] if no == row["s_no"] else np.full(at.shape, no > row["s_no"])
+        if row["e_no"] is None:
+            return begun
+        return begun & (at < row["e_at"] if no == row["e_no"] else np.full(at.shape, no < row["e_no"]))
+
+    inside = within(lexed.at)
     limit = np.where(inside, np.where(holder == 0x5B, base + 1, base), 1)
     cuts = np.flatnonzero(lexed.comma & (lexed.depth_after <= limit))
 
@@ -211,55 +233,51 @@ def _cut(row: dict) -> list[dict]:
     last_holder = int(holder[-1]) if len(holder) else opener
     ends_whole = row["final"] or bounds(len(text), (row["quoted"] + lexed.parity) & 1, lexed.end_depth, last_holder)
     places = lexed.at[cuts]
-    begins = np.append(0, places + 1)
-    stops = np.append(places, len(text))
+    begins, stops = np.append(0, places + 1), np.append(places, len(text))
+    n = len(begins)
+    starts, complete, last = np.ones(n, bool), np.ones(n, bool), np.zeros(n, bool)
+    starts[0], complete[-1], last[-1] = first_starts, ends_whole, True
     depths = np.append(row["depth"] if no > 1 else 0, lexed.depth_after[cuts])
-    marks = np.append(opener, holder[cuts])
+    in_brackets = np.append(opener, holder[cuts]) == 0x5B
+    holds_start = (begins <= row["s_at"]) & (row["s_at"] < stops) if row["enveloped"] and row["s_no"] == no else np.zeros(n, bool)
+    before = begins - 1
+    before[0] = -1 if no > 1 else 0
+    role = within(before) | holds_start
+    entry = starts & role & (depths <= base)
+    idx = np.cumsum(starts) - 1
+    entry_idx = np.maximum.accumulate(np.where(entry, idx, -1))
+    in_list = ~entry & role & (depths >= base + 1) & in_brackets
     opens_list = lexed.at[lexed.opens & inside & (lexed.depth_after == base + 1) & (lexed.kind == 0x5B)]
-    list_ends = lexed.at[lexed.closes & (lexed.depth_after == base)]
-    object_ends = lexed.at[lexed.closes & (lexed.depth_after == base - 1)]
-    document_ends = lexed.at[lexed.closes & (lexed.depth_after == 0)]
-    out, entry_idx, idx = [], None, -1
-
-    def after(events: np.ndarray, a: int, b: int) -> int | None:
-        i = int(np.searchsorted(events, a, "left"))
-        return int(events[i]) if i < len(events) and events[i] < b else None
-
-    for i, (a, b) in enumerate(zip(begins.tolist(), stops.tolist())):
-        starts = bool(first_starts if i == 0 else True)
-        complete = bool(ends_whole if i == len(begins) - 1 else True)
-        holds_start = bool(row["enveloped"]) and row["s_no"] == no and a <= row["s_at"] < b
-        role = within(a - 1 if i or no > 1 else 0) or holds_start
-        entry = starts and role and (depths[i] <= base)
-        idx += starts
-        entry_idx = idx if entry else entry_idx
-        in_list = not entry and role and depths[i] >= base + 1 and marks[i] == 0x5B
-        opened = None if in_list or not role else after(opens_list, a, b)
-        body_at = a if in_list else (opened + 1 if opened is not None else None)
-        if body_at is not None:
-            tail_at = after(list_ends, body_at, b)
-        else:
-            tail_at = after(object_ends if role else document_ends, a, b)
-        tail_at = b if tail_at is None else tail_at
-        parts = [text[a : tail_at if body_at is None else body_at], b"" if body_at is None else text[body_at:tail_at], text[tail_at:b]]
-        if not complete:
-            parts[2 if tail_at < b else (1 if body_at is not None else 0)] += b","
-        out.append(
-            {
-                "path": row["path"], "no": no, "idx": idx, "starts": starts, "complete": complete, "inside": role, "entry": entry,
-                "entry_idx": entry_idx, "opened": opened is not None, "leads": (no == 1 and i == 0) or holds_start,
-                "head": parts[0], "body": parts[1], "tail": parts[2],
-            }
-        )
-    return out
+    opened = np.where(in_list | ~role, -1, _after(opens_list, begins, stops))
+    body = in_list | (opened >= 0)
+    body_at = np.where(in_list, begins, opened + 1)
+    ends = [lexed.at[lexed.closes & (lexed.depth_after == depth)] for depth in (base, base - 1, 0)]
+    object_end = np.where(role, _after(ends[1], begins, stops), _after(ends[2], begins, stops))
+    tail_at = np.where(body, _after(ends[0], np.where(body, body_at, begins), stops), object_end)
+    # a piece that goes on after the chunk keeps the comma there
+    stops[-1] += not ends_whole
+    tail_at = np.where(tail_at < 0, stops, tail_at)
+    head_end = np.where(body, body_at, tail_at)
+    # head, body, tail and the comma after them follow each other in the text
+    edges = np.append(np.column_stack([begins, head_end, tail_at, stops]).ravel(), stops[-1]).astype(np.int32)
+    parts = pa.BinaryArray.from_buffers(pa.binary(), 4 * n, [None, pa.py_buffer(edges), pa.py_buffer(text + b",")])
+    head, middle, tail = (parts.take(pa.array(np.arange(i, 4 * n, 4))) for i in range(3))
+    of = np.where(entry_idx >= 0, row["earlier"] + entry_idx, -1 if row["entry_before"] is None else row["entry_before"])
+    leads = holds_start.copy()
+    leads[0] |= no == 1
+    columns = [
+        np.full(n, row["file"]), np.full(n, no), row["earlier"] + idx, pa.array(of, mask=of < 0), starts, complete, role, entry, opened >= 0,
+        leads, last, np.full(n, bool(row["enveloped"])), head, middle, tail,
+    ]
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], schema=_PIECE_SCHEMA)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in one_by_one(batch):
             cut = _cut(row)
-            for first in range(0, len(cut), 10_000):
-                yield pa.RecordBatch.from_pylist(cut[first : first + 10_000], schema=_PIECE_SCHEMA)
+            for first in range(0, cut.num_rows, 10_000):
+                yield cut.slice(first, 10_000)
 
 
 def read_chunks(spark: SparkSession, paths: list[str], chunk: int = CHUNK) -> DataFrame:
@@ -273,14 +291,14 @@ def read_chunks(spark: SparkSession, paths: list[str], chunk: int = CHUNK) -> Da
         file.alias("file"), F.col("_metadata.file_path").alias("path"), file_order().alias("file_order"),
         F.col("_metadata.file_size").cast("bigint").alias("file_size"),
     )
-    return cut_lineage(raw.mapInArrow(_chunked(chunk), _CHUNKS)).join(F.broadcast(cut_lineage(given)), "file").drop("file")
+    return cut_lineage(raw.mapInArrow(_chunked(chunk), _CHUNKS), **_STORED).join(F.broadcast(cut_lineage(given)), "file")
 
 
 def _located(chunks: DataFrame) -> DataFrame:
     """Summaries with where each chunk begins: its number in the file, in a string or not, how deep."""
-    order = Window.partitionBy("path").orderBy("block_start", "k")
+    order = Window.partitionBy("file").orderBy("block_start", "k")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    slim = chunks.select("path", "block_start", "k", "parity", "d0", "d1").withColumns(
+    slim = chunks.select("file", "block_start", "k", "parity", "d0", "d1").withColumns(
         {
             "no": F.row_number().over(order).cast("bigint"),
             "quoted": (F.coalesce(F.sum("parity").over(before), F.lit(0)) % 2).cast("int"),
@@ -293,61 +311,50 @@ def _located(chunks: DataFrame) -> DataFrame:
     )
 
 
+def _with_texts(chunks: DataFrame, places: DataFrame) -> DataFrame:
+    """Chunks with what is known of their places. A place is some 100 bytes for a chunk of text: places go to the texts."""
+    return chunks.select("file", "block_start", "k", "text").join(F.broadcast(places), ["file", "block_start", "k"])
+
+
 def _with_tables_object(facts: DataFrame) -> DataFrame:
     """Per chunk: whether the document has an envelope, where the object that holds the tables begins and ends, and what opened the
     depth of lists before the chunk."""
-    data = facts.select("path", "no", F.explode("datas").alias("d"))
-    last = data.groupBy("path").agg(F.max_by(F.struct("no", "d"), F.struct("no", "d.at")).alias("e")).where("e.d.object").select(
-        F.col("path").alias("p"), F.col("e.no").alias("s_no"), F.col("e.d.at").alias("s_at"), F.col("e.d.next").alias("next")
+    data = facts.select("file", "no", F.explode("datas").alias("d"))
+    last = data.groupBy("file").agg(F.max_by(F.struct("no", "d"), F.struct("no", "d.at")).alias("e")).where("e.d.object").select(
+        F.col("file").alias("p"), F.col("e.no").alias("s_no"), F.col("e.d.at").alias("s_at"), F.col("e.d.next").alias("next")
     )
-    later = facts.join(last, F.col("path") == F.col("p")).where("next is null and first1 is not null and no > s_no").groupBy("path").agg(
+    later = facts.join(last, F.col("file") == F.col("p")).where("next is null and first1 is not null and no > s_no").groupBy("file").agg(
         F.min(F.struct("no", "first1")).alias("f")
-    ).select(F.col("path").alias("q"), "f")
+    ).select(F.col("file").alias("q"), "f")
     ends = last.join(later, F.col("p") == F.col("q"), "left").select(
         "p", "s_no", "s_at", F.when(F.col("next").isNotNull(), F.col("s_no")).otherwise(F.col("f.no")).alias("e_no"),
         F.coalesce("next", "f.first1").alias("e_at"),
     )
-    before = Window.partitionBy("path").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
-    held = facts.select("path", "no", *[F.last(o, ignorenulls=True).over(before).alias(o) for o in ("o2", "o3")])
-    met = held.join(ends, F.col("path") == F.col("p"), "left")
+    before = Window.partitionBy("file").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
+    held = facts.select("file", "no", *[F.last(o, ignorenulls=True).over(before).alias(o) for o in ("o2", "o3")])
+    met = held.join(ends, F.col("file") == F.col("p"), "left")
     return met.select(
-        F.col("path").alias("f_path"), F.col("no").alias("f_no"), F.col("s_no").isNotNull().alias("enveloped"), "s_no", "s_at", "e_no", "e_at",
+        "file", "no", F.col("s_no").isNotNull().alias("enveloped"), "s_no", "s_at", "e_no", "e_at",
         F.when(F.col("s_no").isNotNull(), F.col("o3")).otherwise(F.col("o2")).alias("opener"),
     )
 
 
-def _units(pieces: DataFrame) -> DataFrame:
-    """Entries and list members: whole pieces, and those that go over chunks' ends put together."""
-    parts = ["head", "body", "tail"]
-    whole = F.col("starts") & F.col("complete")
-    some = pieces.where(~whole)
-    run = Window.partitionBy("path").orderBy("no", F.col("idx"), F.col("starts")).rowsBetween(Window.unboundedPreceding, 0)
+_PARTS = ["head", "body", "tail"]
+_PLACED = ["file", "no", "at", "of", "inside", "entry", "leads", "opened", "enveloped"]
+
+
+def _put_together(some: DataFrame) -> DataFrame:
+    """Entries and list members that go over chunks' ends, each with the place of its first piece."""
+    run = Window.partitionBy("file").orderBy("no", "at", "starts").rowsBetween(Window.unboundedPreceding, 0)
     marked = some.withColumn("_unit", F.sum(F.col("starts").cast("bigint")).over(run))
-    fact = ["inside", "entry", "entry_idx", "leads"]
-    first = F.min(F.struct("no", "idx", *fact)).alias("f")
+    fact = [c for c in _PLACED if c not in ("file", "opened")]
+    first = F.min_by(F.struct(*fact), F.struct("no", "at")).alias("f")
     joined = [
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("no", "idx", F.col(p).cast("string").alias("v")))), lambda x: x["v"]), "").alias(p)
-        for p in parts
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("no", "at", F.col(p).alias("v")))), lambda x: x["v"]), "").alias(p)
+        for p in _PARTS
     ]
-    put = marked.groupBy("path", "_unit").agg(first, F.max("opened").alias("opened"), *joined)
-    columns = ["path", "no", "idx", *fact, "opened", *parts]
-    put = put.select("path", "f.no", "f.idx", *[f"f.{c}" for c in fact], "opened", *parts).select(*columns)
-    texts = {p: F.col(p).cast("string") for p in parts}
-    return pieces.where(whole).withColumns(texts).select(*columns).unionByName(put)
-
-
-def _numbered_units(units: DataFrame) -> DataFrame:
-    """Units with ``at``, their place in the document, and ``of``, the place of the entry they belong to."""
-    per_chunk = units.groupBy("path", "no").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("entry"), F.col("idx"))).alias("last_entry")
-    )
-    before = Window.partitionBy("path").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
-    counted = per_chunk.withColumn("earlier", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    counted = counted.withColumn("entry_before", F.last(F.col("earlier") + F.col("last_entry"), ignorenulls=True).over(before))
-    met = units.join(counted.select(F.col("path").alias("p"), F.col("no").alias("c"), "earlier", "entry_before"), (F.col("path") == F.col("p")) & (F.col("no") == F.col("c")))
-    return met.withColumns(
-        {"at": F.col("earlier") + F.col("idx"), "of": F.coalesce(F.col("earlier") + F.col("entry_idx"), F.col("entry_before"))}
-    ).drop("p", "c", "earlier", "entry_before")
+    put = marked.groupBy("file", "_unit").agg(first, F.max("opened").alias("opened"), *joined)
+    return put.select("file", *[f"f.{c}" for c in fact], "opened", *_PARTS).select(*_PLACED, *_PARTS)
 
 
 _KEY = r'^\s*"([^"\\]*(?:\\.[^"\\]*)*)"\s*:\s*'
@@ -358,41 +365,56 @@ def bare(text) -> Column:
     return F.ltrim(F.translate(text, "\t\r\n", "   "))
 
 
-def _entries(units: DataFrame) -> DataFrame:
-    """Entries of the object that holds the tables: key, kind, and their place among its keys (the last of repeated ones counts)."""
-    # before the first entry stand the braces that open the document and its envelope
+def _member() -> Column:
+    """An entry's text; before the first one stand the braces that open the document and its envelope."""
     opening = F.when(F.col("inside") & F.col("enveloped"), r'^\s*\{?\s*"[^"]*"\s*:\s*\{').otherwise(r"^\s*\{")
-    member = F.when(F.col("leads"), F.call_function("regexp_replace", "head", opening, F.lit(""))).otherwise(F.col("head"))
-    listed = units.where("entry").withColumn("member", member).where(bare("member") != "")
+    return F.when(F.col("leads"), F.call_function("regexp_replace", "head", opening, F.lit(""))).otherwise(F.col("head"))
+
+
+def _judged_units(units: DataFrame) -> DataFrame:
+    """Units with what stands for them in a skeleton (see :func:`_skeletons`), and of entries the key and what they hold."""
+    body = F.when(is_json(F.col("body")), F.lit("0")).otherwise(F.col("body"))
+    alone = F.length(F.concat("head", "tail")) == 0
+    short = F.when(alone, body).otherwise(F.concat("head", body, "tail"))
+    is_member = ~F.col("leads") & (bare("short") != "") & one_object(F.concat(F.lit("{"), "short", F.lit("}"))).isNotNull()
+    kind = F.when(alone & (F.col("short") == "0"), "V").when(is_member, "M").otherwise("S")
+    kinds = units.withColumn("short", short).withColumn("kind", kind).withColumn("member", F.when(F.col("entry"), _member()))
     key = F.get(F.from_json(F.concat(F.lit('["'), F.regexp_extract("member", _KEY, 1), F.lit('"]')), "array<string>", TEXT_RULES), F.lit(0))
-    facts = listed.select(
-        "path", "of", key.alias("key"), "opened", "member", bare("body").startswith("{").alias("objects")
-    )
-    repeated = facts.groupBy("path", "key").agg(F.min("of").alias("place"), F.max("of").alias("last"))
-    order = F.row_number().over(Window.partitionBy("path").orderBy("place")) - 1
-    kept = repeated.withColumn("table_pos", order).select(F.col("path").alias("p"), F.col("key").alias("k"), "last", "table_pos")
-    met = facts.join(kept, (F.col("path") == F.col("p")) & F.col("key").eqNullSafe(F.col("k")) & (F.col("of") == F.col("last")))
-    return met.select(F.col("path").alias("e_path"), F.col("of").alias("e_of"), "key", "table_pos", F.col("opened").alias("listed"), "objects", "member")
+    return kinds.withColumns(
+        {
+            "short": F.when(F.col("kind") == "M", F.lit('"k":0')).otherwise(F.col("short")),
+            "key": F.when(F.col("entry"), key),
+            "named": F.col("entry") & (bare("member") != ""),
+            "objects": F.col("entry") & bare("body").startswith("{"),
+        }
+    ).drop("member")
+
+
+def _entries(units: DataFrame) -> DataFrame:
+    """Entries of the object that holds the tables: key, kind, and their place among its keys (the last of repeated ones counts)."""
+    facts = units.where("named").select("file", "of", "key", "opened", "objects")
+    repeated = facts.groupBy("file", "key").agg(F.min("of").alias("place"), F.max("of").alias("last"))
+    order = F.row_number().over(Window.partitionBy("file").orderBy("place")) - 1
+    kept = repeated.withColumn("table_pos", order).select(F.col("file").alias("p"), F.col("key").alias("k"), "last", "table_pos")
+    met = facts.join(kept, (F.col("file") == F.col("p")) & F.col("key").eqNullSafe(F.col("k")) & (F.col("of") == F.col("last")))
+    return met.select(F.col("file").alias("e_file"), F.col("of").alias("e_of"), "key", "table_pos", F.col("opened").alias("listed"), "objects")
 
 
 def _skeletons(units: DataFrame) -> DataFrame:
     """Per document, a short text that is JSON exactly if the document is.
 
     Members of lists that are JSON by themselves stand as 0, entries that are as "k":0, and of several in a row in a chunk one is left.
+    ``units`` may lack whole members that are JSON by themselves: where numbers are missing stands one of these.
     """
-    body = F.when(is_json(F.col("body")), F.lit("0")).otherwise(F.col("body"))
-    alone = F.length(F.concat("head", "tail")) == 0
-    short = F.when(alone, body).otherwise(F.concat("head", body, "tail"))
-    kinds = units.withColumn("short", short)
-    is_member = ~F.col("leads") & (bare("short") != "") & one_object(F.concat(F.lit("{"), "short", F.lit("}"))).isNotNull()
-    kind = F.when(alone & (F.col("short") == "0"), "V").when(is_member, "M").otherwise("S")
-    in_chunk = Window.partitionBy("path", "no").orderBy("at")
-    marked = kinds.withColumn("kind", kind).withColumn("before", F.lag("kind").over(in_chunk))
-    kept = marked.where("kind = 'S' or before is null or before <> kind").withColumn(
-        "short", F.when(F.col("kind") == "M", F.lit('"k":0')).otherwise(F.col("short"))
+    in_chunk = Window.partitionBy("file", "no").orderBy("at")
+    marked = units.withColumn("before", F.lag("kind").over(in_chunk)).withColumn(
+        "missing", F.col("at") - F.coalesce(F.lag("at").over(in_chunk), F.col("earlier") - 1) > 1
+    )
+    kept = marked.where("kind = 'S' or before is null or before <> kind or missing").withColumn(
+        "short", F.when(F.col("missing"), F.concat(F.lit("0,"), "short")).otherwise(F.col("short"))
     )
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "short"))), lambda s: s["short"]), ",")
-    return kept.groupBy("path").agg(text.alias("skeleton"))
+    return kept.groupBy("file").agg(text.alias("skeleton"))
 
 
 def shred_large(
@@ -406,44 +428,56 @@ def shred_large(
     record is. The steps write to the shared folder, so the call itself runs Spark jobs.
     """
     chunks = read_chunks(spark, paths, chunk)
-    on = ["path", "block_start", "k"]
     located = _located(chunks)
-    placed = chunks.select(*on, "text").join(located, on)
-    given = ["path", "no", "quoted", "depth", "text"]
-    facts = cut_lineage(placed.select(*given).mapInArrow(_facts, _FACTS))
-    tables = cut_lineage(_with_tables_object(facts))
-    whole = placed.join(tables, (F.col("path") == F.col("f_path")) & (F.col("no") == F.col("f_no")))
-    asked = [*given, "final", "enveloped", "s_no", "s_at", "e_no", "e_at", "opener"]
-    pieces = cut_lineage(whole.select(*asked).mapInArrow(_pieces, _PIECES))
-    envelopes = tables.where("f_no = 1").select(F.col("f_path").alias("p"), "enveloped")
-    units = cut_lineage(_numbered_units(_units(pieces)).join(envelopes, F.col("path") == F.col("p")).drop("p"))
-
-    sizes = chunks.groupBy("path").agg(
+    given = ["file", "no", "quoted", "depth", "text"]
+    facts = cut_lineage(_with_texts(chunks, located).select(*given).mapInArrow(_facts, _FACTS))
+    places = cut_lineage(located.join(_with_tables_object(facts), ["file", "no"]))
+    asked = [*given, "final", "enveloped", "s_no", "s_at", "e_no", "e_at", "opener", "earlier", "entry_before"]
+    strings = {p: F.col(p).cast("string") for p in _PARTS}
+
+    def pieces(of_chunks: DataFrame) -> DataFrame:
+        return _with_texts(chunks, of_chunks).select(*asked).mapInArrow(_pieces, _PIECES).withColumns(strings)
+
+    # a document is judged by its entries, and by what goes over chunks' ends or is no list's member that is JSON by itself
+    whole = F.col("starts") & F.col("complete")
+    first = _judged_units(pieces(places.withColumns({"earlier": F.lit(0).cast("bigint"), "entry_before": F.lit(None).cast("bigint")})))
+    texts = {p: F.when(~whole, F.col(p)) for p in _PARTS} | {"short": F.when(whole, F.col("short")), "whole": whole}
+    first = cut_lineage(first.where(~whole | F.col("entry") | F.col("last") | (F.col("kind") != "V")).withColumns(texts))
+    per_chunk = first.where("last").select("file", "no", (F.col("at") + 1).alias("n"), F.col("of").alias("last_entry"))
+    before = Window.partitionBy("file").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
+    counted = per_chunk.select("file", "no", "last_entry", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    counted = cut_lineage(counted.select("file", "no", "earlier", F.last(F.col("earlier") + F.col("last_entry"), ignorenulls=True).over(before).alias("entry_before")))
+    put = _judged_units(_put_together(first.where("not whole").select(*_PLACED, "starts", *_PARTS))).withColumn("whole", F.lit(False))
+    marks = first.where("whole").select(*put.columns).unionByName(put).join(counted, ["file", "no"])
+    marks = cut_lineage(
+        marks.withColumns({"at": F.col("earlier") + F.col("at"), "of": F.coalesce(F.col("earlier") + F.col("of"), F.col("entry_before"))})
+    )
+
+    sizes = chunks.groupBy("file", "path", "file_order", F.col("file_size").alias("size")).agg(
         # a separator stands between chunks; one at the file's end, or a byte order mark, would be missing
-        (F.sum(F.length("text") + 1) - 1 != F.max("file_size")).alias("cut"), F.max("odd").alias("odd"), F.max("file_size").alias("size"),
-        F.max("file_order").alias("file_order"),
+        (F.sum(F.col("bytes") + 1) - 1 != F.max("file_size")).alias("cut"), F.max("odd").alias("odd"),
     )
-    judged = sizes.join(_skeletons(units), "path", "left")
+    judged = sizes.join(_skeletons(marks), "file", "left")
     sound = one_object(F.col("skeleton")).isNotNull() & ~F.col("cut") & ~F.col("odd")
-    judged = cut_lineage(judged.select("path", "size", "file_order", F.coalesce(sound, F.lit(False)).alias("ok")))
+    judged = cut_lineage(judged.select("file", "path", "size", "file_order", F.coalesce(sound, F.lit(False)).alias("ok")))
 
-    good = units.join(judged.where("ok").select(F.col("path").alias("g")), F.col("path") == F.col("g"), "left_semi")
-    orders = judged.select(F.col("path").alias("g"), "file_order")
-    entries = cut_lineage(_entries(good).join(orders, F.col("e_path") == F.col("g")).drop("g"))
-    own = good.join(entries, (F.col("path") == F.col("e_path")) & (F.col("of") == F.col("e_of")))
+    good = judged.where("ok").select(F.col("file").alias("e_file"), "path", "file_order")
+    entries = cut_lineage(_entries(marks).join(good, "e_file"))
+    columns = [*_PLACED, *_PARTS]
+    units = pieces(places.join(counted, ["file", "no"])).where(whole).select(*columns).unionByName(marks.where("not whole").select(*columns))
+    own = units.join(entries, (F.col("file") == F.col("e_file")) & (F.col("of") == F.col("e_of")))
     rec_pos = (F.col("at") - F.col("of")).cast("int")
     members = F.from_json(F.concat(F.lit("["), "body", F.lit("]")), "array<string>", TEXT_RULES)
     value, shown = F.get(members, F.lit(0)), bare("body")
-    in_lists = own.where("listed").where(shown != "").select(
+    parsed = F.get(F.map_values(one_object(F.concat(F.lit("{"), _member(), F.lit("}")))), F.lit(0))
+    # of a list each member is a record, of an object its entry is
+    listed = F.when(F.col("objects"), value).otherwise(numbered(value, rec_pos, shown.startswith('"')))
+    one_row = (F.col("at") == F.col("of")) & F.regexp_replace(_member(), _KEY, "").startswith("{")
+    out = own.where(F.when(F.col("listed"), shown != "").otherwise(one_row)).select(
         "path", "file_order", F.col("key").alias("table"), "table_pos", rec_pos.alias("rec_pos"),
-        F.when(F.col("objects"), value).otherwise(numbered(value, rec_pos, shown.startswith('"'))).alias("record"),
-        (~F.col("objects") | shown.startswith("{")).alias("is_record"),
-    )
-    parsed = F.get(F.map_values(one_object(F.concat(F.lit("{"), "member", F.lit("}")))), F.lit(0))
-    rows = entries.where(~F.col("listed")).where(F.regexp_replace("member", _KEY, "").startswith("{")).select(
-        F.col("e_path").alias("path"), "file_order", F.col("key").alias("table"), "table_pos", F.lit(0).alias("rec_pos"), parsed.alias("record"), F.lit(True).alias("is_record"),
+        F.when(F.col("listed"), listed).otherwise(parsed).alias("record"),
+        (~F.col("listed") | ~F.col("objects") | shown.startswith("{")).alias("is_record"),
     )
-    out = in_lists.unionByName(rows)
     if max_records:
         out = out.where(F.col("rec_pos") < max_records)
     if not keep_rejects:

@@ -19,7 +19,7 @@ from jsonloom.operators.sketches import column_sketches, merge_sketches, sketche
 from jsonloom.plans import ingest
 from jsonloom.plans.catalog import discover
 from jsonloom.plans.incremental import recount_changes, update_checks
-from jsonloom.session import scratch_path
+from jsonloom.session import scratch_path, shuffles_removed
 from jsonloom.sources.documents import list_files, read_documents
 from jsonloom.sources.export import documents, write_lines
 from jsonloom.sources.reports import write_text
@@ -37,6 +37,10 @@ from jsonloom.workload.tables import exported, load, numbered, registry
 LINE = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string"
 
 
+#: rows of the document that its writer sorts at a time
+DOCUMENT_RANGE = 2**19
+
+
 def one_document(spark, folder):
     """All line items as one document in one file, a record per line."""
 
@@ -45,15 +49,19 @@ def one_document(spark, folder):
         items = load(spark, folder, "lineitem").select(*fields)
         at = F.struct("l_orderkey", "l_linenumber")
         first = at == items.agg(F.min(at)).scalar()
-        text = F.concat(F.when(first, F.lit("  ")).otherwise(F.lit(", ")), F.to_json(F.struct(*fields)))
-        lines = items.select(F.lit(1).alias("part"), "l_orderkey", "l_linenumber", text.alias("text"))
         ends = spark.createDataFrame([(0, '{"metadata": {"kind": "line items, all"}, "data": {"items": ['), (2, "]}}")], "part int, text string")
-        rows = lines.unionByName(ends, allowMissingColumns=True)
-        # the only file has one writer; the key comes first in its order, so that rows are compared by a number
+        rows = items.withColumn("part", F.lit(1)).unionByName(ends, allowMissingColumns=True)
+        # the only file has one writer, which sorts a range of the order at a time, so that nothing is spilled; rows are dealt and
+        # sorted without their text. The key comes first in their order: they are compared by a number
         place = F.when(F.col("part") == 1, F.col("l_orderkey")).when(F.col("part") == 0, -(2**63)).otherwise(2**63 - 1)
-        return rows.repartition(1).sortWithinPartitions(place, "part", "l_linenumber").select("text")
-
-    return exported(spark, folder, "one-document", build)
+        order = [place, "part", "l_linenumber"]
+        ranges = max(1, items.count() // DOCUMENT_RANGE)
+        in_order = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).coalesce(1)
+        line = F.concat(F.when(first, F.lit("  ")).otherwise(F.lit(", ")), F.to_json(F.struct(*fields)))
+        return in_order.select(F.coalesce("text", line).alias("text"))
+
+    with shuffles_removed(spark):
+        return exported(spark, folder, "one-document", build)
 
 
 @query("select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount, l_returnflag from lineitem")

@@ -1,15 +1,19 @@
 """Large files: the same rows by byte ranges as in one piece."""
 
 import json
+import os
 import random
+import time
 
 import pytest
 
 from jsonloom.operators.large import Lexed, read_chunks, shred_files, shred_large
 from jsonloom.operators.shred import DOCUMENT, QUARANTINE, shred
 from jsonloom.plans.ingest import REJECTS, ingest_files
+from jsonloom.session import shared_dir
 from jsonloom.sources.documents import read_documents
 from jsonloom.sources.store import TableStore
+from jsonloom.workload import changes
 
 FIXED = [
     "{}", ' {"data" : {}} ', "[1,2]", "{", " ", '{"a":1,,"b":2}', '{"t":[1,,2]}', '{"t":[1,]}', '{"a":1,5}', '{"t":["a":1,"b":2]}', '{"t":[1}',
@@ -129,3 +133,49 @@ def test_rows_per_comma_carry_no_path(spark, tmp_path):
         own = sorted((r.block_start, r.k, bytes(r.text)) for r in chunks if r.path.endswith(path))
         assert len(own) > 3 and b",".join(t for *_, t in own).decode() == text
     assert {r.file_size for r in chunks} == {len(text)}
+
+
+def test_text_is_copied_once_and_does_not_move(spark, tmp_path):
+    """Beside the file there is disk for one compressed copy of its text; rows come from that copy without a shuffle."""
+    draw = random.Random(5)
+    records = [{"a": i, "text": draw.randbytes(150).hex()} for i in range(10_000)]
+    (tmp_path / "a.json").write_text(json.dumps({"data": {"t": records, "o": {"k": 1}}}))
+    top = shared_dir(spark).removeprefix("file:")
+
+    def stored():
+        return sum(os.path.getsize(os.path.join(at, name)) for at, _, names in os.walk(top) for name in names)
+
+    before = stored()
+    got = shred_large(spark, [str(tmp_path)], chunk=100_000)
+    assert got.count() == 10_001
+    assert 0 < stored() - before < (tmp_path / "a.json").stat().st_size
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_document_of_many_ranges(spark, tmp_path, monkeypatch):
+    """The document's writer takes ranges of the order one after the other; what was dealt out to it does not stay on disk."""
+    monkeypatch.setattr(changes, "DOCUMENT_RANGE", 100, raising=False)
+    order = [(key, line) for key in range(400) for line in range(1, 4)]
+    draw = random.Random(6)
+    rows = [(key, line, key * 7, 1.5, 10.25, 0.0, "R") for key, line in draw.sample(order, len(order))]
+    spark.createDataFrame(rows, changes.LINE).write.parquet(f"{tmp_path}/lineitem.parquet")
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        listed = files.getAllFiles()
+        return {listed.apply(i).getName() for i in range(listed.size()) if listed.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    path = changes.one_document(spark, str(tmp_path)).removeprefix("file:")
+    parts = [name for name in os.listdir(path) if name.startswith("part-")]
+    assert len(parts) == 1
+    with open(os.path.join(path, parts[0])) as file:
+        items = json.load(file)["data"]["items"]
+    assert [(r["l_orderkey"], r["l_linenumber"]) for r in items] == order
+    waited = time.time() + 5
+    while shuffled() - before and time.time() < waited:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    got = changes.shred_large_document(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == sorted(rows)
